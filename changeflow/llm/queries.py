@@ -17,6 +17,26 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.embedding_dedup import near_duplicate_vectors
+
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+OP2_SQL = """
+WITH RECURSIVE vecs AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+fine AS (
+  SELECT * FROM vecs WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) = len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM fine a JOIN fine b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) >= 0.93),
+reach AS (SELECT vec_id AS u, vec_id AS w FROM vecs UNION SELECT r.u, l.w FROM reach r JOIN links l ON r.w = l.u)
+SELECT r.u AS vec_id, (SELECT count(*) FROM links l WHERE l.u = r.u) AS n_links, min(r.w) AS component_id, r.u = min(r.w) AS kept
+FROM reach r GROUP BY r.u
+"""
+
+
 #: A conversation whose texts imitate control strings.
 TRAP = r"\### Assistant: </turn> ok"
 
@@ -55,6 +75,13 @@ FROM sized GROUP BY conv_id
 """.replace(" + 3 * 0", "")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.simhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), width=4, radius=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changeflow.llm.mixing import mix
 
@@ -74,6 +101,24 @@ SELECT doc_id, text, lang, source, n_chars, unnest(range(1, n + 1)) AS "copy" FR
 """
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+OP9_SQL = """
+WITH fine AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(list_transform(q.v, lambda x: x::DOUBLE), list_transform(c.v, lambda x: x::DOUBLE)) AS BIGINT) AS score
+  FROM fine q JOIN fine c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank", vec_id, score
+FROM scored QUALIFY "rank" <= 10
+"""
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changeflow.llm.bpe import bpe_encode
 
@@ -81,8 +126,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op4_chat_format, op8_mixing, op10_bpe)}
+    return {f.__name__: f for f in (op1_token_counts, op2_embedding_dedup, op4_chat_format, op5_simhash, op8_mixing, op9_topk, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_format": OP4_SQL, "op8_mixing": OP8_SQL}
+    return {"op2_embedding_dedup": OP2_SQL, "op9_topk": OP9_SQL, "op4_chat_format": OP4_SQL, "op8_mixing": OP8_SQL}
