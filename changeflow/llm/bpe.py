@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 
 from changeflow.llm.common import map_rows
 
-#: Entries of the memory of encoded cuts in each Python worker.
-REMEMBERED = 300_000
+#: Entries of each generation of the memories of encoded cuts and words in a Python worker.
+REMEMBERED = 250_000
 #: Blanks that bound cuts: the characters with the property White_Space (fixed values).
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 NEVER = np.iinfo(np.int64).max
@@ -51,6 +51,24 @@ def byte_signs() -> list[str]:
     return signs
 
 
+class Memory:
+    """A dictionary of bounded size in two generations: what was used since the last change of generation stays."""
+
+    def __init__(self, size: int) -> None:
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key: str):
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.young[key] = found
+        return found
+
+    def turn(self) -> None:
+        """Between batches: drops what the last generation did not use if there is too much."""
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+
+
 class Codec:
     """A tokenizer file with lower-casing normaliser, regex split and word-end BPE."""
 
@@ -93,8 +111,7 @@ class Codec:
         self.longest = max(map(len, self.vocab))
         #: Tokens that merging reaches from their own characters; only these are proposed.
         self.proposed = {t: i for t, i in self.vocab.items() if self.merge(self._symbols(t)) == [i]}
-        self.pairs_seen: dict[int, bool] = {}
-        self.known: dict[str, tuple[int, bytes, str]] = {}
+        self.known, self.words = Memory(REMEMBERED), Memory(REMEMBERED)
         self.exact_words = self.checked_words = 0
 
     def _symbols(self, token: str) -> list[int]:
@@ -110,7 +127,27 @@ class Codec:
         return [self.vocab[c] for c in symbols if c in self.vocab]
 
     def merge(self, ids: list[int]) -> list[int]:
-        """Exact merging by rank, leftmost first, with a heap over a linked list."""
+        """Exact merging by rank, leftmost first."""
+        if len(ids) > 48:
+            return self._merge_long(ids)
+        ranks, none = self.ranks, (NEVER, -1)
+        ids = list(ids)
+        found = [ranks.get(p, none) for p in zip(ids, ids[1:])]
+        while found:
+            low = min(found)
+            if low[0] == NEVER:
+                break
+            k = found.index(low)
+            ids[k] = low[1]
+            del ids[k + 1], found[k]
+            if k < len(found):
+                found[k] = ranks.get((low[1], ids[k + 1]), none)
+            if k:
+                found[k - 1] = ranks.get((ids[k - 1], low[1]), none)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap over a linked list, for words of any length."""
         ids, ranks, n = list(ids), self.ranks, len(ids)
         after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
         heap = [(found[0], k, ids[k], ids[k + 1]) for k in range(n - 1) if (found := ranks.get((ids[k], ids[k + 1])))]
@@ -196,14 +233,18 @@ class Codec:
         return ["".join([signs[b] for b in w.encode("utf-8", "surrogatepass")]) for w in self.split.findall(cut.lower())]
 
     def _learn(self, cuts: Iterable[str]) -> None:
-        cuts = list(cuts)
+        cuts, words, known = list(cuts), self.words, self.known.young
         split = [self.normal_words(c) for c in cuts]
-        ids = iter(self.encode_words([w for ws in split for w in ws]))
-        if len(self.known) + len(cuts) > REMEMBERED:
-            self.known.clear()
+        new = list({w for ws in split for w in ws if words.get(w) is None})
+        names, young = self.names, words.young
+        for w, ids in zip(new, self.encode_words(new)):
+            young[w] = (len(ids), b"".join([t.to_bytes(4, "little") for t in ids]), " ".join([names[t] for t in ids]))
         for c, ws in zip(cuts, split):
-            own = [t for _ in ws for t in next(ids)]
-            self.known[c] = (len(own), np.array(own, "<u4").tobytes(), " ".join(self.names[t] for t in own))
+            if len(ws) == 1:
+                known[c] = young[ws[0]]
+            else:
+                own = [young[w] for w in ws]
+                known[c] = (sum([f[0] for f in own]), b"".join([f[1] for f in own]), " ".join([f[2] for f in own]))
 
     def cuts(self, text: str) -> list[str]:
         if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
@@ -225,12 +266,11 @@ class Codec:
                         at = m.end()
                 pieces.append((None, self.cuts(text[at:])))
                 parts.append(pieces)
-            known = self.known
+            self.known.turn()
+            self.words.turn()
+            known, recall = self.known.young, self.known.get
             if new := {c for pieces in parts for _, cs in pieces for c in cs if c not in known}:
-                held = {c: v for pieces in parts for _, cs in pieces for c in cs if (v := known.get(c))}
-                self._learn(new)
-                if len(known) < len(held) + len(new):
-                    known.update(held)  # the memory was cleared meanwhile
+                self._learn([c for c in new if recall(c) is None])
             for pieces in parts:
                 found = []
                 for special, cs in pieces:
