@@ -82,6 +82,20 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.toxicity import fit, learnable, score
+
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(~learnable("doc_id"), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.col("evidence.doc_id").alias("evidence"),
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changeflow.llm.mixing import mix
 
@@ -126,7 +140,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_embedding_dedup, op4_chat_format, op5_simhash, op8_mixing, op9_topk, op10_bpe)}
+    return {f.__name__: f for f in (op1_token_counts, op2_embedding_dedup, op4_chat_format, op5_simhash, op6_toxicity, op8_mixing, op9_topk, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
