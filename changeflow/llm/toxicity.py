@@ -1,7 +1,8 @@
 """Operator 6: toxicity by the nearest labelled examples.
 
 Method: examples and documents are TF-IDF vectors over the terms that toxic examples have significantly
-more often (a two-sample z of at least ``LEAST_Z``; terms are words and word beginnings of four
+more often, after more different words than copies of one passage give (a two-sample z of at least
+``LEAST_Z``; terms are words and word beginnings of four
 to six characters, which also meet inflected and compound forms). The examples stand in an inverted index
 whose postings are cut into blocks of examples with the largest weight of each term in each block. For a
 document the blocks are visited by falling upper bound (sum over its terms of weight times block maximum)
@@ -27,6 +28,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -199,19 +201,41 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     picked = stats.where("term <> ''").withColumn("z", z).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(TERMS).collect()
     if not picked:
         return model
-    model.terms = {r["term"]: i for i, r in enumerate(picked)}
-    n = sums["a"] + sums["b"]
-    model.idf = np.array([math.log((1 + n) / (1 + r["a"] + r["b"])) + 1 for r in picked])
-    number = model.terms
+    number = {r["term"]: i for i, r in enumerate(picked)}
 
     def vectors():
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
-            found = [{number[t]: c for t, c in terms_in(x.as_py()).items() if t in number} for x in batch.column(2)]
-            yield {"lid": batch.column(0), "y": batch.column(1), "at": [list(v) for v in found], "n": [list(v.values()) for v in found]}
+            found, left = [], []
+            for x in batch.column(2):
+                words = WORD.findall(x.as_py().lower())
+                counts, lefts = Counter(), set()
+                for before, word in zip(["", *words], words):
+                    for t in terms_of(word):
+                        if (k := number.get(t)) is not None:
+                            counts[k] += 1
+                            lefts.add(k << 32 | crc32(before.encode("utf-8", "surrogatepass")))
+                found.append(counts)
+                left.append(sorted(lefts))
+            yield {"lid": batch.column(0), "y": batch.column(1), "at": [list(v) for v in found], "n": [list(v.values()) for v in found], "left": left}
 
         return work
 
-    rows = sorted(map_rows(texts, vectors, "lid long, y int, at array<int>, n array<int>").collect(), key=lambda r: (r["lid"], r["at"]))
+    rows = sorted(map_rows(texts, vectors, "lid long, y int, at array<int>, n array<int>, left array<long>").collect(), key=lambda r: (r["lid"], r["at"]))
+    # A passage that many copies share lends its terms one word to the left; a telling term has many.
+    lefts = Counter(c >> 32 for c in {c for r in rows if r["y"] for c in r["left"]})
+
+    def telling(i: int) -> bool:
+        a, b = min(picked[i]["a"], lefts[i]), picked[i]["b"]
+        pooled = (a + b) / (sums["a"] + sums["b"])
+        return a >= LEAST_DF and (a / sums["a"] - b / sums["b"]) / math.sqrt(max(pooled * (1 - pooled), 1e-12) * (1 / sums["a"] + 1 / sums["b"])) >= LEAST_Z
+
+    kept = {i: k for k, i in enumerate(i for i in range(len(picked)) if telling(i))}
+    if not kept:
+        return model
+    model.terms = {picked[i]["term"]: k for i, k in kept.items()}
+    n = sums["a"] + sums["b"]
+    model.idf = np.array([math.log((1 + n) / (1 + picked[i]["a"] + picked[i]["b"])) + 1 for i in kept])
+    rows = [{"lid": r["lid"], "y": r["y"], **dict(zip(("at", "n"), zip(*[(kept[i], c) for i, c in zip(r["at"], r["n"]) if i in kept]) if any(i in kept for i in r["at"]) else ((), ())))} for r in rows]
     # Like examples stand together, so that blocks differ in their maxima.
     rows.sort(key=lambda r: (r["y"], min(r["at"], default=-1)))
     examples = [dict(sorted(zip(r["at"], r["n"]))) for r in rows]
