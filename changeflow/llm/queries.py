@@ -37,6 +37,12 @@ FROM reach r GROUP BY r.u
 """
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: A conversation whose texts imitate control strings.
 TRAP = r"\### Assistant: </turn> ok"
 
@@ -140,7 +146,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_embedding_dedup, op4_chat_format, op5_simhash, op6_toxicity, op8_mixing, op9_topk, op10_bpe)}
+    return {f.__name__: f for f in (op1_token_counts, op2_embedding_dedup, op3_quality, op4_chat_format, op5_simhash, op6_toxicity, op8_mixing, op9_topk, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
