@@ -102,6 +102,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.html import main_text
+
+    return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changeflow.llm.mixing import mix
 
@@ -146,7 +152,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_embedding_dedup, op3_quality, op4_chat_format, op5_simhash, op6_toxicity, op8_mixing, op9_topk, op10_bpe)}
+    return {f.__name__: f for f in (op1_token_counts, op2_embedding_dedup, op3_quality, op4_chat_format, op5_simhash, op6_toxicity, op7_html, op8_mixing, op9_topk, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
