@@ -2,7 +2,7 @@
 
 Method: examples and documents are TF-IDF vectors over the terms that toxic examples have significantly
 more often, after more different words than copies of one passage give (a two-sample z of at least
-``LEAST_Z``; terms are words and word beginnings of four
+``LEAST_Z``, and ``LIFT`` times as often; terms are words and word beginnings of four
 to six characters, which also meet inflected and compound forms). The examples stand in an inverted index
 whose postings are cut into blocks of examples with the largest weight of each term in each block. For a
 document the blocks are visited by falling upper bound (sum over its terms of weight times block maximum)
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.common import checkpointed, map_rows
 
-PER_CLASS, TERMS, LEAST_Z, LEAST_DF = 2000, 4096, 6.0, 5
+PER_CLASS, TERMS, LEAST_Z, LEAST_DF, LIFT = 2000, 4096, 6.0, 5, 3.0
 NEIGHBOURS, SOFT, PRIOR_VOTE, BLOCK = 15, 0.1, 0.5, 64
 REMEMBERED = 400_000
 WORD = re.compile(r"\w+")
@@ -69,6 +70,7 @@ class Model:
     block_max: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
     curve: tuple[np.ndarray, np.ndarray] | None = None
     bare: float = 0.0
+    token: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def weights(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """The unit TF-IDF vector of term counts: term numbers and weights."""
@@ -98,17 +100,20 @@ class Model:
         bound = w @ self.block_max[at]
         best: list[tuple[float, int]] = []
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < best[-1][0] - 1e-12:
+            if bound[b] <= 0 or len(best) == k and bound[b] < best[-1][0] - 1e-11:
                 break
+            if len(best) == k and bound[b] <= best[-1][0] and b * BLOCK > best[-1][1]:
+                continue  # at most a tie, which an earlier example wins
             cos = np.zeros(BLOCK)
             for t, x in zip(at.tolist(), w.tolist()):
                 i, weight, cuts = self.postings[t]
                 lo, hi = cuts[b], cuts[b + 1]
                 if hi > lo:
                     cos[i[lo:hi] - b * BLOCK] += x * weight[lo:hi]
-            for j in np.flatnonzero(cos > (best[-1][0] - 1e-12 if len(best) == k else 0)).tolist():
-                if b * BLOCK + j != without:
-                    best.append((round(float(cos[j]), 12), int(b) * BLOCK + j))
+            cos = np.round(cos, 12)
+            for j in np.argsort(-cos, kind="stable")[: k + 1].tolist():  # no more can enter, and one may be left out
+                if cos[j] > 0 and b * BLOCK + j != without:
+                    best.append((float(cos[j]), int(b) * BLOCK + j))
             best.sort(key=lambda e: (-e[0], e[1]))
             del best[k:]
         return best
@@ -198,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     na, nb = F.lit(float(sums["a"])), F.lit(float(sums["b"]))
     pooled = (F.col("a") + F.col("b")) / (na + nb)
     z = (F.col("a") / na - F.col("b") / nb) / F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(1e-12)) * (1 / na + 1 / nb))
-    picked = stats.where("term <> ''").withColumn("z", z).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(TERMS).collect()
+    picked = stats.where("term <> ''").withColumn("z", z).where((F.col("z") >= LEAST_Z) & (F.col("a") / na >= LIFT * F.col("b") / nb)).orderBy(F.desc("z"), "term").limit(TERMS).collect()
     if not picked:
         return model
     number = {r["term"]: i for i, r in enumerate(picked)}
@@ -227,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def telling(i: int) -> bool:
         a, b = min(picked[i]["a"], lefts[i]), picked[i]["b"]
         pooled = (a + b) / (sums["a"] + sums["b"])
-        return a >= LEAST_DF and (a / sums["a"] - b / sums["b"]) / math.sqrt(max(pooled * (1 - pooled), 1e-12) * (1 / sums["a"] + 1 / sums["b"])) >= LEAST_Z
+        return a >= LEAST_DF and a / sums["a"] >= LIFT * b / sums["b"] and (a / sums["a"] - b / sums["b"]) / math.sqrt(max(pooled * (1 - pooled), 1e-12) * (1 / sums["a"] + 1 / sums["b"])) >= LEAST_Z
 
     kept = {i: k for k, i in enumerate(i for i in range(len(picked)) if telling(i))}
     if not kept:
@@ -265,12 +270,23 @@ class Scorer:
         return dict(sorted(found.items()))
 
 
+_SCORERS: dict[str, Scorer] = {}
+
+
+def _scorer(model: Model) -> Scorer:
+    """The worker's scorer of the model, whose memory tasks share."""
+    if model.token not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[model.token] = Scorer(model)
+    return _SCORERS[model.token]
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, evidence): evidence holds the neighbours' ids, labels and cosines, nearest first."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by PER_CLASS and TERMS
 
     def make():
-        scorer = Scorer(held.value)
+        scorer = _scorer(held.value)
 
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
             m = scorer.model
@@ -293,7 +309,7 @@ def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: flo
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(held.value)
+        scorer = _scorer(held.value)
         for batch in batches:
             yield batch.filter(pa.array([scorer.model.score(scorer.counts(t.as_py()))[0] < threshold for t in batch.column(at)], pa.bool_()))
 
