@@ -13,9 +13,12 @@ from changeflow.session import checkpointed
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component) of every node with a link to another; the component is the smallest reachable node."""
+    """(node, component) of every node with a link to another; the component is the smallest reachable node.
+
+    ``links`` has two columns of longs; nulls and self-links are ignored, repeats and either direction are fine.
+    """
     a, b = links.columns
-    edges = links.select(F.greatest(F.col(a), F.col(b)).alias("u"), F.least(F.col(a), F.col(b)).alias("v")).where("u <> v").distinct()
+    edges = links.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.greatest(F.col(a), F.col(b)).alias("u"), F.least(F.col(a), F.col(b)).alias("v")).where("u <> v").distinct()
     edges, before = checkpointed(edges), None
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

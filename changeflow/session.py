@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,10 +28,14 @@ def session(app: str = "changeflow", master: str | None = None, **more: str) ->
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; set a folder only where that is unset."""
+    """Use the cluster's ``spark.checkpoint.dir``; where that is unset, one process gets a folder of its own and a cluster an error."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="changeflow-ckpt-"))
+    if sc.getCheckpointDir() is not None:
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="changeflow-ckpt-"))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
