@@ -33,19 +33,31 @@ def _keys(s: config.Settings) -> dict[str, model.ReplicationKey]:
 
 
 def replicate(s: config.Settings) -> None:
-    """Copies tables of files, and protocol frames if there are any, into the log."""
+    """Copies tables of files or of a PostgreSQL source into the log, then follows the protocol frames and the schema-change log."""
     from pathlib import Path
 
-    from changeflow.sources import changelog, pgoutput, registry, snapshot
+    from changeflow.sources import changelog, jdbc, pgoutput, registry, snapshot
 
     spark, mode = session("changeflow-replicator"), registry.mode_of(s.copy, s.copy_and_stream)
+    jdbc_url, options = jdbc.url(s.host, s.port, s.dbname), {"user": s.user, "password": s.password}
     if mode != "stream":
         tables = s.tables or sorted(p.stem for p in Path(s.source_dir).glob("*.parquet"))
         keys = _keys(s)
-        snapshots = snapshot.copy_tables(spark, {t.rpartition(".")[2]: f"{s.source_dir}/{t.rpartition('.')[2]}.parquet" for t in tables}, keys)
+        if s.host:
+            snapshots = jdbc.snapshots(spark, jdbc_url, s.schema, s.tables, options, s.max_copy_workers_per_table)
+        else:
+            snapshots = snapshot.copy_tables(spark, {t.rpartition(".")[2]: f"{s.source_dir}/{t.rpartition('.')[2]}.parquet" for t in tables}, keys)
         failed = snapshot.write_snapshots(snapshots, lambda t, c: changelog.append(changelog.to_wire(c, s.group), s.log_dir), s.max_copy_workers_per_table)
         if failed:
             raise RuntimeError(f"tables failed: {failed}")
+    if s.host and s.track_ddl and mode != "copy":
+        from changeflow.sinks.jdbc import JdbcSink
+        from changeflow.streaming.ddl_poll import DdlPoller
+
+        log, target = "changeflow_internal.ddl_log", JdbcSink(jdbc_url, {}, options)
+        read = lambda: jdbc.read_table(spark, jdbc_url, log, options)
+        publish = lambda c: changelog.append(changelog.to_wire(c, s.group), s.log_dir)
+        DdlPoller(read, publish, lambda last: target.execute(spark, [f"DELETE FROM {log} WHERE id <= {last}"]), s.tables).start()
     if mode != "copy":
         from pyspark.sql import functions as F
 

@@ -79,3 +79,33 @@ def ddl_capture_statements(schema: str = "changeflow_internal") -> list[str]:
         "FROM pg_event_trigger_ddl_commands() d WHERE d.object_type IN ('table', 'table column', 'index'); END $body$",
         f"CREATE EVENT TRIGGER {schema}_ddl ON ddl_command_end EXECUTE FUNCTION {schema}.log_ddl()",
     ]
+
+
+def run_query(spark: SparkSession, jdbc_url: str, sql: str, options: Mapping[str, str] | None = None) -> DataFrame:
+    """The rows of a query that the source runs."""
+    reader = spark.read.format("jdbc").option("url", jdbc_url).option("query", sql)
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    return reader.load()
+
+
+def tables_query(schema: str) -> str:
+    return "SELECT table_name FROM information_schema.tables WHERE table_type = 'BASE TABLE' AND table_schema = '" + schema.replace("'", "''") + "'"
+
+
+def snapshots(spark: SparkSession, jdbc_url: str, schema: str, tables: Sequence[str], options: Mapping[str, str] | None = None, workers: int = 4) -> dict[str, DataFrame]:
+    """Snapshots of tables on a PostgreSQL source, each read by page ranges over at most ``workers`` tasks' worth of connections.
+
+    Tables without pages, which were never analysed, are read in one range. Tasks have transactions of
+    their own: the copy is not one point in time, and converges by the stream that follows it.
+    """
+    from changeflow.sources.snapshot import range_predicates, snapshot
+
+    names = [t.rpartition(".")[2] for t in tables] or [r[0] for r in run_query(spark, jdbc_url, tables_query(schema), options).collect()]
+    out = {}
+    for t in names:
+        key = key_from_rows([r.asDict() for r in run_query(spark, jdbc_url, key_query(schema, t), options).collect()])
+        pages = run_query(spark, jdbc_url, pages_query(schema, t), options).first()[0]
+        rows = read_table(spark, jdbc_url, f'"{schema}"."{t}"', options, predicates=range_predicates(pages) or None)
+        out[t] = snapshot(rows.coalesce(max(1, min(workers, MOST_CONNECTIONS))), t, key, schema)
+    return out

@@ -242,6 +242,18 @@ def test_evolve(spark):
     assert out.dtypes == [("z", "int"), ("b", "int"), ("c", "date")] and out.first()["b"] == 2
 
 
+def test_poller(spark):
+    from changeflow.streaming.ddl_poll import DdlPoller
+
+    rows = [(1, "ALTER TABLE", "table", "app.users", "ALTER TABLE app.users ADD a int", "2024-01-01"), (2, "ALTER TABLE", "table column", "app.users.a", "ALTER TABLE app.users ADD a int", "2024-01-01"), (3, "ALTER TABLE", "table", "app.other", "ALTER TABLE app.other ADD a int", "2024-01-02")]
+    left, published = list(rows), []
+    frame = lambda: spark.createDataFrame(left, "id long, event_type string, object_type string, object_identity string, ddl_command string, created_at string")
+    poller = DdlPoller(frame, lambda c: published.extend(r["new"]["ddl_command"] for r in c.collect()), lambda last: left.__setitem__(slice(None), [r for r in left if r[0] > last]), ["app.users"])
+    assert poller.poll() == 1 and published == [rows[0][4]] and left == [] and poller.poll() == 0
+    poller.start(30)
+    poller.stop()
+
+
 # --- ranges, keys, modes, configuration, retries
 
 
