@@ -66,10 +66,10 @@ def _closed(changes: DataFrame, keys: list[str]) -> DataFrame:
     row = model.row_type(changes)
     done = effective(changes, keys).where("effective")
     so_far = Window.partitionBy("_k").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
-    done = done.withColumn("_life", F.sum((F.col("_op") == model.INSERT).cast("int")).over(so_far))
-    in_life = Window.partitionBy("_k", "_life").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
-    # A struct around each value tells NULL from left out.
-    carried = [F.last(F.when((F.col("_op") != model.DELETE) & ~F.array_contains("_toasted", f.name), F.struct(model.field("new", f.name).alias("v"))), ignorenulls=True).over(in_life)["v"].alias(f.name) for f in row]
+    # An INSERT that has an effect sets every column, so nothing of a row deleted before it is carried
+    # over. A struct around each value tells NULL from left out.
+    sets = lambda name: (F.col("_op") == model.INSERT) | ((F.col("_op") == model.UPDATE) & ~F.array_contains("_toasted", name))
+    carried = [F.last(F.when(sets(f.name), F.struct(model.field("new", f.name).alias("v"))), ignorenulls=True).over(so_far)["v"].alias(f.name) for f in row]
     last = F.lead("_seq").over(Window.partitionBy("_k").orderBy("_seq")).isNull()
     return done.select("_op", last.alias("_last"), *carried).where(F.col("_last") & (F.col("_op") != model.DELETE)).select(*[f"`{f.name}`" for f in row])
 
