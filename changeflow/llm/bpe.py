@@ -29,10 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from changeflow.llm.common import map_rows
+from changeflow.llm.common import Memory, map_rows, worker_state
 
 #: Entries of each generation of the memories of encoded cuts and words in a Python worker.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 #: Blanks that bound cuts: the characters with the property White_Space (fixed values).
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 NEVER = np.iinfo(np.int64).max
@@ -51,24 +51,6 @@ def byte_signs() -> list[str]:
     return signs
 
 
-class Memory:
-    """A dictionary of bounded size in two generations: what was used since the last change of generation stays."""
-
-    def __init__(self, size: int) -> None:
-        self.size, self.young, self.old = size, {}, {}
-
-    def get(self, key: str):
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.young[key] = found
-        return found
-
-    def turn(self) -> None:
-        """Between batches: drops what the last generation did not use if there is too much."""
-        if len(self.young) >= self.size:
-            self.old, self.young = self.young, {}
-
-
 class Codec:
     """A tokenizer file with lower-casing normaliser, regex split and word-end BPE."""
 
@@ -235,7 +217,7 @@ class Codec:
     def _learn(self, cuts: Iterable[str]) -> None:
         cuts, words, known = list(cuts), self.words, self.known.young
         split = [self.normal_words(c) for c in cuts]
-        new = list({w for ws in split for w in ws if words.get(w) is None})
+        new = list({w for ws in split for w in ws if w not in words.young and words.recall(w) is None})
         names, young = self.names, words.young
         for w, ids in zip(new, self.encode_words(new)):
             young[w] = (len(ids), b"".join([t.to_bytes(4, "little") for t in ids]), " ".join([names[t] for t in ids]))
@@ -268,7 +250,7 @@ class Codec:
                 parts.append(pieces)
             self.known.turn()
             self.words.turn()
-            known, recall = self.known.young, self.known.get
+            known, recall = self.known.young, self.known.recall
             if new := {c for pieces in parts for _, cs in pieces for c in cs if c not in known}:
                 self._learn([c for c in new if recall(c) is None])
             for pieces in parts:
@@ -284,17 +266,6 @@ class Codec:
         return " ".join([self.names[t] for t in np.frombuffer(ids, "<u4").tolist()])
 
 
-_CODECS: dict[int, Codec] = {}
-
-
-def _codec(file: bytes) -> Codec:
-    key = hash(file)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(file)
-    return _CODECS[key]
-
-
 def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """(id, n_tokens, ids binary, decoded string) of every row; with ``digest`` SHA-256 of both instead of themselves.
 
@@ -304,7 +275,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     file = docs.sparkSession.sparkContext.broadcast(open(vocabulary, "rb").read())  # one vocabulary file: its size does not follow the data
 
     def make():
-        codec = _codec(file.value)
+        codec = worker_state(("bpe", hash(file.value)), lambda: Codec(file.value))
 
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
             ids, texts = batch.column(0), batch.column(1)

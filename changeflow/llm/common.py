@@ -30,6 +30,37 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Memory:
+    """A dictionary of bounded size in two generations: what was used since the last change of generation stays.
+
+    Callers look in ``young`` themselves, and ask ``recall`` for what is not there.
+    """
+
+    def __init__(self, size: int) -> None:
+        self.size, self.young, self.old = size, {}, {}
+
+    def recall(self, key: str):
+        if (found := self.old.get(key)) is not None:
+            self.young[key] = found
+        return found
+
+    def turn(self) -> None:
+        """Between texts: starts a generation if this one is full."""
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+
+
+_STATE: dict[object, object] = {}
+
+
+def worker_state(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` builds, once in a Python worker; it stays until another operator's state is asked for, so that a worker holds one."""
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -67,20 +67,20 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame, max_rounds: int = 60, contract: bool = True) -> DataFrame:
     """(node, component) for every node that has a link to another; component is the smallest reachable node.
 
+    ``contract`` first joins the links of each batch in Python; leave it out for links that come from a
+    Python operator in the same stage, which would hold a second worker for each task.
+
     ``links`` has two long columns; nulls and self-links are ignored, repeats and either direction
     are fine. An empty table gives an empty table.
     """
     a, b = links.columns
-    edges = (
-        links.select(F.greatest(F.col(a), F.col(b)).alias("u"), F.least(F.col(a), F.col(b)).alias("v"))
-        .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v")))
-        .mapInArrow(_contract, "u long, v long")
-        .distinct()
-    )
-    edges, before = checkpointed(edges), None
+    ends = links.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.greatest(F.col(a), F.col(b)).alias("u"), F.least(F.col(a), F.col(b)).alias("v"))
+    edges = ends.where("u <> v")
+    edges = edges.mapInArrow(_contract, "u long, v long") if contract else edges
+    edges, before = checkpointed(edges.distinct()), None
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

@@ -56,7 +56,7 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, total
     if weights is None:
         share = F.lit(1.0) / F.col("sources")
         summary = counts.agg(F.count("*").alias("sources"), F.sum("n").alias("docs")).first()
-        wanted = counts.withColumn("sources", F.lit(summary["sources"])).withColumn("docs", F.lit(summary["docs"] or 0))
+        wanted = counts.withColumn("sources", F.lit(max(summary["sources"], 1))).withColumn("docs", F.lit(summary["docs"] or 0))
     else:
         whole = sum(weights.values()) or 1.0
         summary = counts.agg(F.sum("n").alias("docs")).first()

@@ -20,9 +20,11 @@ from __future__ import annotations
 
 import math
 import unicodedata
+import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.llm.common import checkpointed, fresh, map_rows
+from changeflow.llm.common import Memory, checkpointed, fresh, map_rows, worker_state
 
 ORDER, SYMBOL_BITS = 4, 5
 SYMBOLS = 1 << SYMBOL_BITS
@@ -38,7 +40,8 @@ SYMBOLS = 1 << SYMBOL_BITS
 QUANTILE, MARGIN, FEW = 0.99, 1.1, 20
 #: So many trusted ids are broadcast at most (16 bytes each); beyond, documents meet them by a shuffled join.
 MOST_BROADCAST = 2_000_000
-REMEMBERED = 400_000
+#: Entries of each generation of the memory of words in a Python worker.
+REMEMBERED = 150_000
 #: Classes: 0 a boundary, 1 to 26 letters by their base, then other letters, capitals, digits, marks of ordinary prose, all else.
 OTHER_LETTER, CAPITAL, DIGIT, MARK, REST = 27, 28, 29, 30, 31
 MARKS = ".,;:'\"-?()"
@@ -128,6 +131,7 @@ class Model:
     """log_p is None without trusted text."""
 
     log_p: np.ndarray | None
+    token: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
@@ -180,20 +184,19 @@ class Scorer:
     """Perplexities of texts, with a bounded memory of words."""
 
     def __init__(self, model: Model) -> None:
-        self.log_p = None if model.log_p is None else model.log_p.tolist()
-        self.known: dict[str, tuple[float, int]] = {}
+        self.log_p = None if model.log_p is None else array("f", model.log_p.tobytes())
+        self.known = Memory(REMEMBERED)
 
     def perplexity(self, text: str | None) -> float | None:
-        known, log_p = self.known, self.log_p
+        self.known.turn()
+        known, recall, log_p = self.known.young, self.known.recall, self.log_p
         words = (text or "").split()
         if log_p is None or not words:
             return None
-        if len(known) > REMEMBERED:
-            known.clear()
         total, n = 0.0, len(words)
         for w in words:
             p = known.get(w)
-            if p is None:
+            if p is None and (p := recall(w)) is None:
                 p = known[w] = sum([log_p[c] for c in grams(w)])
             total += p
         return math.exp(-total / (n + sum(map(len, words))))
@@ -205,7 +208,7 @@ def perplexities(docs: DataFrame, model: Model, text_col: str = "text", name: st
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(held.value)
+        scorer = worker_state(("quality", held.value.token), lambda: Scorer(held.value))
         for batch in batches:
             found = pa.array([scorer.perplexity(t.as_py()) for t in batch.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, name])

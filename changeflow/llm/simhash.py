@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, fp, component_id) of each row with an id; the component is the smallest id reachable by links."""
     prints = checkpointed(fingerprints(docs, id_col, text_col, width))
     classes = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    joined = connected_components(fingerprint_links(classes, radius, segments))
+    joined = connected_components(fingerprint_links(classes, radius, segments), contract=False)
     known = classes.join(joined, F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
     smallest = known.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = checkpointed(known.join(smallest, "component").select("fp", "component_id"))

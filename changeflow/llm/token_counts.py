@@ -26,10 +26,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from changeflow.llm.common import map_rows
+from changeflow.llm.common import Memory, map_rows, worker_state
 
-#: Entries of the memory of counts in each Python worker.
-REMEMBERED = 500_000
+#: Entries of each generation of the memory of counts in a Python worker.
+REMEMBERED = 250_000
 #: What an unmatched character costs below the lowest score (fixed value of the public tokenizer).
 UNKNOWN_PENALTY = 10.0
 SPACE = "▁"
@@ -62,7 +62,7 @@ class Counter:
         lines = any("\n" in p for p in self.scores)
         #: Whether blanks and line feeds bound what an entry can cover, so that cuts count apart.
         self.cuts = self.spelled and not inner and not lines and SPACE in self.scores and all(float(s).is_integer() for s in self.scores.values())
-        self.known: dict[str, int] = {}
+        self.known = Memory(REMEMBERED)
 
     def viterbi(self, s: str) -> int:
         """The number of ids of ``s``, in which blanks are already replaced."""
@@ -107,7 +107,8 @@ class Counter:
             return 0
         if not self.cuts or self.unknown_piece in text:  # that piece, written out, joins runs of unknown characters
             return self.viterbi(SPACE + text.replace(" ", SPACE))
-        known, total, put = self.known, 0, self._put
+        self.known.turn()
+        known, total, put = self.known.young, 0, self._put
         if SPACE in text:  # the sign itself is then ordinary text: it bounds cuts as a blank does
             text = text.replace(SPACE, " ")
         lines = text.split("\n")
@@ -130,10 +131,9 @@ class Counter:
         return total
 
     def _put(self, key: str, s: str) -> int:
-        c = self.viterbi(s)
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[key] = c
+        c = self.known.recall(key)
+        if c is None:
+            c = self.known.young[key] = self.viterbi(s)
         return c
 
     def _spaced(self, words: list[str]) -> int:
@@ -143,15 +143,12 @@ class Counter:
             blanks += 1
             if w:
                 key = w if blanks == 1 else " " * blanks + w
-                c = self.known.get(key)
+                c = self.known.young.get(key)
                 total += self._put(key, SPACE * blanks + w) if c is None else c
                 blanks = 0
         return total + (self.viterbi(SPACE * blanks) if blanks else 0)
 
 
-_COUNTERS: dict[int, Counter] = {}
-
-
 def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens) of every row of ``docs``; ``vocabulary`` is the path of a sentencepiece model on the driver."""
     spark = docs.sparkSession
@@ -159,11 +156,7 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
         model = spark.sparkContext.broadcast(f.read())  # one vocabulary file: its size does not follow the data
 
     def make():
-        key = hash(model.value)
-        if key not in _COUNTERS:
-            _COUNTERS.clear()
-            _COUNTERS[key] = Counter(read_pieces(model.value))
-        count = _COUNTERS[key].count
+        count = worker_state(("unigram", hash(model.value)), lambda: Counter(read_pieces(model.value))).count
 
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
             yield {id_col: batch.column(0), "n_tokens": [count(t.as_py()) for t in batch.column(1)]}

@@ -36,11 +36,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import checkpointed, map_rows
+from changeflow.llm.common import Memory, checkpointed, map_rows, worker_state
 
 PER_CLASS, TERMS, LEAST_Z, LEAST_DF, LIFT = 2000, 4096, 6.0, 5, 3.0
 NEIGHBOURS, SOFT, PRIOR_VOTE, BLOCK = 15, 0.1, 0.5, 64
-REMEMBERED = 400_000
+#: Entries of each generation of the memory of cuts in a Python worker.
+REMEMBERED = 150_000
 WORD = re.compile(r"\w+")
 
 
@@ -255,38 +256,26 @@ class Scorer:
     """Scores texts by a model, with a bounded memory of the terms of blank-separated cuts."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.known = model, {}
+        self.model, self.known = model, Memory(REMEMBERED)
 
     def counts(self, text: str | None) -> dict[int, int]:
-        known, terms, found = self.known, self.model.terms, {}
-        if len(known) > REMEMBERED:
-            known.clear()
+        self.known.turn()
+        known, recall, terms, found = self.known.young, self.known.recall, self.model.terms, {}
         for cut in (text or "").split():
             own = known.get(cut)
-            if own is None:
+            if own is None and (own := recall(cut)) is None:
                 own = known[cut] = tuple([terms[t] for w in WORD.findall(cut.lower()) for t in terms_of(w) if t in terms])
             for t in own:
                 found[t] = found.get(t, 0) + 1
         return dict(sorted(found.items()))
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
-def _scorer(model: Model) -> Scorer:
-    """The worker's scorer of the model, whose memory tasks share."""
-    if model.token not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.token] = Scorer(model)
-    return _SCORERS[model.token]
-
-
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, evidence): evidence holds the neighbours' ids, labels and cosines, nearest first."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by PER_CLASS and TERMS
 
     def make():
-        scorer = _scorer(held.value)
+        scorer = worker_state(("toxicity", held.value.token), lambda: Scorer(held.value))
 
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
             m = scorer.model
@@ -309,7 +298,7 @@ def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: flo
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(held.value)
+        scorer = worker_state(("toxicity", held.value.token), lambda: Scorer(held.value))
         for batch in batches:
             yield batch.filter(pa.array([scorer.model.score(scorer.counts(t.as_py()))[0] < threshold for t in batch.column(at)], pa.bool_()))
 
