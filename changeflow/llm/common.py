@@ -2,32 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-#: Words are runs of anything but the six ASCII blanks.
-BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
+from changeflow.session import checkpointed, ensure_checkpoint_dir
 
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; set a folder only where that is unset."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="changeflow-ckpt-"))
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
-
-    The files belong to the returned frame: Spark's cleaner drops them with it.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+__all__ = ["Memory", "arrow_schema", "checkpointed", "cuts_of", "ensure_checkpoint_dir", "fresh", "map_rows", "table", "worker_state"]
 
 
 class Memory:
@@ -56,11 +42,30 @@ _STATE: dict[object, object] = {}
 def worker_state(key: object, make: Callable[[], object]) -> object:
     """What ``make`` builds, once in a Python worker; it stays until another operator's state is asked for, so that a worker holds one."""
     if key not in _STATE:
-        _STATE.clear()
+        if _STATE:
+            _STATE.clear()
+            gc.collect()
+        pa.default_memory_pool().release_unused()
         _STATE[key] = make()
     return _STATE[key]
 
 
+def cuts_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The different ASCII-blank-separated cuts of a batch's texts, the number of each cut in order, and where each text's cuts begin (and the last ones end).
+
+    Arrow splits and numbers them without a Python object for each cut. Null texts have none.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    lists = pc.ascii_split_whitespace(texts)
+    flat, ends = lists.flatten(), np.asarray(lists.offsets)
+    some = np.asarray(pc.binary_length(flat)) > 0
+    if not some.all():
+        ends = np.r_[0, np.cumsum(some)][ends - ends[0]]
+        flat = flat.filter(pa.array(some))
+    coded = flat.dictionary_encode()
+    return coded.dictionary.to_pylist(), np.asarray(coded.indices), ends - ends[0]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

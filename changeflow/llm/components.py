@@ -1,10 +1,4 @@
-"""Connected components of a distributed edge list by alternating large and small stars.
-
-Nothing is gathered on the driver: each round is four aggregations and joins on node ids, its edges
-go to the shared checkpoint folder, and two sums decide whether a round changed anything. A graph of
-diameter d takes about log2(d) rounds. Each row carries two longs, so that a hub's rows stream
-through a sort-merge join without being held.
-"""
+"""Connected components of links, which tasks contract to stars before the distributed rounds."""
 
 from __future__ import annotations
 
@@ -15,31 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import checkpointed
-
-
-class Forest:
-    """Union-find over the integers 0..n-1, roots being the smallest members."""
-
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
-
-    def root(self, a: int) -> int:
-        up = self.up
-        while up[a] != a:
-            up[a] = up[up[a]]
-            a = up[a]
-        return a
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a == b:
-            return False
-        if a < b:
-            self.up[b] = a
-        else:
-            self.up[a] = b
-        return True
+from changeflow.operators.graph import components
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +37,7 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def connected_components(links: DataFrame, max_rounds: int = 60, contract: bool = True) -> DataFrame:
+def connected_components(links: DataFrame, contract: bool = True) -> DataFrame:
     """(node, component) for every node that has a link to another; component is the smallest reachable node.
 
     ``contract`` first joins the links of each batch in Python; leave it out for links that come from a
@@ -76,23 +46,7 @@ def connected_components(links: DataFrame, max_rounds: int = 60, contract: bool
     ``links`` has two long columns; nulls and self-links are ignored, repeats and either direction
     are fine. An empty table gives an empty table.
     """
-    a, b = links.columns
-    ends = links.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.greatest(F.col(a), F.col(b)).alias("u"), F.least(F.col(a), F.col(b)).alias("v"))
-    edges = ends.where("u <> v")
-    edges = edges.mapInArrow(_contract, "u long, v long") if contract else edges
-    edges, before = checkpointed(edges.distinct()), None
-    for _ in range(max_rounds):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        floor = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(floor, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = checkpointed(small.unionByName(floor.select("u", F.col("m").alias("v"))).distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if before is not None and tuple(now) == before:
-            break
-        before = tuple(now)
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    roots = edges.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    if contract:
+        a, b = links.columns
+        links = links.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).cast("long"), F.col(b).cast("long")).mapInArrow(_contract, "u long, v long")
+    return components(links)
