@@ -27,14 +27,13 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from changeflow.llm.common import Memory, map_rows, worker_state
+from changeflow.llm.common import Memory, cuts_of, map_rows, worker_state
 
 #: Entries of each generation of the memories of encoded cuts and words in a Python worker.
-REMEMBERED = 200_000
-#: Blanks that bound cuts: the characters with the property White_Space (fixed values).
-WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+REMEMBERED = 250_000
 NEVER = np.iinfo(np.int64).max
 
 
@@ -73,10 +72,11 @@ class Codec:
         self.split = regex.compile(split["pattern"]["Regex"])
         self.far = regex.compile("[\\u0530-\\U0010FFFF]")
         self.parts = Tokenizer.from_str(file.decode())
-        self.white = regex.compile(f"[^{WHITE}]+")
         self.signs = byte_signs()
         pairs = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
         self.ranks = {(self.vocab[a], self.vocab[b]): (r, self.vocab[a + (b)]) for r, (a, b) in enumerate(pairs)}
+        self.rank_of = {p: r for p, (r, _) in self.ranks.items()}.get
+        self.made = [t for _, t in self.ranks.values()]
         size = max(self.vocab.values()) + 1
         self.size = size
         self.rank, self.left, self.right = np.full(size, -1), np.full(size, -1), np.full(size, -1)
@@ -90,9 +90,16 @@ class Codec:
         keys = np.array([a * size + b for a, b in self.ranks], np.int64)
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], np.array([r for r, _ in self.ranks.values()], np.int64)[order]
-        self.longest = max(map(len, self.vocab))
+        self.made_by = np.array(self.made, np.int64)
+        self.raw = {t: t.to_bytes(4, "little") for t in self.names}
         #: Tokens that merging reaches from their own characters; only these are proposed.
         self.proposed = {t: i for t, i in self.vocab.items() if self.merge(self._symbols(t)) == [i]}
+        #: The longest token after each first three signs: longer guesses are not worth a look.
+        self.reach: dict[str, int] = {}
+        for t in self.proposed:
+            n = len(t) - len(self.end) if self.end and t.endswith(self.end) else len(t)
+            if n >= 3:
+                self.reach[t[:3]] = max(n, self.reach.get(t[:3], 3))
         self.known, self.words = Memory(REMEMBERED), Memory(REMEMBERED)
         self.exact_words = self.checked_words = 0
 
@@ -112,22 +119,70 @@ class Codec:
         """Exact merging by rank, leftmost first."""
         if len(ids) > 48:
             return self._merge_long(ids)
-        ranks, none = self.ranks, (NEVER, -1)
+        rank_of, made = self.rank_of, self.made
         ids = list(ids)
-        found = [ranks.get(p, none) for p in zip(ids, ids[1:])]
+        found = [rank_of(p, NEVER) for p in zip(ids, ids[1:])]
         while found:
             low = min(found)
-            if low[0] == NEVER:
+            if low == NEVER:
                 break
             k = found.index(low)
-            ids[k] = low[1]
+            new = ids[k] = made[low]
             del ids[k + 1], found[k]
             if k < len(found):
-                found[k] = ranks.get((low[1], ids[k + 1]), none)
+                found[k] = rank_of((new, ids[k + 1]), NEVER)
             if k:
-                found[k - 1] = ranks.get((ids[k - 1], low[1]), none)
+                found[k - 1] = rank_of((ids[k - 1], new), NEVER)
         return ids
 
+    def merge_all(self, words: list[list[int]]) -> list[list[int]]:
+        """``merge`` of many words at once: words of like length are rows of a matrix, and every row takes its lowest pair in each round."""
+        out: list[list[int]] = [[]] * len(words)
+        by: dict[int, list[int]] = {}
+        for k, w in enumerate(words):
+            by.setdefault((len(w) + 3) // 4 * 4, []).append(k)
+        for width, rows in by.items():
+            if width > 32 or len(rows) < 64:
+                for k in rows:
+                    out[k] = self.merge(words[k])
+                continue
+            ids = np.full((len(rows), width + 1), -1, np.int64)
+            for r, k in enumerate(rows):
+                ids[r, : len(words[k])] = words[k]
+            ranks = self._ranks(ids[:, :-1], ids[:, 1:])
+            live = np.arange(len(rows))
+            columns = np.arange(width + 1)
+            while len(live):
+                low = ranks[live].argmin(axis=1)
+                best = ranks[live, low]
+                go = best < NEVER
+                live, low, best = live[go], low[go], best[go]
+                if not len(live):
+                    break
+                # The row moves up behind the pair; its two neighbours have new partners.
+                take = np.minimum(columns[None, :] + (columns[None, :] > low[:, None]), width)
+                moved = np.take_along_axis(ids[live], take, 1)
+                moved[:, -1] = -1
+                moved[np.arange(len(live)), low] = self.made_by[best]
+                ids[live] = moved
+                after = np.take_along_axis(ranks[live], np.minimum(take[:, :-1], width - 1), 1)
+                after[:, -1] = NEVER
+                at = np.arange(len(live))
+                after[at, low] = self._ranks(moved[at, low], moved[at, low + 1])
+                before = np.maximum(low - 1, 0)
+                after[at, before] = self._ranks(moved[at, before], moved[at, before + 1])
+                ranks[live] = after
+            sizes = (ids >= 0).sum(1)
+            for k, row, n in zip(rows, ids.tolist(), sizes.tolist()):
+                out[k] = row[:n]
+        return out
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The ranks of pairs of ids, NEVER where there is no merge."""
+        keys = np.where((a < 0) | (b < 0), -1, a * self.size + b)
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NEVER)
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap over a linked list, for words of any length."""
         ids, ranks, n = list(ids), self.ranks, len(ids)
@@ -149,16 +204,20 @@ class Codec:
 
     def propose(self, word: str) -> list[int] | None:
         """Greedy longest match over a word in byte signs, None where nothing matches."""
-        proposed, end, n, at, ids = self.proposed, self.end, len(word), 0, []
+        proposed, end, reach, n, at, ids = self.proposed, self.end, self.reach, len(word), 0, []
         while at < n:
-            if n - at <= self.longest and (t := proposed.get(word[at:] + end)) is not None:
-                ids.append(t)
-                break
-            for to in range(min(n - 1, at + self.longest), at, -1):
+            to = at + reach.get(word[at : at + 3], 2)
+            if to >= n:
+                if (t := proposed.get(word[at:] + end)) is not None:
+                    ids.append(t)
+                    break
+                to = n - 1
+            while to > at:
                 if (t := proposed.get(word[at:to])) is not None:
                     ids.append(t)
                     at = to
                     break
+                to -= 1
             else:
                 return None
         return ids
@@ -190,23 +249,28 @@ class Codec:
         seconds = np.array([t for g in guesses if g for t in g[1:]], np.int64)
         if len(firsts):
             keys, back = np.unique(firsts * self.size + seconds, return_inverse=True)
-            fine = self.compatible(keys // self.size, keys % self.size)[back]
-        out, at = [], 0
-        for w, g in zip(words, guesses):
+            fine = self.compatible(keys // self.size, keys % self.size)[back].tolist()
+        at = 0
+        for k, g in enumerate(guesses):
             if g is not None:
                 pairs = len(g) - 1
-                good = bool(fine[at : at + pairs].all()) if pairs else True
+                if pairs and not all(fine[at : at + pairs]):
+                    guesses[k] = None
                 at += pairs
-                if good:
-                    out.append(g)
-                    continue
-            self.exact_words += 1
-            out.append(self.merge(self.word_symbols(w)))
+        failed = [k for k, g in enumerate(guesses) if g is None]
+        for k, ids in zip(failed, self.merge_all([self.word_symbols(words[k]) for k in failed])):
+            guesses[k] = ids
+        self.exact_words += len(failed)
         self.checked_words += len(words)
-        return out
+        return guesses
 
     def normal_words(self, cut: str) -> list[str]:
         """The split words of a cut without blanks, in byte signs."""
+        if cut.isascii():  # letters, or letters and one mark, are most cuts
+            if cut.isalpha():
+                return [cut.lower()]
+            if cut[:-1].isalpha() and cut[-1] in ".,;:!?":
+                return [cut[:-1].lower(), cut[-1]]
         if not cut.isascii():
             if self.far.search(cut):  # which of these are letters depends on the Unicode version of the library
                 return [w for w, _ in self.parts.pre_tokenizer.pre_tokenize_str(self.parts.normalizer.normalize_str(cut))]
@@ -218,9 +282,9 @@ class Codec:
         cuts, words, known = list(cuts), self.words, self.known.young
         split = [self.normal_words(c) for c in cuts]
         new = list({w for ws in split for w in ws if w not in words.young and words.recall(w) is None})
-        names, young = self.names, words.young
+        names, raw, young = self.names, self.raw, words.young
         for w, ids in zip(new, self.encode_words(new)):
-            young[w] = (len(ids), b"".join([t.to_bytes(4, "little") for t in ids]), " ".join([names[t] for t in ids]))
+            young[w] = (len(ids), b"".join([raw[t] for t in ids]), " ".join([names[t] for t in ids]))
         for c, ws in zip(cuts, split):
             if len(ws) == 1:
                 known[c] = young[ws[0]]
@@ -228,38 +292,49 @@ class Codec:
                 own = [young[w] for w in ws]
                 known[c] = (sum([f[0] for f in own]), b"".join([f[1] for f in own]), " ".join([f[2] for f in own]))
 
-    def cuts(self, text: str) -> list[str]:
-        if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return text.split()
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return self.white.findall(text)
-        return text.split()
-
-    def encode(self, texts: list[str | None], at_once: int = 64) -> Iterator[tuple[int, bytes, str]]:
+    def encode(self, texts: list[str | None] | pa.Array) -> Iterator[tuple[int, bytes, str]]:
         """For each text the number of ids, the ids as little-endian unsigned 32-bit integers, and their decoding."""
-        for k in range(0, len(texts), at_once):
-            parts = []
-            for text in texts[k : k + at_once]:
-                pieces: list[tuple[int | None, list[str]]] = []
-                text, at = text or "", 0
-                if self.specials is not None and "<" in text:
-                    for m in self.specials.finditer(text):
-                        pieces += [(None, self.cuts(text[at : m.start()])), (self.added[m[0]], [])]
-                        at = m.end()
-                pieces.append((None, self.cuts(text[at:])))
-                parts.append(pieces)
-            self.known.turn()
-            self.words.turn()
-            known, recall = self.known.young, self.known.recall
-            if new := {c for pieces in parts for _, cs in pieces for c in cs if c not in known}:
-                self._learn([c for c in new if recall(c) is None])
-            for pieces in parts:
-                found = []
-                for special, cs in pieces:
-                    if special is not None:
-                        found.append((1, int(special).to_bytes(4, "little"), self.names[special]))
-                    found += [known[c] for c in cs]
-                yield sum([f[0] for f in found]), b"".join([f[1] for f in found]), " ".join([f[2] for f in found if f[0]])
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        special = np.zeros(len(texts), bool)
+        for t in self.added:  # written out in a text they are tokens of their own
+            special |= np.asarray(pc.fill_null(pc.match_substring(texts, t), False))
+        if special.any():
+            plain = iter(self.encode_plain(texts.filter(pa.array(~special))))
+            for k in range(len(texts)):
+                yield self.encode_special(texts[k].as_py()) if special[k] else next(plain)
+        else:
+            yield from self.encode_plain(texts)
+
+    def encode_special(self, text: str) -> tuple[int, bytes, str]:
+        """A text around its special tokens."""
+        at, found = 0, []
+        for m in self.specials.finditer(text):
+            found += [next(self.encode_plain(pa.array([text[at : m.start()]]))), (1, int(self.added[m[0]]).to_bytes(4, "little"), m[0])]
+            at = m.end()
+        found.append(next(self.encode_plain(pa.array([text[at:]]))))
+        return sum(f[0] for f in found), b"".join(f[1] for f in found), " ".join(f[2] for f in found if f[0])
+
+    def encode_plain(self, texts: pa.Array) -> Iterator[tuple[int, bytes, str]]:
+        """Texts without special tokens: each different cut is encoded once, and gathered by numpy and Arrow."""
+        cuts, order, ends = cuts_of(texts)
+        self.known.turn()
+        self.words.turn()
+        known, recall = self.known.young, self.known.recall
+        self._learn([c for c in cuts if c not in known and recall(c) is None])
+        found = [known[c] for c in cuts]
+        sizes = np.fromiter([f[0] for f in found], np.int64, len(found))
+        flat, begin = np.frombuffer(b"".join([f[1] for f in found]), "<u4"), np.cumsum(sizes) - sizes
+        n = sizes[order]
+        if not n.all():  # a cut of blanks beyond ASCII
+            ends, order, n = np.r_[0, np.cumsum(n > 0)][ends], order[n > 0], n[n > 0]
+        stop = np.cumsum(n)
+        ids = flat[np.repeat(begin[order] - (stop - n), n) + np.arange(int(stop[-1]) if len(stop) else 0)]
+        bounds = np.r_[0, stop][ends]
+        decoded = pa.array([f[2] for f in found], pa.large_string()).take(pa.array(order))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), decoded), pa.scalar(" ", pa.large_string()))
+        for k in range(len(texts)):
+            a, b = int(bounds[k]), int(bounds[k + 1])
+            yield b - a, ids[a:b].tobytes(), joined[k].as_py()
 
     def decode(self, ids: bytes) -> str:
         """The tokens of the ids, joined by blanks, as the library does without a decoder."""
@@ -279,10 +354,10 @@ def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
 
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
             ids, texts = batch.column(0), batch.column(1)
-            step = len(texts) if digest else 256
+            step = 1024
             for k in range(0, len(texts), max(step, 1)):
                 counts, one, two = [], [], []
-                for n, raw, decoded in codec.encode(texts.slice(k, step).to_pylist()):
+                for n, raw, decoded in codec.encode(texts.slice(k, step)):
                     counts.append(n)
                     one.append(sha256(raw).hexdigest() if digest else raw)
                     two.append(sha256(decoded.encode()).hexdigest() if digest else decoded)
