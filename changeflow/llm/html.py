@@ -48,11 +48,14 @@ BLOCK = frozenset(
 )
 #: Words of class and id names that mark what is not main text (fixed values).
 MARKED = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
+    "ad ads adv advert adverts advertisement advertising alert alerts announcement banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toast toolbar widget widgets".split()
 )
+#: Whole class names that make an article element a part of something else.
+CARDS = frozenset("ad advert card comment promo related reply sidebar sponsored teaser widget".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_MAIN = re.compile(r"""(?:^|\s)(?:role\s*=\s*["']?main\b|itemprop\s*=\s*["']?articleBody\b)""", re.I)
 _PIECES = re.compile(r"[\s_\-]+")
 _HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
@@ -68,13 +71,17 @@ def _marked(name: str, attributes: str) -> bool:
     """Whether an element's name or attributes say that it holds no main text."""
     if name in NEVER:
         return True
-    if not attributes or name in ("html", "body", "main", "article"):
+    if not attributes or name in ("html", "body", "main"):
         return False
     for m in _ATTRIBUTE.finditer(attributes):
         key = m[1].lower()
         value = (m[2] or m[3] or m[4] or "").lower()
         if key in ("class", "id"):
             for token in value.split():
+                if name == "article":
+                    if token in CARDS:
+                        return True
+                    continue
                 parts = _PIECES.split(token)
                 for before, part in zip(["", *parts], parts):
                     if part in MARKED and before not in ("has", "with", "no", "without"):
@@ -86,6 +93,11 @@ def _marked(name: str, attributes: str) -> bool:
     return False
 
 
+def _is_main(name: str, attributes: str) -> bool:
+    """Whether an element is the article or the part of the page that holds it."""
+    return name in ("article", "main") or bool(attributes) and _MAIN.search(attributes) is not None
+
+
 def _tag_end(html: str, at: int, unclosed: dict[str, bool]) -> int:
     """The place of the ``>`` that ends the tag at ``at``; quoted ones do not, unless their quote stays open."""
     while True:
@@ -182,12 +194,13 @@ def blocks_of(html: str | None) -> list[tuple[list[str], int]]:
             at = n if at < 0 else at + 1
             continue
         marked = _marked(name, attributes)
+        is_main = not marked and _is_main(name, attributes)
         stack.append((name, main, banned))
         opened[name] = opened.get(name, 0) + 1
-        if marked or name in ("article", "main"):
+        if marked or is_main:
             flush()
             banned += marked
-            main += name in ("article", "main")
+            main += is_main
     flush()
     return out
 

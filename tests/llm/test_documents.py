@@ -296,6 +296,8 @@ def test_chat_is_native(spark):
         ("1 < 2 &lt;b&gt; &unknown; &#233;", [], [["1", "<", "2", "<b>", "&unknown;", "é"]]),
         ("<p title=\"a>b\">t</p><p title=\"open>u</p>", [], [["t"], ["u"]]),
         ("<!-- open <p>x", [], []),
+        ("<div role=main>m<p>n</div><div itemprop='articleBody'>o</div>p", [["m"], ["n"], ["o"]], [["p"]]),
+        ("<article>a<article class='comment odd'>c</article></article><article class='post hentry'>b</article>", [["a"], ["b"]], [["c"]]),
         (None, [], []),
         ("<b>" * 3000 + "deep" + "</i>" * 3000, [], [["deep"]]),
     ],
