@@ -42,7 +42,7 @@ def test_dialect(spark, text, pattern, template, expected):
     assert _replace(spark, text, pattern, template) == expected
 
 
-@pytest.mark.parametrize("pattern", ["(?=a)", "(?<!a)b", r"(a)\1", "a++", "a*+", "(?>a)", "(", "a)", "[", r"\Z", r"\k<a>", "a*"])
+@pytest.mark.parametrize("pattern", ["(?=a)", "(?<!a)b", r"(a)\1", "a++", "a*+", "(?>a)", "(", "a)", "[", r"\Z", r"\k<a>", "a*", "[[:alpha:]]*", r"\pL?", "(a|)"])
 def test_refused(pattern):
     with pytest.raises(UnsupportedPattern):
         compile_rule(pattern, "")
