@@ -4,14 +4,17 @@ Method: a page is read into blocks of words with their place: inside the article
 in an element that never holds main text (menus, headers, footers, sidebars, notices, adverts, forms,
 comments, scripts, styles), or elsewhere. The words of all blocks outside articles are one stream a page.
 The streams of a host are concatenated and their suffixes are ranked by prefix doubling up to ``LONG``
-words; equal ranks on distinct pages are the repeated substrings, and what they cover is boilerplate. A
-page with an article keeps the article, whole: the contract asks for no other loss, and passages of
+words; equal ranks on ``SPREAD`` differing pages are the repeated substrings, and what they cover is
+boilerplate. Near copies of a page count as one with it: pages whose windows have the same ``KIN`` minima.
+A page with an article keeps the article, whole: the contract asks for no other loss, and passages of
 articles may repeat on other pages. A page without one keeps the words of its other blocks that no
-repeated substring covers; if nothing would be left, the page is a copy, not boilerplate, and keeps all.
+repeated substring covers; if that would be less than half of them, the page is a copy, not boilerplate,
+and keeps all.
 
 Distribution: only hashed words of what stands outside articles are shuffled, by host. A host of over
 ``SHARD`` pages is cut by a hash into shards with a suffix array each; shards exchange the hashes of their
-windows of ``LONG`` words, so that a repeat across shards covers as one inside does. The pages are read
+windows of ``LONG`` words, each with the pages it stands on, so that a repeat across shards covers as one
+inside does. The pages are read
 again for the output, and meet the cuts of pages without articles by the hash of the row.
 
 Defined results: null or empty html gives the empty text; a null url belongs to the host ''; unclosed
@@ -36,6 +39,8 @@ from changeflow.llm.common import checkpointed, map_rows
 
 #: A power of two: repeated substrings of so many words are boilerplate.
 LONG, SHARD = 8, 2000
+#: Differing pages of a host on which a repeated substring has to stand, and minima that near copies have in common.
+SPREAD, KIN = 3, 3
 MOST_BROADCAST = 200_000
 
 #: Elements that never hold main text (fixed values).
@@ -214,10 +219,11 @@ def split_page(html: str | None) -> tuple[list[list[str]], list[list[str]], bool
     return [], [w for w, place in blocks if place == OTHER], False
 
 
-def repeated(tokens: np.ndarray, page: np.ndarray, also: np.ndarray) -> np.ndarray:
-    """Which tokens lie in a window of LONG words that stands on two pages, or whose hash is in ``also``.
+def repeated(tokens: np.ndarray, page: np.ndarray, also: np.ndarray, kin: np.ndarray | None = None, least: int = 2) -> np.ndarray:
+    """Which tokens lie in a window of LONG words that stands on ``least`` pages, or whose hash is in ``also``.
 
     Suffixes are ranked by prefix doubling; ``page`` has the page of each token, and windows end with it.
+    Pages of the same ``kin`` (by token) count as one.
     """
     n = len(tokens)
     covered = np.zeros(n, bool)
@@ -233,10 +239,9 @@ def repeated(tokens: np.ndarray, page: np.ndarray, also: np.ndarray) -> np.ndarr
         rank = np.unique(rank * (n + 2) + nxt, return_inverse=True)[1].astype(np.int64)
         step *= 2
     at = np.flatnonzero(inside)
-    low, high = np.full(n + 1, np.iinfo(np.int64).max), np.full(n + 1, -1)
-    np.minimum.at(low, rank[at], page[at])
-    np.maximum.at(high, rank[at], page[at])
-    hit = at[low[rank[at]] != high[rank[at]]]
+    owner = np.unique(page if kin is None else kin, return_inverse=True)[1].astype(np.int64)
+    stands = np.unique(rank[at] * n + owner[at]) // n
+    hit = at[np.bincount(stands, minlength=n)[rank[at]] >= least]
     if len(also):
         hit = np.union1d(hit, at[np.isin(window_hashes(tokens)[at], also)])
     for k in range(LONG):
@@ -254,39 +259,53 @@ def window_hashes(tokens: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def kin_of(tokens: np.ndarray, key: int) -> int:
+    """A hash of the least of the page's windows under KIN hash functions; the key of a page without windows."""
+    if len(tokens) < LONG:
+        return key
+    found, out = window_hashes(tokens)[: len(tokens) - LONG + 1].view(np.uint64), np.uint64(0)
+    for k in range(KIN):
+        factor = np.uint64((0x9E3779B97F4A7C15 * (2 * k + 3)) % 2**64)
+        mixed = (found ^ (found >> np.uint64(29 + k))) * factor
+        out = np.bitwise_xor(out, np.multiply(mixed.min(), factor))
+    return int(np.array([out], np.uint64).view(np.int64)[0])
+
+
 def _word_hashes(blocks: list[list[str]]) -> list[int]:
     return [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) - 2**63 for b in blocks for w in b]
 
 
-def _streams(group: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, tokens of all pages in the order of keys, the page number of each token, and where pages begin; equal keys are one page."""
+def _streams(group: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, tokens of all pages in the order of keys, the page number of each token, where pages begin, and each token's kin; equal keys are one page."""
     keys, words, seen = group.column("key").to_pylist(), group.column("words").to_pylist(), {}
     for k, w in zip(keys, words):
         seen.setdefault(k, w)
+    kin = dict(zip(keys, group.column("kin").to_pylist()))
     names = sorted(seen)
     sizes = np.array([len(seen[k]) for k in names], np.int64)
     tokens = np.array([t for k in names for t in seen[k]], np.int64)
-    return names, tokens, np.repeat(np.arange(len(names)), sizes), np.r_[0, np.cumsum(sizes)]
+    return names, tokens, np.repeat(np.arange(len(names)), sizes), np.r_[0, np.cumsum(sizes)], np.repeat(np.array([kin[k] for k in names], np.int64), sizes)
 
 
 def _shard_windows(key: tuple, group: pa.Table) -> pa.Table:
-    _, tokens, page, _ = _streams(group)
-    found = np.empty(0, np.int64)
+    _, tokens, page, _, kin = _streams(group)
+    found = np.empty((0, 2), np.int64)
     if len(tokens) >= LONG:
         full = np.flatnonzero(page[: len(page) - LONG + 1] == page[LONG - 1 :])
-        found = np.unique(window_hashes(tokens)[full])
-    return pa.table({"host": pa.array([key[0].as_py()] * len(found), pa.string()), "shard": pa.array([key[1].as_py()] * len(found), pa.int64()), "window": pa.array(found)})
+        found = np.unique(np.stack([window_hashes(tokens)[full], kin[full]], 1), axis=0)
+    n = len(found)
+    return pa.table({"host": pa.array([key[0].as_py()] * n, pa.string()), "shard": pa.array([key[1].as_py()] * n, pa.int64()), "window": pa.array(found[:, 0]), "kin": pa.array(found[:, 1])})
 
 
 def _shard_cuts(key: tuple, group: pa.Table, across: pa.Table) -> pa.Table:
-    names, tokens, page, begin = _streams(group)
-    covered = repeated(tokens, page, across.column("window").to_numpy())
+    names, tokens, page, begin, kin = _streams(group)
+    covered = repeated(tokens, page, across.column("window").to_numpy(), kin, SPREAD)
     open_pages = {k for k, has in zip(group.column("key").to_pylist(), group.column("has_main").to_pylist()) if not has}
     keys, cuts = [], []
     for i, k in enumerate(names):
         if k in open_pages:
             own = covered[begin[i] : begin[i + 1]]
-            if own.any() and not own.all():
+            if own.any() and 2 * own.sum() <= len(own):
                 keys.append(k)
                 cuts.append(np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8))).tolist())
     return pa.table({"cut_key": pa.array(keys, pa.int64()), "cuts": pa.array(cuts, pa.list_(pa.int32()))})
@@ -311,25 +330,27 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     def read():
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
-            hosts, words, has = [], [], []
-            for url, html in zip(batch.column(1), batch.column(2)):
+            hosts, words, has, kin = [], [], [], []
+            for url, html, key in zip(batch.column(1), batch.column(2), batch.column(3)):
                 _, blocks, main = split_page(html.as_py())
                 hosts.append(host_of(url.as_py()))
                 words.append(_word_hashes(blocks))
                 has.append(main)
-            yield {"key": batch.column(3), "host": hosts, "words": words, "has_main": has}
+                kin.append(kin_of(np.array(words[-1], np.int64), key.as_py()))
+            yield {"key": batch.column(3), "host": hosts, "words": words, "has_main": has, "kin": kin}
 
         return work
 
-    streams = checkpointed(map_rows(rows, read, "key long, host string, words array<long>, has_main boolean"))
+    streams = checkpointed(map_rows(rows, read, "key long, host string, words array<long>, has_main boolean, kin long"))
     crowd = checkpointed(streams.groupBy("host").agg(F.ceil(F.count("*") / SHARD).alias("shards")))
     few = F.broadcast(crowd) if crowd.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else crowd  # a row for each host
     placed = streams.join(few, "host").withColumn("shard", F.pmod("key", F.col("shards")))
-    windows = placed.where("shards > 1").groupBy("host", "shard").applyInArrow(_shard_windows, "host string, shard long, window long")
+    windows = placed.where("shards > 1").groupBy("host", "shard").applyInArrow(_shard_windows, "host string, shard long, window long, kin long")
     windows = checkpointed(windows)
-    shared = windows.groupBy("host", "window").agg(F.count("*").alias("n")).where("n > 1").select("host", "window")
-    across = windows.join(shared, ["host", "window"]).select("host", "shard", "window")
-    cuts = checkpointed(placed.select("host", "shard", "key", "words", "has_main").groupBy("host", "shard").cogroup(across.groupBy("host", "shard")).applyInArrow(_shard_cuts, "cut_key long, cuts array<int>"))
+    stands = windows.select("host", "window", "kin").distinct()
+    shared = stands.groupBy("host", "window").agg(F.count("*").alias("n")).where(F.col("n") >= SPREAD).select("host", "window")
+    across = windows.select("host", "shard", "window").distinct().join(shared, ["host", "window"]).select("host", "shard", "window")
+    cuts = checkpointed(placed.select("host", "shard", "key", "words", "has_main", "kin").groupBy("host", "shard").cogroup(across.groupBy("host", "shard")).applyInArrow(_shard_cuts, "cut_key long, cuts array<int>"))
     n = cuts.count()
     joined = rows.join(F.broadcast(cuts), F.col("key") == F.col("cut_key"), "left") if n <= MOST_BROADCAST else rows.join(cuts, F.col("key") == F.col("cut_key"), "left")
 

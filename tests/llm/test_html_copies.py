@@ -1,0 +1,22 @@
+"""Pages without an article: copies of one text keep it, and quoted passages stay."""
+
+import random
+
+import pytest
+
+from changeflow.llm import html
+
+
+@pytest.mark.parametrize("shard", [2000, 2])
+def test_copies_and_quotes_keep_their_text(spark, monkeypatch, shard):
+    monkeypatch.setattr(html, "SHARD", shard)
+    rnd = random.Random(2)
+    prose = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(n))
+    story, quote, notice = prose(60), prose(12), prose(10)
+    texts = [f"title{i} {story} date{i}" for i in range(5)]  # near copies of one article
+    texts += [f"{prose(20)} {quote} {prose(20)}" for _ in range(2)]
+    pages = [(i, f"http://h.example/{i}", f"<div>{t}</div><p>{notice}</p>") for i, t in enumerate(texts + [prose(40) for _ in range(4)])]
+    out = {r["page_id"]: r["text"] for r in html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i, t in enumerate(texts):
+        assert t in out[i]
+    assert all(notice not in out[i] for i in range(5, 11))
