@@ -2,25 +2,35 @@
 
 Method: a page is read into blocks of words with their place: inside the article (``article``, ``main``),
 in an element that never holds main text (menus, headers, footers, sidebars, notices, adverts, forms,
-comments, scripts, styles), or elsewhere. The words of all blocks outside articles are one stream a page.
-The streams of a host are concatenated and their suffixes are ranked by prefix doubling up to ``LONG``
-words; equal ranks on ``SPREAD`` differing pages are the repeated substrings, and what they cover is
-boilerplate. Near copies of a page count as one with it: pages whose windows have the same ``KIN`` minima.
-A page with an article keeps the article, whole: the contract asks for no other loss, and passages of
-articles may repeat on other pages. A page without one keeps the words of its other blocks that no
-repeated substring covers; if that would be less than half of them, the page is a copy, not boilerplate,
-and keeps all.
-
-Distribution: only hashed words of what stands outside articles are shuffled, by host. A host of over
-``SHARD`` pages is cut by a hash into shards with a suffix array each; shards exchange the hashes of their
-windows of ``LONG`` words, each with the pages it stands on, so that a repeat across shards covers as one
-inside does. The pages are read
-again for the output, and meet the cuts of pages without articles by the hash of the row.
+comments, scripts, styles), or elsewhere. Elements end where HTML says so, end tags left out included.
+Class names mark an element for certain when they name nothing else (``ad``, ``ad-slot``), and weakly when
+another word stands beside the mark (``social-history``).
+
+All blocks of a page, articles included, are its token stream. The streams of a host are concatenated and
+their suffixes sorted, with the lengths of common prefixes (LCP). From them come the maximal repeats of
+``LONG`` words and more on ``SPREAD`` distinct pages, and how many distinct pages hold a block as a whole.
+Near copies of a page count as one with it: pages whose windows have the same ``KIN`` minima. Then
+
+- weakly marked blocks go if they stand on ``SPREAD`` distinct pages or repeats cover them, and stay otherwise;
+- blocks at the beginning or end of an article go if they stand whole on over half of the host's distinct
+  pages (``NOTICE`` at least): notices that no mark tells. What is between them is the article's core and stays,
+  passages that other pages share included; an article of such blocks only stays whole;
+- on a page without an article, covered words of the blocks elsewhere go; if that would be over half of
+  them, the page is a copy and stays whole.
+
+Menus, adverts and footers that differ from page to page repeat nowhere, so no suffix array can find them:
+for these the marks of the markup decide.
+
+Distribution: 32-bit word hashes are shuffled by host. A host is cut by a hash into shards of ``SHARD`` bytes
+of html, with a suffix array each; shards of one host exchange hashes of their blocks and windows with the
+pages they stand on, so that a repeat across shards counts as one inside does. The pages are read again for
+the output, and meet their cuts by the hash of the row. A task holds one shard, and at least one page.
 
 Defined results: null or empty html gives the empty text; a null url belongs to the host ''; unclosed
 elements end with their parent, unclosed comments, scripts and styles with the page; broken character
-references stay as they are; rows that repeat come out as often and do not make each other boilerplate
-(they are one page); other columns are ignored.
+references stay as they are; very long pages are read whole, in time linear in their length; rows that
+repeat come out as often and do not make each other boilerplate (they are one page); ties cannot occur, for
+counts and lengths alone decide; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,11 +47,12 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.common import checkpointed, map_rows
 
-#: A power of two: repeated substrings of so many words are boilerplate.
-LONG, SHARD = 8, 2000
-#: Differing pages of a host on which a repeated substring has to stand, and minima that near copies have in common.
-SPREAD, KIN = 3, 3
-MOST_BROADCAST = 200_000
+#: Repeated substrings of so many words are boilerplate; bytes of html in a shard.
+LONG, SHARD = 8, 1 << 20
+#: Distinct pages on which a repeat has to stand, least ones for a notice in articles, and minima that near copies share.
+SPREAD, NOTICE, KIN = 3, 5, 3
+#: Rows, and numbers in them, that are broadcast at most.
+MOST_BROADCAST, MOST_NUMBERS = 200_000, 4_000_000
 
 #: Elements that never hold main text (fixed values).
 NEVER = frozenset("nav header footer aside form script style noscript template iframe button select option textarea dialog menu svg math canvas object audio video head title datalist map".split())
@@ -51,51 +62,73 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split()
 )
+#: Start tags that end an open paragraph (fixed values).
+ENDS_P = frozenset("address article aside blockquote center details dialog div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section summary table ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements beyond which no end tag reaches.
+SCOPE = frozenset("caption table td template th object html".split())
+TABLE = frozenset("caption colgroup table tbody td tfoot th thead tr".split())
+#: The elements that a start tag ends, and those beyond which it does not reach (fixed values).
+ENDS = {
+    "li": (("li",), ("ol", "ul", "menu")),
+    "dt": (("dt", "dd"), ("dl",)),
+    "dd": (("dt", "dd"), ("dl",)),
+    "td": (("td", "th"), ("table", "tr")),
+    "th": (("td", "th"), ("table", "tr")),
+    "tr": (("tr",), ("table",)),
+    "tbody": (("tbody", "thead", "tfoot", "caption"), ("table",)),
+    "thead": (("tbody", "thead", "tfoot", "caption"), ("table",)),
+    "tfoot": (("tbody", "thead", "tfoot", "caption"), ("table",)),
+    "option": (("option",), ("select", "datalist")),
+    "optgroup": (("option", "optgroup"), ("select",)),
+}
 #: Words of class and id names that mark what is not main text (fixed values).
 MARKED = frozenset(
     "ad ads adv advert adverts advertisement advertising alert alerts announcement banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toast toolbar widget widgets".split()
 )
+#: Words beside a mark that name no content (fixed values).
+GENERIC = frozenset(
+    "area articles bar block body bottom box btn button buttons center col column container content desktop element fixed form global group head heading icon icons inline inner item items left link links list main message messages mobile module outer page pane panel placeholder policy post posts right row section side site slot space sticky stories story text thread title top unit user view wrap wrapper zone".split()
+)
 #: Whole class names that make an article element a part of something else.
 CARDS = frozenset("ad advert card comment promo related reply sidebar sponsored teaser widget".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _MAIN = re.compile(r"""(?:^|\s)(?:role\s*=\s*["']?main\b|itemprop\s*=\s*["']?articleBody\b)""", re.I)
-_PIECES = re.compile(r"[\s_\-]+")
-_HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)")
+_PIECES = re.compile(r"[_\-]+")
+HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 MAIN, OTHER, OUT = 0, 1, 2
+UNMARKED, WEAK, STRONG = 0, 1, 2
 
 
-def host_of(url: str | None) -> str:
-    found = _HOST.match(url or "")
-    return found[1].lower() if found else ""
-
-
-def _marked(name: str, attributes: str) -> bool:
-    """Whether an element's name or attributes say that it holds no main text."""
+def mark_of(name: str, attributes: str) -> int:
+    """How surely an element's name or attributes say that it holds no main text."""
     if name in NEVER:
-        return True
+        return STRONG
     if not attributes or name in ("html", "body", "main"):
-        return False
+        return UNMARKED
+    found = UNMARKED
     for m in _ATTRIBUTE.finditer(attributes):
         key = m[1].lower()
         value = (m[2] or m[3] or m[4] or "").lower()
         if key in ("class", "id"):
             for token in value.split():
-                if name == "article":
-                    if token in CARDS:
-                        return True
-                    continue
-                parts = _PIECES.split(token)
-                for before, part in zip(["", *parts], parts):
-                    if part in MARKED and before not in ("has", "with", "no", "without"):
-                        return True
+                if token in (CARDS if name == "article" else MARKED):
+                    return STRONG
+                if name != "article" and ("-" in token or "_" in token):
+                    parts = [p for p in _PIECES.split(token) if p]
+                    marks = [p in MARKED and before not in ("has", "with", "no", "without") for before, p in zip(["", *parts], parts)]
+                    if any(marks):
+                        if all(on or p in GENERIC for on, p in zip(marks, parts)):
+                            return STRONG
+                        found = WEAK
         elif key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return STRONG
         elif key == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return STRONG
+    return found
 
 
 def _is_main(name: str, attributes: str) -> bool:
@@ -123,14 +156,71 @@ def _tag_end(html: str, at: int, unclosed: dict[str, bool]) -> int:
         at = close + 1
 
 
-def blocks_of(html: str | None) -> list[tuple[list[str], int]]:
-    """The words of each block that has any, with MAIN, OTHER or OUT, in page order."""
+class _Open:
+    """The open elements, with the depth of the last one of each name, so that no question walks the stack."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, tuple[int, int, int]]] = []
+        self.of: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+
+    def push(self, name: str, state: tuple[int, int, int]) -> None:
+        self.of.setdefault(name, []).append(len(self.stack))
+        if name in BLOCK:
+            self.of.setdefault("", []).append(len(self.stack))
+        if name in SCOPE:
+            self.scopes.append(len(self.stack))
+        self.stack.append((name, state))
+
+    def last(self, name: str) -> int:
+        depths = self.of.get(name)
+        return depths[-1] if depths else -1
+
+    def cut(self, depth: int) -> tuple[int, int, int]:
+        """Ends the element at ``depth`` and all in it; the state before it."""
+        while len(self.stack) > depth:
+            name, state = self.stack.pop()
+            self.of[name].pop()
+            if name in BLOCK:
+                self.of[""].pop()
+            if name in SCOPE:
+                self.scopes.pop()
+        return state
+
+    def starts(self, name: str) -> int:
+        """The depth of the outermost element that a start tag ends, or -1."""
+        found, scope = -1, self.scopes[-1] if self.scopes else -1
+        if name in ENDS:
+            ended, bounds = ENDS[name]
+            bound = max(self.last(b) for b in bounds) if name in TABLE else max(scope, *[self.last(b) for b in bounds])
+            depths = [d for e in ended if (d := self.last(e)) > bound]
+            found = min(depths, default=-1)
+        if name in ENDS_P and (p := self.last("p")) > scope and (found < 0 or p < found):
+            found = p
+        if found < 0 and name in HEADINGS and self.stack and self.stack[-1][0] in HEADINGS:
+            found = len(self.stack) - 1
+        return found
+
+    def ends(self, name: str) -> int:
+        """The depth of the element that an end tag ends, or -1."""
+        depth = self.last(name)
+        if depth < 0:
+            return -1
+        if name in BLOCK or name in NEVER:
+            bound = self.last("table") if name in TABLE and name != "table" else -1 if name == "table" or not self.scopes or name in SCOPE else self.scopes[-1]
+            if name == "li":
+                bound = max(bound, self.last("ul"), self.last("ol"))
+            return depth if depth > bound else -1
+        return depth if depth > self.last("") else -1  # an inline element does not end blocks in it
+
+
+def blocks_of(html: str | None) -> list[tuple[list[str], int, bool]]:
+    """The words of each block that has any, with MAIN, OTHER or OUT, and whether it is weakly marked, in page order."""
     html = html or ""
-    out: list[tuple[list[str], int]] = []
+    out: list[tuple[list[str], int, bool]] = []
     pieces: list[str] = []
-    stack: list[tuple[str, int, int]] = []  # name, and the depths before it
-    opened: dict[str, int] = {}
-    main = banned = 0
+    opened = _Open()
+    main = banned = weak = 0
     unclosed = {'"': False, "'": False}
 
     def flush() -> None:
@@ -138,7 +228,7 @@ def blocks_of(html: str | None) -> list[tuple[list[str], int]]:
             words = "".join(pieces).split()
             pieces.clear()
             if words:
-                out.append((words, OUT if banned else MAIN if main else OTHER))
+                out.append((words, OUT if banned else MAIN if main else OTHER, weak > 0))
 
     def text(a: int, b: int) -> None:
         if b > a:
@@ -175,18 +265,13 @@ def blocks_of(html: str | None) -> list[tuple[list[str], int]]:
         at = end + 1
         if name in BLOCK or name in NEVER:
             flush()
-        if closing:
-            if opened.get(name):
-                while True:
-                    top, was_main, was_banned = stack.pop()
-                    opened[top] -= 1
-                    if (was_main, was_banned) != (main, banned):
-                        flush()
-                        main, banned = was_main, was_banned
-                    if top == name:
-                        break
-            continue
-        if name in VOID:
+        depth = opened.ends(name) if closing else opened.starts(name)
+        if depth >= 0:
+            state = opened.cut(depth)
+            if state != (main, banned, weak):
+                flush()
+                main, banned, weak = state
+        if closing or name in VOID:
             continue
         attributes = html[m.end() : end]
         if attributes.endswith("/") and name not in BLOCK and name not in RAW:
@@ -198,67 +283,148 @@ def blocks_of(html: str | None) -> list[tuple[list[str], int]]:
             at = html.find(">", low.end())
             at = n if at < 0 else at + 1
             continue
-        marked = _marked(name, attributes)
-        is_main = not marked and _is_main(name, attributes)
-        stack.append((name, main, banned))
-        opened[name] = opened.get(name, 0) + 1
-        if marked or is_main:
+        mark = mark_of(name, attributes)
+        is_main = mark != STRONG and _is_main(name, attributes)
+        opened.push(name, (main, banned, weak))
+        if mark or is_main:
             flush()
-            banned += marked
+            banned += mark == STRONG
+            weak += mark == WEAK
             main += is_main
     flush()
     return out
 
 
-def split_page(html: str | None) -> tuple[list[list[str]], list[list[str]], bool]:
-    """(blocks of the article, blocks that the host's suffix array reads, whether there is an article)."""
+#: What a block of a stream is: text of the article, weakly marked text of it, text of a page without one, weakly marked text of that, and what never goes out.
+CORE, WEAK_CORE, OPEN, WEAK_OPEN, EVIDENCE = range(5)
+
+
+def split_page(html: str | None) -> tuple[list[list[str]], list[int], list[list[str]]]:
+    """(blocks that may go out, what each is, the other blocks)."""
     blocks = blocks_of(html)
-    main = [w for w, place in blocks if place == MAIN]
-    if main:
-        return main, [w for w, place in blocks if place != MAIN], True
-    return [], [w for w, place in blocks if place == OTHER], False
+    place = MAIN if any(p == MAIN for _, p, _ in blocks) else OTHER
+    first = CORE if place == MAIN else OPEN
+    return [b for b, p, _ in blocks if p == place], [first + w for _, p, w in blocks if p == place], [b for b, p, _ in blocks if p != place]
 
 
-def repeated(tokens: np.ndarray, page: np.ndarray, also: np.ndarray, kin: np.ndarray | None = None, least: int = 2) -> np.ndarray:
-    """Which tokens lie in a window of LONG words that stands on ``least`` pages, or whose hash is in ``also``.
+def suffix_array(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The beginnings of all suffixes in order, and the length of the prefix that each has in common with the one before it.
 
-    Suffixes are ranked by prefix doubling; ``page`` has the page of each token, and windows end with it.
-    Pages of the same ``kin`` (by token) count as one.
+    Prefix doubling until all ranks differ; the ranks of each doubling give the common prefixes. The last
+    token must stand nowhere else.
     """
     n = len(tokens)
-    covered = np.zeros(n, bool)
-    if n < LONG:
-        return covered
-    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
-    inside = np.zeros(n, bool)
-    inside[: n - LONG + 1] = page[: n - LONG + 1] == page[LONG - 1 :]
-    step = 1
-    while step < LONG:
+    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int32)
+    levels, step = [rank], 1
+    while n and int(rank.max()) < n - 1:
         # Beyond the end of the stream the next rank is below all others.
-        nxt = np.r_[rank[step:] + 1, np.zeros(step, np.int64)]
-        rank = np.unique(rank * (n + 2) + nxt, return_inverse=True)[1].astype(np.int64)
+        nxt = np.zeros(n, np.int64)
+        nxt[: max(0, n - step)] = rank[step:].astype(np.int64) + 1
+        rank = np.unique(rank.astype(np.int64) * (n + 1) + nxt, return_inverse=True)[1].astype(np.int32)
+        levels.append(rank)
         step *= 2
-    at = np.flatnonzero(inside)
-    owner = np.unique(page if kin is None else kin, return_inverse=True)[1].astype(np.int64)
-    stands = np.unique(rank[at] * n + owner[at]) // n
-    hit = at[np.bincount(stands, minlength=n)[rank[at]] >= least]
-    if len(also):
-        hit = np.union1d(hit, at[np.isin(window_hashes(tokens)[at], also)])
-    for k in range(LONG):
-        covered[hit + k] = True
-    return covered
+    order = np.empty(n, np.int64)
+    order[rank] = np.arange(n)
+    a, b, common = order[:-1].copy(), order[1:].copy(), np.zeros(n, np.int64)
+    for k in range(len(levels) - 1, -1, -1):
+        level = levels[k]
+        same = (a < n) & (b < n) & (level[np.minimum(a, n - 1)] == level[np.minimum(b, n - 1)])
+        # A rank holds fewer than 2^k tokens at the stream's end, where it is single: so equal ones are whole.
+        a[same] += 1 << k
+        b[same] += 1 << k
+        common[1:][same] += 1 << k
+    return order, common
+
+
+def repeats(order: np.ndarray, common: np.ndarray, owner: np.ndarray, counts: np.ndarray, least: int, long: int = LONG) -> np.ndarray:
+    """For each token the length of the longest substring from it on that begins at suffixes of ``least`` owners, if it is ``long`` at least, else 0.
+
+    ``owner`` and ``counts`` (whether its suffix takes part) are by token.
+    """
+    out = np.zeros(len(order), np.int64)
+    at = np.flatnonzero(counts[order])
+    if len(at) < least:
+        return out
+    lcp = np.minimum.reduceat(np.r_[common, 0], np.r_[0, at[:-1] + 1])  # between suffixes that take part
+    order = order[at]
+    run = np.cumsum(lcp < long)
+    size = np.bincount(run, minlength=run[-1] + 1)
+    some = np.flatnonzero(size[run] >= least)
+    if not len(some):
+        return out
+    order, lcp, own = order[some], np.where(np.r_[True, run[some][1:] != run[some][:-1]], 0, lcp[some]).tolist(), owner[order[some]].tolist()
+    n, best, seen = len(own), [0] * len(own), {}
+    lows: list[int] = []  # places of rising LCPs in the window, from ``head`` on
+    a = head = 0
+    for b in range(n):
+        if lcp[b] == 0:
+            seen, lows, a, head = {}, [], b, 0
+        seen[own[b]] = seen.get(own[b], 0) + 1
+        while len(lows) > head and lcp[lows[-1]] >= lcp[b]:
+            lows.pop()
+        lows.append(b)
+        while seen[own[a]] > 1 or len(seen) > least:  # the shortest window that ends here
+            seen[own[a]] -= 1
+            if not seen[own[a]]:
+                del seen[own[a]]
+            a += 1
+        while lows[head] <= a and head < len(lows) - 1:
+            head += 1
+        if len(seen) >= least and lows[head] > a:
+            best[b] = lcp[lows[head]]
+    for b in range(1, n):
+        best[b] = max(best[b], min(best[b - 1], lcp[b]))
+    for b in range(n - 2, -1, -1):
+        best[b] = max(best[b], min(best[b + 1], lcp[b + 1]))
+    found = np.array(best, np.int64)
+    out[order] = np.where(found >= long, found, 0)
+    return out
+
+
+def standings(order: np.ndarray, common: np.ndarray, begin: np.ndarray, size: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """On how many owners each block stands as a whole; blocks are given by begin, size (end mark included) and owner."""
+    if not len(begin):
+        return np.empty(0, np.int64)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    by = np.argsort(place[begin], kind="stable")
+    between = np.minimum.reduceat(np.r_[common, 0], place[begin[by]] + 1)
+    same = np.r_[False, between[:-1] >= size[by][:-1]]
+    group = np.cumsum(~same)
+    pairs = np.unique(np.stack([group, owner[by]], 1), axis=0)
+    out = np.empty(len(begin), np.int64)
+    out[by] = np.bincount(pairs[:, 0], minlength=group[-1] + 1)[group]
+    return out
+
+
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def window_hashes(tokens: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the LONG words from each token on (of fewer at the end)."""
-    t = tokens.view(np.uint64)
+    """A 64-bit hash of the LONG tokens from each one on (of fewer at the end)."""
+    t = _mixed(tokens)
     out, factor = np.zeros(len(t), np.uint64), np.uint64(1)
-    for k in range(LONG):
+    for k in range(min(LONG, len(t))):
         out[: len(t) - k] += t[k:] * factor
-        factor = np.uint64((int(factor) * 0x9E3779B97F4A7C15) % 2**64)
+        factor = np.uint64((int(factor) * int(_FACTOR)) % 2**64)
     return out.view(np.int64)
 
 
+def block_hashes(tokens: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each block; blocks follow one another."""
+    if not len(begin):
+        return np.empty(0, np.int64)
+    powers = np.cumprod(np.full(int(size.max()), _FACTOR, np.uint64))
+    inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    at = np.repeat(begin, size) + inside
+    return np.add.reduceat(_mixed(tokens[at]) * powers[inside], np.cumsum(size) - size).view(np.int64)
+
+
+def _mixed(tokens: np.ndarray) -> np.ndarray:
+    t = tokens.astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return (t ^ (t >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
+
 def kin_of(tokens: np.ndarray, key: int) -> int:
     """A hash of the least of the page's windows under KIN hash functions; the key of a page without windows."""
     if len(tokens) < LONG:
@@ -271,44 +437,113 @@ def kin_of(tokens: np.ndarray, key: int) -> int:
     return int(np.array([out], np.uint64).view(np.int64)[0])
 
 
-def _word_hashes(blocks: list[list[str]]) -> list[int]:
-    return [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) - 2**63 for b in blocks for w in b]
-
-
-def _streams(group: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, tokens of all pages in the order of keys, the page number of each token, where pages begin, and each token's kin; equal keys are one page."""
-    keys, words, seen = group.column("key").to_pylist(), group.column("words").to_pylist(), {}
-    for k, w in zip(keys, words):
-        seen.setdefault(k, w)
-    kin = dict(zip(keys, group.column("kin").to_pylist()))
-    names = sorted(seen)
-    sizes = np.array([len(seen[k]) for k in names], np.int64)
-    tokens = np.array([t for k in names for t in seen[k]], np.int64)
-    return names, tokens, np.repeat(np.arange(len(names)), sizes), np.r_[0, np.cumsum(sizes)], np.repeat(np.array([kin[k] for k in names], np.int64), sizes)
+def word_hashes(blocks: list[list[str]]) -> np.ndarray:
+    hashed = xxhash.xxh32_intdigest
+    return np.array([hashed(w.encode("utf-8", "surrogatepass")) for b in blocks for w in b], np.uint32).view(np.int32)
+
+
+#: The token after each block, and the first of those after pages.
+END, PAGE_END = 1 << 32, 1 << 33
+
+
+class Shard:
+    """The streams of a shard's distinct pages, concatenated, with an end mark after each block and another after each page."""
+
+    def __init__(self, group: pa.Table) -> None:
+        keys, first = np.unique(group.column("key").to_numpy(), return_index=True)
+        rows = group.select(["words", "sizes", "kinds", "kin"]).take(pa.array(first)).combine_chunks()
+        self.keys, self.kin = keys, rows.column("kin").to_numpy()
+        flat, lists = ({c: rows.column(c).combine_chunks() for c in ("words", "sizes", "kinds")}, {})
+        for c, column in flat.items():
+            lists[c] = np.asarray(column.flatten()), np.diff(np.asarray(column.offsets))
+        words, sizes = lists["words"][0], lists["sizes"][0].astype(np.int64)
+        self.kinds, blocks = lists["kinds"]
+        self.of = np.repeat(np.arange(len(keys)), blocks)  # the page of each block
+        marks = np.ones(len(sizes), np.int64)  # the end marks after each block
+        last = np.cumsum(blocks)[blocks > 0] - 1
+        marks[last] += 1
+        self.size, self.words = sizes + 1, sizes
+        self.begin = np.cumsum(sizes + marks) - (sizes + marks)
+        n = int((sizes + marks).sum())
+        self.tokens = np.full(n, END, np.int64)
+        at = np.repeat(self.begin, sizes) + np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.tokens[at] = words
+        self.tokens[self.begin[last] + self.size[last]] = PAGE_END + np.arange(len(last))
+        self.block = np.repeat(np.arange(len(sizes)), sizes + marks)  # the block of each token
+        self.owner = self.kin[self.of]  # of each block
+        #: Repeats are looked for in what may be boilerplate: passages that articles share make none.
+        self.open = (self.kinds != CORE)[self.block]
+
+    def whole_windows(self) -> np.ndarray:
+        """The tokens outside articles from which a window of LONG stays in the page and outside its article."""
+        n = len(self.tokens) - LONG + 1
+        if n <= 0:
+            return np.empty(0, np.int64)
+        barred = np.r_[0, np.cumsum((self.tokens >= PAGE_END) | ~self.open)]
+        return np.flatnonzero(barred[LONG:] == barred[:-LONG])
+
+    def exchange(self) -> np.ndarray:
+        """(hash, owner) of the blocks and windows, each once."""
+        at = self.whole_windows()
+        own = self.owner[self.block[at]] if len(at) else np.empty(0, np.int64)
+        both = np.concatenate([block_hashes(self.tokens, self.begin, self.size), window_hashes(self.tokens)[at]]), np.concatenate([self.owner, own])
+        return np.unique(np.stack(both, 1), axis=0)
+
+    def judge(self, distinct: int, known: dict[int, int] | None) -> Iterator[tuple[int, list[int]]]:
+        """The key and the word ranges to cut of each page that loses some.
+
+        ``known`` has, for a host of several shards, the numbers of owners by hash where they reach SPREAD.
+        """
+        order, common = suffix_array(self.tokens)
+        stands = standings(order, common, self.begin, self.size, self.owner)
+        owner = self.owner[self.block]
+        covered = np.zeros(len(self.tokens) + 1, np.int64)
+        length = repeats(order, common, owner, self.open, SPREAD)
+        at = np.flatnonzero(length)
+        np.add.at(covered, at, 1)
+        np.add.at(covered, at + length[at], -1)
+        if known is not None:
+            stands = np.maximum(stands, np.array([known.get(h, 0) for h in block_hashes(self.tokens, self.begin, self.size).tolist()], np.int64))
+            at = self.whole_windows()
+            at = at[np.array([h in known for h in window_hashes(self.tokens)[at].tolist()], bool)] if len(at) else at
+            np.add.at(covered, at, 1)
+            np.add.at(covered, at + LONG, -1)
+        covered = (np.cumsum(covered)[:-1] > 0) & self.open
+        inside = np.add.reduceat(np.r_[covered & (self.tokens < END), False], self.begin) if len(self.begin) else np.empty(0, np.int64)
+        notice = (self.kinds <= WEAK_CORE) & (stands >= max(NOTICE, distinct // 2 + 1))
+        weak = ((self.kinds == WEAK_CORE) | (self.kinds == WEAK_OPEN)) & ((stands >= SPREAD) | (inside >= self.words))
+        doubtful = np.unique(self.of[notice | weak | ((self.kinds == OPEN) & (inside > 0))])
+        edges = np.searchsorted(self.of, np.arange(len(self.keys) + 1))
+        for page in doubtful.tolist():
+            lo, hi = edges[page], edges[page + 1]
+            hi = lo + int((self.kinds[lo:hi] != EVIDENCE).sum())  # evidence stands last
+            gone = [np.full(self.words[b], bool(weak[b])) for b in range(lo, hi)]
+            if self.kinds[lo] <= WEAK_CORE:
+                kept = [b for b in range(lo, hi) if not weak[b] and not notice[b]]
+                if kept:
+                    for b in (*range(lo, kept[0]), *range(kept[-1] + 1, hi)):
+                        gone[b - lo][:] = True
+            else:
+                runs = [covered[self.begin[b] : self.begin[b] + self.words[b]] | g for b, g in zip(range(lo, hi), gone)]
+                if 2 * sum(int(r.sum()) for r in runs) <= sum(map(len, runs)):
+                    gone = runs
+            flat = np.concatenate(gone)
+            if flat.any():
+                yield int(self.keys[page]), np.flatnonzero(np.diff(np.r_[False, flat, False].astype(np.int8))).tolist()
 
 
-def _shard_windows(key: tuple, group: pa.Table) -> pa.Table:
-    _, tokens, page, _, kin = _streams(group)
-    found = np.empty((0, 2), np.int64)
-    if len(tokens) >= LONG:
-        full = np.flatnonzero(page[: len(page) - LONG + 1] == page[LONG - 1 :])
-        found = np.unique(np.stack([window_hashes(tokens)[full], kin[full]], 1), axis=0)
+def _exchanged(key: tuple, group: pa.Table) -> pa.Table:
+    found = Shard(group).exchange()
     n = len(found)
-    return pa.table({"host": pa.array([key[0].as_py()] * n, pa.string()), "shard": pa.array([key[1].as_py()] * n, pa.int64()), "window": pa.array(found[:, 0]), "kin": pa.array(found[:, 1])})
+    return pa.table({"host": pa.array([key[0].as_py()] * n, pa.string()), "shard": pa.array([key[1].as_py()] * n, pa.int64()), "hash": pa.array(found[:, 0]), "kin": pa.array(found[:, 1])})
 
 
-def _shard_cuts(key: tuple, group: pa.Table, across: pa.Table) -> pa.Table:
-    names, tokens, page, begin, kin = _streams(group)
-    covered = repeated(tokens, page, across.column("window").to_numpy(), kin, SPREAD)
-    open_pages = {k for k, has in zip(group.column("key").to_pylist(), group.column("has_main").to_pylist()) if not has}
-    keys, cuts = [], []
-    for i, k in enumerate(names):
-        if k in open_pages:
-            own = covered[begin[i] : begin[i + 1]]
-            if own.any() and 2 * own.sum() <= len(own):
-                keys.append(k)
-                cuts.append(np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8))).tolist())
-    return pa.table({"cut_key": pa.array(keys, pa.int64()), "cuts": pa.array(cuts, pa.list_(pa.int32()))})
+def _judged(key: tuple, group: pa.Table, across: pa.Table) -> pa.Table:
+    if not group.num_rows:
+        return pa.table({"cut_key": pa.array([], pa.int64()), "cuts": pa.array([], pa.list_(pa.int32()))})
+    known = dict(zip(across.column("hash").to_pylist(), across.column("n").to_pylist())) if group.column("shards")[0].as_py() > 1 else None
+    cuts = list(Shard(group).judge(group.column("distinct")[0].as_py(), known))
+    return pa.table({"cut_key": pa.array([k for k, _ in cuts], pa.int64()), "cuts": pa.array([c for _, c in cuts], pa.list_(pa.int32()))})
 
 
 def kept_words(blocks: list[list[str]], cuts: list[int] | None) -> list[list[str]]:
@@ -324,46 +559,54 @@ def kept_words(blocks: list[list[str]], cuts: list[int] | None) -> list[list[str
     return [b for b in out if b]
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, url, text) of every row."""
-    rows = pages.select(F.col(id_col), F.col(url_col), F.col(html_col), F.xxhash64(html_col, url_col).alias("key"))
+def _few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else df
 
-    def read():
-        def work(batch: pa.RecordBatch) -> Iterator[dict]:
-            hosts, words, has, kin = [], [], [], []
-            for url, html, key in zip(batch.column(1), batch.column(2), batch.column(3)):
-                _, blocks, main = split_page(html.as_py())
-                hosts.append(host_of(url.as_py()))
-                words.append(_word_hashes(blocks))
-                has.append(main)
-                kin.append(kin_of(np.array(words[-1], np.int64), key.as_py()))
-            yield {"key": batch.column(3), "host": hosts, "words": words, "has_main": has, "kin": kin}
 
-        return work
-
-    streams = checkpointed(map_rows(rows, read, "key long, host string, words array<long>, has_main boolean, kin long"))
-    crowd = checkpointed(streams.groupBy("host").agg(F.ceil(F.count("*") / SHARD).alias("shards")))
-    few = F.broadcast(crowd) if crowd.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else crowd  # a row for each host
-    placed = streams.join(few, "host").withColumn("shard", F.pmod("key", F.col("shards")))
-    windows = placed.where("shards > 1").groupBy("host", "shard").applyInArrow(_shard_windows, "host string, shard long, window long, kin long")
-    windows = checkpointed(windows)
-    stands = windows.select("host", "window", "kin").distinct()
-    shared = stands.groupBy("host", "window").agg(F.count("*").alias("n")).where(F.col("n") >= SPREAD).select("host", "window")
-    across = windows.select("host", "shard", "window").distinct().join(shared, ["host", "window"]).select("host", "shard", "window")
-    cuts = checkpointed(placed.select("host", "shard", "key", "words", "has_main", "kin").groupBy("host", "shard").cogroup(across.groupBy("host", "shard")).applyInArrow(_shard_cuts, "cut_key long, cuts array<int>"))
-    n = cuts.count()
-    joined = rows.join(F.broadcast(cuts), F.col("key") == F.col("cut_key"), "left") if n <= MOST_BROADCAST else rows.join(cuts, F.col("key") == F.col("cut_key"), "left")
+def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", array: bool = True) -> DataFrame:
+    """(page_id, url, text) of every row. Without ``array`` the markup alone decides, which tests compare with."""
+    host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), HOST, 1))
+    rows = pages.select(F.col(id_col), F.col(url_col), F.col(html_col), F.xxhash64(html_col, url_col).alias("key"), host.alias("host"))
 
     def write():
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
             texts = []
             for html, cut in zip(batch.column(2), batch.column(3)):
-                main, other, has = split_page(html.as_py())
-                blocks = main if has else kept_words(other, cut.as_py())
-                texts.append(" ".join([" ".join(b) for b in blocks]))
+                texts.append(" ".join([" ".join(b) for b in kept_words(split_page(html.as_py())[0], cut.as_py())]))
             yield {id_col: batch.column(0), url_col: batch.column(1), "text": texts}
 
         return work
 
     kinds = {c: pages.schema[c].dataType.simpleString() for c in (id_col, url_col)}
-    return map_rows(joined.select(id_col, url_col, html_col, "cuts"), write, f"`{id_col}` {kinds[id_col]}, `{url_col}` {kinds[url_col]}, text string")
+    schema = f"`{id_col}` {kinds[id_col]}, `{url_col}` {kinds[url_col]}, text string"
+    if not array:
+        return map_rows(rows.select(id_col, url_col, html_col, F.lit(None).cast("array<int>").alias("cuts")), write, schema)
+
+    def read():
+        def work(batch: pa.RecordBatch) -> Iterator[dict]:
+            words, sizes, kinds, kin = [], [], [], []
+            for html, key in zip(batch.column(2), batch.column(0)):
+                own, what, rest = split_page(html.as_py())
+                words.append(word_hashes([*own, *rest]))
+                sizes.append([len(b) for b in (*own, *rest)])
+                kinds.append([*what, *[EVIDENCE] * len(rest)])
+                kin.append(kin_of(words[-1][: sum(map(len, own))], key.as_py()))
+            yield {"key": batch.column(0), "host": batch.column(1), "words": words, "sizes": sizes, "kinds": kinds, "kin": kin, "shards": batch.column(3)}
+
+        return work
+
+    crowd = checkpointed(rows.groupBy("host").agg(F.ceil(F.coalesce(F.sum(F.length(html_col)), F.lit(0)) / SHARD).alias("shards")))
+    crowd = crowd.select("host", F.greatest("shards", F.lit(1).cast("long")).alias("shards"))
+    sized = rows.join(_few(crowd), "host").select("key", "host", html_col, "shards")
+    streams = checkpointed(map_rows(sized, read, "key long, host string, words array<int>, sizes array<int>, kinds array<tinyint>, kin long, shards long"))
+    pages_of = checkpointed(streams.select("host", "kin").distinct().groupBy("host").agg(F.count("*").alias("distinct")))
+    placed = streams.withColumn("shard", F.pmod("key", F.col("shards")))
+    held = checkpointed(placed.where("shards > 1").groupBy("host", "shard").applyInArrow(_exchanged, "host string, shard long, hash long, kin long"))
+    shared = held.select("host", "hash", "kin").distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= SPREAD)
+    across = held.select("host", "shard", "hash").distinct().join(shared, ["host", "hash"]).select("host", "shard", "hash", "n")
+    judged = placed.join(_few(pages_of), "host").groupBy("host", "shard").cogroup(across.groupBy("host", "shard"))
+    cuts = checkpointed(judged.applyInArrow(_judged, "cut_key long, cuts array<int>"))
+    size = cuts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("cuts")), F.lit(0)).alias("numbers")).first()
+    few = F.broadcast(cuts) if size["n"] <= MOST_BROADCAST and size["numbers"] <= MOST_NUMBERS else cuts
+    joined = rows.join(few, F.col("key") == F.col("cut_key"), "left")
+    return map_rows(joined.select(id_col, url_col, html_col, "cuts"), write, schema)

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from changeflow.llm import chat, html, quality, simhash, toxicity
+from changeflow.llm import chat, quality, simhash, toxicity
 from changeflow.llm.mixing import mix, rates
 
 LONG_TEXT = "lorem ipsum dolor " * 20_000
@@ -281,59 +281,3 @@ def test_chat_parts(spark):
 def test_chat_is_native(spark):
     df = chat.format_chat(spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string"))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
-
-
-# --- HTML
-
-
-@pytest.mark.parametrize(
-    "page,main,other",
-    [
-        ("<nav>m</nav><article><h1>T &amp; U</h1><p>a<b>b</b>  c<p>d</article><footer>f</footer>", [["T", "&", "U"], ["ab", "c"], ["d"]], [["m"], ["f"]]),
-        ("<article>x<div class='ad'>buy</div><aside>s</aside><section id=comments>c</section>y</article>", [["x"], ["y"]], [["buy"], ["s"], ["c"]]),
-        ("<script>var t='</p><article>';</script><p>a<p>b <!-- <p>c --> d", [], [["a"], ["b", "d"]]),
-        ("<div class=cookie-notice>n</div><form>f</form><div class=has-sidebar>k</div>", [], [["k"]]),
-        ("1 < 2 &lt;b&gt; &unknown; &#233;", [], [["1", "<", "2", "<b>", "&unknown;", "é"]]),
-        ("<p title=\"a>b\">t</p><p title=\"open>u</p>", [], [["t"], ["u"]]),
-        ("<!-- open <p>x", [], []),
-        ("<div role=main>m<p>n</div><div itemprop='articleBody'>o</div>p", [["m"], ["n"], ["o"]], [["p"]]),
-        ("<article>a<article class='comment odd'>c</article></article><article class='post hentry'>b</article>", [["a"], ["b"]], [["c"]]),
-        (None, [], []),
-        ("<b>" * 3000 + "deep" + "</i>" * 3000, [], [["deep"]]),
-    ],
-)
-def test_blocks(page, main, other):
-    assert html.split_page(page) == (main, other, bool(main))
-
-
-def test_host_suffix_array(spark, monkeypatch):
-    notice = "we use small files to keep this site running well for all of you"
-    unique = ["alpha beta gamma delta epsilon zeta eta theta iota kappa " + f"page{i} " + " ".join(f"w{i}x{k}" for k in range(30)) for i in range(9)]
-    pages = [(i, f"http://h{i % 2}.example/p{i}", f"<p>{unique[i]}</p><p>{notice}</p><p>end{i}</p>") for i in range(9)]
-    pages += [(20, "http://h0.example/a", "<article><p>" + notice + " is the story</p></article><p>" + notice + "</p>"), (21, "http://other.example", f"<p>{notice}</p>"), (22, None, None), (23, "http://h0.example/c", pages[0][2]), (24, "http://h0.example/c", pages[0][2])]
-    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
-    expected = {i: " ".join(unique[i].split()[10:] + [f"end{i}"]) for i in range(9)}
-    for shard in (2000, 2):
-        monkeypatch.setattr(html, "SHARD", shard)
-        out = {r["page_id"]: r["text"] for r in html.main_text(df).collect()}
-        assert {i: out[i] for i in range(1, 9)} == {i: expected[i] for i in range(1, 9)}
-        assert out[20] == notice + " is the story" and out[21] == notice and out[22] == ""
-        assert out[23] == out[24] and len(out) == 14
-    assert html.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
-
-
-def test_repeats_by_brute_force():
-    rnd = np.random.default_rng(3)
-    for _ in range(30):
-        page = np.sort(rnd.integers(0, 4, 120))
-        tokens = rnd.integers(0, 2, 120).astype(np.int64)
-        windows = {}
-        for i in range(120 - html.LONG + 1):
-            if page[i] == page[i + html.LONG - 1]:
-                windows.setdefault(tuple(tokens[i : i + html.LONG]), []).append(i)
-        covered = np.zeros(120, bool)
-        for at in windows.values():
-            if len({page[i] for i in at}) > 1:
-                for i in at:
-                    covered[i : i + html.LONG] = True
-        assert (html.repeated(tokens, page, np.empty(0, np.int64)) == covered).all()
