@@ -12,19 +12,20 @@ their suffixes sorted, with the lengths of common prefixes (LCP). From them come
 Near copies of a page count as one with it: pages whose windows have the same ``KIN`` minima. Then
 
 - weakly marked blocks go if they stand on ``SPREAD`` distinct pages or repeats cover them, and stay otherwise;
-- blocks at the beginning or end of an article go if they stand whole on over half of the host's distinct
-  pages (``NOTICE`` at least): notices that no mark tells. What is between them is the article's core and stays,
-  passages that other pages share included; an article of such blocks only stays whole;
+- blocks at the beginning or end of an article go if they stand whole in articles of over half of the host's
+  distinct pages with one (``NOTICE`` at least, in most shards): notices that no mark tells. What is between them is the
+  article's core and stays, passages that other pages share included; an article of such blocks only stays whole;
 - on a page without an article, covered words of the blocks elsewhere go; if that would be over half of
   them, the page is a copy and stays whole.
 
 Menus, adverts and footers that differ from page to page repeat nowhere, so no suffix array can find them:
 for these the marks of the markup decide.
 
-Distribution: 32-bit word hashes are shuffled by host. A host is cut by a hash into shards of ``SHARD`` bytes
-of html, with a suffix array each; shards of one host exchange hashes of their blocks and windows with the
-pages they stand on, so that a repeat across shards counts as one inside does. The pages are read again for
-the output, and meet their cuts by the hash of the row. A task holds one shard, and at least one page.
+Distribution: 32-bit word hashes are shuffled once, by host. A host is cut by a hash into shards of ``SHARD``
+characters of html, with a suffix array each. Shards of one host vote on notices, and exchange hashes of the
+blocks and windows outside the articles' cores with the pages they stand on, so that a repeat across shards
+counts as one inside does. The pages are read again for the output, and meet their cuts by the hash of the
+row and their host's notices. A task holds one shard, and at least one page.
 
 Defined results: null or empty html gives the empty text; a null url belongs to the host ''; unclosed
 elements end with their parent, unclosed comments, scripts and styles with the page; broken character
@@ -47,8 +48,8 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.common import checkpointed, map_rows
 
-#: Repeated substrings of so many words are boilerplate; bytes of html in a shard.
-LONG, SHARD = 8, 1 << 20
+#: Repeated substrings of so many words are boilerplate; characters of html in a shard.
+LONG, SHARD = 8, 1 << 19
 #: Distinct pages on which a repeat has to stand, least ones for a notice in articles, and minima that near copies share.
 SPREAD, NOTICE, KIN = 3, 5, 3
 #: Rows, and numbers in them, that are broadcast at most.
@@ -451,6 +452,7 @@ class Shard:
 
     def __init__(self, group: pa.Table) -> None:
         keys, first = np.unique(group.column("key").to_numpy(), return_index=True)
+        self.first = first
         rows = group.select(["words", "sizes", "kinds", "kin"]).take(pa.array(first)).combine_chunks()
         self.keys, self.kin = keys, rows.column("kin").to_numpy()
         flat, lists = ({c: rows.column(c).combine_chunks() for c in ("words", "sizes", "kinds")}, {})
@@ -471,6 +473,7 @@ class Shard:
         self.tokens[self.begin[last] + self.size[last]] = PAGE_END + np.arange(len(last))
         self.block = np.repeat(np.arange(len(sizes)), sizes + marks)  # the block of each token
         self.owner = self.kin[self.of]  # of each block
+        self.hashes = block_hashes(self.tokens, self.begin, self.size)
         #: Repeats are looked for in what may be boilerplate: passages that articles share make none.
         self.open = (self.kinds != CORE)[self.block]
 
@@ -482,87 +485,142 @@ class Shard:
         barred = np.r_[0, np.cumsum((self.tokens >= PAGE_END) | ~self.open)]
         return np.flatnonzero(barred[LONG:] == barred[:-LONG])
 
-    def exchange(self) -> np.ndarray:
-        """(hash, owner) of the blocks and windows, each once."""
-        at = self.whole_windows()
+    def evidence(self) -> np.ndarray:
+        """(hash, owner) of the blocks and windows outside the articles' cores, each once."""
+        at, outside = self.whole_windows(), self.kinds != CORE
         own = self.owner[self.block[at]] if len(at) else np.empty(0, np.int64)
-        both = np.concatenate([block_hashes(self.tokens, self.begin, self.size), window_hashes(self.tokens)[at]]), np.concatenate([self.owner, own])
+        both = np.concatenate([self.hashes[outside], window_hashes(self.tokens)[at]]), np.concatenate([self.owner[outside], own])
         return np.unique(np.stack(both, 1), axis=0)
 
-    def judge(self, distinct: int, known: dict[int, int] | None) -> Iterator[tuple[int, list[int]]]:
-        """The key and the word ranges to cut of each page that loses some.
+    def notices(self, order: np.ndarray, common: np.ndarray) -> np.ndarray:
+        """The hashes of the article blocks that stand whole on over half of the shard's distinct pages."""
+        own = np.flatnonzero(self.kinds <= WEAK_CORE)
+        stands = standings(order, common, self.begin[own], self.size[own], self.owner[own])
+        return np.unique(self.hashes[own[stands >= max(NOTICE, len(np.unique(self.owner[own])) // 2 + 1)]])
 
-        ``known`` has, for a host of several shards, the numbers of owners by hash where they reach SPREAD.
-        """
-        order, common = suffix_array(self.tokens)
-        stands = standings(order, common, self.begin, self.size, self.owner)
-        owner = self.owner[self.block]
+    def cuts(self, order: np.ndarray, common: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+        """The key and the word ranges to cut of each page that loses weakly marked blocks or covered words."""
         covered = np.zeros(len(self.tokens) + 1, np.int64)
-        length = repeats(order, common, owner, self.open, SPREAD)
+        length = repeats(order, common, self.owner[self.block], self.open, SPREAD)
         at = np.flatnonzero(length)
         np.add.at(covered, at, 1)
         np.add.at(covered, at + length[at], -1)
-        if known is not None:
-            stands = np.maximum(stands, np.array([known.get(h, 0) for h in block_hashes(self.tokens, self.begin, self.size).tolist()], np.int64))
-            at = self.whole_windows()
-            at = at[np.array([h in known for h in window_hashes(self.tokens)[at].tolist()], bool)] if len(at) else at
-            np.add.at(covered, at, 1)
-            np.add.at(covered, at + LONG, -1)
-        covered = (np.cumsum(covered)[:-1] > 0) & self.open
-        inside = np.add.reduceat(np.r_[covered & (self.tokens < END), False], self.begin) if len(self.begin) else np.empty(0, np.int64)
-        notice = (self.kinds <= WEAK_CORE) & (stands >= max(NOTICE, distinct // 2 + 1))
-        weak = ((self.kinds == WEAK_CORE) | (self.kinds == WEAK_OPEN)) & ((stands >= SPREAD) | (inside >= self.words))
-        doubtful = np.unique(self.of[notice | weak | ((self.kinds == OPEN) & (inside > 0))])
+        outside = np.flatnonzero(self.kinds != CORE)
+        stands = np.zeros(len(self.kinds), np.int64)
+        stands[outside] = standings(order, common, self.begin[outside], self.size[outside], self.owner[outside])
+        return self._cut(covered, stands >= SPREAD)
+
+    def cuts_by(self, shared: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+        """The same from the hashes of the blocks and windows that stand on SPREAD distinct pages of the host."""
+        covered, at = np.zeros(len(self.tokens) + 1, np.int64), self.whole_windows()
+        at = at[np.isin(window_hashes(self.tokens)[at], shared)]
+        np.add.at(covered, at, 1)
+        np.add.at(covered, at + LONG, -1)
+        return self._cut(covered, np.isin(self.hashes, shared))
+
+    def _cut(self, covered: np.ndarray, stands: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+        hit = (np.cumsum(covered)[:-1] > 0) & self.open
+        inside = np.add.reduceat(np.r_[hit & (self.tokens < END), False].astype(np.int64), self.begin) if len(self.begin) else np.empty(0, np.int64)
+        weak = np.isin(self.kinds, (WEAK_CORE, WEAK_OPEN)) & (stands | (inside >= self.words))
+        some = np.unique(self.of[weak | (np.isin(self.kinds, (OPEN, WEAK_OPEN)) & (inside > 0))])
         edges = np.searchsorted(self.of, np.arange(len(self.keys) + 1))
-        for page in doubtful.tolist():
+        for page in some.tolist():
             lo, hi = edges[page], edges[page + 1]
             hi = lo + int((self.kinds[lo:hi] != EVIDENCE).sum())  # evidence stands last
-            gone = [np.full(self.words[b], bool(weak[b])) for b in range(lo, hi)]
-            if self.kinds[lo] <= WEAK_CORE:
-                kept = [b for b in range(lo, hi) if not weak[b] and not notice[b]]
-                if kept:
-                    for b in (*range(lo, kept[0]), *range(kept[-1] + 1, hi)):
-                        gone[b - lo][:] = True
-            else:
-                runs = [covered[self.begin[b] : self.begin[b] + self.words[b]] | g for b, g in zip(range(lo, hi), gone)]
-                if 2 * sum(int(r.sum()) for r in runs) <= sum(map(len, runs)):
-                    gone = runs
-            flat = np.concatenate(gone)
-            if flat.any():
-                yield int(self.keys[page]), np.flatnonzero(np.diff(np.r_[False, flat, False].astype(np.int8))).tolist()
+            gone = np.concatenate([np.full(self.words[b], bool(weak[b])) for b in range(lo, hi)])
+            if self.kinds[lo] >= OPEN:
+                runs = gone | np.concatenate([hit[self.begin[b] : self.begin[b] + self.words[b]] for b in range(lo, hi)])
+                gone = runs if 2 * runs.sum() <= len(runs) else gone
+            if gone.any():
+                yield int(self.keys[page]), np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8))).tolist()
 
 
-def _exchanged(key: tuple, group: pa.Table) -> pa.Table:
-    found = Shard(group).exchange()
-    n = len(found)
-    return pa.table({"host": pa.array([key[0].as_py()] * n, pa.string()), "shard": pa.array([key[1].as_py()] * n, pa.int64()), "hash": pa.array(found[:, 0]), "kin": pa.array(found[:, 1])})
+#: What a shard tells: that it is there, a notice, evidence for the host's other shards, cuts of a page, or a page whose cuts need their evidence.
+THERE, VOTE, HASH, CUT, PAGE = range(5)
+STREAM = "key long, words array<int>, sizes array<int>, kinds array<tinyint>, kin long"
+TOLD = f"kind tinyint, host string, shard long, hash long, cuts array<int>, {STREAM}"
 
 
-def _judged(key: tuple, group: pa.Table, across: pa.Table) -> pa.Table:
-    if not group.num_rows:
-        return pa.table({"cut_key": pa.array([], pa.int64()), "cuts": pa.array([], pa.list_(pa.int32()))})
-    known = dict(zip(across.column("hash").to_pylist(), across.column("n").to_pylist())) if group.column("shards")[0].as_py() > 1 else None
-    cuts = list(Shard(group).judge(group.column("distinct")[0].as_py(), known))
-    return pa.table({"cut_key": pa.array([k for k, _ in cuts], pa.int64()), "cuts": pa.array([c for _, c in cuts], pa.list_(pa.int32()))})
+_TOLD = pa.schema(
+    [("kind", pa.int8()), ("host", pa.string()), ("shard", pa.int64()), ("hash", pa.int64()), ("cuts", pa.list_(pa.int32())), ("key", pa.int64())]
+    + [("words", pa.list_(pa.int32())), ("sizes", pa.list_(pa.int32())), ("kinds", pa.list_(pa.int8())), ("kin", pa.int64())]
+)
 
 
-def kept_words(blocks: list[list[str]], cuts: list[int] | None) -> list[list[str]]:
-    """The blocks without the word ranges that ``cuts`` (begin, end, begin, end ...) names."""
-    if not cuts:
+def _told(key: tuple, group: pa.Table) -> pa.Table:
+    """What a shard's suffix array tells, as rows of TOLD."""
+    shard, host, number = Shard(group), key[0].as_py(), key[1].as_py()
+    several = group.column("shards")[0].as_py() > 1
+    order, common = suffix_array(shard.tokens)
+    notices = shard.notices(order, common)
+    columns = {f.name: [pa.nulls(1, f.type)] for f in _TOLD if f.name not in ("kind", "host", "shard")}
+    sizes = [1]
+
+    def add(n: int, **given) -> None:
+        sizes.append(n)
+        for f in _TOLD:
+            if f.name in columns:
+                own = given.get(f.name)
+                columns[f.name].append(pa.nulls(n, f.type) if own is None else own if isinstance(own, (pa.Array, pa.ChunkedArray)) else pa.array(own, f.type))
+
+    add(len(notices), hash=notices)
+    doubt = np.isin(shard.kinds, (WEAK_CORE, OPEN, WEAK_OPEN))
+    pages = np.unique(shard.of[doubt])
+    found, cut, rest = np.empty((0, 2), np.int64), [], np.empty(0, np.int64)
+    if several:
+        found, rest = shard.evidence(), shard.first[pages]
+    elif len(pages):
+        cut = list(shard.cuts(order, common))
+    add(len(found), hash=found[:, 0], kin=found[:, 1])
+    add(len(cut), key=[k for k, _ in cut], cuts=[c for _, c in cut])
+    held = group.take(pa.array(rest)).combine_chunks()
+    add(len(rest), **{c: pa.concat_arrays(held.column(c).chunks).cast(_TOLD.field(c).type) if len(rest) else None for c in ("key", "words", "sizes", "kinds", "kin")})
+    n = sum(sizes)
+    fixed = {"kind": pa.array(np.repeat(np.arange(5), sizes), pa.int8()), "host": pa.array([host] * n, pa.string()), "shard": pa.array([number] * n, pa.int64())}
+    made = {c: pa.chunked_array([x for a in parts for x in (a.chunks if isinstance(a, pa.ChunkedArray) else [a])], _TOLD.field(c).type) for c, parts in columns.items()}
+    return pa.table({f.name: fixed.get(f.name, made.get(f.name)) for f in _TOLD})
+
+
+def _cut_across(key: tuple, group: pa.Table, across: pa.Table) -> pa.Table:
+    cut = list(Shard(group).cuts_by(across.column("hash").to_numpy())) if group.num_rows else []
+    return pa.table({"cut_key": pa.array([k for k, _ in cut], pa.int64()), "cuts": pa.array([c for _, c in cut], pa.list_(pa.int32()))})
+
+
+def kept_blocks(blocks: list[list[str]], kinds: list[int], cuts: list[int] | None, notices: np.ndarray | None) -> list[list[str]]:
+    """The blocks without the word ranges that ``cuts`` (begin, end, begin, end ...) names, and without the article's notices at both ends."""
+    if cuts:
+        gone, at, out = np.zeros(sum(map(len, blocks)) + 1, bool), 0, []
+        for a, b in zip(cuts[::2], cuts[1::2]):
+            gone[a:b] = True
+        for b in blocks:
+            out.append([w for k, w in enumerate(b) if not gone[at + k]])
+            at += len(b)
+        blocks, kinds = [b for b in out if b], [k for b, k in zip(out, kinds) if b]
+    if not blocks or notices is None or not len(notices) or kinds[0] > WEAK_CORE:
         return blocks
-    gone, at, out = np.zeros(sum(map(len, blocks)) + 1, bool), 0, []
-    for a, b in zip(cuts[::2], cuts[1::2]):
-        gone[a:b] = True
-    for b in blocks:
-        out.append([w for k, w in enumerate(b) if not gone[at + k]])
-        at += len(b)
-    return [b for b in out if b]
+
+    def is_notice(b: list[str]) -> bool:
+        tokens = np.r_[word_hashes([b]).astype(np.int64), END]
+        return bool(np.isin(block_hashes(tokens, np.zeros(1, np.int64), np.array([len(tokens)])), notices)[0])
+
+    lo, hi = 0, len(blocks)
+    while lo < hi and is_notice(blocks[lo]):
+        lo += 1
+    while hi > lo and is_notice(blocks[hi - 1]):
+        hi -= 1
+    return blocks[lo:hi] or blocks
 
 
 def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else df
 
 
+def _few_lists(df: DataFrame, lists: str) -> DataFrame:
+    """``df`` broadcast if its rows and the numbers in its lists are few."""
+    size = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size(lists)), F.lit(0)).alias("numbers")).first()
+    return F.broadcast(df) if size["n"] <= MOST_BROADCAST and size["numbers"] <= MOST_NUMBERS else df
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", array: bool = True) -> DataFrame:
     """(page_id, url, text) of every row. Without ``array`` the markup alone decides, which tests compare with."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), HOST, 1))
@@ -571,8 +629,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     def write():
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
             texts = []
-            for html, cut in zip(batch.column(2), batch.column(3)):
-                texts.append(" ".join([" ".join(b) for b in kept_words(split_page(html.as_py())[0], cut.as_py())]))
+            for html, cut, notices in zip(batch.column(2), batch.column(3), batch.column(4)):
+                own, kinds, _ = split_page(html.as_py())
+                texts.append(" ".join([" ".join(b) for b in kept_blocks(own, kinds, cut.as_py(), None if notices.values is None else notices.values.to_numpy())]))
             yield {id_col: batch.column(0), url_col: batch.column(1), "text": texts}
 
         return work
@@ -580,33 +639,35 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     kinds = {c: pages.schema[c].dataType.simpleString() for c in (id_col, url_col)}
     schema = f"`{id_col}` {kinds[id_col]}, `{url_col}` {kinds[url_col]}, text string"
     if not array:
-        return map_rows(rows.select(id_col, url_col, html_col, F.lit(None).cast("array<int>").alias("cuts")), write, schema)
+        return map_rows(rows.select(id_col, url_col, html_col, F.lit(None).cast("array<int>").alias("cuts"), F.lit(None).cast("array<long>").alias("notices")), write, schema)
 
     def read():
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
             words, sizes, kinds, kin = [], [], [], []
-            for html, key in zip(batch.column(2), batch.column(0)):
+            for html, key in zip(batch.column(3), batch.column(0)):
                 own, what, rest = split_page(html.as_py())
                 words.append(word_hashes([*own, *rest]))
                 sizes.append([len(b) for b in (*own, *rest)])
                 kinds.append([*what, *[EVIDENCE] * len(rest)])
                 kin.append(kin_of(words[-1][: sum(map(len, own))], key.as_py()))
-            yield {"key": batch.column(0), "host": batch.column(1), "words": words, "sizes": sizes, "kinds": kinds, "kin": kin, "shards": batch.column(3)}
+            yield {"key": batch.column(0), "host": batch.column(1), "shards": batch.column(2), "words": words, "sizes": sizes, "kinds": kinds, "kin": kin}
 
         return work
 
     crowd = checkpointed(rows.groupBy("host").agg(F.ceil(F.coalesce(F.sum(F.length(html_col)), F.lit(0)) / SHARD).alias("shards")))
     crowd = crowd.select("host", F.greatest("shards", F.lit(1).cast("long")).alias("shards"))
-    sized = rows.join(_few(crowd), "host").select("key", "host", html_col, "shards")
-    streams = checkpointed(map_rows(sized, read, "key long, host string, words array<int>, sizes array<int>, kinds array<tinyint>, kin long, shards long"))
-    pages_of = checkpointed(streams.select("host", "kin").distinct().groupBy("host").agg(F.count("*").alias("distinct")))
-    placed = streams.withColumn("shard", F.pmod("key", F.col("shards")))
-    held = checkpointed(placed.where("shards > 1").groupBy("host", "shard").applyInArrow(_exchanged, "host string, shard long, hash long, kin long"))
-    shared = held.select("host", "hash", "kin").distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= SPREAD)
-    across = held.select("host", "shard", "hash").distinct().join(shared, ["host", "hash"]).select("host", "shard", "hash", "n")
-    judged = placed.join(_few(pages_of), "host").groupBy("host", "shard").cogroup(across.groupBy("host", "shard"))
-    cuts = checkpointed(judged.applyInArrow(_judged, "cut_key long, cuts array<int>"))
-    size = cuts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("cuts")), F.lit(0)).alias("numbers")).first()
-    few = F.broadcast(cuts) if size["n"] <= MOST_BROADCAST and size["numbers"] <= MOST_NUMBERS else cuts
-    joined = rows.join(few, F.col("key") == F.col("cut_key"), "left")
-    return map_rows(joined.select(id_col, url_col, html_col, "cuts"), write, schema)
+    sized = rows.join(_few(crowd), "host").select("key", "host", "shards", html_col)
+    streams = map_rows(sized, read, f"host string, shards long, {STREAM}").withColumn("shard", F.pmod("key", F.col("shards")))
+    told = checkpointed(streams.groupBy("host", "shard").applyInArrow(_told, TOLD))
+    votes = told.where(F.col("kind").isin(THERE, VOTE)).groupBy("host", "hash").agg(F.count("*").alias("n"))
+    there = votes.where("hash IS NULL").select("host", F.col("n").alias("of"))
+    notices = votes.where("hash IS NOT NULL").join(_few(there), "host").where("2 * n > of").groupBy("host").agg(F.collect_list("hash").alias("notices"))
+    notices = checkpointed(notices)  # a page has few blocks that over half of the pages have
+    held = told.where(F.col("kind") == HASH).select("host", "shard", "hash", "kin")
+    shared = held.select("host", "hash", "kin").distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= SPREAD).select("host", "hash")
+    across = held.select("host", "shard", "hash").distinct().join(shared, ["host", "hash"]).select(F.col("host").alias("of_host"), F.col("shard").alias("of_shard"), "hash")
+    doubt = told.where(F.col("kind") == PAGE).select("host", "shard", *[c.split()[0] for c in STREAM.split(", ")])
+    more = doubt.groupBy("host", "shard").cogroup(across.groupBy("of_host", "of_shard")).applyInArrow(_cut_across, "cut_key long, cuts array<int>")
+    cuts = checkpointed(told.where(F.col("kind") == CUT).select(F.col("key").alias("cut_key"), "cuts").unionByName(more))
+    joined = rows.join(_few_lists(notices, "notices"), "host", "left").join(_few_lists(cuts, "cuts"), F.col("key") == F.col("cut_key"), "left")
+    return map_rows(joined.select(id_col, url_col, html_col, "cuts", "notices"), write, schema)
