@@ -1,24 +1,28 @@
 """Operator 6: toxicity by the nearest labelled examples.
 
-Method: examples and documents are TF-IDF vectors over the terms that toxic examples have significantly
-more often, after more different words than copies of one passage give (a two-sample z of at least
-``LEAST_Z``, and ``LIFT`` times as often; terms are words and word beginnings of four
-to six characters, which also meet inflected and compound forms). The examples stand in an inverted index
-whose postings are cut into blocks of examples with the largest weight of each term in each block. For a
-document the blocks are visited by falling upper bound (sum over its terms of weight times block maximum)
-until the bound falls below the kth cosine; cosines inside visited blocks are exact. Votes are weighted by
+Method: examples and documents are TF-IDF vectors over all words of the examples. A weight is
+``(1 + ln tf) * ln(N / df) * gain``, where the gain is the information that a word's presence gives on the
+label, counted by the different words to its left at most, so that copies of one passage lend it none. No
+word is left out: one that tells nothing has a small weight. (Without the gain the nearest examples are
+those of like ordinary words; README has the figures.) The examples stand in an inverted index. For a
+document the postings of its rarer words are added up; those of common words are cut into blocks of
+``BLOCK`` like examples with the largest weight of each word, and are opened only for examples whose sum,
+together with the block maxima, reaches the kth cosine so far. Cosines of neighbours are exact. Votes are weighted by
 ``1 / (SOFT + 1 - cosine)`` with a prior vote for the share of toxic rows, and an isotonic curve, fitted
-on votes that leave the example itself out and weighted back to the share of toxic rows, turns votes into
-calibrated scores.
-
-Fit: at most ``PER_CLASS`` rows of each label, the first by a hash of the id (documented bound, the
-model's size follows from it and from ``TERMS``); term statistics of the sample are counted in Spark, and
-the driver gets at most ``TERMS`` terms and the examples' weights. Scoring is one pass without a shuffle.
-
-Defined results: null and empty texts have no terms and get the score of examples without terms; without
-examples of both labels the score is the share of toxic rows (0 without rows); label rows whose document
-or label is missing are left out, an id with several labels counts as toxic if one says so; rows that
-repeat come out as often; the score reads the text only; other columns are ignored.
+on votes of examples under models of the other folds and weighted back to the share of toxic rows, turns
+votes into calibrated scores.
+
+Fit: at most ``PER_CLASS`` rows of each label, the first by a hash of the id, and of each label at most
+``CHARS`` characters, rows that would go beyond left out: the documented bounds of the sample, of what the
+driver gets and of the index that is broadcast. Fitting scans the documents once. Scoring is one pass
+without a shuffle; a task holds the index, a slice of a batch and a bounded memory of words.
+
+Defined results: null and empty texts have no words and get the score of examples without words; very long
+texts are read whole; without examples of both labels the score is the share of toxic rows (0 without
+rows); label rows whose document or label is missing are left out, an id with several labels counts as
+toxic if one says so, and of several texts of one id the first in order is the example; equal cosines go
+to the example that stands first in the index; rows that repeat come out as often; an empty table gives an
+empty table; the score reads the text only; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,135 +33,217 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import Memory, checkpointed, map_rows, worker_state
+from changeflow.llm.common import Memory, checkpointed, cuts_of, map_rows, worker_state
 
-PER_CLASS, TERMS, LEAST_Z, LEAST_DF, LIFT = 2000, 4096, 6.0, 5, 3.0
-NEIGHBOURS, SOFT, PRIOR_VOTE, BLOCK = 15, 0.1, 0.5, 64
-#: Entries of each generation of the memory of cuts in a Python worker.
-REMEMBERED = 150_000
+PER_CLASS, CHARS = 2000, 1 << 25
+NEIGHBOURS, SOFT, PRIOR_VOTE, BLOCK = 9, 0.1, 0.5, 32
+#: Entries of each generation of the memory of cuts in a Python worker, and texts that are read at once.
+REMEMBERED, SLICE = 150_000, 512
+#: Words of more than this part of the examples are common ones; the curve's votes come from so many folds.
+COMMON, FOLDS = 4, 4
 WORD = re.compile(r"\w+")
 
 
-def terms_of(word: str) -> list[str]:
-    """The terms of a lower-cased word: itself and its beginnings, marked by a dot, of four to six characters."""
-    return [word, *(f"{word[:n]}." for n in (4, 5, 6) if len(word) >= n)]
+def gains(with_word: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The information (nats) on the class that the presence of each word gives: counts by class and word, and rows of each class."""
 
+    def entropy(counts: np.ndarray) -> np.ndarray:
+        whole = np.maximum(counts.sum(0), 1e-300)
+        share = counts / whole
+        return -(share * np.log(np.where(share > 0, share, 1.0))).sum(0)
 
-def terms_in(text: str) -> Counter:
-    found = Counter()
-    for word, n in Counter(WORD.findall(text.lower())).items():
-        for t in terms_of(word):
-            found[t] += n
-    return found
+    n = of.sum()
+    there = with_word.sum(0)
+    rest = of[:, None] - with_word
+    return np.maximum(0.0, entropy(of[:, None])[0] - there / n * entropy(with_word) - (n - there) / n * entropy(rest))
 
 
 @dataclass
 class Model:
-    """An index over examples; every field is bounded by PER_CLASS and TERMS."""
+    """The examples' vectors; every field is bounded by PER_CLASS and CHARS."""
 
     share: float
-    terms: dict[str, int] = field(default_factory=dict)
-    idf: np.ndarray = field(default_factory=lambda: np.empty(0))
+    words: list[str] = field(default_factory=list)
+    weight: np.ndarray = field(default_factory=lambda: np.empty(0))
     ids: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     toxic: np.ndarray = field(default_factory=lambda: np.empty(0))
-    postings: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
-    block_max: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
+    begin: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    at: np.ndarray = field(default_factory=lambda: np.empty(0, np.int32))
+    value: np.ndarray = field(default_factory=lambda: np.empty(0))
     curve: tuple[np.ndarray, np.ndarray] | None = None
     bare: float = 0.0
     token: str = field(default_factory=lambda: uuid.uuid4().hex)
 
-    def weights(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        """The unit TF-IDF vector of term counts: term numbers and weights."""
-        at = np.fromiter(counts, np.int64, len(counts))
-        w = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.idf[at]
-        return at, w / np.linalg.norm(w)
-
-    def build(self, vectors: list[dict[int, int]]) -> None:
-        """The inverted index of the examples, blocks of BLOCK examples in a row."""
-        blocks = max(1, math.ceil(len(vectors) / BLOCK))
-        lists: list[list[tuple[int, float]]] = [[] for _ in self.terms]
-        for i, counts in enumerate(vectors):
-            if counts:
-                for t, w in zip(*self.weights(counts)):
-                    lists[t].append((i, float(w)))
-        self.block_max = np.zeros((len(self.terms), blocks))
-        for t, entries in enumerate(lists):
-            i, w = np.array([e[0] for e in entries], np.int64), np.array([e[1] for e in entries])
-            np.maximum.at(self.block_max[t], i // BLOCK, w)
-            self.postings.append((i, w, np.searchsorted(i, np.arange(blocks + 1) * BLOCK)))
-
-    def neighbours(self, counts: dict[int, int], k: int = NEIGHBOURS, without: int = -1) -> list[tuple[float, int]]:
-        """The k examples of highest cosine over zero, ties to the earlier one: exact, by blocks of falling bound."""
-        if not counts:
-            return []
-        at, w = self.weights(counts)
-        bound = w @ self.block_max[at]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < best[-1][0] - 1e-11:
+    def vector(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The unit vector of word counts: word numbers and weights, or nothing if no word weighs."""
+        w = (1 + np.log(n)) * self.weight[at]
+        norm = math.sqrt(float(w @ w))
+        return (at, w / norm) if norm > 0 else (at[:0], w[:0])
+
+
+class Sample:
+    """The words of the examples as flat arrays, and models of parts of them."""
+
+    def __init__(self, rows: list[tuple[int, int, str]]) -> None:
+        number: dict[str, int] = {}
+        words, sizes = [], []
+        for _, _, text in rows:
+            own = [number.setdefault(w, len(number)) for w in WORD.findall(text.lower())]
+            words += own
+            sizes.append(len(own))
+        self.words, size = list(number), max(1, len(number))
+        self.ids, self.toxic = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
+        word, owner = np.array(words, np.int64), np.repeat(np.arange(len(rows)), sizes)
+        left = np.r_[size, word[:-1]] if len(word) else word
+        left[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])[: len(word)]] = size
+        keys, self.n = np.unique(owner * size + word, return_counts=True)
+        self.owner, self.word = np.divmod(keys, size)
+        #: (left word, word) of each example, once each.
+        self.pairs = np.unique(np.stack([owner, word * (size + 1) + left], 1), axis=0) if len(word) else np.empty((0, 2), np.int64)
+
+    def weights(self, part: np.ndarray) -> np.ndarray:
+        """The weight of each word by the examples of ``part``, a mask."""
+        size, on = len(self.words), part[self.owner]
+        have = np.stack([np.bincount(self.word[on & (self.toxic[self.owner] == y)], minlength=size) for y in (0, 1)]).astype(float)
+        mine = self.pairs[part[self.pairs[:, 0]]]
+        apart = np.stack([np.bincount(np.unique(mine[self.toxic[mine[:, 0]] == y, 1]) // (size + 1), minlength=size) for y in (0, 1)])
+        of = np.array([np.sum(part & (self.toxic == y)) for y in (0, 1)], float)
+        return np.log(of.sum() / np.maximum(have.sum(0), 1)) * gains(np.minimum(have, apart), of)
+
+    def model(self, part: np.ndarray, share: float) -> Model:
+        """The model of the examples of ``part``, without a curve."""
+        model = Model(share, self.words, self.weights(part))
+        w = (1 + np.log(self.n)) * model.weight[self.word]
+        norm = np.sqrt(np.bincount(self.owner, w * w, len(self.ids)))
+        on = part[self.owner] & (w > 0)
+        owner, word, value = self.owner[on], self.word[on], w[on] / norm[self.owner[on]]
+        # Like examples stand together, so that blocks differ in their maxima: by label and word of most weight.
+        top = np.full(len(self.ids), -1)
+        by = np.lexsort((value, owner))
+        last = by[np.flatnonzero(np.r_[owner[by][1:] != owner[by][:-1], True])] if len(by) else by
+        top[owner[last]] = word[last]
+        order = np.lexsort((self.ids, top, self.toxic))
+        order = order[part[order]]
+        place = np.empty(len(self.ids), np.int64)
+        place[order] = np.arange(len(order))
+        by = np.lexsort((word, place[owner]))
+        model.ids, model.toxic = self.ids[order], self.toxic[order].astype(float)
+        model.begin = np.r_[0, np.cumsum(np.bincount(place[owner], minlength=len(order)))]
+        model.at, model.value = word[by].astype(np.int32), value[by]
+        return model
+
+    def vectors(self, part: np.ndarray, model: Model) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
+        """The vectors that the examples of ``part`` have under a model."""
+        edges = np.searchsorted(self.owner, np.arange(len(self.ids) + 1))
+        for i in np.flatnonzero(part):
+            yield i, model.vector(self.word[edges[i] : edges[i + 1]], self.n[edges[i] : edges[i + 1]])
+
+
+def build(rows: list[tuple[int, int, str]], share: float) -> Model:
+    """The model of (id, toxic, text) examples; without both labels only the share.
+
+    The curve is fitted on votes under models of the other folds, which saw neither the example nor its words.
+    """
+    sample = Sample(rows)
+    if not (sample.toxic == 0).any() or not sample.toxic.any():
+        return Model(share)
+    model = sample.model(np.ones(len(rows), bool), share)
+    votes = np.full(len(rows), -1.0)
+    fold = np.empty(len(rows), np.int64)
+    fold[np.lexsort((sample.ids, sample.toxic))] = np.arange(len(rows)) % FOLDS
+    for k in range(FOLDS):
+        index = Index(sample.model(fold != k, share))
+        for i, v in sample.vectors(fold == k, index.model):
+            cos, who = index.neighbours(*v)
+            if len(cos):
+                votes[i] = index.vote(cos, who)
+    model.curve, model.bare = isotonic(votes, sample.toxic.astype(float), share)
+    return model
+
+
+def isotonic(votes: np.ndarray, y: np.ndarray, share: float) -> tuple[tuple[np.ndarray, np.ndarray], float]:
+    """The rising curve from votes to the share of toxic rows, classes weighted to ``share``, and that share among rows without a vote (below 0)."""
+    weight = np.where(y > 0, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
+    none = votes < 0
+    bare = float(((weight * y)[none].sum() + share) / (weight[none].sum() + 1))
+    pools: list[list[float]] = []  # lowest and highest vote, mean label, weight
+    some = np.flatnonzero(~none)
+    for i in some[np.lexsort((y[some], votes[some]))]:
+        pools.append([votes[i], votes[i], y[i], weight[i]])
+        while len(pools) > 1 and (pools[-2][2] >= pools[-1][2] or pools[-2][1] == pools[-1][0]):
+            b, a = pools.pop(), pools.pop()
+            n = a[3] + b[3]
+            pools.append([a[0], b[1], (a[2] * a[3] + b[2] * b[3]) / n, n])
+    if not pools:
+        pools = [[0.0, 1.0, bare, 1.0]]
+    return (np.array([v for p in pools for v in p[:2]]), np.array([p[2] for p in pools for _ in (0, 1)])), bare
+
+
+class Index:
+    """A model's inverted index with block maxima, and its search.
+
+    Postings of rare words are read whole. Those of common words are cut into blocks of BLOCK examples with
+    the largest weight in each, and are opened only for examples whose part from rare words and block maxima
+    reaches the kth cosine; so no common word's list is read for the others, and no cosine is estimated.
+    """
+
+    def __init__(self, model: Model) -> None:
+        self.model, n, size = model, len(model.ids), len(model.words)
+        blocks = -(-n // BLOCK)
+        example = np.repeat(np.arange(n), np.diff(model.begin))
+        frequent = np.bincount(model.at, minlength=size) >= max(BLOCK, n // COMMON)
+        self.row = np.full(size, -1, np.int64)
+        self.row[frequent] = np.arange(int(frequent.sum()))
+        is_common = frequent[model.at]
+        #: Common words by example, and the maxima of blocks.
+        self.common = np.zeros((n, int(frequent.sum())))
+        self.common[example[is_common], self.row[model.at[is_common]]] = model.value[is_common]
+        padded = np.zeros((blocks * BLOCK, self.common.shape[1]))
+        padded[:n] = self.common
+        self.maxima = np.ascontiguousarray(padded.reshape(blocks, BLOCK, self.common.shape[1]).max(1).T)
+        self.block = np.arange(n) // BLOCK
+        by = np.argsort(model.at[~is_common], kind="stable")
+        self.example, self.value = example[~is_common][by], model.value[~is_common][by]
+        self.begin = np.r_[0, np.cumsum(np.bincount(model.at[~is_common], minlength=size))]
+
+    def neighbours(self, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        """(cosines, examples): the k of highest cosine over zero, ties to the earlier one."""
+        n = len(self.model.ids)
+        if not len(at) or not n:
+            return np.empty(0), np.empty(0, np.int64)
+        row = self.row[at]
+        often = row >= 0
+        lo, hi = self.begin[at], self.begin[at + 1]
+        m = hi - lo
+        entries = np.repeat(lo - np.cumsum(m) + m, m) + np.arange(int(m.sum()))
+        part = np.bincount(self.example[entries], np.repeat(w, m) * self.value[entries], n)
+        row, weight = row[often], w[often]
+        bound = part + (weight @ self.maxima[row])[self.block]
+        kth = np.partition(part, n - k)[n - k] if n > k else 0.0
+        who = np.flatnonzero((bound >= kth - 1e-11) & (bound > 0))
+        while len(who) > 4 * k:  # the best by bound tell a closer kth
+            first = who[np.argpartition(-bound[who], 2 * k)[: 2 * k]]
+            exact = part[first] + self.common[first[:, None], row] @ weight
+            closer = np.partition(exact, k)[k]
+            fewer = who[bound[who] >= closer - 1e-11]
+            if closer <= kth or len(fewer) == len(who):
                 break
-            if len(best) == k and bound[b] <= best[-1][0] and b * BLOCK > best[-1][1]:
-                continue  # at most a tie, which an earlier example wins
-            cos = np.zeros(BLOCK)
-            for t, x in zip(at.tolist(), w.tolist()):
-                i, weight, cuts = self.postings[t]
-                lo, hi = cuts[b], cuts[b + 1]
-                if hi > lo:
-                    cos[i[lo:hi] - b * BLOCK] += x * weight[lo:hi]
-            cos = np.round(cos, 12)
-            for j in np.argsort(-cos, kind="stable")[: k + 1].tolist():  # no more can enter, and one may be left out
-                if cos[j] > 0 and b * BLOCK + j != without:
-                    best.append((float(cos[j]), int(b) * BLOCK + j))
-            best.sort(key=lambda e: (-e[0], e[1]))
-            del best[k:]
-        return best
-
-    def vote(self, near: list[tuple[float, int]]) -> float:
+            who, kth = fewer, closer
+        cos = np.round(part[who] + self.common[who[:, None], row] @ weight, 12)
+        who, cos = who[cos > 0], cos[cos > 0]
+        best = np.lexsort((who, -cos))[:k]
+        return cos[best], who[best]
+
+    def vote(self, cos: np.ndarray, who: np.ndarray) -> float:
         """The distance-weighted share of toxic neighbours, with a prior vote."""
-        whole, toxic = PRIOR_VOTE, PRIOR_VOTE * self.share
-        for cos, i in near:
-            w = 1 / (SOFT + 1 - min(cos, 1.0))
-            whole += w
-            toxic += w * self.toxic[i]
-        return toxic / whole
-
-    def calibrate(self, vectors: list[dict[int, int]]) -> None:
-        """Isotonic regression of labels on votes that leave each example out, at the rows' share of toxic ones."""
-        y = self.toxic
-        weight = np.where(y > 0, self.share / max(y.mean(), 1e-9), (1 - self.share) / max(1 - y.mean(), 1e-9))
-        none = np.array([not v for v in vectors])
-        total = weight[none].sum()
-        self.bare = float(((weight * y)[none].sum() + self.share) / (total + 1))
-        votes = np.array([self.vote(self.neighbours(v, without=i)) if v else -1 for i, v in enumerate(vectors)])
-        some = np.flatnonzero(~none)
-        order = some[np.argsort(votes[some], kind="stable")]
-        pools: list[list[float]] = []  # mean vote, mean label, weight
-        for i in order:
-            pools.append([votes[i], y[i], weight[i]])
-            while len(pools) > 1 and (pools[-2][1] >= pools[-1][1] or pools[-2][0] == pools[-1][0]):
-                b, a = pools.pop(), pools.pop()
-                n = a[2] + b[2]
-                pools.append([(a[0] * a[2] + b[0] * b[2]) / n, (a[1] * a[2] + b[1] * b[2]) / n, n])
-        if pools:
-            self.curve = (np.array([p[0] for p in pools]), np.array([p[1] for p in pools]))
-
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
-        """The calibrated score and the neighbours behind it."""
-        if self.curve is None:
-            return self.share, []
-        if not counts:
-            return self.bare, []
-        near = self.neighbours(counts)
-        if not near:
-            return self.bare, []
-        return float(np.clip(np.interp(self.vote(near), *self.curve), 0, 1)), near
+        w = 1 / (SOFT + 1 - np.minimum(cos, 1.0))
+        return float((PRIOR_VOTE * self.model.share + w @ self.model.toxic[who]) / (PRIOR_VOTE + w.sum()))
 
 
 def learnable(id_col: str | Column = "doc_id") -> Column:
@@ -166,125 +252,76 @@ def learnable(id_col: str | Column = "doc_id") -> Column:
     return F.crc32(c.cast("string").cast("binary")) % 3 != 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS) -> Model:
-    """The model of at most ``per_class`` rows of each label among those that may be learnt."""
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS, chars: int = CHARS) -> Model:
+    """The model of at most ``per_class`` rows and ``chars`` characters of each label among those that may be learnt."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & learnable(id_col)).groupBy(F.col(id_col).cast("long").alias("lid")).agg(F.max(F.when(F.col(label_col) > 0, 1).otherwise(0)).alias("y"))
     known = checkpointed(known)
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
-    model = Model(share)
     if len(sizes) < 2:
-        return model
-    chosen = None
-    for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(F.xxhash64("lid"), "lid").limit(per_class)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    chosen = checkpointed(chosen)
+        return Model(share)
+    parts = [known.where(F.col("y") == y).orderBy(F.xxhash64("lid"), "lid").limit(per_class) for y in (0, 1)]
+    chosen = checkpointed(parts[0].unionByName(parts[1]))
     # At most two times per_class rows of two numbers: the documents' scan needs no shuffle.
-    texts = docs.where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), F.col(id_col).cast("long") == F.col("lid")).select("lid", "y", F.col(text_col).alias("t"))
-
-    def counted():
-        def work(batch: pa.RecordBatch) -> Iterator[dict]:
-            with_y = [Counter(), Counter()]
-            docs_y = [0, 0]
-            for y, t in zip(batch.column(1).to_pylist(), batch.column(2)):
-                with_y[y].update(terms_in(t.as_py()).keys())
-                docs_y[y] += 1
-            with_y[0][""], with_y[1][""] = docs_y
-            for y in (0, 1):
-                yield {"term": list(with_y[y]), "y": [y] * len(with_y[y]), "n": list(with_y[y].values())}
-
-        return work
-
-    stats = map_rows(texts, counted, "term string, y int, n long").groupBy("term").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("b"))
-    stats = checkpointed(stats.where((F.col("term") == "") | (F.col("a") + F.col("b") >= LEAST_DF)))
-    sums = stats.where("term = ''").first()
-    if sums is None or not sums["a"] or not sums["b"]:
-        return model
-    na, nb = F.lit(float(sums["a"])), F.lit(float(sums["b"]))
-    pooled = (F.col("a") + F.col("b")) / (na + nb)
-    z = (F.col("a") / na - F.col("b") / nb) / F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(1e-12)) * (1 / na + 1 / nb))
-    picked = stats.where("term <> ''").withColumn("z", z).where((F.col("z") >= LEAST_Z) & (F.col("a") / na >= LIFT * F.col("b") / nb)).orderBy(F.desc("z"), "term").limit(TERMS).collect()
-    if not picked:
-        return model
-    number = {r["term"]: i for i, r in enumerate(picked)}
-
-    def vectors():
-        def work(batch: pa.RecordBatch) -> Iterator[dict]:
-            found, left = [], []
-            for x in batch.column(2):
-                words = WORD.findall(x.as_py().lower())
-                counts, lefts = Counter(), set()
-                for before, word in zip(["", *words], words):
-                    for t in terms_of(word):
-                        if (k := number.get(t)) is not None:
-                            counts[k] += 1
-                            lefts.add(k << 32 | crc32(before.encode("utf-8", "surrogatepass")))
-                found.append(counts)
-                left.append(sorted(lefts))
-            yield {"lid": batch.column(0), "y": batch.column(1), "at": [list(v) for v in found], "n": [list(v.values()) for v in found], "left": left}
-
-        return work
-
-    rows = sorted(map_rows(texts, vectors, "lid long, y int, at array<int>, n array<int>, left array<long>").collect(), key=lambda r: (r["lid"], r["at"]))
-    # A passage that many copies share lends its terms one word to the left; a telling term has many.
-    lefts = Counter(c >> 32 for c in {c for r in rows if r["y"] for c in r["left"]})
-
-    def telling(i: int) -> bool:
-        a, b = min(picked[i]["a"], lefts[i]), picked[i]["b"]
-        pooled = (a + b) / (sums["a"] + sums["b"])
-        return a >= LEAST_DF and a / sums["a"] >= LIFT * b / sums["b"] and (a / sums["a"] - b / sums["b"]) / math.sqrt(max(pooled * (1 - pooled), 1e-12) * (1 / sums["a"] + 1 / sums["b"])) >= LEAST_Z
-
-    kept = {i: k for k, i in enumerate(i for i in range(len(picked)) if telling(i))}
-    if not kept:
-        return model
-    model.terms = {picked[i]["term"]: k for i, k in kept.items()}
-    n = sums["a"] + sums["b"]
-    model.idf = np.array([math.log((1 + n) / (1 + picked[i]["a"] + picked[i]["b"])) + 1 for i in kept])
-    rows = [{"lid": r["lid"], "y": r["y"], **dict(zip(("at", "n"), zip(*[(kept[i], c) for i, c in zip(r["at"], r["n"]) if i in kept]) if any(i in kept for i in r["at"]) else ((), ())))} for r in rows]
-    # Like examples stand together, so that blocks differ in their maxima.
-    rows.sort(key=lambda r: (r["y"], min(r["at"], default=-1)))
-    examples = [dict(sorted(zip(r["at"], r["n"]))) for r in rows]
-    model.ids = np.array([r["lid"] for r in rows], np.int64)
-    model.toxic = np.array([r["y"] for r in rows], float)
-    model.build(examples)
-    model.calibrate(examples)
-    return model
+    texts = docs.where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), F.col(id_col).cast("long") == F.col("lid")).groupBy("lid", "y").agg(F.min(text_col).alias("t"))
+    upto = Window.partitionBy("y").orderBy(F.xxhash64("lid"), "lid")  # of per_class rows at most
+    bounded = texts.where(F.length("t") <= chars).withColumn("upto", F.sum(F.length("t")).over(upto)).where(F.col("upto") <= chars)
+    return build(sorted((r["lid"], r["y"], r["t"]) for r in bounded.select("lid", "y", "t").collect()), share)
 
 
 class Scorer:
-    """Scores texts by a model, with a bounded memory of the terms of blank-separated cuts."""
+    """Scores texts by a model, with a bounded memory of the words of blank-separated cuts."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.known = model, Memory(REMEMBERED)
+        self.model, self.index, self.known = model, Index(model), Memory(REMEMBERED)
+        self.number = {w: i for i, w in enumerate(model.words) if model.weight[i] > 0}
 
-    def counts(self, text: str | None) -> dict[int, int]:
+    def vectors(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The numbers of each text's words and their counts."""
+        cuts, codes, ends = cuts_of(texts)
         self.known.turn()
-        known, recall, terms, found = self.known.young, self.known.recall, self.model.terms, {}
-        for cut in (text or "").split():
-            own = known.get(cut)
-            if own is None and (own := recall(cut)) is None:
-                own = known[cut] = tuple([terms[t] for w in WORD.findall(cut.lower()) for t in terms_of(w) if t in terms])
-            for t in own:
-                found[t] = found.get(t, 0) + 1
-        return dict(sorted(found.items()))
+        known, recall, number, own = self.known.young, self.known.recall, self.number, []
+        for cut in cuts:
+            found = known.get(cut)
+            if found is None and (found := recall(cut)) is None:
+                found = known[cut] = tuple([number[w] for w in WORD.findall(cut.lower()) if w in number])
+            own.append(found)
+        n = np.fromiter(map(len, own), np.int64, len(own))
+        flat = np.fromiter((t for f in own for t in f), np.int64, int(n.sum()))
+        begin, m = np.cumsum(n) - n, n[codes]
+        words = flat[np.repeat(begin[codes] - np.cumsum(m) + m, m) + np.arange(int(m.sum()))]
+        text = np.repeat(np.repeat(np.arange(len(texts)), np.diff(ends)), m)
+        size = max(1, len(self.model.words))
+        keys, counts = np.unique(text * size + words, return_counts=True)
+        edges = np.searchsorted(keys, np.arange(len(texts) + 1) * size)
+        for a, b in zip(edges[:-1], edges[1:]):
+            yield keys[a:b] % size, counts[a:b]
+
+    def scores(self, texts: pa.Array) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """The calibrated score of each text, and the cosines and numbers of the neighbours behind it."""
+        none = np.empty(0), np.empty(0, np.int64)
+        if self.model.curve is None:
+            yield from ((self.model.share if self.model.ids.size == 0 else self.model.bare, *none) for _ in range(len(texts)))
+            return
+        for k in range(0, len(texts), SLICE):
+            for at, n in self.vectors(texts.slice(k, SLICE)):
+                cos, who = self.index.neighbours(*self.model.vector(at, n))
+                yield (float(np.clip(np.interp(self.index.vote(cos, who), *self.model.curve), 0, 1)) if len(cos) else self.model.bare), cos, who
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, evidence): evidence holds the neighbours' ids, labels and cosines, nearest first."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by PER_CLASS and TERMS
+    held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by PER_CLASS and CHARS
 
     def make():
         scorer = worker_state(("toxicity", held.value.token), lambda: Scorer(held.value))
 
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
-            m = scorer.model
-            scores, evidence = [], []
-            for t in batch.column(1):
-                s, near = m.score(scorer.counts(t.as_py()))
-                scores.append(s)
-                evidence.append([{"doc_id": int(m.ids[i]), "toxic": int(m.toxic[i]), "cosine": c} for c, i in near])
-            yield {id_col: batch.column(0), "score": scores, "evidence": evidence}
+            m, found = scorer.model, list(scorer.scores(batch.column(1)))
+            ends = np.r_[0, np.cumsum([len(c) for _, c, _ in found])].astype(np.int32)
+            who = np.concatenate([w for _, _, w in found]) if found else np.empty(0, np.int64)
+            near = pa.StructArray.from_arrays([pa.array(m.ids[who], pa.int64()), pa.array(m.toxic[who].astype(np.int32)), pa.array(np.concatenate([c for _, c, _ in found]) if found else [], pa.float64())], ["doc_id", "toxic", "cosine"])
+            yield {id_col: batch.column(0), "score": [s for s, _, _ in found], "evidence": pa.ListArray.from_arrays(pa.array(ends), near)}
 
         return work
 
@@ -300,6 +337,6 @@ def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: flo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = worker_state(("toxicity", held.value.token), lambda: Scorer(held.value))
         for batch in batches:
-            yield batch.filter(pa.array([scorer.model.score(scorer.counts(t.as_py()))[0] < threshold for t in batch.column(at)], pa.bool_()))
+            yield batch.filter(pa.array([s < threshold for s, _, _ in scorer.scores(batch.column(at))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

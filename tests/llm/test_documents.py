@@ -127,24 +127,88 @@ def test_toxicity(spark, docs_of):
     assert "score" in kept.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in out.items() if 0 <= i and r["score"] < 0.7}
 
 
+def _plain_toxicity(rows, share):
+    """Scores by dictionaries: (id, toxic, text) examples to a function of a text."""
+    words = lambda t: __import__("re").findall(r"\w+", t.lower())
+
+    def weights(part):
+        n, out = [sum(1 for r in part if r[1] == y) for y in (0, 1)], {}
+        have, left = [Counter(), Counter()], [{}, {}]
+        for _, y, t in part:
+            have[y].update(set(words(t)))
+            for before, w in zip(["", *words(t)], words(t)):
+                left[y].setdefault(w, set()).add(before)
+        h = lambda *c: -sum(x / sum(c) * math.log(x / sum(c)) for x in c if x)
+        for w in {*have[0], *have[1]}:
+            c = [min(have[y][w], len(left[y].get(w, ()))) for y in (0, 1)]
+            r = [n[y] - c[y] for y in (0, 1)]
+            gain = h(*n) - sum(c) / sum(n) * h(*c) - sum(r) / sum(n) * h(*r)
+            out[w] = math.log(sum(n) / (have[0][w] + have[1][w])) * max(0, gain)
+        return out
+
+    def vector(t, weight):
+        v = {w: (1 + math.log(n)) * weight[w] for w, n in Counter(words(t)).items() if weight.get(w, 0) > 0}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    def vote(t, part, weight):
+        # Of equal cosines any may count here; the texts are made so that neighbours that tie have one label.
+        q = vector(t, weight)
+        near = sorted(((round(sum(x * e.get(w, 0) for w, x in q.items()), 12), y) for _, y, u in part for e in [vector(u, weight)]), reverse=True)[: toxicity.NEIGHBOURS]
+        near = [(c, y) for c, y in near if c > 0]
+        w = [1 / (toxicity.SOFT + 1 - min(c, 1)) for c, _ in near]
+        return (0.5 * share + sum(x for x, (_, y) in zip(w, near) if y)) / (0.5 + sum(w)) if near else -1
+
+    fold = {r: i % toxicity.FOLDS for i, r in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
+    votes = {}
+    for k in range(toxicity.FOLDS):
+        part = [r for r in rows if fold[r] != k]
+        weight = weights(part)
+        votes |= {r: vote(r[2], part, weight) for r in rows if fold[r] == k}
+    mean = sum(r[1] for r in rows) / len(rows)
+    heavy = {r: share / mean if r[1] else (1 - share) / (1 - mean) for r in rows}
+    some = sorted({v for v in votes.values() if v >= 0})
+    at = {v: [sum(heavy[r] * r[1] for r in rows if votes[r] == v), sum(heavy[r] for r in rows if votes[r] == v)] for v in some}
+    # Isotonic regression as the largest of least means: max over beginnings, min over ends.
+    fit = [max(min(sum(at[v][0] for v in some[i : j + 1]) / sum(at[v][1] for v in some[i : j + 1]) for j in range(k, len(some))) for i in range(k + 1)) for k in range(len(some))]
+    none = [r for r in rows if votes[r] < 0]
+    bare = (sum(heavy[r] * r[1] for r in none) + share) / (sum(heavy[r] for r in none) + 1)
+    weight = weights(rows)
+
+    def score(t):
+        v = vote(t, rows, weight)
+        return bare if v < 0 else float(np.interp(v, some, fit))
+
+    return score
+
+
+def test_scores_by_brute_force(spark, docs_of):
+    docs, labels = _toxic_rows(150, 3)
+    rows = [(i, labels[i][2], t) for i, t in docs]
+    share = 0.2
+    model, plain = toxicity.build(rows, share), _plain_toxicity(rows, share)
+    texts = [*[t for _, t in docs[:25]], "rotten", "rotten vile zzz", "zzz", "", " ".join(t for _, t in docs[:3])]
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(docs_of(list(enumerate(texts))), model).collect()}
+    assert all(abs(found[i] - plain(t)) < 1e-6 for i, t in enumerate(texts))
+
+
 def test_nearest_examples_are_exact():
     rnd = np.random.default_rng(2)
-    model = toxicity.Model(0.3, terms={str(i): i for i in range(40)}, idf=rnd.uniform(1, 5, 40))
-    examples = [{int(t): int(rnd.integers(1, 4)) for t in rnd.choice(40, rnd.integers(0, 8), replace=False)} for _ in range(500)]
-    model.ids, model.toxic = np.arange(500), (rnd.random(500) < 0.3).astype(float)
-    model.build(examples)
-    dense = np.zeros((500, 40))
-    for i, e in enumerate(examples):
-        if e:
-            at, w = model.weights(e)
-            dense[i, at] = w
-    for q in examples[:120]:
-        if q:
-            at, w = model.weights(q)
-            cos = np.round(dense[:, at] @ w, 12)
-            expected = [(c, i) for c, i in sorted(((c, i) for i, c in enumerate(cos) if c > 0), key=lambda e: (-e[0], e[1]))[: toxicity.NEIGHBOURS]]
-            found = model.neighbours(q)
-            assert [round(c, 9) for c, _ in found] == [round(c, 9) for c, _ in expected]
+    names = [f"w{i}" for i in range(60)]
+    rows = [(i, int(rnd.random() < 0.3), " ".join(rnd.choice(names, rnd.integers(0, 30), p=np.arange(1, 61) / 1830))) for i in range(500)]
+    rows += [(1000 + i, 1, rows[3][2]) for i in range(20)]  # copies
+    sample = toxicity.Sample(rows)
+    model = sample.model(np.ones(len(rows), bool), 0.3)
+    index, dense = toxicity.Index(model), np.zeros((len(rows), len(model.words)))
+    for i in range(len(rows)):
+        dense[i, model.at[model.begin[i] : model.begin[i + 1]]] = model.value[model.begin[i] : model.begin[i + 1]]
+    assert index.common.shape[1] and len(index.value)
+    for _, q in sample.vectors(np.arange(len(rows)) % 3 == 0, model):
+        cos = np.round(dense[:, q[0]] @ q[1], 11)
+        got, who = index.neighbours(*q)
+        best = np.lexsort((np.arange(len(rows)), -cos))[: toxicity.NEIGHBOURS]
+        best = best[cos[best] > 0]
+        assert np.allclose(got, cos[best], atol=1e-9) and np.allclose(cos[who], got, atol=1e-9) and len(set(who.tolist())) == len(best)
 
 
 def test_toxicity_without_examples(spark, docs_of):
@@ -152,6 +216,15 @@ def test_toxicity_without_examples(spark, docs_of):
     model = toxicity.fit(docs_of([(1, "a b")]), none)
     assert [r["score"] for r in toxicity.score(docs_of([(1, "a b"), (1, "a b")]), model).collect()] == [0.0, 0.0]
     assert toxicity.score(docs_of([]), model).count() == 0
+    assert toxicity.reject(docs_of([]), model).count() == 0 and toxicity.reject(docs_of([(1, "a b")]), model).count() == 1
+
+
+def test_toxicity_sample_bounds(spark, docs_of):
+    docs, labels = _toxic_rows()
+    table = spark.createDataFrame([*labels, (600, 1, 1)], "doc_id long, quality int, toxic int")
+    # A repeated id lends one example, the first text in order; rows over the bound on characters are left out.
+    model = toxicity.fit(docs_of([*docs, *[(i, "zz") for i, _ in docs], (600, "vile " * 40_000)]), table, per_class=50, chars=50_000)
+    assert 50 < len(model.ids) <= 100 and len(set(model.ids.tolist())) == len(model.ids) and 600 not in model.ids
 
 
 # --- quality
