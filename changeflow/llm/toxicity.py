@@ -8,9 +8,10 @@ those of like ordinary words; README has the figures.) The examples stand in an
 document the postings of its rarer words are added up; those of common words are cut into blocks of
 ``BLOCK`` like examples with the largest weight of each word, and are opened only for examples whose sum,
 together with the block maxima, reaches the kth cosine so far. Cosines of neighbours are exact. Votes are weighted by
-``1 / (SOFT + 1 - cosine)`` with a prior vote for the share of toxic rows, and an isotonic curve, fitted
-on votes of examples under models of the other folds and weighted back to the share of toxic rows, turns
-votes into calibrated scores.
+``1 / (SOFT + 1 - cosine)`` with a prior vote for the share of toxic rows. A logistic curve, fitted on
+votes of examples under models of the other folds, turns votes into scores: the probability of label 1
+among rows of which the part ``PRIOR`` is toxic, for missing a toxic document costs more than a second
+look at a clean one.
 
 Fit: at most ``PER_CLASS`` rows of each label, the first by a hash of the id, and of each label at most
 ``CHARS`` characters, rows that would go beyond left out: the documented bounds of the sample, of what the
@@ -45,8 +46,8 @@ PER_CLASS, CHARS = 2000, 1 << 25
 NEIGHBOURS, SOFT, PRIOR_VOTE, BLOCK = 9, 0.1, 0.5, 32
 #: Entries of each generation of the memory of cuts in a Python worker, and texts that are read at once.
 REMEMBERED, SLICE = 150_000, 512
-#: Words of more than this part of the examples are common ones; the curve's votes come from so many folds.
-COMMON, FOLDS = 4, 4
+#: Words of over a fourth of the examples are common ones; the curve's votes come from so many folds; the share of toxic rows that scores are calibrated to.
+COMMON, FOLDS, PRIOR = 4, 4, 0.3
 WORD = re.compile(r"\w+")
 
 
@@ -76,7 +77,7 @@ class Model:
     begin: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     at: np.ndarray = field(default_factory=lambda: np.empty(0, np.int32))
     value: np.ndarray = field(default_factory=lambda: np.empty(0))
-    curve: tuple[np.ndarray, np.ndarray] | None = None
+    curve: tuple[float, float] | None = None
     bare: float = 0.0
     token: str = field(default_factory=lambda: uuid.uuid4().hex)
 
@@ -163,26 +164,33 @@ def build(rows: list[tuple[int, int, str]], share: float) -> Model:
             cos, who = index.neighbours(*v)
             if len(cos):
                 votes[i] = index.vote(cos, who)
-    model.curve, model.bare = isotonic(votes, sample.toxic.astype(float), share)
+    y = sample.toxic.astype(float)
+    weight = np.where(y > 0, PRIOR / y.mean(), (1 - PRIOR) / (1 - y.mean()))
+    none = votes < 0
+    model.bare = float(((weight * y)[none].sum() + PRIOR) / (weight[none].sum() + 1))
+    model.curve = logistic(votes[~none], y[~none], weight[~none])
     return model
 
 
-def isotonic(votes: np.ndarray, y: np.ndarray, share: float) -> tuple[tuple[np.ndarray, np.ndarray], float]:
-    """The rising curve from votes to the share of toxic rows, classes weighted to ``share``, and that share among rows without a vote (below 0)."""
-    weight = np.where(y > 0, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
-    none = votes < 0
-    bare = float(((weight * y)[none].sum() + share) / (weight[none].sum() + 1))
-    pools: list[list[float]] = []  # lowest and highest vote, mean label, weight
-    some = np.flatnonzero(~none)
-    for i in some[np.lexsort((y[some], votes[some]))]:
-        pools.append([votes[i], votes[i], y[i], weight[i]])
-        while len(pools) > 1 and (pools[-2][2] >= pools[-1][2] or pools[-2][1] == pools[-1][0]):
-            b, a = pools.pop(), pools.pop()
-            n = a[3] + b[3]
-            pools.append([a[0], b[1], (a[2] * a[3] + b[2] * b[3]) / n, n])
-    if not pools:
-        pools = [[0.0, 1.0, bare, 1.0]]
-    return (np.array([v for p in pools for v in p[:2]]), np.array([p[2] for p in pools for _ in (0, 1)])), bare
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """(slope, offset) of the weighted logistic regression of y on x with a penalty of half the squared slope; slopes below 0 are 0."""
+
+    def loss(a: float, b: float) -> float:
+        z = a * x + b
+        return float((weight * (np.logaddexp(0, z) - y * z)).sum()) + a * a / 2 + 1e-6 * b * b
+
+    a = b = 0.0
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(a * x + b, -500, 500)))
+        g, h = weight * (p - y), weight * p * (1 - p)
+        da, db = np.linalg.solve([[(h * x * x).sum() + 1, (h * x).sum()], [(h * x).sum(), h.sum() + 2e-6]], [(g * x).sum() + a, g.sum() + 2e-6 * b])
+        step, now = 1.0, loss(a, b)
+        while step > 1e-6 and loss(a - step * da, b - step * db) > now:
+            step /= 2
+        a, b = a - step * da, b - step * db
+        if abs(da) + abs(db) < 1e-10:
+            break
+    return max(0.0, float(a)), float(b)
 
 
 class Index:
@@ -306,7 +314,8 @@ class Scorer:
         for k in range(0, len(texts), SLICE):
             for at, n in self.vectors(texts.slice(k, SLICE)):
                 cos, who = self.index.neighbours(*self.model.vector(at, n))
-                yield (float(np.clip(np.interp(self.index.vote(cos, who), *self.model.curve), 0, 1)) if len(cos) else self.model.bare), cos, who
+                slope, offset = self.model.curve
+                yield (1 / (1 + math.exp(-slope * self.index.vote(cos, who) - offset)) if len(cos) else self.model.bare), cos, who
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
