@@ -1,83 +1,66 @@
 """Operator 3: quality by perplexity under an interpolated modified Kneser-Ney n-gram model.
 
-Method: 4-grams over 32 character classes inside blank-separated words (boundaries included), trained on
-all trusted text. Word counts are pre-aggregated in each task and added up by word; n-gram counts, the
-continuation counts of lower orders, the sums of contexts and the discounts are made by sharded
-aggregations, and the probabilities of each order by joins of its counts, on the n-gram, with the
-contexts' sums and with the next lower order. A document's perplexity is that of its characters; its
-threshold is a quantile of the perplexities of trusted documents in its language.
-
-Where this departs from a join for each document: conditional probabilities have one entry for each of
-32^4 class sequences, 4 MB whatever the corpus, so that scoring reads them from a broadcast table of that
-proven size instead of shuffling every document's n-grams (README has the figures).
-
-Defined results: null and empty texts have perplexity null and are kept; a null language is a language of
-its own; languages with fewer than ``FEW`` trusted documents take the threshold over all; without trusted
-text nothing is scored and all is kept; rows that repeat come out as often; other columns are ignored.
+Method: n-grams of ``ORDER`` characters (UTF-16 units, runs of blanks as one, across words, the beginning
+padded), whatever the script; the vocabulary is what trusted text holds, and the tables grow with it. They are trained on all
+trusted documents but one in ``HELD``, which give the thresholds: a quantile, times a margin, of the
+perplexities of trusted documents of the language that the model has not read.
+
+Training: n-grams are counted in each task and added up by n-gram; continuation counts of the lower orders,
+sums of contexts and the discounts are sharded aggregations. What is kept is a table of own shares by
+n-gram and of interpolation weights by context, for each order.
+
+Scoring: a slice is up to ``SLICE`` characters of a task's documents, packed, with the different n-grams in
+them, once each. The slices' n-grams meet the tables of all orders in sharded joins on the n-gram, and the
+slices get the logarithms back and add them up for each document. So the exchange holds each n-gram once a
+slice, not once a document; nothing is broadcast that grows, and no table is collected. A task holds one
+slice and its n-grams; a document that is longer makes a slice of its own.
+
+Defined results: null and empty texts have perplexity null and are kept; very long texts are read whole; a
+null language is a language of its own; languages with fewer than ``FEW`` trusted documents that the model
+has not read take the threshold over all; without trusted text, or without any to set a threshold by, all is
+kept; a perplexity that equals the threshold is kept; rows that repeat come out as often; an empty table
+gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
-import unicodedata
 import uuid
-from array import array
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.llm.common import Memory, checkpointed, fresh, map_rows, worker_state
+from changeflow.llm.common import arrow_schema, checkpointed, fresh, map_rows
 
-ORDER, SYMBOL_BITS = 4, 5
-SYMBOLS = 1 << SYMBOL_BITS
+#: Four units of 16 bits are one code.
+ORDER, UNIT = 4, 16
 #: Documents over this quantile of trusted perplexities, times the margin, are of low quality.
-QUANTILE, MARGIN, FEW = 0.99, 1.1, 20
-#: So many trusted ids are broadcast at most (16 bytes each); beyond, documents meet them by a shuffled join.
-MOST_BROADCAST = 2_000_000
-#: Entries of each generation of the memory of words in a Python worker.
-REMEMBERED = 150_000
-#: Classes: 0 a boundary, 1 to 26 letters by their base, then other letters, capitals, digits, marks of ordinary prose, all else.
-OTHER_LETTER, CAPITAL, DIGIT, MARK, REST = 27, 28, 29, 30, 31
-MARKS = ".,;:'\"-?()"
+QUANTILE, MARGIN, FEW, HELD = 0.99, 1.05, 20, 4
+#: So many trusted ids are broadcast at most; beyond, documents meet them by a shuffled join.
+MOST_BROADCAST = 500_000
+#: Characters of a slice, and rows of a batch that are read at once.
+SLICE, ROWS = 1 << 24, 1 << 9
 
 
-class _Classes(dict):
-    """Character to class, as ``str.translate`` asks for it; filled as characters come."""
+def codes(text: str | None) -> np.ndarray:
+    """The code of the n-gram that ends at each unit of the text."""
+    units = np.frombuffer(" ".join((text or "").split()).encode("utf-16-le", "surrogatepass"), "<u2").astype(np.uint64)
+    padded = np.concatenate([np.zeros(ORDER - 1, np.uint64), units])
+    out = padded[: len(units)].copy()
+    for k in range(1, ORDER):
+        out <<= np.uint64(UNIT)
+        out |= padded[k : k + len(units)]
+    return out.view(np.int64)
 
-    def __missing__(self, code: int) -> str:
-        c = chr(code)
-        if c.isupper():
-            found = CAPITAL
-        elif c.isalpha():
-            base = unicodedata.normalize("NFD", c)[0]
-            found = ord(base) - 96 if "a" <= base <= "z" else OTHER_LETTER
-        else:
-            found = DIGIT if c.isdigit() else MARK if c in MARKS else REST
-        self[code] = chr(found)
-        return self[code]
 
-
-_CLASSES = _Classes()
-
-
-def symbols(word: str) -> bytes:
-    """The word's classes, one byte each."""
-    return word.translate(_CLASSES).encode("latin-1")
-
-
-def grams(word: str) -> list[int]:
-    """The codes of the word's 4-grams, boundary symbols before and one after it."""
-    code, out, mask = 0, [], (1 << SYMBOL_BITS * ORDER) - 1
-    for s in (*symbols(word), 0):
-        code = (code << SYMBOL_BITS | s) & mask
-        out.append(code)
-    return out
+def codes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of all texts in a row, and how many each has."""
+    each = [codes(t.as_py()) for t in texts]
+    return np.concatenate(each) if each else np.empty(0, np.int64), np.array([len(c) for c in each], np.int64)
 
 
 def discounts(n: dict[int, int]) -> tuple[float, float, float]:
@@ -91,60 +74,61 @@ def discounts(n: dict[int, int]) -> tuple[float, float, float]:
     return min(max(d1, 0.01), 0.99), min(max(d2, 0.01), 1.99), min(max(d3, 0.01), 2.99)
 
 
-def kneser_ney(counts: DataFrame) -> np.ndarray:
-    """The natural logarithms of P(symbol | three before), by code, from a table (code, n) of 4-gram counts."""
-    orders = {ORDER: counts}
-    for k in range(ORDER - 1, 0, -1):  # continuation counts: how many different symbols stand before the shorter n-gram
-        shorter = F.col("code").bitwiseAND(F.lit((1 << SYMBOL_BITS * k) - 1))
-        orders[k] = orders[k + 1].groupBy(shorter.alias("code")).agg(F.count("*").alias("n"))
-    lower, tables, spare = None, {}, {}
-    for k in range(1, ORDER + 1):
-        table = orders[k] = checkpointed(orders[k])
-        many = {r["n"]: r["m"] for r in table.where("n <= 4").groupBy("n").agg(F.count("*").alias("m")).collect()}
-        d1, d2, d3 = discounts(many)
-        taken = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        table = table.withColumn("ctx", F.shiftright("code", SYMBOL_BITS)).withColumn("taken", taken)
-        sums = table.groupBy("ctx").agg(F.sum("n").alias("whole"), F.sum("taken").alias("gone")).withColumn("gamma", F.col("gone") / F.col("whole"))
-        joined = table.join(sums, "ctx")
-        own = (F.col("n") - F.col("taken")) / F.col("whole")
-        if lower is None:
-            made = joined.select("code", (own + F.col("gamma") / SYMBOLS).alias("p"))
-        else:
-            short = F.col("code").bitwiseAND(F.lit((1 << SYMBOL_BITS * (k - 1)) - 1))
-            # Every suffix of a seen n-gram was seen, so the join loses none.
-            made = joined.withColumn("short", short).join(lower.select(F.col("code").alias("short"), F.col("p").alias("q")), "short").select("code", (own + F.col("gamma") * F.col("q")).alias("p"))
-        lower = checkpointed(made)
-        tables[k] = np.array(lower.collect(), float).reshape(-1, 2)  # at most 32^k rows
-        spare[k] = np.array(sums.select("ctx", "gamma").collect(), float).reshape(-1, 2)
-    full = np.full(1, 1 / SYMBOLS)
-    for k in range(1, ORDER + 1):
-        gamma = np.ones(SYMBOLS ** (k - 1))
-        gamma[spare[k][:, 0].astype(int)] = spare[k][:, 1]
-        rest = np.broadcast_to(full, SYMBOLS) if k == 1 else np.tile(full, SYMBOLS)
-        full = np.repeat(gamma, SYMBOLS) * rest
-        full[tables[k][:, 0].astype(int)] = tables[k][:, 1]
-    return np.log(full).astype(np.float32)
+def suffix(code: Column, k: int) -> Column:
+    """The last k units of a code."""
+    return code.bitwiseAND(F.lit((1 << UNIT * k) - 1)) if k < ORDER else code
+
+
+def context(code: Column) -> Column:
+    """All but the last unit of a code."""
+    return F.shiftrightunsigned(code, UNIT)
 
 
 @dataclass
 class Model:
-    """log_p is None without trusted text."""
+    """(k, own, code, value): the own share of each k-gram, or else the interpolation weight of a context in order k. None without trusted text."""
 
-    log_p: np.ndarray | None
-    token: str = field(default_factory=lambda: uuid.uuid4().hex)
+    table: DataFrame | None
+    units: int = 0
 
+    def part(self, k: int, own: bool, key: str, value: str) -> DataFrame:
+        rows = self.table.where((F.col("k") == k) & (F.col("own") == F.lit(own))).select(F.col("code").alias(key), F.col("value").alias(value))
+        return F.broadcast(rows) if k - (not own) <= 1 else rows  # keys of one unit: 65536 rows at most
 
-def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
-    """Ids that a label calls good and none calls bad."""
-    rows = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-    return rows.groupBy(F.col(id_col).cast("long").alias("trusted_id")).agg(F.min(label_col).alias("q")).where("q >= 1").select("trusted_id")
+    def log_p(self, asked: DataFrame) -> DataFrame:
+        """(code, log_p): the natural logarithm of the probability of the last unit after the others, for each different code."""
+        rows, p = asked.select("code").distinct(), F.lit(1.0 / (self.units + 1))
+        for k in range(1, ORDER + 1):
+            own = suffix(F.col("code"), k)
+            rows = rows.withColumn("key", own).join(self.part(k, True, "key", f"own{k}"), "key", "left").drop("key")
+            rows = rows.withColumn("key", context(own)).join(self.part(k, False, "key", f"spare{k}"), "key", "left").drop("key")
+            p = F.coalesce(f"own{k}", F.lit(0.0)) + F.coalesce(f"spare{k}", F.lit(1.0)) * p
+        return rows.select("code", F.log(p).alias("log_p"))
 
 
-def with_trust(docs: DataFrame, trusted: DataFrame, id_col: str, flag: str) -> DataFrame:
-    """Adds whether the id is a trusted one."""
-    ids = trusted.select(F.col("trusted_id").alias(flag))
-    ids = F.broadcast(ids) if trusted.count() <= MOST_BROADCAST else ids
-    return docs.join(ids, F.col(id_col).cast("long") == F.col(flag), "left").withColumn(flag, F.col(flag).isNotNull())
+def kneser_ney(counts: DataFrame) -> Model:
+    """The model from a table (code, n) of counts."""
+    orders = {ORDER: counts}
+    for k in range(ORDER - 1, 0, -1):  # continuation counts: how many different units stand before the shorter n-gram
+        orders[k] = orders[k + 1].groupBy(suffix(F.col("code"), k).alias("code")).agg(F.count("*").alias("n"))
+    several = [orders[k].groupBy(F.lit(k).alias("k"), F.least("n", F.lit(5)).alias("n")).agg(F.count("*").alias("m")) for k in orders]
+    table = several[0]
+    for t in several[1:]:
+        table = table.unionByName(t)
+    many = {k: {} for k in orders}
+    for r in table.collect():  # five rows an order
+        many[r["k"]][r["n"]] = r["m"]
+    if not many[1]:
+        return Model(None)
+    made = None
+    for k, order in orders.items():
+        d1, d2, d3 = discounts(many[k])
+        rows = order.withColumn("ctx", context(F.col("code"))).withColumn("taken", F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3))
+        sums = rows.groupBy("ctx").agg(F.sum("n").alias("whole"), F.sum("taken").alias("gone"))
+        own = rows.join(sums, "ctx").select(F.lit(k).alias("k"), F.lit(True).alias("own"), "code", ((F.col("n") - F.col("taken")) / F.col("whole")).alias("value"))
+        spare = sums.select(F.lit(k).alias("k"), F.lit(False).alias("own"), F.col("ctx").alias("code"), (F.col("gone") / F.col("whole")).alias("value"))
+        made = own.unionByName(spare) if made is None else made.unionByName(own).unionByName(spare)
+    return Model(checkpointed(made), sum(many[1].values()))
 
 
 def fit_model(trusted_text: DataFrame) -> Model:
@@ -152,111 +136,131 @@ def fit_model(trusted_text: DataFrame) -> Model:
 
     def counted():
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
-            words = Counter()
-            for t in batch.column(0):
-                words.update((t.as_py() or "").split())
-            yield {"word": list(words), "n": list(words.values())}
+            for k in range(0, batch.num_rows, ROWS):
+                some, n = np.unique(codes_of(batch.column(0).slice(k, ROWS))[0], return_counts=True)
+                yield {"code": some, "n": n}
 
         return work
 
-    def exploded():
-        def work(batch: pa.RecordBatch) -> Iterator[dict]:
-            codes, times = [], []
-            for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = grams(w)
-                codes += own
-                times += [n] * len(own)
-            some, at = np.unique(np.array(codes, np.int64), return_inverse=True)
-            sums = np.zeros(len(some), np.int64)
-            np.add.at(sums, at, np.array(times, np.int64))
-            yield {"code": some, "n": sums}
+    return kneser_ney(checkpointed(map_rows(trusted_text, counted, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))))
 
-        return work
 
-    words = map_rows(trusted_text, counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = checkpointed(map_rows(words, exploded, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
-    if not counts.limit(1).count():
-        return Model(None)
-    return Model(kneser_ney(counts))
+def _packed(at: int):
+    """Slices of the rows: an Arrow stream, and the different codes in it."""
+    out = arrow_schema("slice long, payload binary, codes array<long>")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sink = writer = None
+        held: list[np.ndarray] = []
+        size = 0
 
-class Scorer:
-    """Perplexities of texts, with a bounded memory of words."""
+        def row() -> pa.RecordBatch:
+            writer.close()
+            found = np.unique(np.concatenate(held))
+            lists = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), pa.array(found))
+            return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()), lists], schema=out)
 
-    def __init__(self, model: Model) -> None:
-        self.log_p = None if model.log_p is None else array("f", model.log_p.tobytes())
-        self.known = Memory(REMEMBERED)
+        for batch in batches:
+            for k in range(0, batch.num_rows, ROWS):
+                part = batch.slice(k, ROWS)
+                if writer is None:
+                    sink = pa.BufferOutputStream()
+                    writer = pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+                writer.write_batch(part)
+                found, sizes = codes_of(part.column(at))
+                held.append(np.unique(found))
+                size += int(sizes.sum())
+                if len(held) > 64:
+                    held = [np.unique(np.concatenate(held))]
+                if size >= SLICE:
+                    yield row()
+                    writer, held, size = None, [], 0
+                    pa.default_memory_pool().release_unused()
+        if writer is not None:
+            yield row()
+
+    return run
+
+
+def _scored(text_col: str, keep: list[str], schema: pa.Schema):
+    def run(key: tuple, group: pa.Table, told: pa.Table) -> pa.Table:
+        known, log_p = told.column("code").to_numpy(), told.column("log_p").to_numpy()
+        by = np.argsort(known, kind="stable")
+        known, log_p = known[by], log_p[by]
+        batches = []
+        for payload in group.column("payload"):
+            for batch in pa.ipc.open_stream(payload.as_buffer()):
+                found, sizes = codes_of(batch.column(batch.schema.get_field_index(text_col)))
+                sums, ends = np.r_[0.0, np.cumsum(log_p[np.searchsorted(known, found)])] if len(found) else np.zeros(1), np.cumsum(sizes)
+                mean = (sums[ends] - sums[ends - sizes]) / np.maximum(sizes, 1)
+                made = pa.array(np.exp(-mean), mask=sizes == 0)
+                columns = [*[batch.column(batch.schema.get_field_index(c)) for c in keep], made]
+                batches.append(pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema))
+        return pa.Table.from_batches(batches, schema)
+
+    return run
+
+
+def perplexities(docs: DataFrame, model: Model, text_col: str = "text", name: str = "perplexity", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all, if none are named) with one of perplexities at the end."""
+    keep = keep if keep is not None else docs.columns
+    if model.table is None:
+        return docs.select(*[F.col(f"`{c}`") for c in keep], F.lit(None).cast("double").alias(name))
+    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField(name, T.DoubleType())])
+    slices = checkpointed(docs.mapInArrow(_packed(docs.columns.index(text_col)), "slice long, payload binary, codes array<long>"))
+    asked = slices.select(F.col("slice").alias("of"), F.explode("codes").alias("code"))
+    told = asked.join(model.log_p(asked), "code").select("of", "code", "log_p")
+    return slices.select("slice", "payload").groupBy("slice").cogroup(told.groupBy("of")).applyInArrow(_scored(text_col, keep, arrow_schema(schema)), schema)
 
-    def perplexity(self, text: str | None) -> float | None:
-        self.known.turn()
-        known, recall, log_p = self.known.young, self.known.recall, self.log_p
-        words = (text or "").split()
-        if log_p is None or not words:
-            return None
-        total, n = 0.0, len(words)
-        for w in words:
-            p = known.get(w)
-            if p is None and (p := recall(w)) is None:
-                p = known[w] = sum([log_p[c] for c in grams(w)])
-            total += p
-        return math.exp(-total / (n + sum(map(len, words))))
 
+def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """Ids that a label calls good and none calls bad."""
+    rows = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+    return rows.groupBy(F.col(id_col).cast("long").alias("trusted_id")).agg(F.min(label_col).alias("q")).where("q >= 1").select("trusted_id")
 
-def perplexities(docs: DataFrame, model: Model, text_col: str = "text", name: str = "perplexity") -> DataFrame:
-    """``docs`` with a column of perplexities at its end."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # 4 MB
-    at = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = worker_state(("quality", held.value.token), lambda: Scorer(held.value))
-        for batch in batches:
-            found = pa.array([scorer.perplexity(t.as_py()) for t in batch.column(at)], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, name])
+@dataclass
+class Fitted:
+    """The model, (of_lang, own): the threshold of each language with enough trusted documents, and the one for the others."""
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(name, T.DoubleType())]))
+    model: Model
+    by_lang: DataFrame
+    over_all: float | None
 
 
-def thresholds(scored: DataFrame, lang_col: str, flag: str, name: str, quantile: float = QUANTILE, margin: float = MARGIN) -> tuple[DataFrame, float | None]:
-    """(of_lang, own), the threshold of each language with enough trusted documents, and the one over all for the others."""
-    good = scored.where(F.col(flag) & F.col(name).isNotNull())
-    limit = (F.percentile_approx(name, quantile, 10_000) * margin).alias("own")
-    each = good.groupBy(F.col(lang_col).alias("of_lang")).agg(limit, F.count("*").alias("n")).where(F.col("n") >= FEW).select("of_lang", "own")
-    return each, good.agg(limit).first()["own"]
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN) -> Fitted:
+    """The model and the thresholds, from all trusted documents of ``docs``."""
+    trusted = checkpointed(trusted_ids(labels))
+    few = F.broadcast(trusted) if trusted.count() <= MOST_BROADCAST else trusted
+    rows = docs.select(F.col(id_col).cast("long").alias("trusted_id"), F.col(text_col).alias("t"), F.col(lang_col).alias("of_lang")).join(few, "trusted_id")
+    held = F.pmod(F.xxhash64("trusted_id"), F.lit(HELD)) == 0
+    model = fit_model(rows.where(~held).select("t"))
+    good = checkpointed(perplexities(rows.where(held).select("t", "of_lang"), model, "t", "p", ["of_lang"]).where("p IS NOT NULL"))
+    limit = (F.percentile_approx("p", quantile, 10_000) * margin).alias("own")
+    by_lang = good.groupBy("of_lang").agg(limit, F.count("*").alias("n")).where(F.col("n") >= FEW).select("of_lang", "own")
+    return Fitted(model, checkpointed(by_lang), good.agg(limit).first()["own"])
 
 
-def judged(scored: DataFrame, by_lang: DataFrame, over_all: float | None, lang_col: str, name: str, limit: str) -> DataFrame:
+def judged(scored: DataFrame, fitted: Fitted, lang_col: str, name: str, limit: str) -> DataFrame:
     """Adds the threshold that holds for the row's language."""
     lang, own = fresh(scored.columns, "of_lang"), fresh([*scored.columns, limit], "own")
-    by_lang = by_lang.select(F.col("of_lang").alias(lang), F.col("own").alias(own))
+    by_lang = fitted.by_lang.select(F.col("of_lang").alias(lang), F.col("own").alias(own))
     few = F.broadcast(by_lang) if by_lang.limit(10_001).count() <= 10_000 else by_lang  # a row for each language
     joined = scored.join(few, F.col(lang_col).eqNullSafe(F.col(lang)), "left")
-    return joined.withColumn(limit, F.coalesce(F.col(own), F.lit(over_all).cast("double"))).drop(lang, own)
+    return joined.withColumn(limit, F.coalesce(F.col(own), F.lit(fitted.over_all).cast("double"))).drop(lang, own)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, lang, perplexity, threshold, kept) of every row."""
-    trusted = checkpointed(trusted_ids(labels))
-    rows = with_trust(docs.select(id_col, text_col, lang_col), trusted, id_col, "trusted")
-    model = fit_model(rows.where("trusted").select(text_col))
-    scored = checkpointed(perplexities(rows, model, text_col).drop(text_col))
-    by_lang, over_all = thresholds(scored, lang_col, "trusted", "perplexity")
-    told = judged(scored, checkpointed(by_lang), over_all, lang_col, "perplexity", "threshold")
+    fitted = fit(docs, labels, id_col, text_col, lang_col)
+    scored = perplexities(docs.select(id_col, text_col, lang_col), fitted.model, text_col, "perplexity", [id_col, lang_col])
+    told = judged(scored, fitted, lang_col, "perplexity", "threshold")
     return told.select(id_col, lang_col, "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[Model, DataFrame, float | None]:
-    """The model and the thresholds, from all trusted documents of ``docs``."""
-    trusted = checkpointed(trusted_ids(labels))
-    rows = with_trust(docs.select(id_col, text_col, lang_col), trusted, id_col, "trusted").where("trusted")
-    model = fit_model(rows.select(text_col))
-    by_lang, over_all = thresholds(checkpointed(perplexities(rows, model, text_col).drop(text_col)), lang_col, "trusted", "perplexity")
-    return model, checkpointed(by_lang), over_all
-
-
-def reject(docs: DataFrame, fitted: tuple[Model, DataFrame, float | None], text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def reject(docs: DataFrame, fitted: Fitted, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that are kept, all columns as they are."""
-    model, by_lang, over_all = fitted
     name = fresh(docs.columns, "perplexity")
     limit = fresh([*docs.columns, name], "threshold")
-    told = judged(perplexities(docs, model, text_col, name), by_lang, over_all, lang_col, name, limit)
+    told = judged(perplexities(docs, fitted.model, text_col, name), fitted, lang_col, name, limit)
     return told.where(F.coalesce(F.col(name) <= F.col(limit), F.lit(True))).select(*[F.col(f"`{c}`") for c in docs.columns])
