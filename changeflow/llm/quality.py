@@ -39,7 +39,7 @@ from changeflow.llm.common import arrow_schema, checkpointed, fresh, map_rows
 #: Four units of 16 bits are one code.
 ORDER, UNIT = 4, 16
 #: Documents over this quantile of trusted perplexities, times the margin, are of low quality.
-QUANTILE, MARGIN, FEW, HELD = 0.99, 1.05, 20, 4
+QUANTILE, MARGIN, FEW, HELD = 0.98, 1.05, 20, 4
 #: So many trusted ids are broadcast at most; beyond, documents meet them by a shuffled join.
 MOST_BROADCAST = 500_000
 #: Characters of a slice, and rows of a batch that are read at once.
