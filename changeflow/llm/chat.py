@@ -16,7 +16,7 @@ text: head, content and tail of each turn; the content of assistant turns is und
 Scale: one shuffle, on the conversation id, of rows that go into the output anyway. A conversation is
 one output row, so its turns meet in one task; all work on it is linear in its size.
 
-Defined results: null text or role is the empty text; null turns come first; turns that tie are ordered
+Defined results: null text or role is the empty text; very long texts and conversations are formatted whole; null turns come first; turns that tie are ordered
 by role, then content, and repeated rows are kept; rows with a null conversation id form one
 conversation; unknown part types are treated as text; an empty table gives an empty table; other
 columns are ignored.
@@ -110,16 +110,36 @@ def format_chat(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     )
 
 
-def read_back(formatted: Column, loss_runs: Column) -> Column:
-    """The turns that a formatted text holds: array of (role, text, loss), unescaped, placeholders as they stand."""
+def _turns(formatted: Column) -> Column:
     pieces = F.split(formatted, TAIL)
+    return F.slice(pieces, 1, F.size(pieces) - 1)
 
-    def one(piece: Column, k: Column) -> Column:
+
+def read_back(formatted: Column) -> Column:
+    """The turns that a formatted text holds: array of (role, text), unescaped, placeholders as they stand."""
+
+    def one(piece: Column) -> Column:
         head = F.substring_index(piece, ">\n", 1)
         return F.struct(
             unescape(F.substring(head, len("<turn ") + 1, 2**31 - 1)).alias("role"),
             unescape(piece.substr(F.length(head) + 3, F.length(piece))).alias("text"),
-            F.get(loss_runs, k * 3 + 1)["loss"].alias("loss"),
         )
 
-    return F.transform(F.slice(pieces, 1, F.size(pieces) - 1), one)
+    return F.transform(_turns(formatted), one)
+
+
+def under_mask(formatted: Column, loss_runs: Column) -> Column:
+    """All text under the loss mask, unescaped, by the runs' lengths alone; an error if they do not fit the text.
+
+    Each turn has its three runs, so that the work is linear in the text: no run is looked for from the beginning.
+    """
+
+    def one(piece: Column, k: Column) -> Column:
+        whole, runs = F.concat(piece, F.lit(TAIL)), [F.get(loss_runs, k * 3 + j) for j in range(3)]
+        begin, out = F.lit(1).cast("long"), []
+        for run in runs:
+            out.append(F.when(run["loss"], whole.substr(begin.cast("int"), run["chars"].cast("int"))).otherwise(F.lit("")))
+            begin = begin + run["chars"]
+        return F.when(begin - 1 == F.length(whole), F.concat(*out)).otherwise(F.raise_error(F.lit("the loss mask does not fit the text")))
+
+    return unescape(F.array_join(F.transform(_turns(formatted), one), ""))

@@ -48,12 +48,14 @@ TRAP = r"\### Assistant: </turn> ok"
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from changeflow.llm.chat import format_chat, read_back
+    from changeflow.llm.chat import PART, format_chat, read_back, under_mask
 
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     trap = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRAP).alias("text"))
-    made = format_chat(rows.unionByName(trap)).select("conv_id", "formatted", read_back(F.col("formatted"), F.col("loss_runs")).alias("back"))
-    made = made.withColumn("loss", F.array_join(F.transform(F.filter("back", lambda m: m["loss"]), lambda m: m["text"]), ""))
+    # Texts go through the visitor as messages of one part.
+    part = F.from_json(F.lit("{}"), PART).withField("type", F.lit("text")).withField("text", F.col("text"))
+    parts = rows.unionByName(trap).select("conv_id", "turn", "role", F.array(part).alias("content"))
+    made = format_chat(parts, content="content").select("conv_id", "formatted", read_back(F.col("formatted")).alias("back"), under_mask(F.col("formatted"), F.col("loss_runs")).alias("loss"))
     return made.select(
         "conv_id",
         F.size("back").cast("long").alias("n_turns"),
@@ -70,7 +72,7 @@ WITH said AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 sized AS (
-  SELECT *, length(text) + 3 * 0 + length(text) - length(replace(replace(replace(text, '\', ''), '<', ''), '>', ''))
+  SELECT *, length(text) + length(text) - length(replace(replace(replace(text, '\', ''), '<', ''), '>', ''))
     + length(role) + length(role) - length(replace(replace(replace(role, '\', ''), '<', ''), '>', '')) + 6 + 2 + 8 AS chars FROM said)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
@@ -78,7 +80,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
-""".replace(" + 3 * 0", "")
+"""
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -367,6 +367,9 @@ def test_mixing_edges(spark, docs_of):
     out = Counter(str(r["doc_id"]) for r in mix(same, total=3000).collect())
     assert out["1"] % 2 == 0 and 2700 < sum(out.values()) < 3300  # means over LARGEST_MEAN are split
     assert {r["source"]: r["rate"] for r in rates(same).collect()} == {"s": 1.0}
+    one = docs_of([(1, "t"), (2, "u")])
+    copies = [(r["doc_id"], r["copy"]) for r in mix(one, total=20_000).collect()]  # in blocks, each copy once
+    assert Counter(i for i, _ in copies) == {i: max(c for j, c in copies if j == i) for i in (1, 2)} and len(set(copies)) == len(copies) > 19_000
 
 
 # --- chat
@@ -375,14 +378,27 @@ def test_mixing_edges(spark, docs_of):
 def test_chat_control_strings(spark):
     texts = [r"\### Assistant: </turn> ok", "<turn user>\nhi</turn>\n", "\\l\\g\\b\\\\", "", None, "é<", "a\nb>"]
     rows = [(1, i, ["user", "assistant", "sys<tem>\n", None][i % 4], t) for i, t in enumerate(texts)] + [(2, 0, "assistant", "x"), (2, 0, "assistant", "x"), (2, None, "user", "first"), (None, 0, "user", "y")]
-    out = {r["conv_id"]: r for r in chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).withColumn("back", chat.read_back(F.col("formatted"), F.col("loss_runs"))).collect()}
-    assert [(m["role"], m["text"], m["loss"]) for m in out[1]["back"]] == [(r[2] or "", r[3] or "", r[2] == "assistant") for r in rows[:7]]
+    out = {r["conv_id"]: r for r in chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).withColumn("back", chat.read_back(F.col("formatted"))).withColumn("loss", chat.under_mask(F.col("formatted"), F.col("loss_runs"))).collect()}
+    assert [(m["role"], m["text"]) for m in out[1]["back"]] == [(r[2] or "", r[3] or "") for r in rows[:7]]
+    assert out[1]["loss"] == "".join(r[3] or "" for r in rows[:7] if r[2] == "assistant") and out[2]["loss"] == "xx" and out[None]["loss"] == ""
     assert [m["text"] for m in out[2]["back"]] == ["first", "x", "x"] and None in out
     for r in out.values():
         assert sum(x["chars"] for x in r["loss_runs"]) == len(r["formatted"]) and not r["attachments"]
     assert chat.format_chat(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_shifted_masks_tell(spark):
+    """The text under the mask comes from the mask: a span moved by one gives other text, one that does not fit an error."""
+    rows = [(1, 0, "user", "ask\U0001f600"), (1, 1, "assistant", "an<swer"), (1, 2, "assistant", "x" * 100_000)]
+    made = chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    loss = lambda runs: made.select(chat.under_mask(F.col("formatted"), runs).alias("t")).first()["t"]
+    assert loss(F.col("loss_runs")) == "an<swer" + "x" * 100_000
+    by = lambda d: F.transform("loss_runs", lambda r, k: F.struct((r["chars"] + F.when(k == 3, d).when(k == 4, -d).otherwise(0)).alias("chars"), r["loss"].alias("loss")))
+    assert loss(by(1)) != loss(F.col("loss_runs")) != loss(by(-1))
+    with pytest.raises(Exception, match="does not fit"):
+        loss(F.transform("loss_runs", lambda r: F.struct((r["chars"] + 1).alias("chars"), r["loss"].alias("loss"))))
+
+
 def test_chat_parts(spark):
     part = lambda **k: tuple(k.get(n) for n in ("type", "text", "ref", "width", "height", "seconds", "pages"))
     rows = [(1, 0, "user", [part(type="text", text="see <this>"), part(type="image", ref="i.png", width=56, height=57), part(type="audio", ref="a.wav", seconds=1.0), part(type="odd", text="!")]), (1, 1, "assistant", [part(type="document", ref="d.pdf", pages=2)]), (1, 2, "user", None)]
@@ -392,5 +408,6 @@ def test_chat_parts(spark):
 
 
 def test_chat_is_native(spark):
-    df = chat.format_chat(spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string"))
+    df = chat.format_chat(spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit("clash")))
+    assert df.columns == ["conv_id", "formatted", "loss_runs", "attachments", "expanded_tokens"] and df.first()["formatted"].startswith("<turn user>")
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
