@@ -15,7 +15,8 @@ forest, at most a row for each of its classes, however many links there are.
 Defined results: rows with a null id are left out. A vector that is null, zero or holds null or
 non-finite components, or whose label is null, has no links and is its own component. Vectors of
 different length do not link. Rows that repeat are vectors of their own: they link, and share the
-component. Other columns are ignored; an empty table gives an empty table.
+component; rows of one id with different vectors link each for itself. A cosine that equals the threshold
+links. Other columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -89,11 +90,11 @@ def tile_links(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float,
 def _compare(axes: dict[int, np.ndarray], threshold: float):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         t1, t2 = key[0].as_py(), key[1].as_py()
-        tile, rep = table.column("tile").to_numpy(), table.column("rep").to_numpy()
+        tile, cid = table.column("tile").to_numpy(), table.column("cid").to_numpy()
         weight = table.column("n").to_numpy()
         x = np.array(table.column("v").to_pylist(), float)
         first, second = np.flatnonzero(tile == t1), np.flatnonzero(tile == t2)
-        links, us, vs = np.zeros(len(rep), np.int64), [], []
+        links, us, vs = np.zeros(len(cid), np.int64), [], []
         if len(first) and len(second):
             a, b = x[first], x[second]
             turn = axes.get(x.shape[1])
@@ -101,15 +102,15 @@ def _compare(axes: dict[int, np.ndarray], threshold: float):
                 i, j = first[i], second[j]
                 np.add.at(links, i, weight[j])
                 np.add.at(links, j, weight[i])
-                u, v = stars(rep[i], rep[j])
+                u, v = stars(cid[i], cid[j])
                 us.append(u), vs.append(v)
         u, v = stars(np.concatenate(us), np.concatenate(vs)) if us else (np.empty(0, np.int64),) * 2
         some = np.flatnonzero(links)
         return pa.table(
             {
-                "rep": pa.array(np.concatenate([rep[some], u]), pa.int64()),
+                "cid": pa.array(np.concatenate([cid[some], u]), pa.int64()),
                 "links": pa.array(np.concatenate([links[some], np.zeros(len(u), np.int64)]), pa.int64()),
-                "other": pa.array(np.concatenate([rep[some], v]), pa.int64()),
+                "other": pa.array(np.concatenate([cid[some], v]), pa.int64()),
             }
         )
 
@@ -148,7 +149,8 @@ def near_duplicate_vectors(rows: DataFrame, threshold: float = 0.93, id_col: str
         return work
 
     kinds = {f.name: f.dataType.simpleString() for f in every.schema}
-    classes = checkpointed(map_rows(classes, make, f"label {kinds['label']}, v {kinds['v']}, rep long, n long, d long, slab long"))
+    classes = map_rows(classes, make, f"label {kinds['label']}, v {kinds['v']}, rep long, n long, d long, slab long")
+    classes = checkpointed(classes.withColumn("cid", F.monotonically_increasing_id()))  # ids may repeat: a class has a number of its own
     crowd = checkpointed(classes.groupBy("label", "d", "slab").agg(F.ceil(F.count("*") / TILE).alias("parts")))
     names = ["label", "d", "slab"]
     own = crowd.groupBy("label", "d").agg(F.min("slab").alias("least"))
@@ -163,14 +165,16 @@ def near_duplicate_vectors(rows: DataFrame, threshold: float = 0.93, id_col: str
     pairs = reached.join(there, ["label", "d", "slab2"]).where((F.col("slab2") > F.col("slab")) | (F.col("part2") >= F.col("part"))).select("t1", "t2")
     sides = checkpointed(pairs.select("t1", "t2", F.col("t1").alias("tile")).unionByName(pairs.where("t1 <> t2").select("t1", "t2", F.col("t2").alias("tile"))))
 
-    placed = classes.join(few(crowd), names).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")))
-    placed = placed.select("rep", "n", "v", F.xxhash64("label", "d", "slab", "part").alias("tile"))
-    met = placed.join(few(sides), "tile").groupBy("t1", "t2").applyInArrow(_compare(axes, threshold), "rep long, links long, other long")
+    placed = classes.join(few(crowd), names).withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")))
+    placed = placed.select("cid", "n", "v", F.xxhash64("label", "d", "slab", "part").alias("tile"))
+    met = placed.join(few(sides), "tile").groupBy("t1", "t2").applyInArrow(_compare(axes, threshold), "cid long, links long, other long")
     met = checkpointed(met)
-    links = met.groupBy("rep").agg(F.sum("links").alias("links"))
-    joined = connected_components(met.where("rep <> other").select("rep", "other"))
-    known = classes.select("rep", "n", "label", "v").join(links, "rep", "left").join(joined, F.col("rep") == F.col("node"), "left")
-    known = checkpointed(known.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")))
+    links = met.groupBy("cid").agg(F.sum("links").alias("links"))
+    joined = checkpointed(connected_components(met.where("cid <> other").select("cid", "other")))
+    smallest = joined.join(classes.select(F.col("cid").alias("node"), "rep"), "node").groupBy("component").agg(F.min("rep").alias("component_id"))
+    of_class = joined.join(smallest, "component").select(F.col("node").alias("cid"), "component_id")
+    known = classes.select("cid", "rep", "n", "label", "v").join(links, "cid", "left").join(of_class, "cid", "left")
+    known = checkpointed(known.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id")))
     told = able.join(known, ["label", "v"]).select("vec_id", "n_links", "component_id")
     alone = every.where(F.col("v").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return told.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
