@@ -16,12 +16,15 @@ Scores are of integers floor(scale * x), x as double, and exact: in double arith
 every sum, else in Python integers, cut to the range of a long.
 
 Defined results: vectors that are null, or hold null or non-finite components, and rows with null ids
-take no part; vectors meet only those of the same length; rows that repeat exactly count once; an empty
-table gives an empty table; other columns are ignored.
+take no part; vectors meet only those of the same length; every row of data counts, repeats too, but those
+of the query's own id; query rows that repeat exactly are one query, and an id with different vectors is
+one query for each; equal scores go to the smaller id; an empty table gives an empty table; other columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 
@@ -147,13 +150,10 @@ def search(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, data:
     return best
 
 
-def exact_search(queries: list[list[int]], query_ids: np.ndarray, data: list[list[int]], ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """The same for integers whose products no double holds: every pair in Python integers."""
-    out = []
-    for q, qid in zip(queries, query_ids.tolist()):
-        scored = [(max(-LONG, min(LONG - 1, sum(x * y for x, y in zip(q, v)))), i) for v, i in zip(data, ids.tolist()) if i != qid]
-        out += [(qid, i, s) for s, i in sorted(scored, key=lambda p: (-p[0], p[1]))[:k]]
-    return out
+def exact_search(query: list[int], query_id: int, data: list[list[int]], ids: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """The same for integers whose products no double holds: every row in Python integers, as (id, score)."""
+    scored = ((max(-LONG, min(LONG - 1, sum(x * y for x, y in zip(query, v)))), i) for v, i in zip(data, ids.tolist()) if i != query_id)
+    return [(i, s) for s, i in heapq.nsmallest(k, scored, key=lambda p: (-p[0], p[1]))]
 
 
 def _clean(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
@@ -198,28 +198,24 @@ def _blocked(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
 
 def _pair_search(k: int):
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        out = {"qk": [], "query_id": [], "vec_id": [], "score": []}
         right = right.select(["id", "x"])
         if left.num_rows and right.num_rows:
             q, v = left.column("x").to_pylist(), right.column("x").to_pylist()
-            qid, vid = left.column("qid").to_numpy(), right.column("id").to_numpy()
+            qid, vid, qk = left.column("qid").to_numpy(), right.column("id").to_numpy(), left.column("qk").to_numpy()
             floors = left.column("floor").to_numpy()
-            seen, once = set(), []
-            for i, (name, x) in enumerate(zip(vid.tolist(), v)):
-                if (mark := (name, tuple(x))) not in seen:
-                    seen.add(mark)
-                    once.append(i)
-            vid, v = vid[once], [v[i] for i in once]
             most = lambda xs: max((max(map(abs, x), default=0) for x in xs), default=0)
             d = len(q[0])
             if most(q) * most(v) * max(d, 1) < EXACT and most(q) < EXACT and most(v) < EXACT:
                 best = search(np.array(q, float).reshape(len(q), d), qid, floors, np.array(v, float).reshape(len(v), d), vid, k)
                 full = ~np.isneginf(best.scores)
                 row, _ = np.nonzero(full)
-                out = {"query_id": qid[row], "vec_id": best.ids[full], "score": best.scores[full].astype(np.int64)}
+                out = {"qk": qk[row], "query_id": qid[row], "vec_id": best.ids[full], "score": best.scores[full].astype(np.int64)}
             else:
-                found = exact_search(q, qid, v, vid, k)
-                out = {n: [f[i] for f in found] for i, n in enumerate(out)}
+                for name, one, x in zip(qk.tolist(), qid.tolist(), q):
+                    for vec, score in exact_search(x, one, v, vid, k):
+                        for n, c in zip(out, (name, one, vec, score)):
+                            out[n].append(c)
         return pa.table({n: pa.array(c, pa.int64()) for n, c in out.items()})
 
     return run
@@ -229,7 +225,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id"
     """(query_id, rank, vec_id, score): the ``k`` highest integer inner products of every query row with other rows."""
     spark = rows.sparkSession
     data = _clean(rows, id_col, vec_col, scale)
-    asked = _clean(rows.where(is_query), id_col, vec_col, scale).groupBy(F.col("id")).agg(F.min("x").alias("x"))
+    asked = _clean(rows.where(is_query), id_col, vec_col, scale).distinct()
     n = data.count()
     wanted = max(1, min(PIVOTS, math.ceil(n / BLOCK)))
     pivots: dict[int, list] = {}
@@ -240,7 +236,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id"
     asked, chunks = _blocked(checkpointed(_celled(asked, held)), "chunk")
     if not blocks or not chunks:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    data, asked = checkpointed(data), checkpointed(asked)
+    data, asked = checkpointed(data), checkpointed(asked.withColumn("qk", F.monotonically_increasing_id()))
 
     # One row for each pair of a chunk and a block of the same length, with the bound of their roots.
     mine = data.groupBy("block", "cell").agg(F.max("dist").alias("r_b"))
@@ -258,22 +254,22 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id"
     pairs = pairs.join(F.broadcast(products), ["cell", "cell_c"], "left").withColumn("bound", bound + F.abs(bound) * 1e-9 + 1.0).select("chunk", "block", "cell", "cell_c", "bound")
 
     def met(chosen: DataFrame, floors: DataFrame) -> DataFrame:
-        left = asked.join(floors, F.col("id") == F.col("query_id"), "left").select(F.col("id").alias("qid"), "x", "chunk", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
-        left = left.join(chosen.select("chunk", "block"), "chunk").select("qid", "x", "floor", "chunk", "block")
+        left = asked.join(floors, "qk", "left").select("qk", F.col("id").alias("qid"), "x", "chunk", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+        left = left.join(chosen.select("chunk", "block"), "chunk").select("qk", "qid", "x", "floor", "chunk", "block")
         right = data.join(chosen.select("chunk", "block"), "block").select("id", "x", "chunk", "block")
-        return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(_pair_search(k), "query_id long, vec_id long, score long")
+        return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(_pair_search(k), "qk long, query_id long, vec_id long, score long")
 
     own = F.col("cell") == F.col("cell_c")
     first_of = pairs.where(own).groupBy("chunk").agg(F.min("block").alias("block"))
-    none = spark.createDataFrame([], "query_id long, floor double")
+    none = spark.createDataFrame([], "qk long, floor double")
     first = checkpointed(met(first_of, none))
-    kth = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("floor")).where(F.col("n") >= k).select("query_id", "floor")
+    kth = first.groupBy("qk").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("floor")).where(F.col("n") >= k).select("qk", "floor")
     kth = checkpointed(kth)
-    worst = asked.join(kth, F.col("id") == F.col("query_id"), "left").groupBy("chunk").agg(F.min(F.coalesce("floor", F.lit(float("-inf")))).alias("worst"))
+    worst = asked.join(kth, "qk", "left").groupBy("chunk").agg(F.min(F.coalesce("floor", F.lit(float("-inf")))).alias("worst"))
     rest = pairs.join(first_of, ["chunk", "block"], "left_anti").join(worst, "chunk").where(F.col("bound").isNull() | F.isnan("bound") | (F.col("bound") >= F.col("worst")))
-    found = first.unionByName(met(checkpointed(rest.select("chunk", "block")), kth)).distinct()
+    found = first.unionByName(met(checkpointed(rest.select("chunk", "block")), kth))  # a query and a row meet once
     from pyspark.sql import Window
 
-    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    by = Window.partitionBy("qk").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

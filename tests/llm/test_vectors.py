@@ -73,6 +73,12 @@ def test_repeated_rows_and_no_rows(spark):
     assert near_duplicate_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_one_id_with_different_vectors(spark):
+    rows = [(5, [1.0, 0.0], 1), (5, [0.0, 1.0], 1), (6, [1.0, 0.01], 1), (7, [1.0, 0.02], 1)]
+    out = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert out == [(5, 0, 5, True), (5, 2, 5, True), (6, 2, 5, False), (7, 2, 5, False)]
+
+
 def test_bounds_lose_no_pair():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 16)) + 1.2
@@ -84,21 +90,22 @@ def test_bounds_lose_no_pair():
 
 
 def _brute(rows, k, scale=1024):
-    clean = {(i, tuple(math.floor(scale * x) for x in v)) for i, v, _ in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)}
-    out = set()
-    for q, x in clean:
+    clean = [(i, tuple(math.floor(scale * x) for x in v)) for i, v, _ in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for q, x in set(clean):
         if q % 10 == 0:
             scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in clean if i != q and len(y) == len(x))
-            out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])}
-    return out
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
 
 
 @pytest.mark.parametrize("k", [1, 10, 500])
 def test_top_k(spark, k, monkeypatch):
     monkeypatch.setattr(topk_module, "BLOCK", 64)
     rows = _vectors(5, 240)
-    out = top_k(spark.createDataFrame(rows + rows[:3], SCHEMA), F.col("vec_id") % 10 == 0, k)
-    assert {tuple(r) for r in out.collect()} == _brute(rows, k)
+    rows += [*rows[:3], (10, [3.0] * 12, 1), (11, [-2.0] * 12, 1)]  # repeats, and other vectors under a known id
+    clash = spark.createDataFrame(rows, SCHEMA).withColumn("rank", F.lit("clash")).withColumn("score", F.lit(1))
+    assert sorted(tuple(r) for r in top_k(clash, F.col("vec_id") % 10 == 0, k).collect()) == _brute(rows, k)
 
 
 def test_top_k_edges(spark):
