@@ -13,8 +13,8 @@ if the number of sources is below a checked bound, else by a shuffled join that
 splits at hot sources. The one large shuffle carries the output itself, evenly by its hash.
 
 Defined results: a null source is a source of its own; sources without a target weight get none; a
-null id hashes as an empty one; rows that repeat draw the same count; null and empty texts are rows
-like others; an empty table gives an empty table; extra columns stay.
+null id hashes as an empty one; rows that repeat draw the same count; null, empty and very long texts are rows
+like others; rows whose hashes tie stand in any order; an empty table gives an empty table; extra columns stay.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from changeflow.llm.common import checkpointed, fresh
 MOST_BROADCAST = 50_000
 #: The largest mean that is inverted in one piece.
 LARGEST_MEAN = 600.0
+#: So many copies of a document are made in one task at most, where the rates are such that more are likely.
+MOST_COPIES = 2000
 
 
 def hashed_unit(text: Column) -> Column:
@@ -81,17 +83,24 @@ def mix(
     by = checkpointed(rates(docs, weights, total, source_col))
     few = by.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     names = docs.columns
-    src, rate, count, order, copy = (fresh([*names, copy_col or "", rate_col or ""], f"mix_{x}") for x in ("source", "rate", "count", "order", "copy"))
+    src, rate, count, order, copy, unit, block = (fresh([*names, copy_col or "", rate_col or ""], f"mix_{x}") for x in ("source", "rate", "count", "order", "copy", "unit", "block"))
     by = by.select(F.col("source").alias(src), F.col("rate").alias(rate))
     joined = docs.join(F.broadcast(by) if few else by, F.col(source_col).eqNullSafe(F.col(src)), "inner")
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     parts = F.greatest(F.ceil(F.col(rate) / LARGEST_MEAN), F.lit(1).cast("long"))
-    small = poisson_count(hashed_unit(key), F.col(rate))
+    small = poisson_count(F.col(unit), F.col(rate))
     large = F.aggregate(
         F.sequence(F.lit(1).cast("long"), parts), F.lit(0).cast("long"), lambda s, i: s + poisson_count(hashed_unit(F.concat(key, F.lit("/"), i.cast("string"))), F.col(rate) / parts)
     )
-    counted = joined.withColumn(count, F.when(F.col(rate) <= LARGEST_MEAN, small).otherwise(large)).where(F.col(count) > 0)
-    copies = counted.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col(count))).alias(copy))
+    counted = joined.withColumn(unit, hashed_unit(key)).withColumn(count, F.when(F.col(rate) <= LARGEST_MEAN, small).otherwise(large)).where(F.col(count) > 0)
+    one = F.lit(1).cast("long")
+    copies = counted.select("*", F.explode(F.sequence(one, F.col(count))).alias(copy))
+    if (by.agg(F.max(rate)).first()[0] or 0) > MOST_COPIES / 2:  # documents of many copies are cut into blocks that go to tasks of their own
+        first = F.col(block) * MOST_COPIES + 1
+        blocks = counted.where(F.col(count) > MOST_COPIES).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / MOST_COPIES))).alias(block))
+        blocks = blocks.repartition(F.xxhash64(F.col(id_col).cast("string"), F.col(block)))
+        many = blocks.select("*", F.explode(F.sequence(first, F.least(first + MOST_COPIES - 1, F.col(count)))).alias(copy)).drop(block)
+        copies = counted.where(F.col(count) <= MOST_COPIES).select("*", F.explode(F.sequence(one, F.col(count))).alias(copy)).unionByName(many)
     dealt = copies.withColumn(order, F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), F.col(copy)))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = dealt.repartition(n, F.col(order)).sortWithinPartitions(order)
