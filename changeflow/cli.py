@@ -57,7 +57,7 @@ def replicate(s: config.Settings) -> None:
         log, target = "changeflow_internal.ddl_log", JdbcSink(jdbc_url, {}, options)
         read = lambda: jdbc.read_table(spark, jdbc_url, log, options)
         publish = lambda c: changelog.append(changelog.to_wire(c, s.group), s.log_dir)
-        DdlPoller(read, publish, lambda last: target.execute(spark, [f"DELETE FROM {log} WHERE id <= {last}"]), s.tables).start()
+        DdlPoller(read, publish, lambda ids: target.execute(spark, [f"DELETE FROM {log} WHERE id IN ({', '.join(map(str, ids))})"]), s.tables).start()
     if mode != "copy":
         from pyspark.sql import functions as F
 
@@ -83,8 +83,8 @@ def work(s: config.Settings, sink_name: str) -> None:
 
     seen = changelog.read(spark, s.log_dir, s.group).where(F.col("_op") != model.DDL).groupBy("_table").agg(F.max_by("columns", "_seq").alias("columns"), F.max_by("_key", "_seq").alias("key")).collect()  # a row a table
     tables = {r["_table"]: T.StructType([T.StructField(c["name"], pgtypes.spark_type(c["oid"]), True, {"pg_oid": c["oid"]}) for c in r["columns"]]) for r in seen}
-    if s.tables:
-        tables = {t: c for t, c in tables.items() if t in {x.rpartition(".")[2] for x in s.tables}}
+    if s.tables:  # tables that are not in the log yet have no columns yet
+        tables = {t: tables.get(t, T.StructType()) for t in (x.rpartition(".")[2] for x in s.tables)}
     keys = {r["_table"]: model.ReplicationKey(r["key"]["type"], tuple(r["key"]["columns"])) for r in seen} | _keys(s)
     routed = {pipeline.router.destination(t, s.schema): pipeline.key(t, k, s.schema) for t, k in keys.items()}
     made = {
@@ -94,7 +94,7 @@ def work(s: config.Settings, sink_name: str) -> None:
         "postgres": lambda: sinks.create("postgres", url=f"jdbc:postgresql://{s.target_host}:{s.target_port}/{s.target_dbname}", keys=routed, options={"user": s.target_user, "password": s.target_password}, disable_foreign_keys=s.target_disable_foreign_keys, create=s.target_sync_schema),
         "webhook": lambda: sinks.create("webhook", url=s.webhook_url),
     }[sink_name]()
-    Worker(s.log_dir, s.group, tables, made, pipeline, s.schema).start(spark, f"{s.checkpoint_dir or s.log_dir + '_checkpoint'}/worker-{s.group}-{sink_name}", once=s.once).awaitTermination()
+    Worker(s.log_dir, s.group, tables if s.tables else None, made, pipeline, s.schema).start(spark, f"{s.checkpoint_dir or s.log_dir + '_checkpoint'}/worker-{s.group}-{sink_name}", once=s.once).awaitTermination()
 
 
 def main(args: Sequence[str] | None = None) -> int:

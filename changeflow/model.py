@@ -18,6 +18,8 @@ INSERT, UPDATE, DELETE, DDL = "INSERT", "UPDATE", "DELETE", "DDL"
 OPERATIONS = (INSERT, UPDATE, DELETE, DDL)
 #: What rules and routes act on when they name no operations.
 DATA_OPERATIONS = (INSERT, UPDATE, DELETE)
+#: Where snapshots stand: after the rows of a target, before every streamed change.
+BEFORE = -(2**61)
 PRIMARY_KEY, UNIQUE, FULL = "PRIMARY KEY", "UNIQUE", "FULL"
 
 META = ("_seq", "_lsn", "_commit_lsn", "_op", "_schema", "_table", "_key", "_emitted_at", "_toasted")
@@ -100,6 +102,18 @@ def envelope(
     )
 
 
+def widened(changes: DataFrame, columns: T.StructType) -> DataFrame:
+    """Changes with further columns, which every UPDATE leaves out and every INSERT has as null."""
+    more = [f for f in columns if f.name not in row_type(changes).names]
+    if not more:
+        return changes
+    names = F.array(*[F.lit(f.name) for f in more])
+    for side in ("new", "old"):
+        own = [field(side, f.name).alias(f.name) for f in changes.schema[side].dataType]
+        changes = changes.withColumn(side, F.when(F.col(side).isNotNull(), F.struct(*own, *[F.lit(None).cast(f.dataType).alias(f.name) for f in more])))
+    return changes.withColumn("_toasted", F.when(F.col("_op") == UPDATE, F.array_union("_toasted", names)).otherwise(F.col("_toasted")))
+
+
 def operand(name: str) -> Column:
     """What a filter or mask reads: the old value of a DELETE, else the new one; old falls back to new where there is none."""
     before = F.when(F.col("old").isNotNull(), field("old", name)).otherwise(field("new", name))

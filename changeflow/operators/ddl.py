@@ -40,9 +40,11 @@ def deduplicated(log: DataFrame) -> DataFrame:
 def as_changes(log: DataFrame, seq_from: int = 0) -> DataFrame:
     """DDL changes in the order of the log; the new row holds the log's columns."""
     columns = ["event_type", "object_type", "object_identity", "ddl_command", "created_at"]
-    made = model.envelope(log.select(*columns, "id"), "", op=model.DDL, new=F.struct(*columns), old=F.lit(None), seq=F.col("id") + seq_from, row=log.select(*columns).schema)
+    made = model.envelope(log.select(*columns, "id"), "", op=model.DDL, new=F.struct(*columns), seq=F.col("id") + seq_from, row=log.select(*columns).schema)
     source = F.col("new.object_identity")
-    return made.withColumns({"_schema": F.regexp_extract(source, r"^([^.]*)\.", 1), "_table": F.regexp_replace(source, r"^[^.]*\.", "")})
+    # The identity of a column is schema.table.column.
+    column, parts = F.col("new.object_type") == "table column", r"^([^.]*)\.([^.]*)\."
+    return made.withColumns({"_schema": F.regexp_extract(source, r"^([^.]*)\.", 1), "_table": F.when(column, F.regexp_extract(source, parts, 2)).otherwise(F.regexp_replace(source, r"^[^.]*\.", ""))})
 
 
 #: PostgreSQL names of types in commands and what columns become (fixed values).
@@ -130,6 +132,9 @@ def evolve(rows: DataFrame, changes: Sequence[SchemaChange]) -> DataFrame:
             rows = rows.drop(F.col(f"`{c.column}`"))
         elif c.action == "rename" and has and c.to not in rows.columns:
             rows = rows.withColumnRenamed(c.column, c.to)
+        elif c.action == "rename" and has and c.to != c.column:  # rows under the new name came before the command
+            kind = rows.schema[c.to].dataType
+            rows = rows.withColumn(c.to, F.coalesce(F.col(f"`{c.to}`"), F.col(f"`{c.column}`").try_cast(kind))).drop(F.col(f"`{c.column}`"))
         elif c.action == "retype" and has:
             rows = rows.withColumn(c.column, F.col(f"`{c.column}`").try_cast(c.to))
     return rows

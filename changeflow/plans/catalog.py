@@ -280,14 +280,20 @@ for _table, _columns in {"orders": "o_orderkey, o_custkey, o_orderstatus, o_tota
     )
 
 
-@query("snapshot_ranges", "SELECT o_orderkey // 1000 AS range_id, count(*) AS n, min(o_orderkey) AS least, max(o_orderkey) AS most FROM orders GROUP BY 1")
+@query(
+    "snapshot_ranges",
+    "WITH sized AS (SELECT (max(o_orderkey) + 20) // 20 AS span FROM orders) SELECT o_orderkey // span AS range_id, count(*) AS n, min(o_orderkey) AS least, max(o_orderkey) AS most FROM orders, sized GROUP BY 1",
+)
 def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranges of 1000 keys, the last one open, each read by a condition of its own."""
+    """A copy in 20 ranges of keys, the last one open, each read by a condition of its own that reaches the scan."""
     orders = scan(spark, sf_dir, "orders").select("o_orderkey")
     top = orders.agg(F.max("o_orderkey")).first()[0] + 1
-    number = F.floor(F.col("o_orderkey") / 1000).cast("long")
-    number = F.least(number, F.lit(len(page_ranges(top)) - 1).cast("long"))
-    return snapshot(orders.withColumn("range_id", number), "orders").groupBy("new.range_id").agg(F.count("*").alias("n"), F.min("new.o_orderkey").alias("least"), F.max("new.o_orderkey").alias("most"))
+    span, made = -(-top // 20), None
+    for k, (a, b) in enumerate(page_ranges(top, span)):
+        inside = F.col("o_orderkey") >= a if b is None else (F.col("o_orderkey") >= a) & (F.col("o_orderkey") < b)
+        part = snapshot(orders.where(inside), "orders").select(F.lit(k).cast("long").alias("range_id"), "new.o_orderkey")
+        made = part if made is None else made.unionByName(part)
+    return made.groupBy("range_id").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("least"), F.max("o_orderkey").alias("most"))
 
 
 query("cdc_envelope", f"WITH {_CDC} SELECT seq AS _seq, op AS _op, o_orderkey, o_totalprice FROM cdc")(lambda s, d: _shown(orders_cdc(s, d)))
@@ -450,6 +456,36 @@ def _streamed(spark: SparkSession, sf_dir: str, stops: int, files: int) -> DataF
     return sink.read(spark, "orders")
 
 
+@query("ddl_rename_replay", "SELECT o_orderkey, o_orderstatus AS status, CASE WHEN o_orderkey % 2 = 0 THEN 'n' END AS note FROM orders WHERE o_orderkey % 5 <> 4")
+def _renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy, then a renamed and an added column by way of the schema-change log, then changes under the new columns; a worker for each step."""
+    base = _scratch(spark)
+    log, out = f"{base}/log", TableSink(f"{base}/tables", {"orders": model.ReplicationKey(model.PRIMARY_KEY, ("o_orderkey",))})
+    orders = scan(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    commands = [
+        (1, "ALTER TABLE", "table column", "public.orders.o_orderstatus", "ALTER TABLE public.orders RENAME COLUMN o_orderstatus TO status", "2024-01-01 00:00:00"),
+        (2, "ALTER TABLE", "table", "public.orders", "ALTER TABLE public.orders ADD COLUMN note text", "2024-01-01 00:00:01"),
+    ]
+    asked = spark.createDataFrame(commands, "id long, event_type string, object_type string, object_identity string, ddl_command string, created_at string").withColumn("created_at", F.col("created_at").cast("timestamp"))
+    after = orders.select("o_orderkey", F.lit(None).cast("string").alias("status"), F.lit("n").alias("note")).where("o_orderkey % 2 = 0 OR o_orderkey % 5 = 4")
+    gone = F.col("o_orderkey") % 5 == 4
+    row = F.struct("o_orderkey", "status", "note")
+    later = model.envelope(after, "orders", op=F.when(gone, model.DELETE).otherwise(model.UPDATE), new=F.when(~gone, row), old=F.when(gone, row), seq=F.col("o_orderkey"), toasted=F.array(F.lit("status")), key=ORDERS_KEY)
+    for changes in (snapshot(orders, "orders", ORDERS_KEY), ddl.as_changes(ddl.tracked(asked, ["public.orders"])), later):
+        changelog.append(changelog.to_wire(changes, "g"), log)
+        Worker(log, "g", None, out).start(spark, f"{base}/state", once=True).awaitTermination()
+    return out.read(spark, "orders")
+
+
+@query("copy_then_stream", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'changed' ELSE o_orderstatus END AS o_orderstatus FROM orders")
+def _copied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed updates from position 0 on come after the copy, whatever the order of the log's files."""
+    orders = scan(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    row = F.struct("o_orderkey", F.lit("changed").alias("o_orderstatus"))
+    stream = model.envelope(orders.where("o_orderkey % 3 = 0"), "orders", op=model.UPDATE, new=row, old=F.lit(None).cast(orders.schema.simpleString()), seq=F.lit(0), key=ORDERS_KEY)
+    return replay(stream.unionByName(snapshot(orders, "orders", ORDERS_KEY)), ["o_orderkey"])
+
+
 query("stream_microbatch", _REPLAYED)(lambda s, d: _streamed(s, d, 0, 100))
 query("stream_resume", _REPLAYED)(lambda s, d: _streamed(s, d, 1, 100))
 query("row_md5_checksum", "SELECT o_orderkey, md5(concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)) AS checksum FROM orders")(

@@ -11,6 +11,9 @@ from changeflow.sinks.base import message
 class ConsoleSink:
     """One JSON line a change on the driver's standard output, in order; for looking, it streams a partition at a time."""
 
+    #: Schema changes are lines like others.
+    lines = True
+
     def write(self, changes: DataFrame, table: str, batch: int = 0) -> None:
         for r in changes.select("_seq", message(changes).alias("value")).orderBy("_seq").select("value").toLocalIterator():
             print(r["value"])
@@ -19,6 +22,8 @@ class ConsoleSink:
 class JsonLinesSink:
     """JSON lines in folders by UTC hour, so many a file. A batch that is written again replaces its own files."""
 
+    lines = True
+
     def __init__(self, path: str, max_records_per_file: int = 500_000) -> None:
         self.path, self.most = path, max_records_per_file
 

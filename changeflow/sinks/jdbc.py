@@ -7,12 +7,13 @@ of those keys, so that it is the one that statements in order would leave.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow import model
+from changeflow.operators.ddl import SchemaChange, parse
 from changeflow.operators.replay import changes_key, replay, replay_rows, target_key
 from changeflow.session import checkpointed
 from changeflow.streaming.retry import with_retry
@@ -76,6 +77,22 @@ class JdbcSink:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.jdbc(self.url, quoted(table), properties=self.options)
 
+    def alter(self, table: str, changes: list[SchemaChange], commands: Sequence[str] = ()) -> None:
+        """Runs the commands on the target, without those whose changes are all there already, as after a batch that comes again."""
+        spark = SparkSession.getActiveSession()
+        for command in commands:
+            done = False
+            if self.exists(spark, table):
+                have = {c.lower() for c in self.read(spark, table).columns}
+                there = {"add": lambda c: c.column.lower() in have, "drop": lambda c: c.column.lower() not in have, "rename": lambda c: c.column.lower() not in have and c.to.lower() in have}
+                done = all(c.action in there and there[c.action](c) for c in parse(command))
+            if not done:
+                self.execute(spark, [command])
+        if table in self.keys:
+            for c in changes:
+                if c.action == "rename":
+                    self.keys[table] = self.keys[table].renamed({c.column: c.to})
+
     def write(self, changes: DataFrame, table: str, batch: int = 0) -> None:
         spark, key = changes.sparkSession, self.keys.get(table)
         if key is None or not key.is_valid():
@@ -87,6 +104,8 @@ class JdbcSink:
                 raise ValueError(f"{table} is not on the target")
             spark.createDataFrame([], row).write.jdbc(self.url, quoted(table), mode="append", properties=self.options)
         base = self.read(spark, table)
+        changes = model.widened(changes, base.schema)
+        row = model.row_type(changes)
         if key.type == model.FULL:
             rows = checkpointed(replay_rows(changes, base))
             self._stage(rows, table)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,9 +44,13 @@ class TableSink:
         found = [v for v in self.versions(spark, table) if before is None or v < before]
         return spark.read.parquet(f"{self.path}/{table}/v={found[-1]}") if found else None
 
-    def alter(self, table: str, changes: list[SchemaChange]) -> None:
+    def alter(self, table: str, changes: list[SchemaChange], commands: Sequence[str] = ()) -> None:
         """Schema changes that the next batch applies to the rows that are there."""
         self.changes.setdefault(table, []).extend(changes)
+        if table in self.keys:
+            for c in changes:
+                if c.action == "rename":
+                    self.keys[table] = self.keys[table].renamed({c.column: c.to})
 
     def write(self, changes: DataFrame, table: str, batch: int = 0) -> None:
         spark, key = changes.sparkSession, self.keys.get(table)
@@ -54,11 +58,13 @@ class TableSink:
             raise ValueError(f"{table} has no replication key")
         base = self.read(spark, table, before=batch)
         if base is not None:
-            base = evolve(base, self.changes.pop(table, []))
+            base = evolve(base, self.changes.get(table, []))
             missing = [f for f in model.row_type(changes) if f.name not in base.columns]
             base = evolve(base, [SchemaChange("add", table, f.name, f.dataType.simpleString()) for f in missing])
+            changes = model.widened(changes, base.schema)
         rows = replay_rows(changes, base) if key.type == model.FULL else replay(changes, list(key.columns), base, self.on_conflict)
         rows.write.mode("overwrite").parquet(f"{self.path}/{table}/v={batch}")
+        self.changes.pop(table, None)  # a batch that fails before here finds them again
         fs, folder, jvm = self._files(spark, table)
         for old in self.versions(spark, table)[: -max(self.keep, 1)]:
             fs.delete(jvm.org.apache.hadoop.fs.Path(folder, f"v={old}"), True)

@@ -29,6 +29,8 @@ def post(url: str, body: str, tries: int, timeout: float) -> None:
 class WebhookSink:
     """One POST a change. ``ordered`` sends them in their order from one task; else tasks send side by side."""
 
+    lines = True
+
     def __init__(self, url: str, tries: int = 3, timeout: float = 10.0, ordered: bool = True) -> None:
         self.url, self.tries, self.timeout, self.ordered = url, tries, timeout, ordered
 

@@ -8,6 +8,8 @@ reader never sees a part of a commit.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,15 +34,32 @@ def to_wire(changes: DataFrame, group: str = "default") -> DataFrame:
 
 def _value(side: str, name: str) -> Column:
     """A column by its name in the row's own column list; null if the row has none of the name."""
-    at = F.array_position(F.transform("columns", lambda c: c["name"]), name)
-    return F.when(at > 0, F.get(F.col(side), (at - 1).cast("int")))
+    return F.try_element_at(side, F.nullif(_place(name), F.lit(0)))
+
+
+def _place(name: str) -> Column:
+    return F.array_position("columns.name", F.lit(name)).cast("int")
+
 
+def from_wire(log: DataFrame, table: str, row: T.StructType, schema: str = "public", earlier: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Typed changes of one table from the log.
 
-def from_wire(log: DataFrame, table: str, row: T.StructType, schema: str = "public") -> DataFrame:
-    """Typed changes of one table from the log; ``row`` may have columns that older rows lack."""
-    side = lambda s: F.when(F.col(s).isNotNull(), F.struct(*[_typed(_value(s, f.name), f).alias(f.name) for f in row]))
+    ``row`` may have columns that older rows lack: an UPDATE of those leaves them out, which is not NULL.
+    ``earlier`` has the names that columns bore before they were renamed, the latest first.
+    """
+    earlier = earlier or {}
     own = log.where((F.col("_table") == table) & (F.col("_schema") == schema))
-    return own.select(*model.META, side("new").alias("new"), side("old").alias("old"))
+    # Places are looked up once for each list of columns that a row can have, not for each side of it.
+    at = [F.coalesce(*[F.nullif(_place(n), F.lit(0)) for n in (f.name, *earlier.get(f.name, ()))]).alias(f"p{i}") for i, f in enumerate(row)]
+    own = own.withColumn("_at", F.struct(*at))
+    place = lambda i: F.col("_at")[f"p{i}"]
+    side = lambda s: F.when(F.col(s).isNotNull(), F.struct(*[_typed(F.try_element_at(s, place(i)), f).alias(f.name) for i, f in enumerate(row)]))
+    left = F.col("_toasted")
+    if earlier:
+        left = F.transform(left, lambda c: F.coalesce(*[F.when(c.isin(*names), F.lit(name)) for name, names in earlier.items()], c))
+    lacking = F.filter(F.array(*[F.when(place(i).isNull(), F.lit(f.name)) for i, f in enumerate(row)]), lambda c: c.isNotNull())
+    toasted = F.when((F.col("_op") == model.UPDATE) & (F.size(lacking) > 0), F.array_union(left, lacking)).otherwise(left)
+    return own.select(*[toasted.alias(c) if c == "_toasted" else c for c in model.META], side("new").alias("new"), side("old").alias("old"))
 
 
 def _typed(c: Column, f: T.StructField) -> Column:

@@ -47,9 +47,17 @@ class Relation:
     columns: list[tuple[str, int, bool]]  # name, type number, part of the key
 
 
+#: Changes of a transaction in the room between two bytes of the log. Commits are 40 bytes apart at least.
+ORDINAL_BITS = 14
+
+
 @dataclass
 class Decoder:
-    """Frames in, committed changes out. ``reply`` is true after a keepalive that asks for feedback."""
+    """Frames in, committed changes out. ``reply`` is true after a keepalive that asks for feedback.
+
+    ``_seq`` is the commit's log position, shifted to make room for the change's place in the transaction, so
+    that a decoder that starts at a later position goes on in the same order.
+    """
 
     seq: int = 0
     relations: dict[int, Relation] = field(default_factory=dict)
@@ -140,6 +148,7 @@ class Decoder:
     def _commit(self, m: bytes) -> list[dict]:
         commit, _, at = struct.unpack(">qqq", m[2:26])
         done, self.buffer, self.committed = self.buffer, [], commit
+        self.seq = max(self.seq, commit << ORDINAL_BITS)
         for c in done:
             c |= {"_seq": self.seq, "_commit_lsn": lsn_text(commit), "_emitted_at": EPOCH + timedelta(microseconds=at)}
             self.seq += 1

@@ -7,8 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A place before every streamed change.
-BEFORE = -(2**62)
+from changeflow import model
+
 MODES = ("stream", "copy", "copy-and-stream")
 
 
@@ -29,6 +29,6 @@ def capture(mode: str, snapshots: Mapping[str, DataFrame], streams: Mapping[str,
         return dict(streams)
     out = dict(snapshots)
     for table, stream in streams.items():
-        out[table] = out[table].withColumn("_seq", F.lit(BEFORE).cast("long")).unionByName(stream) if table in out else stream
+        out[table] = out[table].withColumn("_seq", F.lit(model.BEFORE).cast("long")).unionByName(stream) if table in out else stream
     return out
 

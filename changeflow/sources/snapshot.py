@@ -27,7 +27,7 @@ def range_predicates(pages: int, per_range: int = PAGES_PER_RANGE) -> list[str]:
 
 def snapshot(rows: DataFrame, table: str, key: model.ReplicationKey | None = None, schema: str = "public", lsn: str = "") -> DataFrame:
     """Every row as an INSERT before all streamed changes. Rows of a copy bear no log position; ``lsn`` stamps the snapshot's."""
-    return model.envelope(rows, table, key=key, schema=schema, lsn=lsn, seq=F.lit(0))
+    return model.envelope(rows, table, key=key, schema=schema, lsn=lsn, seq=F.lit(model.BEFORE))
 
 
 def copy_tables(spark: SparkSession, paths: Mapping[str, str], keys: Mapping[str, model.ReplicationKey] | None = None, fmt: str = "parquet") -> dict[str, DataFrame]:

@@ -12,30 +12,34 @@ from changeflow.operators import ddl
 
 #: Seconds between polls (default of the option).
 INTERVAL = 1.0
+#: Rows of the log that a poll takes.
+MOST = 1000
 
 
 class DdlPoller:
     """Reads the log, publishes what is tracked and not repeated, in order, then has the processed rows deleted.
 
-    ``read`` gives the log as a DataFrame, ``publish`` takes DDL changes, ``delete`` takes the highest
-    processed id: rows that arrive meanwhile have higher ones and stay.
+    ``read`` gives the log as a DataFrame, ``publish`` takes DDL changes, ``delete`` takes the ids that were
+    read: others may commit later with lower ids, and stay for the next poll. A poll takes ``most`` rows, the
+    oldest first. A poll that fails in the background is told by ``error`` and ``stop``, and tried again.
     """
 
-    def __init__(self, read: Callable[[], DataFrame], publish: Callable[[DataFrame], None], delete: Callable[[int], None], tables: Sequence[str] = ()) -> None:
-        self.read, self.publish, self.delete, self.tables = read, publish, delete, tuple(tables)
+    def __init__(self, read: Callable[[], DataFrame], publish: Callable[[DataFrame], None], delete: Callable[[list[int]], None], tables: Sequence[str] = (), most: int = MOST) -> None:
+        self.read, self.publish, self.delete, self.tables, self.most = read, publish, delete, tuple(tables), most
+        self.error: Exception | None = None
         self._stop = threading.Event()
 
     def poll(self) -> int:
         """One poll; the number of published changes."""
         log = self.read()
-        last = log.agg(F.max("id")).first()[0]
-        if last is None:
+        ids = [r["id"] for r in log.select("id").orderBy("id").limit(self.most).collect()]
+        if not ids:
             return 0
-        changes = ddl.as_changes(ddl.deduplicated(ddl.tracked(log.where(F.col("id") <= last), self.tables)))
+        changes = ddl.as_changes(ddl.deduplicated(ddl.tracked(log.where(F.col("id").isin(ids)), self.tables)))
         n = changes.count()
         if n:
             self.publish(changes)
-        self.delete(last)
+        self.delete(ids)
         return n
 
     def start(self, interval: float = INTERVAL) -> threading.Thread:
@@ -43,7 +47,11 @@ class DdlPoller:
 
         def run() -> None:
             while not self._stop.wait(interval):
-                self.poll()
+                try:
+                    self.poll()
+                    self.error = None
+                except Exception as e:  # nothing was deleted, so the next poll reads the rows again
+                    self.error = e
 
         thread = threading.Thread(target=run, daemon=True)
         thread.start()

@@ -7,14 +7,16 @@ checkpoint folder is the group's state: positions and finished batches.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from changeflow import model
+from changeflow import model, pgtypes
 from changeflow.operators import ddl
 from changeflow.plans.pipeline import Pipeline
 from changeflow.sinks.base import Sink
@@ -22,29 +24,96 @@ from changeflow.sources import changelog
 
 #: Milliseconds between flushes, and files of the log in one batch (defaults of the options).
 FLUSH_MS, FILES = 500, 100
+#: The row of a schema change.
+DDL_ROW = T.StructType([T.StructField(n, T.StringType()) for n in ("event_type", "object_type", "object_identity", "ddl_command")] + [T.StructField("created_at", T.TimestampType())])
+
+
+@dataclass
+class Shape:
+    """What is known of a table's columns: its row type, the names that columns bore before, and those that went."""
+
+    row: T.StructType
+    earlier: dict[str, list[str]] = field(default_factory=dict)
+    dropped: set[str] = field(default_factory=set)
+
+    def apply(self, changes: Sequence[ddl.SchemaChange]) -> None:
+        """Schema changes; one that is repeated, or that rows under the new columns came before, changes nothing more."""
+        for c in changes:
+            fields = {f.name: f for f in self.row}
+            if c.action == "add":
+                self.dropped.discard(c.column)
+                fields.setdefault(c.column, T.StructField(c.column, T._parse_datatype_string(c.to)))
+            elif c.action == "drop":
+                self.dropped.add(c.column)
+                fields.pop(c.column, None)
+            elif c.action == "rename" and c.column != c.to:
+                self.earlier[c.to] = [n for n in dict.fromkeys([c.column, *self.earlier.pop(c.column, []), *self.earlier.get(c.to, [])]) if n != c.to]
+                was = fields.pop(c.column, None)
+                if was is not None and c.to not in fields:
+                    at = [f.name for f in self.row].index(c.column)
+                    renamed = [*fields.values()]
+                    renamed.insert(at, T.StructField(c.to, was.dataType, True, was.metadata))
+                    fields = {f.name: f for f in renamed}
+            elif c.action == "retype" and c.column in fields:
+                fields[c.column] = T.StructField(c.column, T._parse_datatype_string(c.to))
+            self.row = T.StructType(list(fields.values()))
+
+    def meet(self, columns: Sequence) -> None:
+        """Columns of rows that are not known yet."""
+        now = {old: name for name, names in self.earlier.items() for old in names}
+        for c in columns:
+            name = c["name"] if c["name"] in self.row.names else now.get(c["name"], c["name"])
+            if name not in self.row.names and name not in self.dropped:
+                self.row = T.StructType([*self.row, T.StructField(name, pgtypes.spark_type(c["oid"]), True, {"pg_oid": c["oid"]})])
 
 
 class Worker:
-    """Runs a pipeline over a group's log. ``tables`` has the row type of each table; changes of others are left in the log."""
+    """Runs a pipeline over a group's log.
 
-    def __init__(self, log: str, group: str, tables: Mapping[str, T.StructType], sink: Sink, pipeline: Pipeline | None = None, schema: str = "public", files: int = FILES, dead_letters: str | None = None) -> None:
-        self.log, self.group, self.tables, self.sink = log, group, dict(tables), sink
+    ``tables`` has the row types of the tables to deliver; None delivers all, those that appear later too.
+    Rows carry their own columns, and schema changes of the log tell new names, so that neither columns that
+    come later nor rows from before a change are lost.
+    """
+
+    def __init__(self, log: str, group: str, tables: Mapping[str, T.StructType] | None, sink: Sink, pipeline: Pipeline | None = None, schema: str = "public", files: int = FILES, dead_letters: str | None = None) -> None:
+        self.log, self.group, self.sink = log, group, sink
+        self.only = None if tables is None else set(tables)
+        self.shapes = {t: Shape(row) for t, row in (tables or {}).items()}
         self.pipeline, self.schema, self.files, self.dead_letters = pipeline or Pipeline(), schema, files, dead_letters
 
+    def _commands(self, rows: DataFrame) -> list[tuple[str, str]]:
+        """(table, command) of the schema changes in their order."""
+        own = rows.where((F.col("_op") == model.DDL) & (F.col("_schema") == self.schema))
+        found = own.orderBy("_seq").select("_table", changelog._value("new", "ddl_command").alias("c")).collect()
+        return [(r["_table"], r["c"]) for r in found if r["c"] and (self.only is None or r["_table"] in self.only)]
+
+    def history(self, spark: SparkSession) -> None:
+        """Names that the log's schema changes tell, also those of batches that an earlier run finished."""
+        try:
+            log = changelog.read(spark, self.log, self.group)
+        except AnalysisException:  # no log yet
+            return
+        for table, command in self._commands(log):
+            self.shapes.setdefault(table, Shape(T.StructType())).apply(ddl.parse(command))
+
     def process(self, batch: DataFrame, number: int) -> None:
         """One micro-batch: it is read once and goes table by table, schema changes first."""
         batch = batch.persist()
         try:
-            present = {r["_table"]: r["ops"] for r in batch.groupBy("_table").agg(F.collect_set("_op").alias("ops")).collect()}  # a row a table
-            for table, row in self.tables.items():
-                if table not in present:
-                    continue
-                if model.DDL in present[table] and hasattr(self.sink, "alter"):
-                    commands = batch.where((F.col("_table") == table) & (F.col("_op") == model.DDL)).orderBy("_seq").select(changelog._value("new", "ddl_command").alias("c")).collect()
-                    self.sink.alter(table, [x for r in commands if r["c"] for x in ddl.parse(r["c"])])
-                changes = changelog.from_wire(batch.where(F.col("_op") != model.DDL), table, row, self.schema)
+            data = batch.where((F.col("_op") != model.DDL) & (F.col("_schema") == self.schema))
+            seen = data.groupBy("_table", "columns").agg(F.max("_seq").alias("at"), F.max_by("_key", "_seq").alias("key")).orderBy("at").collect()  # a row for each list of columns of a table
+            commands: dict[str, list[str]] = {}
+            for table, command in self._commands(batch):
+                commands.setdefault(table, []).append(command)
+                self.shapes.setdefault(table, Shape(T.StructType())).apply(ddl.parse(command))
+            present: dict[str, model.ReplicationKey] = {}
+            for r in seen:
+                if self.only is None or r["_table"] in self.only:
+                    self.shapes.setdefault(r["_table"], Shape(T.StructType())).meet(r["columns"])
+                    present[r["_table"]] = model.ReplicationKey(r["key"]["type"], tuple(r["key"]["columns"]))
+            for table in sorted(commands.keys() | present.keys()):
                 try:
-                    self.sink.write(self.pipeline.run(changes, table, self.schema), self.pipeline.router.destination(table, self.schema), number)
+                    self._deliver(batch, table, number, commands.get(table, []), present.get(table))
                 except Exception:
                     if self.dead_letters is None:
                         raise
@@ -52,8 +121,27 @@ class Worker:
         finally:
             batch.unpersist()
 
+    def _deliver(self, batch: DataFrame, table: str, number: int, commands: list[str], key: model.ReplicationKey | None) -> None:
+        shape, target = self.shapes[table], self.pipeline.router.destination(table, self.schema)
+        if key is not None and isinstance(getattr(self.sink, "keys", None), dict):
+            self.sink.keys.setdefault(target, self.pipeline.key(table, key, self.schema))
+        changes = [c for command in commands for c in ddl.parse(command)]
+        if commands and hasattr(self.sink, "alter"):
+            self.sink.alter(target, changes, commands)
+        if commands and getattr(self.sink, "lines", False):
+            told = changelog.from_wire(batch.where(F.col("_op") == model.DDL), table, DDL_ROW, self.schema)
+            self.sink.write(told, f"{target}_ddl", number)
+        row = shape.row
+        if commands and not len(row) and hasattr(self.sink, "versions"):  # only what the sink holds is to change
+            held = self.sink.read(batch.sparkSession, target)
+            row = row if held is None else ddl.evolve(held, changes).schema
+        if len(row) and (key is not None or commands and hasattr(self.sink, "versions")):
+            rows = changelog.from_wire(batch.where(F.col("_op") != model.DDL), table, row, self.schema, shape.earlier)
+            self.sink.write(self.pipeline.run(rows, table, self.schema), target, number)
+
     def start(self, spark: SparkSession, checkpoint: str, once: bool = False, flush_ms: int = FLUSH_MS) -> StreamingQuery:
         """Starts or resumes the group. ``once`` works off what there is and stops."""
+        self.history(spark)
         stream = changelog.read_stream(spark, self.log, self.group, self.files)
         writer = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint).queryName(f"changeflow_{self.group.replace('-', '_')}")
         return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{flush_ms} milliseconds")).start()

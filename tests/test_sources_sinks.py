@@ -57,7 +57,7 @@ def test_decoder():
     for m in FIRST:
         assert d.frame(_frame(m)) == []
     done = d.frame(_frame(_commit(0x1_0000_00FF)))
-    assert [(c["_op"], c["_seq"], c["new"]) for c in done] == [("INSERT", 0, ["1", "ann", "x" * 10]), ("INSERT", 1, ["2", None, ""])]
+    assert [(c["_op"], c["_seq"], c["new"]) for c in done] == [("INSERT", 0x1_0000_00FF << 14, ["1", "ann", "x" * 10]), ("INSERT", (0x1_0000_00FF << 14) + 1, ["2", None, ""])]
     assert done[0]["_commit_lsn"] == "1/FF" and done[0]["_key"] == ("PRIMARY KEY", ["id"]) and done[0]["columns"][0] == ("id", 23)
     for m in SECOND:
         d.frame(_frame(m))
@@ -248,12 +248,81 @@ def test_poller(spark):
     rows = [(1, "ALTER TABLE", "table", "app.users", "ALTER TABLE app.users ADD a int", "2024-01-01"), (2, "ALTER TABLE", "table column", "app.users.a", "ALTER TABLE app.users ADD a int", "2024-01-01"), (3, "ALTER TABLE", "table", "app.other", "ALTER TABLE app.other ADD a int", "2024-01-02")]
     left, published = list(rows), []
     frame = lambda: spark.createDataFrame(left, "id long, event_type string, object_type string, object_identity string, ddl_command string, created_at string")
-    poller = DdlPoller(frame, lambda c: published.extend(r["new"]["ddl_command"] for r in c.collect()), lambda last: left.__setitem__(slice(None), [r for r in left if r[0] > last]), ["app.users"])
+    poller = DdlPoller(frame, lambda c: published.extend(r["new"]["ddl_command"] for r in c.collect()), lambda ids: left.__setitem__(slice(None), [r for r in left if r[0] not in ids]), ["app.users"])
     assert poller.poll() == 1 and published == [rows[0][4]] and left == [] and poller.poll() == 0
     poller.start(30)
     poller.stop()
 
 
+def _wire(spark, log, changes, group="g"):
+    changelog.append(changelog.to_wire(changes, group), log)
+
+
+def _ddl(spark, *commands):
+    rows = [(i, "ALTER TABLE", kind, identity, command, "2024-01-01") for i, (kind, identity, command) in enumerate(commands)]
+    log = spark.createDataFrame(rows, "id long, event_type string, object_type string, object_identity string, ddl_command string, created_at string")
+    return ddl.as_changes(log.withColumn("created_at", F.col("created_at").cast("timestamp")))
+
+
+def test_schema_changes_lose_no_rows(spark, tmp_path):
+    """Renamed and added columns, rows from before a change that come after it, tables that come later, and restarts."""
+    log, state = str(tmp_path / "log"), str(tmp_path / "state")
+    sink = TableSink(str(tmp_path / "out"), {})
+    key = model.ReplicationKey(model.PRIMARY_KEY, ("id",))
+
+    def run():
+        Worker(log, "g", None, sink, schema="app").start(spark, state, once=True).awaitTermination()
+
+    def change(op, columns, *rows, at):
+        made = spark.createDataFrame(rows, columns)
+        new = F.struct(*made.columns)
+        return model.envelope(made, "users", op=op, new=new, old=F.lit(None).cast(made.schema.simpleString()), seq=F.lit(at), key=key, schema="app")
+
+    _wire(spark, log, snapshot.snapshot(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, data string"), "users", key, "app"))
+    run()
+    _wire(spark, log, _ddl(spark, ("table column", "app.users.data", "ALTER TABLE app.users RENAME COLUMN data TO body"), ("table", "app.users", "ALTER TABLE app.users ADD COLUMN note text")))
+    run()
+    assert sorted(map(tuple, sink.read(spark, "users").select("id", "body", "note").collect())) == [(1, "a", None), (2, "b", None), (3, "c", None)]
+    _wire(spark, log, change("UPDATE", "id int, body string, note string", (1, "A", "n"), at=10))
+    _wire(spark, log, change("UPDATE", "id int, data string", (2, "B"), at=5))  # from before the change
+    _wire(spark, log, snapshot.snapshot(spark.createDataFrame([(7, 1.5)], "id int, x double"), "later", key, "app"))
+    run()
+    out = sink.read(spark, "users")
+    assert set(out.columns) == {"id", "body", "note"} and sorted(map(tuple, out.select("id", "body", "note").collect())) == [(1, "A", "n"), (2, "B", None), (3, "c", None)]
+    assert [tuple(r) for r in sink.read(spark, "later").collect()] == [(7, 1.5)]
+    # Rows under a new name that come before the command, and a dropped column.
+    _wire(spark, log, change("UPDATE", "id int, text string, note string", (3, "C", "m"), at=20))
+    run()
+    _wire(spark, log, _ddl(spark, ("table column", "app.users.body", "ALTER TABLE app.users RENAME body TO text"), ("table column", "app.users.note", "ALTER TABLE app.users DROP COLUMN note")))
+    run()
+    assert sorted(map(tuple, sink.read(spark, "users").select("id", "text").collect())) == [(1, "A"), (2, "B"), (3, "C")] and sink.read(spark, "users").columns == ["id", "text"]
+
+
+def test_schema_changes_are_lines(spark, tmp_path, capsys):
+    log = str(tmp_path / "log")
+    _wire(spark, log, _ddl(spark, ("table", "app.users", "ALTER TABLE app.users ADD COLUMN note text")))
+    Worker(log, "g", None, create("stdout"), schema="app").start(spark, str(tmp_path / "s"), once=True).awaitTermination()
+    assert '"Type":"DDL"' in capsys.readouterr().out
+    Worker(log, "g", None, create("file", path=str(tmp_path / "lines")), schema="app").start(spark, str(tmp_path / "t"), once=True).awaitTermination()
+    assert "ADD COLUMN note" in spark.read.text(str(tmp_path / "lines" / "users_ddl")).first()["value"]
+
+
+def test_poller_keeps_rows_that_commit_late(spark):
+    from changeflow.streaming.ddl_poll import DdlPoller
+
+    columns = "id long, event_type string, object_type string, object_identity string, ddl_command string, created_at string"
+    row = lambda i: (i, "ALTER TABLE", "table", "app.users", f"ALTER TABLE app.users ADD c{i} int", "2024-01-01")
+    left, told = [row(2), row(5)], []
+
+    def delete(ids):
+        left.append(row(3))  # commits while the poll runs
+        left[:] = [r for r in left if r[0] not in ids]
+
+    poller = DdlPoller(lambda: spark.createDataFrame(left, columns), lambda c: told.extend(r["_seq"] for r in c.collect()), delete)
+    assert poller.poll() == 2 and [r[0] for r in left] == [3]
+    assert poller.poll() == 1 and sorted(told) == [2, 3, 5]
+
+
 # --- ranges, keys, modes, configuration, retries
 
 
