@@ -9,11 +9,13 @@ Training: n-grams are counted in each task and added up by n-gram; continuation
 sums of contexts and the discounts are sharded aggregations. What is kept is a table of own shares by
 n-gram and of interpolation weights by context, for each order.
 
-Scoring: a slice is up to ``SLICE`` characters of a task's documents, packed, with the different n-grams in
-them, once each. The slices' n-grams meet the tables of all orders in sharded joins on the n-gram, and the
-slices get the logarithms back and add them up for each document. So the exchange holds each n-gram once a
-slice, not once a document; nothing is broadcast that grows, and no table is collected. A task holds one
-slice and its n-grams; a document that is longer makes a slice of its own.
+Scoring: a slice is about ``SLICE`` bytes of a task's documents. A first scan tells the different n-grams of
+each slice, which meet the tables of all orders in sharded joins on the n-gram; a second scan packs the
+slices, which get the logarithms by a join on the slice and add them up for each document. So the exchange
+holds each n-gram once a slice, not once a document; nothing is broadcast that grows, and no table is
+collected. Both scans have to see the rows in the same order, as scans of files do; where they do not, a
+check on every n-gram raises an error. A task holds one slice and its n-grams; a slice ends with the
+document that fills it, so a longer one makes a slice with what stands before it.
 
 Defined results: null and empty texts have perplexity null and are kept; very long texts are read whole; a
 null language is a language of its own; languages with fewer than ``FEW`` trusted documents that the model
@@ -24,12 +26,12 @@ gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +44,7 @@ ORDER, UNIT = 4, 16
 QUANTILE, MARGIN, FEW, HELD = 0.98, 1.05, 20, 4
 #: So many trusted ids are broadcast at most; beyond, documents meet them by a shuffled join.
 MOST_BROADCAST = 500_000
-#: Characters of a slice, and rows of a batch that are read at once.
+#: Bytes of text in a slice, and rows of a batch that are read at once.
 SLICE, ROWS = 1 << 24, 1 << 9
 
 
@@ -145,37 +147,69 @@ def fit_model(trusted_text: DataFrame) -> Model:
     return kneser_ney(checkpointed(map_rows(trusted_text, counted, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))))
 
 
-def _packed(at: int):
-    """Slices of the rows: an Arrow stream, and the different codes in it."""
-    out = arrow_schema("slice long, payload binary, codes array<long>")
+def _cut(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """(slice, part of a batch): slices end with the row that fills them, wherever batches end, so that two scans of the same rows cut alike."""
+    from pyspark import TaskContext
+
+    number, size = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo, before = 0, 0
+        while lo < batch.num_rows:
+            full = int(np.searchsorted(ends, before + SLICE - size, "left")) + 1
+            hi = min(full, lo + ROWS, batch.num_rows)
+            yield number, batch.slice(lo, hi - lo)
+            size += int(ends[hi - 1]) - before
+            lo, before = hi, int(ends[hi - 1])
+            if size >= SLICE:
+                number, size = number + 1, 0
+
+
+def _asked(at: int):
+    """The different codes of each slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sink = writer = None
-        held: list[np.ndarray] = []
-        size = 0
+        held, last = [], None
 
         def row() -> pa.RecordBatch:
-            writer.close()
             found = np.unique(np.concatenate(held))
-            lists = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), pa.array(found))
-            return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()), lists], schema=out)
+            pa.default_memory_pool().release_unused()
+            return pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), pa.array(found))], names=["slice", "codes"])
+
+        for number, part in _cut(batches, at):
+            if last is not None and number != last:
+                yield row()
+                held = []
+            last = number
+            held.append(np.unique(codes_of(part.column(at))[0]))
+            if len(held) > 64:
+                held = [np.unique(np.concatenate(held))]
+        if last is not None:
+            yield row()
 
-        for batch in batches:
-            for k in range(0, batch.num_rows, ROWS):
-                part = batch.slice(k, ROWS)
-                if writer is None:
-                    sink = pa.BufferOutputStream()
-                    writer = pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
-                writer.write_batch(part)
-                found, sizes = codes_of(part.column(at))
-                held.append(np.unique(found))
-                size += int(sizes.sum())
-                if len(held) > 64:
-                    held = [np.unique(np.concatenate(held))]
-                if size >= SLICE:
-                    yield row()
-                    writer, held, size = None, [], 0
-                    pa.default_memory_pool().release_unused()
+    return run
+
+
+def _packed(at: int):
+    """Each slice as an Arrow stream."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sink = writer = last = None
+
+        def row() -> pa.RecordBatch:
+            writer.close()
+            return pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["slice", "payload"])
+
+        for number, part in _cut(batches, at):
+            if writer is not None and number != last:
+                yield row()
+                writer = None
+                pa.default_memory_pool().release_unused()
+            if writer is None:
+                sink = pa.BufferOutputStream()
+                writer = pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6)))
+            last = number
+            writer.write_batch(part)
         if writer is not None:
             yield row()
 
@@ -191,7 +225,10 @@ def _scored(text_col: str, keep: list[str], schema: pa.Schema):
         for payload in group.column("payload"):
             for batch in pa.ipc.open_stream(payload.as_buffer()):
                 found, sizes = codes_of(batch.column(batch.schema.get_field_index(text_col)))
-                sums, ends = np.r_[0.0, np.cumsum(log_p[np.searchsorted(known, found)])] if len(found) else np.zeros(1), np.cumsum(sizes)
+                place = np.minimum(np.searchsorted(known, found), max(0, len(known) - 1))
+                if len(found) and not (len(known) and (known[place] == found).all()):
+                    raise ValueError("two scans of the documents differ: write them to a table first")
+                sums, ends = np.r_[0.0, np.cumsum(log_p[place])] if len(found) else np.zeros(1), np.cumsum(sizes)
                 mean = (sums[ends] - sums[ends - sizes]) / np.maximum(sizes, 1)
                 made = pa.array(np.exp(-mean), mask=sizes == 0)
                 columns = [*[batch.column(batch.schema.get_field_index(c)) for c in keep], made]
@@ -207,10 +244,19 @@ def perplexities(docs: DataFrame, model: Model, text_col: str = "text", name: st
     if model.table is None:
         return docs.select(*[F.col(f"`{c}`") for c in keep], F.lit(None).cast("double").alias(name))
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField(name, T.DoubleType())])
-    slices = checkpointed(docs.mapInArrow(_packed(docs.columns.index(text_col)), "slice long, payload binary, codes array<long>"))
-    asked = slices.select(F.col("slice").alias("of"), F.explode("codes").alias("code"))
+    docs = _few_tasks(docs, text_col)
+    asked = checkpointed(docs.mapInArrow(_asked(docs.columns.index(text_col)), "slice long, codes array<long>"))
+    asked = asked.select(F.col("slice").alias("of"), F.explode("codes").alias("code"))
     told = asked.join(model.log_p(asked), "code").select("of", "code", "log_p")
-    return slices.select("slice", "payload").groupBy("slice").cogroup(told.groupBy("of")).applyInArrow(_scored(text_col, keep, arrow_schema(schema)), schema)
+    slices = docs.mapInArrow(_packed(docs.columns.index(text_col)), "slice long, payload binary")
+    return slices.groupBy("slice").cogroup(told.groupBy("of")).applyInArrow(_scored(text_col, keep, arrow_schema(schema)), schema)
+
+
+def _few_tasks(docs: DataFrame, text_col: str) -> DataFrame:
+    """Small partitions joined to some of a slice each, as long as all cores have one: each n-gram travels once a slice."""
+    whole = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")))).first()[0] or 0
+    wanted = max(-(-whole // SLICE), docs.sparkSession.sparkContext.defaultParallelism)
+    return docs.coalesce(wanted) if docs.rdd.getNumPartitions() > wanted else docs
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
@@ -231,11 +277,14 @@ class Fitted:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN) -> Fitted:
     """The model and the thresholds, from all trusted documents of ``docs``."""
     trusted = checkpointed(trusted_ids(labels))
-    few = F.broadcast(trusted) if trusted.count() <= MOST_BROADCAST else trusted
+    small = trusted.count() <= MOST_BROADCAST
+    few = F.broadcast(trusted) if small else trusted
     rows = docs.select(F.col(id_col).cast("long").alias("trusted_id"), F.col(text_col).alias("t"), F.col(lang_col).alias("of_lang")).join(few, "trusted_id")
     held = F.pmod(F.xxhash64("trusted_id"), F.lit(HELD)) == 0
     model = fit_model(rows.where(~held).select("t"))
-    good = checkpointed(perplexities(rows.where(held).select("t", "of_lang"), model, "t", "p", ["of_lang"]).where("p IS NOT NULL"))
+    unread = rows.where(held).select("t", "of_lang")
+    unread = unread if small else checkpointed(unread)  # a shuffled join gives no steady order
+    good = checkpointed(perplexities(unread, model, "t", "p", ["of_lang"]).where("p IS NOT NULL"))
     limit = (F.percentile_approx("p", quantile, 10_000) * margin).alias("own")
     by_lang = good.groupBy("of_lang").agg(limit, F.count("*").alias("n")).where(F.col("n") >= FEW).select("of_lang", "own")
     return Fitted(model, checkpointed(by_lang), good.agg(limit).first()["own"])

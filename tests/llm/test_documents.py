@@ -278,6 +278,7 @@ def test_kneser_ney(spark, docs_of, monkeypatch):
     for slice_of in (quality.SLICE, 40):
         monkeypatch.setattr(quality, "SLICE", slice_of)
         monkeypatch.setattr(quality, "ROWS", 3)
+        assert spark.sparkContext.defaultParallelism
         docs = docs_of([(i, t) for i, t in enumerate(asked) if t is None or "\ud83d" not in t]).repartition(2)
         out = {r["doc_id"]: r["perplexity"] for r in quality.perplexities(docs, model).collect()}
         for i, got in out.items():
