@@ -3,7 +3,7 @@
 By key: an INSERT of a key that is there does nothing, an UPDATE or DELETE of one that is not there does
 nothing, an UPDATE keeps the columns it left out. Keys that no UPDATE changes have a closed form in window
 functions over (key, _seq), all of them running ones with one sort and no buffering. Keys that an UPDATE
-changes are linked; linked keys are components, found distributed, and each is folded in order.
+changes are linked; linked keys are components, found distributed, and folded in order, many components to a call.
 
 By whole row (FULL): the table is a multiset; DELETE and UPDATE act on every copy of the old row. Without
 UPDATEs the rows that stay are the INSERTs after the last DELETE of the same row.
@@ -27,6 +27,16 @@ class DuplicateKey(ValueError):
     """An UPDATE gave a row the key of another row."""
 
 
+#: Linked keys in one call of a fold, about.
+FOLD = 8192
+
+
+def _fold_buckets(folded: DataFrame, linked: DataFrame, row: T.StructType, keys: list[str] | None, on_conflict: str) -> DataFrame:
+    """Folds components by buckets, so that a call takes many of them; what one does concerns no other."""
+    buckets = max(1, -(-linked.count() // FOLD))
+    return folded.withColumn("_b", F.pmod(F.xxhash64("component"), F.lit(buckets))).groupBy("_b").applyInArrow(_fold(row, keys, on_conflict), row)
+
+
 def _key(side: str, keys: list[str]) -> Column:
     return F.struct(*[model.field(side, k).alias(k) for k in keys])
 
@@ -75,7 +85,7 @@ def _closed(changes: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _fold(row: T.StructType, keys: list[str] | None, on_conflict: str):
-    """Rows after the changes of a component, in their order."""
+    """Rows after the changes of whole components, in their order."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema, names = to_arrow_schema(row), row.names
@@ -131,7 +141,7 @@ def replay(changes: DataFrame, keys: list[str], base: DataFrame | None = None, o
     hashed = changes.where(F.col("_op").isin(*model.DATA_OPERATIONS)).withColumn("_h", F.xxhash64(target_key(keys)))
     folded = hashed.join(linked, F.col("_h") == F.col("node")).select("component", "_seq", "_op", "_toasted", "new", "old")
     rest = hashed.join(linked, F.col("_h") == F.col("node"), "left_anti").drop("_h")
-    return _closed(rest, keys).unionByName(folded.groupBy("component").applyInArrow(_fold(row, keys, on_conflict), row))
+    return _closed(rest, keys).unionByName(_fold_buckets(folded, linked, row, keys, on_conflict))
 
 
 def replay_rows(changes: DataFrame, base: DataFrame | None = None) -> DataFrame:
@@ -148,7 +158,7 @@ def replay_rows(changes: DataFrame, base: DataFrame | None = None) -> DataFrame:
     linked = checkpointed(components(moved).unionByName(moved.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("component"))).groupBy("node").agg(F.min("component").alias("component")))
     folded = rows.join(linked, F.col("_h") == F.col("node")).select("component", "_seq", "_op", "_toasted", "new", "old")
     rest = rows.join(linked, F.col("_h") == F.col("node"), "left_anti")
-    return kept(rest).unionByName(folded.groupBy("component").applyInArrow(_fold(row, None, "raise"), row))
+    return kept(rest).unionByName(_fold_buckets(folded, linked, row, None, "raise"))
 
 
 def _rows_closed(rows: DataFrame, whole: Column, row: T.StructType) -> DataFrame:

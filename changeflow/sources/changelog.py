@@ -37,8 +37,8 @@ def _value(side: str, name: str) -> Column:
     return F.try_element_at(side, F.nullif(_place(name), F.lit(0)))
 
 
-def _place(name: str) -> Column:
-    return F.array_position("columns.name", F.lit(name)).cast("int")
+def _place(name: str, names: str = "columns.name") -> Column:
+    return F.array_position(names, F.lit(name)).cast("int")
 
 
 def from_wire(log: DataFrame, table: str, row: T.StructType, schema: str = "public", earlier: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
@@ -48,9 +48,9 @@ def from_wire(log: DataFrame, table: str, row: T.StructType, schema: str = "publ
     ``earlier`` has the names that columns bore before they were renamed, the latest first.
     """
     earlier = earlier or {}
-    own = log.where((F.col("_table") == table) & (F.col("_schema") == schema))
+    own = log.where((F.col("_table") == table) & (F.col("_schema") == schema)).withColumn("_names", F.col("columns.name"))
     # Places are looked up once for each list of columns that a row can have, not for each side of it.
-    at = [F.coalesce(*[F.nullif(_place(n), F.lit(0)) for n in (f.name, *earlier.get(f.name, ()))]).alias(f"p{i}") for i, f in enumerate(row)]
+    at = [F.coalesce(*[F.nullif(_place(n, "_names"), F.lit(0)) for n in (f.name, *earlier.get(f.name, ()))]).alias(f"p{i}") for i, f in enumerate(row)]
     own = own.withColumn("_at", F.struct(*at))
     place = lambda i: F.col("_at")[f"p{i}"]
     side = lambda s: F.when(F.col(s).isNotNull(), F.struct(*[_typed(F.try_element_at(s, place(i)), f).alias(f.name) for i, f in enumerate(row)]))

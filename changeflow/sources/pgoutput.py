@@ -3,7 +3,7 @@
 ``Decoder`` turns the frames of a replication connection into committed changes: a transaction's changes
 are held from Begin to Commit and come out in order, with a running ``_seq``. The data source
 ``changeflow_pgoutput`` reads frames from files, each ``[length: 4 bytes][frame]``, as batches or streams;
-a live connection can be plugged in as ``transport`` (an object with ``poll`` and ``feedback``).
+as a stream it also follows a live connection, the option ``transport`` (see ``Transport``).
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
+from importlib import import_module
+from typing import Protocol
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
@@ -198,38 +200,74 @@ class _Batch(DataSourceReader):
                     yield from rows(done)
 
 
+class Transport(Protocol):
+    """A replication connection. The option ``transport`` names what makes one of the options, as ``module:name``."""
+
+    def poll(self, after: int) -> Iterable[bytes]:
+        """The frames that there are of the transactions that commit after a log position."""
+
+    def feedback(self, status: bytes) -> None:
+        """Sends a standby status, after which the server may forget what it confirms."""
+
+
 class _Stream(SimpleDataSourceStreamReader):
-    """Offsets are the number of committed transactions, so that a batch never parts one."""
+    """Offsets lie between committed transactions, so that a batch never parts one.
+
+    An offset has the place in the file, the position of the last commit, the running ``_seq`` and the
+    relations known there, so that a batch reads on from it and nothing before it.
+    """
 
     def __init__(self, options: dict) -> None:
-        self.path, self.most = options["path"], int(options.get("maxtransactions", options.get("maxTransactions", 1000)))
+        self.most = int(options.get("maxtransactions", options.get("maxTransactions", 1000)))
+        self.starting = lsn_number(options.get("startinglsn", options.get("startingLsn", "")))
+        self.path, self.transport = options.get("path"), None
+        if named := options.get("transport"):
+            module, _, name = named.partition(":")
+            self.transport = getattr(import_module(module), name)(options)
 
     def initialOffset(self) -> dict:
-        return {"transactions": 0}
+        return {"byte": 0, "committed": self.starting, "seq": 0, "relations": []}
 
-    def _between(self, start: int, end: int | None) -> tuple[list[tuple], int]:
-        decoder, out, n = Decoder(), [], 0
+    def _frames(self, start: dict) -> Iterator[tuple[bytes, int]]:
+        """Frames from an offset on, each with the place after it."""
+        if self.transport is not None:
+            yield from ((frame, 0) for frame in self.transport.poll(start["committed"]))
+            return
         with open(self.path, "rb") as f:
-            for frame in split_frames(f.read()):
-                before = decoder.committed
-                done = decoder.frame(frame)
-                if frame[:1] == b"w" and frame[25:26] == b"C" and (decoder.committed != before or done):
-                    n += 1
-                    if n > start:
-                        out += rows(done)
-                    if n == (end if end is not None else start + self.most):
-                        break
-        return out, n
+            f.seek(start["byte"])
+            at = start["byte"]
+            while len(head := f.read(4)) == 4:
+                n = struct.unpack(">I", head)[0]
+                if len(frame := f.read(n)) < n:
+                    return  # torn: left for later
+                at += 4 + n
+                yield frame, at
+
+    def _between(self, start: dict, end: dict | None) -> tuple[list[tuple], dict]:
+        known = {r[0]: Relation(*r[1:4], [tuple(c) for c in r[4]]) for r in start["relations"]}
+        decoder, out, at, n = Decoder(seq=start["seq"], relations=known, committed=start["committed"]), [], start, 0
+        for frame, byte in self._frames(start):
+            done = decoder.frame(frame)
+            if frame[:1] == b"w" and frame[25:26] == b"C":
+                if decoder.committed > self.starting:
+                    out += rows(done)
+                held = [[k, r.schema, r.table, r.identity, [list(c) for c in r.columns]] for k, r in decoder.relations.items()]
+                at, n = {"byte": byte, "committed": decoder.committed, "seq": decoder.seq, "relations": held}, n + 1
+                if n == self.most if end is None else (byte, decoder.committed) >= (end["byte"], end["committed"]):
+                    break
+        return out, at
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        found, n = self._between(start["transactions"], None)
-        return iter(found), {"transactions": max(n, start["transactions"])}
+        found, end = self._between(start, None)
+        return iter(found), end
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter(self._between(start["transactions"], end["transactions"])[0])
+        return iter(self._between(start, end)[0])
 
     def commit(self, end: dict) -> None:
-        """A live transport would send ``Decoder.feedback`` here."""
+        """Tells the server that everything up to the offset is safe."""
+        if self.transport is not None:
+            self.transport.feedback(Decoder(committed=end["committed"]).feedback())
 
 
 class PgOutputDataSource(DataSource):

@@ -101,6 +101,52 @@ def test_protocol_source_to_table(spark, tmp_path):
     assert [tuple(r) for r in sink.read(spark, "users").collect()] == [(1, "bob", "x" * 10)]
 
 
+def test_stream_offsets(tmp_path):
+    """Batches read on from the last commit, know its relations, and come again alike; a start position skips what is before it."""
+    _frames(tmp_path / "frames", FIRST, SECOND)
+    stream = pgoutput._Stream({"path": str(tmp_path / "frames"), "maxTransactions": 1})
+    start = stream.initialOffset()
+    one, middle = stream.read(start)
+    two, end = stream.read(middle)
+    one, two = list(one), list(two)
+    assert len(one) == 2 and len(two) == 3 and 0 < middle["byte"] < end["byte"] and stream.read(end)[1] == end
+    assert list(stream.readBetweenOffsets(start, middle)) == one and list(stream.readBetweenOffsets(middle, end)) == two
+    assert json.loads(json.dumps(middle)) == json.loads(json.dumps(stream.read(json.loads(json.dumps(start)))[1]))
+    assert [r[0] for r in one + two] == sorted(r[0] for r in one + two)
+    late = pgoutput._Stream({"path": str(tmp_path / "frames"), "startingLsn": "0/64"})
+    assert list(late.read(late.initialOffset())[0]) == two
+
+
+def test_live_transport(monkeypatch):
+    """A server that keeps transactions until they are confirmed, and sends those after the position asked for."""
+    import sys
+    import types
+
+    sent = []
+
+    class Server:
+        def __init__(self, options):
+            self.log = [(100 + k, [*t, _commit(100 + k)]) for k, t in enumerate((FIRST, SECOND))]
+
+        def poll(self, after):
+            yield b"k" + struct.pack(">qqB", 500, 0, 1)
+            for lsn, messages in self.log:
+                if lsn > after:
+                    yield from (_frame(m, lsn) for m in messages)
+
+        def feedback(self, status):
+            sent.append(struct.unpack(">q", status[1:9])[0])
+
+    monkeypatch.setitem(sys.modules, "fake_server", types.SimpleNamespace(connect=Server))
+    stream = pgoutput._Stream({"transport": "fake_server:connect", "maxTransactions": 1})
+    one, middle = stream.read(stream.initialOffset())
+    two, end = stream.read(middle)
+    assert len(list(one)) == 2 and len(list(two)) == 3 and end["committed"] == 101
+    assert len(list(stream.readBetweenOffsets(stream.initialOffset(), end))) == 5
+    stream.commit(middle), stream.commit(end)
+    assert sent == [101, 102] and stream.read(end)[1] == end
+
+
 # --- codecs and the log
 
 
