@@ -13,7 +13,8 @@ that face each other would have merged earlier.
 Scale: one pass, no shuffle. The ids of blank-separated cuts are remembered in a dictionary of bounded
 size; a task holds a batch and that memory.
 
-Defined results: null or empty text has no tokens and decodes to the empty text; rows that repeat come
+Defined results: null or empty text has no tokens and decodes to the empty text; very long texts are
+encoded whole; of merges of one rank the leftmost comes first; an empty table gives an empty table; rows that repeat come
 out as often; extra columns are ignored.
 """
 

@@ -12,7 +12,7 @@ meets itself and its neighbour only; a hash cuts slabs into tiles of about ``TIL
 label, slab or group of copies needs one task. A pair of tiles gives back link counts and a spanning
 forest, at most a row for each of its classes, however many links there are.
 
-Defined results: rows with a null id are left out. A vector that is null, zero or holds null or
+Defined results: rows with a null id are left out; vectors are compared whole, however long. A vector that is null, zero or holds null or
 non-finite components, or whose label is null, has no links and is its own component. Vectors of
 different length do not link. Rows that repeat are vectors of their own: they link, and share the
 component; rows of one id with different vectors link each for itself. A cosine that equals the threshold

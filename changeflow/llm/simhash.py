@@ -15,7 +15,8 @@ segment value and sorted; a task streams them, compares within a value by numpy
 spanning forest, never the pairs. Values that hold over ``HOT`` fingerprints are found by a count
 beforehand and cut: their table rows are dealt over salts, to each of which the look-ups go.
 
-Defined results: null and empty texts have fingerprint zero, which links like any other; rows with a null
+Defined results: null and empty texts have fingerprint zero, which links like any other; very long texts
+are hashed whole; a bit that exactly half of the hashes set is 0; rows with a null
 id have no part and are left out (``keep_one`` keeps them); rows that repeat come out as often, with the
 same component; other columns are ignored; an empty table gives an empty table.
 """

@@ -15,7 +15,8 @@ Scale: one pass, no shuffle. The text is cut where no vocabulary entry can reach
 blank that follows another character, around a line feed), and counts of such cuts are remembered
 in a dictionary of bounded size, so that the dynamic programming runs on new cuts only.
 
-Defined results: null or empty text counts 0; ids may be null or repeat, a row goes out for each row
+Defined results: null or empty text counts 0; very long texts are counted whole; an empty table gives an
+empty table; ids may be null or repeat, a row goes out for each row
 that came in; extra columns are ignored.
 """
 
