@@ -90,7 +90,7 @@ def _decimal(c: Column, field: T.StructField, value: Decimal, operator: str) ->
 def predicate(c: Column, field: T.StructField, operator: str, value: object, typed: bool = False) -> Column:
     """``c operator value`` for a column of the field's type. With ``typed``, dates compare as dates, other texts as texts; else they never match."""
     if operator not in OPERATORS:
-        raise ValueError(f"unsupported operator: {operator}")
+        raise ValueError(f"{operator!r} is none of the operators {sorted(OPERATORS)}")
     kind = pgtypes.kind_of(field)
     if operator == "contains":
         if not isinstance(value, str) or not pgtypes.is_text_like(field):

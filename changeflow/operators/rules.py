@@ -151,15 +151,15 @@ def build(config: RuleConfig | Mapping[str, object]) -> Rule:
 
     def need(name: str, kind: type | tuple = str) -> object:
         if not isinstance(p.get(name), kind):
-            raise ValueError(f"{name} parameter is required for {config.type}")
+            raise ValueError(f"a rule of type {config.type} on {config.column!r} lacks {name}, or has it in another form")
         return p[name]
 
     if config.type == "filter":
         operator = need("operator")
         if "value" not in p:
-            raise ValueError("value parameter is required for filter")
+            raise ValueError(f"the filter on {config.column!r} has nothing to compare with")
         if operator not in OPERATORS:
-            raise ValueError(f"unsupported operator: {operator}")
+            raise ValueError(f"{operator!r} is none of the operators {sorted(OPERATORS)}")
         return FilterRule(config.column, operator, p["value"], typed=bool(p.get("typed")), **gates)
     if config.type == "transform":
         kind = need("type")
@@ -167,10 +167,10 @@ def build(config: RuleConfig | Mapping[str, object]) -> Rule:
             return RegexRule(config.column, need("pattern"), need("replace"), **gates)
         if kind == "mask":
             return MaskRule(config.column, need("mask_char"), **gates)
-        raise ValueError(f"unsupported transform type: {kind}")
+        raise ValueError(f"transforms are regex and mask, not {kind!r}")
     if config.type == "exclude_columns":
         return ExcludeRule(tuple(need("columns", (list, tuple))))
-    raise ValueError(f"unsupported rule type: {config.type}")
+    raise ValueError(f"rules are filter, transform and exclude_columns, not {config.type!r}")
 
 
 class RuleEngine:
