@@ -31,10 +31,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from changeflow.llm.common import Memory, cuts_of, map_rows, worker_state
+from changeflow.llm.common import Memory, cuts_of, give_back, map_rows, worker_state
 
 #: Entries of each generation of the memories of encoded cuts and words in a Python worker.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 NEVER = np.iinfo(np.int64).max
 
 
@@ -364,7 +364,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
                     two.append(sha256(decoded.encode()).hexdigest() if digest else decoded)
                 names = ("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded")
                 yield {id_col: ids.slice(k, step), "n_tokens": counts, names[0]: one, names[1]: two}
-                pa.default_memory_pool().release_unused()
+                give_back()
 
         return work
 

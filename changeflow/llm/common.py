@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ from pyspark.sql import types as T
 
 from changeflow.session import checkpointed, ensure_checkpoint_dir
 
-__all__ = ["Memory", "arrow_schema", "checkpointed", "cuts_of", "ensure_checkpoint_dir", "fresh", "map_rows", "table", "worker_state"]
+__all__ = ["Memory", "arrow_schema", "checkpointed", "cuts_of", "ensure_checkpoint_dir", "fresh", "give_back", "map_rows", "small_batches", "table", "worker_state"]
 
 
 class Memory:
@@ -36,6 +38,15 @@ class Memory:
             self.old, self.young = self.young, {}
 
 
+def give_back() -> None:
+    """Returns memory that is not in use to the system, so that what one operator freed is there for the next worker."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not with every C library
+        pass
+
+
 _STATE: dict[object, object] = {}
 
 
@@ -45,7 +56,7 @@ def worker_state(key: object, make: Callable[[], object]) -> object:
         if _STATE:
             _STATE.clear()
             gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()
         _STATE[key] = make()
     return _STATE[key]
 
@@ -66,6 +77,18 @@ def cuts_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return coded.dictionary.to_pylist(), np.asarray(coded.indices), ends - ends[0]
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows at most in what runs inside, for rows that are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.llm.common import arrow_schema, checkpointed, fresh, map_rows
+from changeflow.llm.common import arrow_schema, checkpointed, fresh, give_back, map_rows
 
 #: Four units of 16 bits are one code.
 ORDER, UNIT = 4, 16
@@ -173,7 +173,7 @@ def _asked(at: int):
 
         def row() -> pa.RecordBatch:
             found = np.unique(np.concatenate(held))
-            pa.default_memory_pool().release_unused()
+            give_back()
             return pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), pa.array(found))], names=["slice", "codes"])
 
         for number, part in _cut(batches, at):
@@ -204,7 +204,7 @@ def _packed(at: int):
             if writer is not None and number != last:
                 yield row()
                 writer = None
-                pa.default_memory_pool().release_unused()
+                give_back()
             if writer is None:
                 sink = pa.BufferOutputStream()
                 writer = pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6)))
@@ -233,6 +233,7 @@ def _scored(text_col: str, keep: list[str], schema: pa.Schema):
                 made = pa.array(np.exp(-mean), mask=sizes == 0)
                 columns = [*[batch.column(batch.schema.get_field_index(c)) for c in keep], made]
                 batches.append(pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema))
+        give_back()
         return pa.Table.from_batches(batches, schema)
 
     return run

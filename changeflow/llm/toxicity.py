@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import Memory, checkpointed, cuts_of, map_rows, worker_state
+from changeflow.llm.common import Memory, checkpointed, cuts_of, give_back, map_rows, worker_state
 
 PER_CLASS, CHARS = 2000, 1 << 25
 NEIGHBOURS, SOFT, PRIOR_VOTE, BLOCK = 9, 0.1, 0.5, 32
@@ -312,6 +312,7 @@ class Scorer:
             yield from ((self.model.share if self.model.ids.size == 0 else self.model.bare, *none) for _ in range(len(texts)))
             return
         for k in range(0, len(texts), SLICE):
+            give_back()
             for at, n in self.vectors(texts.slice(k, SLICE)):
                 cos, who = self.index.neighbours(*self.model.vector(at, n))
                 slope, offset = self.model.curve
