@@ -45,7 +45,7 @@ QUANTILE, MARGIN, FEW, HELD = 0.98, 1.05, 20, 4
 #: So many trusted ids are broadcast at most; beyond, documents meet them by a shuffled join.
 MOST_BROADCAST = 500_000
 #: Bytes of text in a slice, and rows of a batch that are read at once.
-SLICE, ROWS = 1 << 24, 1 << 9
+SLICE, ROWS = 1 << 24, 1 << 7
 
 
 def codes(text: str | None) -> np.ndarray:
