@@ -6,12 +6,12 @@ trusted documents but one in ``HELD``, which give the thresholds: a quantile, ti
 perplexities of trusted documents of the language that the model has not read.
 
 Training: n-grams are counted in each task and added up by n-gram; continuation counts of the lower orders,
-sums of contexts and the discounts are sharded aggregations. What is kept is a table of own shares by
-n-gram and of interpolation weights by context, for each order.
+sums of contexts and the discounts are sharded aggregations, those of all orders in one. What is kept is a
+table of own shares by n-gram and of interpolation weights by context, for each order.
 
 Scoring: a slice is about ``SLICE`` bytes of a task's documents. A first scan tells the different n-grams of
-each slice, which meet the tables of all orders in sharded joins on the n-gram; a second scan packs the
-slices, which get the logarithms by a join on the slice and add them up for each document. So the exchange
+each slice, which meet the tables of all orders in one sharded join on the n-grams and contexts that they
+ask for (those of one unit or none are broadcast); a second scan packs the slices, which get the logarithms by a join on the slice and add them up for each document. So the exchange
 holds each n-gram once a slice, not once a document; nothing is broadcast that grows, and no table is
 collected. Both scans have to see the rows in the same order, as scans of files do; where they do not, a
 check on every n-gram raises an error. A task holds one slice and its n-grams; a slice ends with the
@@ -46,6 +46,8 @@ QUANTILE, MARGIN, FEW, HELD = 0.98, 1.05, 20, 4
 MOST_BROADCAST = 500_000
 #: Bytes of text in a slice, and rows of a batch that are read at once.
 SLICE, ROWS = 1 << 24, 1 << 7
+#: Rows of the model's tables in a task, at least.
+PER_TASK = 1 << 18
 
 
 def codes(text: str | None) -> np.ndarray:
@@ -100,37 +102,47 @@ class Model:
     def log_p(self, asked: DataFrame) -> DataFrame:
         """(code, log_p): the natural logarithm of the probability of the last unit after the others, for each different code."""
         rows, p = asked.select("code").distinct(), F.lit(1.0 / (self.units + 1))
+        keys = {(k, own): suffix(F.col("code"), k) if own else context(suffix(F.col("code"), k)) for k in range(1, ORDER + 1) for own in (True, False)}
+        large = {at: key for at, key in keys.items() if at[0] - (not at[1]) > 1}
+        sought = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(own).alias("own"), key.alias("key")) for (k, own), key in large.items()])
+        met = rows.select("code", F.explode(sought).alias("s")).select("code", "s.k", "s.own", "s.key").join(self.table.withColumnRenamed("code", "key"), ["k", "own", "key"], "left")
+        rows = met.groupBy("code").agg(*[F.max(F.when((F.col("k") == k) & (F.col("own") == F.lit(own)), F.col("value"))).alias(f"own{k}" if own else f"spare{k}") for k, own in large])
+        for (k, own), key in keys.items():
+            if (k, own) not in large:
+                rows = rows.withColumn("key", key).join(self.part(k, own, "key", f"own{k}" if own else f"spare{k}"), "key", "left").drop("key")
         for k in range(1, ORDER + 1):
-            own = suffix(F.col("code"), k)
-            rows = rows.withColumn("key", own).join(self.part(k, True, "key", f"own{k}"), "key", "left").drop("key")
-            rows = rows.withColumn("key", context(own)).join(self.part(k, False, "key", f"spare{k}"), "key", "left").drop("key")
             p = F.coalesce(f"own{k}", F.lit(0.0)) + F.coalesce(f"spare{k}", F.lit(1.0)) * p
         return rows.select("code", F.log(p).alias("log_p"))
 
 
+def _gathered(rows: DataFrame, most: int) -> DataFrame:
+    """``rows``, ``most`` at most, in tasks of ``PER_TASK`` or more of them, as long as all cores have one: each task of a shuffle makes files of its own."""
+    return rows.coalesce(max(-(-most // PER_TASK), rows.sparkSession.sparkContext.defaultParallelism))
+
+
 def kneser_ney(counts: DataFrame) -> Model:
     """The model from a table (code, n) of counts."""
-    orders = {ORDER: counts}
+    most = counts.count()
+    last = counts.select("code", "n")
+    orders = last.select(F.lit(ORDER).alias("k"), "code", "n")
     for k in range(ORDER - 1, 0, -1):  # continuation counts: how many different units stand before the shorter n-gram
-        orders[k] = orders[k + 1].groupBy(suffix(F.col("code"), k).alias("code")).agg(F.count("*").alias("n"))
-    several = [orders[k].groupBy(F.lit(k).alias("k"), F.least("n", F.lit(5)).alias("n")).agg(F.count("*").alias("m")) for k in orders]
-    table = several[0]
-    for t in several[1:]:
-        table = table.unionByName(t)
-    many = {k: {} for k in orders}
-    for r in table.collect():  # five rows an order
+        last = _gathered(last, most).groupBy(suffix(F.col("code"), k).alias("code")).agg(F.count("*").alias("n"))
+        orders = orders.unionByName(last.select(F.lit(k).alias("k"), "code", "n"))
+    orders = checkpointed(_gathered(orders, ORDER * most))
+    many = {k: {} for k in range(1, ORDER + 1)}
+    for r in orders.groupBy("k", F.least("n", F.lit(5)).alias("n")).agg(F.count("*").alias("m")).collect():  # five rows an order
         many[r["k"]][r["n"]] = r["m"]
     if not many[1]:
         return Model(None)
-    made = None
-    for k, order in orders.items():
+    taken = F.lit(None).cast("double")
+    for k in many:
         d1, d2, d3 = discounts(many[k])
-        rows = order.withColumn("ctx", context(F.col("code"))).withColumn("taken", F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3))
-        sums = rows.groupBy("ctx").agg(F.sum("n").alias("whole"), F.sum("taken").alias("gone"))
-        own = rows.join(sums, "ctx").select(F.lit(k).alias("k"), F.lit(True).alias("own"), "code", ((F.col("n") - F.col("taken")) / F.col("whole")).alias("value"))
-        spare = sums.select(F.lit(k).alias("k"), F.lit(False).alias("own"), F.col("ctx").alias("code"), (F.col("gone") / F.col("whole")).alias("value"))
-        made = own.unionByName(spare) if made is None else made.unionByName(own).unionByName(spare)
-    return Model(checkpointed(made), sum(many[1].values()))
+        taken = F.when(F.col("k") == k, F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)).otherwise(taken)
+    rows = orders.withColumn("ctx", context(F.col("code"))).withColumn("taken", taken)
+    sums = rows.groupBy("k", "ctx").agg(F.sum("n").alias("whole"), F.sum("taken").alias("gone"))
+    own = rows.join(sums, ["k", "ctx"]).select("k", F.lit(True).alias("own"), "code", ((F.col("n") - F.col("taken")) / F.col("whole")).alias("value"))
+    spare = sums.select("k", F.lit(False).alias("own"), F.col("ctx").alias("code"), (F.col("gone") / F.col("whole")).alias("value"))
+    return Model(checkpointed(_gathered(own.unionByName(spare), 2 * ORDER * most)), sum(many[1].values()))
 
 
 def fit_model(trusted_text: DataFrame) -> Model:

@@ -286,6 +286,24 @@ def test_kneser_ney(spark, docs_of, monkeypatch):
             assert got is want is None or math.isclose(got, want, rel_tol=1e-9)
 
 
+def test_the_model_makes_few_tasks_and_exchanges(spark):
+    texts = spark.createDataFrame([("the cat sat on the mat",), ("the other mat",)], "text string")
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    were = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        model = quality.fit_model(texts)
+        assert model.table.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism  # it was 8 x 60: two tables an order
+        told = model.log_p(spark.createDataFrame([(int(c),) for c in quality.codes("the bat")], "code long"))
+        assert told.count() == 7
+        plan = told._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("Exchange hashpartitioning") <= 4
+    finally:
+        for k, v in were.items():
+            spark.conf.set(k, v)
+
+
 def test_classifier_by_brute_force(spark, docs_of):
     rows, labels = _quality_rows()
     table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
