@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from changeflow.session import checkpointed, ensure_checkpoint_dir
 
-__all__ = ["Memory", "arrow_schema", "checkpointed", "cuts_of", "ensure_checkpoint_dir", "fresh", "give_back", "map_rows", "small_batches", "table", "worker_state"]
+__all__ = ["Memory", "arrow_schema", "checkpointed", "cuts_of", "ensure_checkpoint_dir", "fresh", "give_back", "leave_state", "map_rows", "small_batches", "table", "worker_state"]
 
 
 class Memory:
@@ -61,6 +61,14 @@ def worker_state(key: object, make: Callable[[], object]) -> object:
     return _STATE[key]
 
 
+def leave_state() -> None:
+    """For operators without a state: lets go of the one that a worker holds from an operator before."""
+    if _STATE:
+        _STATE.clear()
+        gc.collect()
+        give_back()
+
+
 def cuts_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The different ASCII-blank-separated cuts of a batch's texts, the number of each cut in order, and where each text's cuts begin (and the last ones end).
 

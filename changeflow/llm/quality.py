@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.llm.common import arrow_schema, checkpointed, fresh, give_back, map_rows
+from changeflow.llm.common import arrow_schema, checkpointed, fresh, give_back, leave_state, map_rows
 
 #: Four units of 16 bits are one code.
 ORDER, UNIT = 4, 16
@@ -149,6 +149,8 @@ def fit_model(trusted_text: DataFrame) -> Model:
     """The model of a one-column table of texts: all of them, whatever their number."""
 
     def counted():
+        leave_state()
+
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
             for k in range(0, batch.num_rows, ROWS):
                 some, n = np.unique(codes_of(batch.column(0).slice(k, ROWS))[0], return_counts=True)
@@ -181,6 +183,7 @@ def _asked(at: int):
     """The different codes of each slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leave_state()
         held, last = [], None
 
         def row() -> pa.RecordBatch:
@@ -206,6 +209,7 @@ def _packed(at: int):
     """Each slice as an Arrow stream."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leave_state()
         sink = writer = last = None
 
         def row() -> pa.RecordBatch:
@@ -230,6 +234,7 @@ def _packed(at: int):
 
 def _scored(text_col: str, keep: list[str], schema: pa.Schema):
     def run(key: tuple, group: pa.Table, told: pa.Table) -> pa.Table:
+        leave_state()
         known, log_p = told.column("code").to_numpy(), told.column("log_p").to_numpy()
         by = np.argsort(known, kind="stable")
         known, log_p = known[by], log_p[by]

@@ -1,17 +1,23 @@
 """Near-duplicates of the pipeline: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 at least.
 
 Shingles: words as in ``simhash.fingerprint``; each run of ``width`` words (the whole text, if it has no more)
-is hashed by XXH64 (UTF-8, seed 42); a text is the set of these hashes. Fingerprints of 64 bits cannot do
-this job: at similarity 0.8 they differ in about ten bits and often in 15, where an index of segments looks
-up most of the table.
-
-Method: ``BANDS`` bands of ``ROWS`` minima under differing hash functions. Texts of similarity 0.8 meet in
-no band with a chance of (1 - 0.8^4)^32 = 5e-8. Each met pair is verified on the complete sets. First the
-texts of a band value meet one of them only, and components are made of what verifies; then all pairs of
-differing components under a value meet. Pairs of one component need no comparing, so nothing is lost.
-
-Distribution: equal sets are one class. Band rows are dealt by value and sorted; values with over ``HOT``
-classes are found by a count and cut over salts. Shingles are shuffled for classes that met only.
+is hashed by XXH64 (UTF-8, seed 42); a text is the set of these hashes, and its fingerprint the SimHash of
+the set.
+
+Method: SimHash with the multi-index of ``simhash``: ``SEGMENTS`` segments, of which one differs by at most a
+bit if fingerprints differ in at most ``RADIUS``. The index is sought under each value and its ball, and
+what meets there within ``REACH`` bits of the whole fingerprint is verified on the complete sets; what
+verifies makes components. The distance follows the angle of two sets, so no radius that an index can look
+up holds all pairs of similarity 0.8: these differ in about ten of 64 bits and often in 15. Hence an exact
+way for the rest: all pairs of differing components that share one of ``BANDS`` bands of ``ROWS`` minima are
+verified likewise. Texts of similarity 0.8 share no band with a chance of (1 - 0.8^4)^32 = 5e-8. Pairs of
+one component need no comparing, so nothing is lost.
+
+Distribution: equal sets are one class. Index rows and band rows are dealt by value and sorted. Index values
+with over ``CROWD`` classes are cut by class, and of a value's rows each meets the first ``FIRST`` near ones
+only, so that a large group costs no pairs of all its members; the bands link what this parts. Band values
+with over ``HOT`` classes are cut over salts that lose no pair. Both are found by a count. Shingles are
+shuffled for classes that met only.
 
 Defined results: texts without words are copies of each other; very long texts are read whole; a similarity
 that equals the bound links; rows with a null id have no part and are
@@ -28,11 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import checkpointed, fresh, give_back, map_rows, small_batches
+from changeflow.llm import simhash
+from changeflow.llm.common import checkpointed, fresh, give_back, leave_state, map_rows, small_batches
 from changeflow.llm.components import connected_components
 
 WIDTH, SIMILAR = 5, 0.8
 BANDS, ROWS, SEED, HOT = 32, 4, 42, 20_000
+#: The index of fingerprints: differing bits that it surely finds, and those up to which what it finds is verified.
+SEGMENTS, RADIUS, REACH = 4, 7, 12
+CROWD, FIRST = 1024, 3
 MOST_BROADCAST = 200_000
 #: Pairs compared, and hashes taken minima of, at once in a task.
 AT_ONCE, HASHES = 1 << 20, 1 << 11
@@ -86,10 +96,13 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def _read(width: int):
     def make():
+        leave_state()
+
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
             for part in slices(batch):
                 sets = [shingles(t.as_py(), width) for t in part.column(1)]
-                yield {"th": part.column(0), "cls": [class_of(s) for s in sets], "size": [len(s) for s in sets], "bands": [bands(s) for s in sets]}
+                fps = np.array([simhash.majority(s) for s in sets], np.uint64).view(np.int64)
+                yield {"th": part.column(0), "cls": [class_of(s) for s in sets], "size": [len(s) for s in sets], "fp": fps, "bands": [bands(s) for s in sets]}
 
         return work
 
@@ -108,11 +121,59 @@ def _sets(width: int):
     return make
 
 
-def _meet(similar: float, every: bool):
-    """Pairs (a, b) of classes that the sizes allow to be similar, from rows (band, salt, cls, size, comp, own) sorted by the first three.
+def _sought(plan: list[tuple[int, int, int]]):
+    """The rows of the index: a class under each segment's value, its own, and under the ball around it."""
+
+    def make():
+        parts = [(k, np.uint64(s), np.uint64((1 << w) - 1), simhash.ball(w, r)) for k, (s, w, r) in enumerate(plan) if r >= 0]
+
+        def work(batch: pa.RecordBatch) -> Iterator[dict]:
+            for lo in range(0, batch.num_rows, 1 << 13):
+                cls, fp = (batch.column(c).slice(lo, 1 << 13).to_numpy() for c in (0, 1))
+                for k, shift, mask, masks in parts:
+                    value = (fp.view(np.uint64) >> shift) & mask
+                    keys = (value[:, None] ^ masks[None, :]) | np.uint64(k << 56)
+                    own = np.zeros(keys.shape, bool)
+                    own[:, 0] = True
+                    yield {"key": keys.ravel().view(np.int64), "cls": np.repeat(cls, len(masks)), "fp": np.repeat(fp, len(masks)), "own": own.ravel()}
+
+        return work
+
+    return make
+
+
+def _near(reach: int):
+    """Pairs (a, b) of classes whose fingerprints are near, from rows (key, salt, cls, fp, own) sorted by the first three: each with the first own ones of its value."""
+
+    def pairs(key: np.ndarray, salt: np.ndarray, cls: np.ndarray, fp: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])])
+        sizes = np.diff(np.r_[starts, len(key)])
+        run, seen = np.repeat(np.arange(len(starts)), sizes), np.zeros(len(key), np.int64)
+        at = np.flatnonzero(own)
+        n = sizes[run[at]]
+        at, n = at[n > 1], n[n > 1]
+        ends, k = np.cumsum(n), 0
+        while k < len(at):
+            upto = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + AT_ONCE, "right")))
+            t, m = at[k:upto], n[k:upto]
+            left = np.repeat(t, m)
+            right = np.repeat(starts[run[t]] - np.cumsum(m) + m, m) + np.arange(len(left))
+            on = (np.bitwise_count((fp[left] ^ fp[right]).view(np.uint64)) <= reach) & (cls[left] != cls[right])
+            left, right = left[on], right[on]
+            by = np.argsort(right, kind="stable")
+            left, right = left[by], right[by]
+            rows, first, many = np.unique(right, return_index=True, return_counts=True)
+            on = np.arange(len(right)) - np.repeat(first, many) + seen[right] < FIRST
+            seen[rows] += many
+            a, b = cls[left[on]], cls[right[on]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            k = upto
+
+    return _by_value(pairs)
 
-    Under each value: one class with each other, or every two of differing components.
-    """
+
+def _meet(similar: float):
+    """Pairs (a, b) of classes of differing components that the sizes allow to be similar, from rows (band, salt, cls, size, comp, own) sorted by the first three: every two under each value."""
 
     def pairs(band: np.ndarray, salt: np.ndarray, cls: np.ndarray, size: np.ndarray, comp: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (salt[1:] != salt[:-1])])
@@ -123,12 +184,6 @@ def _meet(similar: float, every: bool):
             a, b = cls[left[on]], cls[right[on]]
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-        if not every:
-            mixed = (cls ^ band) * np.int64(0x1E3779B97F4A7C15)
-            run = np.repeat(np.arange(len(starts)), sizes)
-            hub = np.lexsort((mixed, run))[starts][run]
-            yield fine(hub, np.arange(len(cls)))
-            return
         run = np.repeat(np.arange(len(starts)), sizes)
         at = np.flatnonzero(own)
         n = (starts + sizes)[run[at]] - at - 1
@@ -141,6 +196,12 @@ def _meet(similar: float, every: bool):
             yield fine(left, left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(m) - m, m))
             k = upto
 
+    return _by_value(pairs)
+
+
+def _by_value(pairs):
+    """Gives ``pairs`` the columns of whole values, from rows sorted by the first two columns."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
@@ -203,16 +264,22 @@ def links_of(met: DataFrame, classes: DataFrame, texts: DataFrame, width: int, s
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similar: float = SIMILAR) -> DataFrame:
     """(th, grp): the group of each text, by the hash of the text, of rows with an id."""
     texts = docs.where(F.col(id_col).isNotNull()).select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    prints = checkpointed(map_rows(texts, _read(width), "th long, cls long, size int, bands array<long>"))
-    classes = checkpointed(prints.groupBy("cls").agg(F.min("th").alias("th"), F.first("size").alias("size"), F.first("bands").alias("bands")))
+    prints = checkpointed(map_rows(texts, _read(width), "th long, cls long, size int, fp long, bands array<long>"))
+    classes = checkpointed(prints.groupBy("cls").agg(F.min("th").alias("th"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def met(rows: DataFrame, every: bool) -> DataFrame:
-        dealt = rows.select("band", "salt", "cls", "size", "comp", "own").repartition(n, "band", "salt").sortWithinPartitions("band", "salt", "cls")
-        return dealt.mapInArrow(_meet(similar, every), "a long, b long")
-
-    rows = classes.select(F.explode("bands").alias("band"), F.lit(0).alias("salt"), "cls", "size", F.col("cls").alias("comp"), F.lit(True).alias("own"))
-    linked = links_of(met(rows, False), classes, texts, width, similar)
+    def met(rows: DataFrame, by: str, pairs) -> DataFrame:
+        return rows.repartition(n, by, "salt").sortWithinPartitions(by, "salt", "cls").mapInArrow(pairs, "a long, b long")
+
+    plan, some = simhash.layout(RADIUS, SEGMENTS), classes.where("size > 0")
+    values = F.array(*[F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << bits) - 1)).bitwiseOR(F.lit(k << 56)) for k, (shift, bits, _) in enumerate(plan)])
+    crowded = checkpointed(some.select(F.explode(values).alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key", F.ceil(F.col("n") / CROWD).cast("int").alias("salts")))
+    rows = map_rows(some.select("cls", "fp"), _sought(plan), "key long, cls long, fp long, own boolean")
+    if crowded.limit(1).count():
+        rows = rows.join(_few(crowded), "key", "left").withColumn("salt", F.pmod(F.xxhash64("cls"), F.coalesce("salts", F.lit(1))))
+    else:
+        rows = rows.withColumn("salt", F.lit(0))
+    linked = links_of(met(rows.select("key", "salt", "cls", "fp", "own"), "key", _near(REACH)), classes, texts, width, similar)
     known = checkpointed(connected_components(linked, contract=False))
 
     rows = classes.join(_few(known), F.col("cls") == F.col("node"), "left").select(F.explode("bands").alias("band"), F.lit(0).alias("salt"), "cls", "size", F.coalesce("component", "cls").alias("comp"), F.lit(True).alias("own"))
@@ -221,7 +288,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         count = F.coalesce("salts", F.lit(1))
         rows = rows.drop("salt").join(_few(hot), "band", "left").withColumn("mine", F.pmod(F.xxhash64("cls"), count)).withColumn("salt", F.explode(F.sequence(F.lit(0), count - 1)))
         rows = rows.withColumn("own", F.col("salt") == F.col("mine"))  # a class is compared with those behind it in one salt
-    more = links_of(met(rows, True), classes, texts, width, similar)
+    more = links_of(met(rows.select("band", "salt", "cls", "size", "comp", "own"), "band", _meet(similar)), classes, texts, width, similar)
     joined = checkpointed(connected_components(linked.unionByName(more), contract=False))
     named = prints.select("th", "cls").distinct()
     return named.join(_few(joined), F.col("cls") == F.col("node"), "left").select("th", F.coalesce("component", "cls").alias("grp"))

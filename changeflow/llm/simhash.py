@@ -54,7 +54,11 @@ def fingerprint(text: str | None, width: int = 4) -> int:
     sizes = np.fromiter(map(len, words), np.int64, n)
     ends = np.cumsum(sizes + 1) - 1
     first, last = (ends - sizes)[: n - width + 1].tolist(), ends[width - 1 :].tolist()
-    h = np.array([hashed(joined[a:b], SEED) for a, b in zip(first, last)], "<u8")
+    return majority(np.array([hashed(joined[a:b], SEED) for a, b in zip(first, last)], "<u8"))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes; zero without any."""
     ones = np.zeros(BITS, np.int64)
     for k in range(0, len(h), 1 << 14):
         ones += np.unpackbits(h[k : k + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)

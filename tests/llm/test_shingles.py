@@ -2,7 +2,9 @@
 
 import random
 
-from changeflow.llm import shingles
+import numpy as np
+
+from changeflow.llm import common, shingles
 
 
 def _set(text):
@@ -54,3 +56,24 @@ def test_texts_under_one_id_both_stay(spark, docs_of):
     out = shingles.keep_one(docs_of([(3, b), (5, b), (5, a), (5, a), (None, a)]))
     assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect()) == sorted([(3, b), (5, a), (0, a)])
     assert shingles.keep_one(docs_of([])).count() == 0
+
+
+def test_the_index_of_fingerprints_links_most_pairs(spark, docs_of, monkeypatch):
+    """Without the bands: SimHash alone finds near copies, and no pair that the sets do not confirm."""
+    rows = _rows()
+    group = _groups(rows)
+    monkeypatch.setattr(shingles, "bands", lambda found: np.empty(0, np.int64))
+    for crowd in (shingles.CROWD, 5):
+        monkeypatch.setattr(shingles, "CROWD", crowd)
+        kept = {r["doc_id"] for r in shingles.keep_one(docs_of(rows)).collect()}
+        expected = {min(i for (i, _), g in zip(rows, group) if g == own) for own in set(group)}
+        assert expected <= kept
+        if crowd > 5:
+            assert len(rows) - len(kept) > 0.7 * (len(rows) - len(expected))
+
+
+def test_a_worker_lets_go_of_another_operators_state():
+    common.worker_state("one", lambda: 1)
+    common.leave_state()
+    assert common.worker_state("one", lambda: 2) == 2
+    common.leave_state()
