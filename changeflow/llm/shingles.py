@@ -13,11 +13,19 @@ way for the rest: all pairs of differing components that share one of ``BANDS``
 verified likewise. Texts of similarity 0.8 share no band with a chance of (1 - 0.8^4)^32 = 5e-8. Pairs of
 one component need no comparing, so nothing is lost.
 
+Before pairs travel to the sets, parity sketches refute most: a bit of a sketch is the parity of the set's
+hashes that fall on it, so two sketches differ in no more bits than their sets in elements. More differing bits
+than similar sets could have elements rule a pair out for certain, and lose none. With two bits an element and
+more, what a sketch lets through mostly has a similarity over 0.75. So a group of texts that are like each
+other, but not enough, is compared where its band value is, and gives next to no rows.
+
 Distribution: equal sets are one class. Index rows and band rows are dealt by value and sorted. Index values
 with over ``CROWD`` classes are cut by class, and of a value's rows each meets the first ``FIRST`` near ones
 only, so that a large group costs no pairs of all its members; the bands link what this parts. Band values
-with over ``HOT`` classes are cut over salts that lose no pair. Both are found by a count. Shingles are
-shuffled for classes that met only.
+with over ``HOT`` classes are cut over salts that lose no pair. Both are found by a count. Sketches go to band
+values under which two components stand, and complete sets to pairs that no sketch refutes. The comparing of
+sketches under one band value still takes time by the square of the classes there, and pairs of differing
+components just below the bound are verified one by one.
 
 Defined results: texts without words are copies of each other; very long texts are read whole; a similarity
 that equals the bound links; rows with a null id have no part and are
@@ -44,8 +52,10 @@ BANDS, ROWS, SEED, HOT = 32, 4, 42, 20_000
 SEGMENTS, RADIUS, REACH = 4, 7, 12
 CROWD, FIRST = 1024, 3
 MOST_BROADCAST = 200_000
-#: Pairs compared, and hashes taken minima of, at once in a task.
-AT_ONCE, HASHES = 1 << 20, 1 << 11
+#: Bits of a sketch at least; it has two for each element, rounded up to a power of two.
+SKETCH = 512
+#: Pairs compared, hashes taken minima of, and bytes of sketches compared at once in a task.
+AT_ONCE, HASHES, BYTES = 1 << 20, 1 << 11, 1 << 23
 #: Rows of a batch whose sets are held at once.
 SLICE = 1 << 9
 _RANDOM = np.random.default_rng(SEED)
@@ -87,6 +97,40 @@ def bands(found: np.ndarray) -> np.ndarray:
     return (np.bitwise_xor.reduce(mixed, 1) ^ (np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """The parities of the set's hashes by their lowest bits."""
+    bits = SKETCH
+    while bits < 2 * len(found):
+        bits *= 2
+    return np.packbits((np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch that the same set has in ``size`` bytes."""
+    out = np.frombuffer(sketch, np.uint64)
+    while out.nbytes > size:
+        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
+    return out
+
+
+def possible(left: np.ndarray, right: np.ndarray, size: np.ndarray, sketches: np.ndarray, similar: float) -> np.ndarray:
+    """Whether the sets of the rows left[i] and right[i] can be similar, by their sizes and sketches; False is certain."""
+    on = np.minimum(size[left], size[right]) >= similar * np.maximum(size[left], size[right])
+    at = np.flatnonzero(on)
+    wide = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    wide = np.minimum(wide[left[at]], wide[right[at]])
+    for w in np.unique(wide).tolist():
+        own = at[wide == w]
+        rows, place = np.unique(np.concatenate([left[own], right[own]]), return_inverse=True)
+        held = np.stack([folded(sketches[r], w) for r in rows.tolist()])
+        for k in range(0, len(own), BYTES // w):
+            some = own[k : k + BYTES // w]
+            a, b = place[k : k + len(some)], place[len(own) + k : len(own) + k + len(some)]
+            differ = np.bitwise_count(held[a] ^ held[b]).sum(1, dtype=np.int64)
+            on[some] = differ * (1 + similar) <= (1 - similar) * (size[left[some]].astype(np.int64) + size[right[some]]) + 1e-6
+    return on
+
+
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The batch in parts, after each of which unused memory goes back."""
     for k in range(0, batch.num_rows, SLICE):
@@ -102,7 +146,7 @@ def _read(width: int):
             for part in slices(batch):
                 sets = [shingles(t.as_py(), width) for t in part.column(1)]
                 fps = np.array([simhash.majority(s) for s in sets], np.uint64).view(np.int64)
-                yield {"th": part.column(0), "cls": [class_of(s) for s in sets], "size": [len(s) for s in sets], "fp": fps, "bands": [bands(s) for s in sets]}
+                yield {"th": part.column(0), "cls": [class_of(s) for s in sets], "size": [len(s) for s in sets], "fp": fps, "bands": [bands(s) for s in sets], "sketch": [sketch(s) for s in sets]}
 
         return work
 
@@ -173,14 +217,16 @@ def _near(reach: int):
 
 
 def _meet(similar: float):
-    """Pairs (a, b) of classes of differing components that the sizes allow to be similar, from rows (band, salt, cls, size, comp, own) sorted by the first three: every two under each value."""
+    """Pairs (a, b) of classes of differing components that sizes and sketches allow to be similar, from rows (band, salt, cls, size, sketch, comp, own) sorted by the first three: of every two under each value."""
 
-    def pairs(band: np.ndarray, salt: np.ndarray, cls: np.ndarray, size: np.ndarray, comp: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def pairs(band: np.ndarray, salt: np.ndarray, cls: np.ndarray, size: np.ndarray, sketches: np.ndarray, comp: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (salt[1:] != salt[:-1])])
         sizes = np.diff(np.r_[starts, len(band)])
 
         def fine(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
-            on = (comp[left] != comp[right]) & (np.minimum(size[left], size[right]) >= similar * np.maximum(size[left], size[right]))
+            apart = comp[left] != comp[right]
+            left, right = left[apart], right[apart]
+            on = possible(left, right, size, sketches, similar)
             a, b = cls[left[on]], cls[right[on]]
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
@@ -222,6 +268,18 @@ def _by_value(pairs):
     return run
 
 
+def _unrefuted(similar: float):
+    def make():
+        def work(batch: pa.RecordBatch) -> Iterator[dict]:
+            n, (size, sketches) = batch.num_rows, (np.concatenate([batch.column(c).to_numpy(zero_copy_only=False) for c in both]) for both in ((2, 4), (3, 5)))
+            on = pa.array(possible(np.arange(n), n + np.arange(n), size, sketches, similar))
+            yield {"a": batch.column(0).filter(on), "b": batch.column(1).filter(on)}
+
+        return work
+
+    return make
+
+
 def _verified(similar: float):
     def make():
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -245,8 +303,7 @@ def _few(df: DataFrame) -> DataFrame:
 
 
 def links_of(met: DataFrame, classes: DataFrame, texts: DataFrame, width: int, similar: float) -> DataFrame:
-    """(u, v): the pairs of ``met`` that are similar."""
-    met = checkpointed(met.distinct())
+    """(u, v): the pairs of the checkpointed ``met`` that are similar."""
     if not met.limit(1).count():
         return met.select(F.col("a").alias("u"), F.col("b").alias("v"))
     ends = met.select(F.col("a").alias("cls")).unionByName(met.select(F.col("b").alias("cls"))).distinct()
@@ -264,8 +321,8 @@ def links_of(met: DataFrame, classes: DataFrame, texts: DataFrame, width: int, s
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similar: float = SIMILAR) -> DataFrame:
     """(th, grp): the group of each text, by the hash of the text, of rows with an id."""
     texts = docs.where(F.col(id_col).isNotNull()).select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    prints = checkpointed(map_rows(texts, _read(width), "th long, cls long, size int, fp long, bands array<long>"))
-    classes = checkpointed(prints.groupBy("cls").agg(F.min("th").alias("th"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    prints = checkpointed(map_rows(texts, _read(width), "th long, cls long, size int, fp long, bands array<long>, sketch binary"))
+    classes = checkpointed(prints.groupBy("cls").agg(F.min("th").alias("th"), *[F.first(c).alias(c) for c in ("size", "fp", "bands", "sketch")]))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def met(rows: DataFrame, by: str, pairs) -> DataFrame:
@@ -279,16 +336,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rows = rows.join(_few(crowded), "key", "left").withColumn("salt", F.pmod(F.xxhash64("cls"), F.coalesce("salts", F.lit(1))))
     else:
         rows = rows.withColumn("salt", F.lit(0))
-    linked = links_of(met(rows.select("key", "salt", "cls", "fp", "own"), "key", _near(REACH)), classes, texts, width, similar)
+    near = checkpointed(met(rows.select("key", "salt", "cls", "fp", "own"), "key", _near(REACH)).distinct())
+    for c in "ab":
+        near = near.join(classes.select(F.col("cls").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}")), c)
+    with small_batches(docs.sparkSession, SLICE):
+        near = checkpointed(map_rows(near.select("a", "b", "size_a", "sketch_a", "size_b", "sketch_b"), _unrefuted(similar), "a long, b long"))
+    linked = links_of(near, classes, texts, width, similar)
     known = checkpointed(connected_components(linked, contract=False))
 
-    rows = classes.join(_few(known), F.col("cls") == F.col("node"), "left").select(F.explode("bands").alias("band"), F.lit(0).alias("salt"), "cls", "size", F.coalesce("component", "cls").alias("comp"), F.lit(True).alias("own"))
-    hot = checkpointed(rows.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("band", F.ceil(F.col("n") / HOT).cast("int").alias("salts")))
-    if hot.limit(1).count():
-        count = F.coalesce("salts", F.lit(1))
-        rows = rows.drop("salt").join(_few(hot), "band", "left").withColumn("mine", F.pmod(F.xxhash64("cls"), count)).withColumn("salt", F.explode(F.sequence(F.lit(0), count - 1)))
-        rows = rows.withColumn("own", F.col("salt") == F.col("mine"))  # a class is compared with those behind it in one salt
-    more = links_of(met(rows.select("band", "salt", "cls", "size", "comp", "own"), "band", _meet(similar)), classes, texts, width, similar)
+    rows = classes.join(_few(known), F.col("cls") == F.col("node"), "left").select("cls", "size", "sketch", "bands", F.coalesce("component", "cls").alias("comp"))
+    values = rows.select(F.explode("bands").alias("band"), "cls", "comp")
+    shared = checkpointed(values.groupBy("band").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("band", F.ceil(F.col("n") / HOT).cast("int").alias("salts")))
+    dealt = values.select("band", "cls").join(_few(shared), "band").withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("salts"))).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    dealt = dealt.join(rows.drop("bands"), "cls").withColumn("own", F.col("salt") == F.col("mine"))  # a class is compared with those behind it in one salt
+    more = checkpointed(met(dealt.select("band", "salt", "cls", "size", "sketch", "comp", "own"), "band", _meet(similar)).distinct())
+    more = links_of(more, classes, texts, width, similar)
     joined = checkpointed(connected_components(linked.unionByName(more), contract=False))
     named = prints.select("th", "cls").distinct()
     return named.join(_few(joined), F.col("cls") == F.col("node"), "left").select("th", F.coalesce("component", "cls").alias("grp"))

@@ -72,6 +72,42 @@ def test_the_index_of_fingerprints_links_most_pairs(spark, docs_of, monkeypatch)
             assert len(rows) - len(kept) > 0.7 * (len(rows) - len(expected))
 
 
+def test_sketches_refute_no_similar_pair():
+    rnd, sets, pairs = np.random.default_rng(3), [], []
+    for size in (1, 5, 9, 90, 250, 257, 1030, 5000):
+        for share in np.r_[0.5:1:12j, 0.8]:
+            both = round(size * share)
+            a, b = rnd.integers(0, 2**64, (2, size), np.uint64)
+            b[:both] = a[:both]
+            cut = round(size * 0.8)  # a subset at a similarity of 0.8, or nearly so
+            pairs += [(len(sets), len(sets) + 1), (len(sets), len(sets) + 2)]
+            sets += [np.unique(a), np.unique(b), np.unique(a[:cut])]
+    left, right = np.array(pairs).T
+    sketches = np.array([shingles.sketch(s) for s in sets], object)
+    on = shingles.possible(left, right, np.array([len(s) for s in sets], np.int32), sketches, 0.8)
+    both = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in pairs])
+    union = np.array([len(sets[i]) + len(sets[j]) for i, j in pairs]) - both
+    assert on[both >= 0.8 * union].all() and (both == 0.8 * union).any()
+    assert not on[both < 0.6 * union].any()
+
+
+def test_a_group_of_unlike_copies_sends_few_pairs_to_the_sets(spark, docs_of, monkeypatch):
+    """Texts of one base, each pair of which shares bands and is not similar enough."""
+    rnd = random.Random(8)
+    words = ["".join(rnd.choices("abcdefgh", k=4)) for _ in range(3000)]
+    base, rows = rnd.choices(words, k=150), []
+    for k in range(150):
+        text = base.copy()
+        for at in rnd.sample(range(150), 7):
+            text[at] = rnd.choice(words)
+        rows.append((k, " ".join(text)))
+    sent, links_of = [], shingles.links_of
+    monkeypatch.setattr(shingles, "links_of", lambda met, *more: sent.append(met.distinct().count()) or links_of(met, *more))
+    group = _groups(rows)
+    assert {r["doc_id"] for r in shingles.keep_one(docs_of(rows)).collect()} == {min(i for (i, _), g in zip(rows, group) if g == own) for own in set(group)}
+    assert len(set(group)) > 100 and sum(sent) < 3 * len(rows), sent
+
+
 def test_a_worker_lets_go_of_another_operators_state():
     common.worker_state("one", lambda: 1)
     common.leave_state()
