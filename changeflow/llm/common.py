@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from changeflow.session import checkpointed, ensure_checkpoint_dir
 
-__all__ = ["Memory", "arrow_schema", "checkpointed", "cuts_of", "ensure_checkpoint_dir", "fresh", "give_back", "leave_state", "map_rows", "small_batches", "table", "worker_state"]
+__all__ = ["Memory", "arrow_schema", "checkpointed", "cuts_of", "ensure_checkpoint_dir", "fresh", "give_back", "leave_state", "map_rows", "settled", "small_batches", "table", "worker_state"]
 
 
 class Memory:
@@ -86,17 +86,26 @@ def cuts_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Arrow batches of so many rows at most in what runs inside, for rows that are long."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     was = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, was)
 
 
+def small_batches(spark: SparkSession, rows: int):
+    """Arrow batches of so many rows at most in what runs inside, for rows that are long."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``checkpointed``, after which the shuffle files that led to it go at once, and not when the driver happens to collect its garbage."""
+    with _setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        return checkpointed(df.select("*"))  # a plan of its own, made under this setting
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -25,7 +25,8 @@ Distribution: 32-bit word hashes are shuffled once, by host. A host is cut by a
 characters of html, with a suffix array each. Shards of one host vote on notices, and exchange hashes of the
 blocks and windows outside the articles' cores with the pages they stand on, so that a repeat across shards
 counts as one inside does. The pages are read again for the output, and meet their cuts by the hash of the
-row and their host's notices. A task holds one shard, and at least one page.
+row and their host's notices. Shuffled streams leave the disk as soon as all shards have told what they hold,
+before evidence is shuffled. A task holds one shard, and at least one page.
 
 Defined results: null or empty html gives the empty text; a null url belongs to the host ''; unclosed
 elements end with their parent, unclosed comments, scripts and styles with the page; broken character
@@ -46,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import checkpointed, map_rows
+from changeflow.llm.common import map_rows, settled
 
 #: Repeated substrings of so many words are boilerplate; characters of html in a shard.
 LONG, SHARD = 8, 1 << 19
@@ -654,20 +655,20 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
         return work
 
-    crowd = checkpointed(rows.groupBy("host").agg(F.ceil(F.coalesce(F.sum(F.length(html_col)), F.lit(0)) / SHARD).alias("shards")))
+    crowd = settled(rows.groupBy("host").agg(F.ceil(F.coalesce(F.sum(F.length(html_col)), F.lit(0)) / SHARD).alias("shards")))
     crowd = crowd.select("host", F.greatest("shards", F.lit(1).cast("long")).alias("shards"))
     sized = rows.join(_few(crowd), "host").select("key", "host", "shards", html_col)
     streams = map_rows(sized, read, f"host string, shards long, {STREAM}").withColumn("shard", F.pmod("key", F.col("shards")))
-    told = checkpointed(streams.groupBy("host", "shard").applyInArrow(_told, TOLD))
+    told = settled(streams.groupBy("host", "shard").applyInArrow(_told, TOLD))
     votes = told.where(F.col("kind").isin(THERE, VOTE)).groupBy("host", "hash").agg(F.count("*").alias("n"))
     there = votes.where("hash IS NULL").select("host", F.col("n").alias("of"))
     notices = votes.where("hash IS NOT NULL").join(_few(there), "host").where("2 * n > of").groupBy("host").agg(F.collect_list("hash").alias("notices"))
-    notices = checkpointed(notices)  # a page has few blocks that over half of the pages have
+    notices = settled(notices)  # a page has few blocks that over half of the pages have
     held = told.where(F.col("kind") == HASH).select("host", "shard", "hash", "kin")
     shared = held.select("host", "hash", "kin").distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= SPREAD).select("host", "hash")
     across = held.select("host", "shard", "hash").distinct().join(shared, ["host", "hash"]).select(F.col("host").alias("of_host"), F.col("shard").alias("of_shard"), "hash")
     doubt = told.where(F.col("kind") == PAGE).select("host", "shard", *[c.split()[0] for c in STREAM.split(", ")])
     more = doubt.groupBy("host", "shard").cogroup(across.groupBy("of_host", "of_shard")).applyInArrow(_cut_across, "cut_key long, cuts array<int>")
-    cuts = checkpointed(told.where(F.col("kind") == CUT).select(F.col("key").alias("cut_key"), "cuts").unionByName(more))
+    cuts = settled(told.where(F.col("kind") == CUT).select(F.col("key").alias("cut_key"), "cuts").unionByName(more))
     joined = rows.join(_few_lists(notices, "notices"), "host", "left").join(_few_lists(cuts, "cuts"), F.col("key") == F.col("cut_key"), "left")
     return map_rows(joined.select(id_col, url_col, html_col, "cuts", "notices"), write, schema)

@@ -1,6 +1,7 @@
 """Main text of pages: the markup, the suffix array and the whole operator against brute force."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -201,5 +202,32 @@ def test_copies_and_quotes_keep_their_text(spark, monkeypatch, shard):
     assert all(notice not in out[i] for i in range(5, 11))
 
 
+def test_streams_leave_the_disk_before_the_output(spark):
+    """Their shuffle files go with the checkpoint, whether or not the driver collects its garbage."""
+    store = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files, found = store.getAllFiles().iterator(), {}
+        while files.hasNext():
+            at = files.next()
+            if at.getName().startswith("shuffle_"):
+                found[at.getName()] = at.length()
+        return found
+
+    def more():
+        return sum(size for name, size in shuffled().items() if name not in before)
+
+    before = shuffled()
+    words = [" ".join(f"w{k}x{i}" for i in range(400)) for k in range(60)]  # 96,000 bytes of hashes
+    rows = [(k, f"http://h{k % 3}.org/{k}", f"<nav>menu {k}</nav><p>{words[k]}</p>") for k in range(60)]
+    out = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    until = time.time() + 10
+    while more() > 30_000 and time.time() < until:
+        time.sleep(0.2)
+    assert more() <= 30_000  # counts only
+    assert sorted(r["text"] for r in out.collect()) == sorted(words)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_empty_table(spark):
     assert html.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
