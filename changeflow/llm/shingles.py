@@ -121,12 +121,12 @@ def possible(left: np.ndarray, right: np.ndarray, size: np.ndarray, sketches: np
     wide = np.minimum(wide[left[at]], wide[right[at]])
     for w in np.unique(wide).tolist():
         own = at[wide == w]
-        rows, place = np.unique(np.concatenate([left[own], right[own]]), return_inverse=True)
-        held = np.stack([folded(sketches[r], w) for r in rows.tolist()])
+        met = np.zeros(len(size), bool)
+        met[left[own]] = met[right[own]] = True
+        held, place = np.stack([folded(s, w) for s in sketches[met]]), np.cumsum(met) - 1
         for k in range(0, len(own), BYTES // w):
             some = own[k : k + BYTES // w]
-            a, b = place[k : k + len(some)], place[len(own) + k : len(own) + k + len(some)]
-            differ = np.bitwise_count(held[a] ^ held[b]).sum(1, dtype=np.int64)
+            differ = np.bitwise_count(held[place[left[some]]] ^ held[place[right[some]]]).sum(1, dtype=np.int64)
             on[some] = differ * (1 + similar) <= (1 - similar) * (size[left[some]].astype(np.int64) + size[right[some]]) + 1e-6
     return on
 
@@ -264,6 +264,8 @@ def _by_value(pairs):
                 yield from pairs(*[c[:cut] for c in now])
         if held is not None:
             yield from pairs(*held)
+        del held
+        give_back()  # the worker stays
 
     return run
 
