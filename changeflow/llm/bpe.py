@@ -11,7 +11,7 @@ too. The check walks the merges of a and b backwards, latest first, and looks wh
 that face each other would have merged earlier.
 
 Scale: one pass, no shuffle. The ids of blank-separated cuts are remembered in a dictionary of bounded
-size; a task holds a batch and that memory.
+size, by their ids alone; a task holds a batch and that memory.
 
 Defined results: null or empty text has no tokens and decodes to the empty text; very long texts are
 encoded whole; of merges of one rank the leftmost comes first; an empty table gives an empty table; rows that repeat come
@@ -35,6 +35,10 @@ from changeflow.llm.common import Memory, cuts_of, give_back, map_rows, worker_s
 
 #: Entries of each generation of the memories of encoded cuts and words in a Python worker.
 REMEMBERED = 150_000
+#: Cuts and words of more characters are not remembered, so that the bound on entries is one on memory too.
+LONGEST = 64
+#: Characters (bytes of UTF-8) that are encoded at once; a longer text stands alone.
+AT_ONCE = 1 << 20
 NEVER = np.iinfo(np.int64).max
 
 
@@ -72,7 +76,8 @@ class Codec:
             raise ValueError("this codec reads tokenizer files with NFC, blank and lower-case normalisation, a split by matches and no decoder")
         self.split = regex.compile(split["pattern"]["Regex"])
         self.far = regex.compile("[\\u0530-\\U0010FFFF]")
-        self.parts = Tokenizer.from_str(file.decode())
+        # The library is asked for the normal form and the split only, so it gets no vocabulary to hold.
+        self.parts = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "post_processor": None, "model": {"type": "BPE", "vocab": {}, "merges": []}}))
         self.signs = byte_signs()
         pairs = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
         self.ranks = {(self.vocab[a], self.vocab[b]): (r, self.vocab[a + (b)]) for r, (a, b) in enumerate(pairs)}
@@ -93,6 +98,7 @@ class Codec:
         self.pair_keys, self.pair_ranks = keys[order], np.array([r for r, _ in self.ranks.values()], np.int64)[order]
         self.made_by = np.array(self.made, np.int64)
         self.raw = {t: t.to_bytes(4, "little") for t in self.names}
+        self.texts = pa.array([self.names.get(t, "") for t in range(max(self.names) + 1)], pa.large_string())
         #: Tokens that merging reaches from their own characters; only these are proposed.
         self.proposed = {t: i for t, i in self.vocab.items() if self.merge(self._symbols(t)) == [i]}
         #: The longest token after each first three signs: longer guesses are not worth a look.
@@ -279,19 +285,19 @@ class Codec:
         signs = self.signs
         return ["".join([signs[b] for b in w.encode("utf-8", "surrogatepass")]) for w in self.split.findall(cut.lower())]
 
-    def _learn(self, cuts: Iterable[str]) -> None:
-        cuts, words, known = list(cuts), self.words, self.known.young
+    def _learn(self, cuts: list[str]) -> None:
+        """Puts the ids of the cuts, four bytes each, into the memories."""
+        words, known, raw = self.words, self.known.young, self.raw
         split = [self.normal_words(c) for c in cuts]
-        new = list({w for ws in split for w in ws if w not in words.young and words.recall(w) is None})
-        names, raw, young = self.names, self.raw, words.young
+        young = words.young
+        new = list({w for ws in split for w in ws if w not in young and words.recall(w) is None})
         for w, ids in zip(new, self.encode_words(new)):
-            young[w] = (len(ids), b"".join([raw[t] for t in ids]), " ".join([names[t] for t in ids]))
+            young[w] = b"".join([raw[t] for t in ids])
         for c, ws in zip(cuts, split):
-            if len(ws) == 1:
-                known[c] = young[ws[0]]
-            else:
-                own = [young[w] for w in ws]
-                known[c] = (sum([f[0] for f in own]), b"".join([f[1] for f in own]), " ".join([f[2] for f in own]))
+            known[c] = young[ws[0]] if len(ws) == 1 else b"".join([young[w] for w in ws])
+        for w in new:
+            if len(w) > LONGEST:
+                del young[w]
 
     def encode(self, texts: list[str | None] | pa.Array) -> Iterator[tuple[int, bytes, str]]:
         """For each text the number of ids, the ids as little-endian unsigned 32-bit integers, and their decoding."""
@@ -321,18 +327,22 @@ class Codec:
         self.known.turn()
         self.words.turn()
         known, recall = self.known.young, self.known.recall
-        self._learn([c for c in cuts if c not in known and recall(c) is None])
+        new = [c for c in cuts if c not in known and recall(c) is None]
+        self._learn(new)
         found = [known[c] for c in cuts]
-        sizes = np.fromiter([f[0] for f in found], np.int64, len(found))
-        flat, begin = np.frombuffer(b"".join([f[1] for f in found]), "<u4"), np.cumsum(sizes) - sizes
+        for c in new:
+            if len(c) > LONGEST:
+                del known[c]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, begin = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        del cuts, found, new
         n = sizes[order]
         if not n.all():  # a cut of blanks beyond ASCII
             ends, order, n = np.r_[0, np.cumsum(n > 0)][ends], order[n > 0], n[n > 0]
         stop = np.cumsum(n)
         ids = flat[np.repeat(begin[order] - (stop - n), n) + np.arange(int(stop[-1]) if len(stop) else 0)]
         bounds = np.r_[0, stop][ends]
-        decoded = pa.array([f[2] for f in found], pa.large_string()).take(pa.array(order))
-        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), decoded), pa.scalar(" ", pa.large_string()))
+        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), self.texts.take(pa.array(ids))), pa.scalar(" ", pa.large_string()))
         for k in range(len(texts)):
             a, b = int(bounds[k]), int(bounds[k + 1])
             yield b - a, ids[a:b].tobytes(), joined[k].as_py()
@@ -342,6 +352,16 @@ class Codec:
         return " ".join([self.names[t] for t in np.frombuffer(ids, "<u4").tolist()])
 
 
+def spans(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, number) of texts that are encoded together: at most AT_ONCE in all or a single one, and at most 1024."""
+    ends, k = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)), 0
+    while k < len(texts):
+        upto = int(np.searchsorted(ends, AT_ONCE + (ends[k - 1] if k else 0), "right"))
+        n = min(max(upto - k, 1), 1024)
+        yield k, n
+        k += n
+
+
 def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """(id, n_tokens, ids binary, decoded string) of every row; with ``digest`` SHA-256 of both instead of themselves.
 
@@ -355,8 +375,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
 
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
             ids, texts = batch.column(0), batch.column(1)
-            step = 1024
-            for k in range(0, len(texts), max(step, 1)):
+            for k, step in spans(texts):
                 counts, one, two = [], [], []
                 for n, raw, decoded in codec.encode(texts.slice(k, step)):
                     counts.append(n)

@@ -4,11 +4,13 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer, models, normalizers
 
+from changeflow.llm import bpe
 from changeflow.llm.bpe import Codec, bpe_encode
 from changeflow.llm.token_counts import SPACE, Counter, read_pieces, token_counts
 
@@ -70,3 +72,22 @@ def test_edges(spark, docs_of, run, path):
 def test_digests(docs_of):
     plain, digest = (bpe_encode(docs_of(ROWS[:1]), WORDS, digest=d).first() for d in (False, True))
     assert digest["ids_sha256"] == sha256(plain["ids"]).hexdigest() and digest["decoded_sha256"] == sha256(plain["decoded"].encode()).hexdigest()
+
+
+def test_the_encoder_remembers_ids_of_short_cuts_only():
+    codec = Codec(open(WORDS, "rb").read())
+    texts = ["a plain text, " + "long" * 100 + str(k) + " \u0565\u0580\u0587" for k in range(50)]
+    for _ in range(2):
+        for text, (n, raw, decoded) in zip(texts, codec.encode(texts)):
+            ids = LIBRARY.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(raw, "<u4").tolist() == ids and decoded == LIBRARY.decode(ids, skip_special_tokens=False)
+    for held in (codec.known.young, codec.words.young):
+        assert held and max(map(len, held)) <= bpe.LONGEST and all(type(v) is bytes for v in held.values())
+    assert codec.parts.get_vocab_size() == 0
+
+
+def test_texts_encoded_at_once_are_bounded_by_their_length(monkeypatch):
+    monkeypatch.setattr(bpe, "AT_ONCE", 10)
+    assert list(bpe.spans(pa.array(["x" * 4, None, "x" * 6, "x" * 30, "", "x" * 11, "x"]))) == [(0, 3), (3, 1), (4, 1), (5, 1), (6, 1)]
+    assert list(bpe.spans(pa.array([""] * 2500))) == [(0, 1024), (1024, 1024), (2048, 452)]
+    assert list(bpe.spans(pa.array([], pa.string()))) == []
