@@ -353,7 +353,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = dealt.join(rows.drop("bands"), "cls").withColumn("own", F.col("salt") == F.col("mine"))  # a class is compared with those behind it in one salt
     more = checkpointed(met(dealt.select("band", "salt", "cls", "size", "sketch", "comp", "own"), "band", _meet(similar)).distinct())
     more = links_of(more, classes, texts, width, similar)
-    joined = checkpointed(connected_components(linked.unionByName(more), contract=False))
+    joined = known
+    if more.limit(1).count():  # links between components: their graph is far smaller than that of the classes
+        names = known.select(F.col("node"), F.col("component"))
+        for c in "uv":
+            more = more.join(_few(names.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))), c, "left").withColumn(f"of_{c}", F.coalesce(f"of_{c}", c))
+        over = checkpointed(connected_components(more.select("of_u", "of_v"), contract=False)).select(F.col("node").alias("component"), F.col("component").alias("top"))
+        renamed = names.join(_few(over), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+        single = over.select(F.col("component").alias("node"), F.col("top").alias("component"))  # those that had no link before, and names of components
+        joined = checkpointed(renamed.unionByName(single).distinct())
     named = prints.select("th", "cls").distinct()
     return named.join(_few(joined), F.col("cls") == F.col("node"), "left").select("th", F.coalesce("component", "cls").alias("grp"))
 

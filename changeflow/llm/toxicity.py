@@ -28,6 +28,7 @@ empty table; the score reads the text only; other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 import uuid
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.common import Memory, checkpointed, cuts_of, give_back, map_rows, worker_state
 
-PER_CLASS, CHARS = 2000, 1 << 25
+PER_CLASS, CHARS = 2000, 1 << 23
 NEIGHBOURS, SOFT, PRIOR_VOTE, BLOCK = 9, 0.1, 0.5, 32
 #: Entries of each generation of the memory of cuts in a Python worker, and texts that are read at once.
 REMEMBERED, SLICE = 150_000, 512
@@ -274,7 +275,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), F.col(id_col).cast("long") == F.col("lid")).groupBy("lid", "y").agg(F.min(text_col).alias("t"))
     upto = Window.partitionBy("y").orderBy(F.xxhash64("lid"), "lid")  # of per_class rows at most
     bounded = texts.where(F.length("t") <= chars).withColumn("upto", F.sum(F.length("t")).over(upto)).where(F.col("upto") <= chars)
-    return build(sorted((r["lid"], r["y"], r["t"]) for r in bounded.select("lid", "y", "t").collect()), share)
+    try:
+        return build(sorted((r["lid"], r["y"], r["t"]) for r in bounded.select("lid", "y", "t").collect()), share)
+    finally:  # texts and fold models would stay with the driver through all later stages
+        gc.collect()
+        give_back()
 
 
 class Scorer:
