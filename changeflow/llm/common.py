@@ -10,12 +10,13 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.session import checkpointed, ensure_checkpoint_dir
 
-__all__ = ["Memory", "arrow_schema", "checkpointed", "cuts_of", "ensure_checkpoint_dir", "fresh", "give_back", "leave_state", "map_rows", "settled", "small_batches", "table", "worker_state"]
+__all__ = ["Memory", "arrow_schema", "bound", "checkpointed", "cuts_of", "ensure_checkpoint_dir", "fresh", "give_back", "leave_state", "map_rows", "settled", "small_batches", "table", "worker_state"]
 
 
 class Memory:
@@ -106,6 +107,11 @@ def settled(df: DataFrame) -> DataFrame:
         return checkpointed(df.select("*"))  # a plan of its own, made under this setting
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row: in a lambda, an expression from outside is computed for each element anew."""
+    return F.transform(F.array(value), use)[0]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import table
+from changeflow.llm.common import bound, table
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,9 +153,103 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digest=True)
 
 
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; of documents whose crc32 of the id ends in 0, words from one on become repeats of the first few of them."""
+    from changeflow.llm.filter_audit import words_of
+
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+        return bound(F.struct(a.alias("a"), p.alias("p")), lambda at: F.concat_ws(" ", F.slice(words, F.lit(1), at["a"].cast("int")), F.transform(F.sequence(at["a"], n - 1), lambda i: F.get(words, (at["a"] + (i - at["a"]) % at["p"]).cast("int")))))
+
+    made = bound(words_of(F.col("text")), repeated)
+    return docs.select("doc_id", F.when((h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]"), made).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.periodic import find_runs
+
+    found = find_runs(planted_repeats(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
+#: Rules of op12: host and path, and what they say.
+OP12_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.url_filter import examples, fit, judge
+
+    judged = judge(table(spark, sf_dir, "pages").select("page_id", "url"), fit(examples(spark)), OP12_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.filter_audit import audit, words_of
+
+    text = F.coalesce("text", F.lit(""))
+    words = words_of(text)
+    fails = {
+        "A": F.size(words) < 200,
+        "B": 100 * F.size(F.array_distinct(words)) < 50 * F.size(words),
+        "C": 100 * (F.length(text) - F.length(F.regexp_replace(text, "[A-Z]", ""))) > 2 * F.length(text),
+        "D": text.rlike("[#$%&*|]"),
+    }
+    tallies = {"good_lost": F.col("quality") == 1, "toxic_lost": F.col("toxic") == 1}
+    return audit(table(spark, sf_dir, "documents"), fails, copies="E", labels=table(spark, sf_dir, "labels"), tallies=tallies)
+
+
+OP13_SQL = r"""
+WITH said AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+known AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(k.toxic, 0) AS toxic,
+    (CASE WHEN len(words) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN s.doc_id > min(s.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS fails
+  FROM said s LEFT JOIN known k ON s.doc_id = k.doc_id),
+held AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (
+  SELECT a.c || b.c || d.c || e.c || f.c AS filter_order FROM letters a, letters b, letters d, letters e, letters f
+  WHERE len(list_distinct([a.c, b.c, d.c, e.c, f.c])) = 5),
+steps AS (SELECT filter_order, CAST(i AS INTEGER) AS step, filter_order[i] AS mine, filter_order[1:i - 1] AS before FROM orders, range(1, 6) t(i)),
+seen AS (
+  SELECT part, filter_order, step, mine, n, good, toxic, contains(fails, mine) AS fails_here,
+    len(list_intersect(string_split(before, ''), string_split(fails, ''))) > 0 AS gone, fails = mine AS alone
+  FROM held, steps),
+told AS (
+  SELECT part, filter_order, step, mine,
+    sum(CASE WHEN NOT gone AND NOT fails_here THEN n ELSE 0 END) AS kept, sum(CASE WHEN NOT gone AND fails_here THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN gone AND fails_here THEN n ELSE 0 END) AS redundant, sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN NOT gone AND fails_here THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN NOT gone AND fails_here THEN toxic ELSE 0 END) AS toxic_lost
+  FROM seen GROUP BY part, filter_order, step, mine)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, mine) AS BIGINT) AS shapley
+FROM told
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_embedding_dedup, op3_quality, op4_chat_format, op5_simhash, op6_toxicity, op7_html, op8_mixing, op9_topk, op10_bpe)}
+    return {f.__name__: f for f in (op1_token_counts, op2_embedding_dedup, op3_quality, op4_chat_format, op5_simhash, op6_toxicity, op7_html, op8_mixing, op9_topk, op10_bpe, op11_periodic_runs, op12_url_filter, op13_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_embedding_dedup": OP2_SQL, "op9_topk": OP9_SQL, "op4_chat_format": OP4_SQL, "op8_mixing": OP8_SQL}
+    return {"op2_embedding_dedup": OP2_SQL, "op9_topk": OP9_SQL, "op4_chat_format": OP4_SQL, "op8_mixing": OP8_SQL, "op13_filter_audit": OP13_SQL}
