@@ -9,11 +9,14 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeflow import model
 
+#: Room of a change's place in its transaction, below the log position, in ``_seq``.
+ORDINAL_BITS = 14
 #: Objects whose changes are captured (fixed values).
 OBJECTS = ("table", "table column", "index")
 
@@ -38,9 +41,18 @@ def deduplicated(log: DataFrame) -> DataFrame:
 
 
 def as_changes(log: DataFrame, seq_from: int = 0) -> DataFrame:
-    """DDL changes in the order of the log; the new row holds the log's columns."""
+    """DDL changes in the order of the log; the new row holds the log's columns.
+
+    A log that tells the ``position`` (of the source's write-ahead log, where the command ran) gives each
+    command its place among the streamed changes: a table is locked while it changes, so all changes of
+    transactions before have committed at lower positions, and all others come at higher ones.
+    """
     columns = ["event_type", "object_type", "object_identity", "ddl_command", "created_at"]
-    made = model.envelope(log.select(*columns, "id"), "", op=model.DDL, new=F.struct(*columns), seq=F.col("id") + seq_from, row=log.select(*columns).schema)
+    seq = F.col("id") + seq_from
+    if "position" in log.columns:
+        place = F.row_number().over(Window.partitionBy("position").orderBy("id")) - 1
+        seq = F.coalesce(F.shiftleft(F.col("position").cast("long"), ORDINAL_BITS) + place, seq)
+    made = model.envelope(log.withColumn("_at", seq).select(*columns, "_at"), "", op=model.DDL, new=F.struct(*columns), seq=F.col("_at"), row=log.select(*columns).schema)
     source = F.col("new.object_identity")
     # The identity of a column is schema.table.column.
     column, parts = F.col("new.object_type") == "table column", r"^([^.]*)\.([^.]*)\."
@@ -123,7 +135,7 @@ def parse(command: str) -> list[SchemaChange]:
 
 
 def evolve(rows: DataFrame, changes: Sequence[SchemaChange]) -> DataFrame:
-    """The table under its new schema. What is not there any more is left alone, as a repeated command would be."""
+    """The rows of one schema under the next. What is not there any more is left alone, as a repeated command would be; values that a new type cannot hold raise."""
     for c in changes:
         has = c.column in rows.columns
         if c.action == "add" and not has:
@@ -136,5 +148,12 @@ def evolve(rows: DataFrame, changes: Sequence[SchemaChange]) -> DataFrame:
             kind = rows.schema[c.to].dataType
             rows = rows.withColumn(c.to, F.coalesce(F.col(f"`{c.to}`"), F.col(f"`{c.column}`").try_cast(kind))).drop(F.col(f"`{c.column}`"))
         elif c.action == "retype" and has:
-            rows = rows.withColumn(c.column, F.col(f"`{c.column}`").try_cast(c.to))
+            rows = rows.withColumn(c.column, strict_cast(F.col(f"`{c.column}`"), c.to, c.column))
     return rows
+
+
+def strict_cast(c: Column, kind: str | T.DataType, name: str) -> Column:
+    """The value in another type; one that it cannot hold raises instead of going lost."""
+    made = c.try_cast(kind)
+    lost = F.concat(F.lit(f"column {name} has a value that its new type cannot hold: "), F.coalesce(c.cast("string"), F.lit("")))
+    return F.when(c.isNotNull() & made.isNull(), F.raise_error(lost)).otherwise(made)

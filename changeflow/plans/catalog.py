@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,8 +26,11 @@ from changeflow.session import ensure_checkpoint_dir
 from changeflow.sinks.base import message
 from changeflow.sinks.files import JsonLinesSink
 from changeflow.sinks.table import TableSink
-from changeflow.sources import changelog
+from changeflow.sources import changelog, registry
+from changeflow.sources.capture import to_frames, write_capture
+from changeflow.sources.pgoutput import PgOutputDataSource
 from changeflow.sources.snapshot import page_ranges, snapshot
+from changeflow.streaming.stateful import replay_stream
 from changeflow.streaming.worker import Worker
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -357,25 +360,35 @@ def _full_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- schema changes
 
-_LOG = [
-    (1, "ALTER TABLE", "table", "app.users", "ALTER TABLE app.users ADD COLUMN email text", "2024-01-01 00:00:01"),
-    (2, "ALTER TABLE", "table column", "app.users.email", "ALTER TABLE app.users ADD COLUMN email text", "2024-01-01 00:00:01"),
-    (3, "CREATE INDEX", "index", "app.users_email", "CREATE INDEX users_email ON app.users (email)", "2024-01-01 00:00:02"),
-    (4, "CREATE TABLE", "table", "changeflow_internal.ddl_log", "CREATE TABLE changeflow_internal.ddl_log (id int)", "2024-01-01 00:00:03"),
-    (5, "CREATE PUBLICATION", "table", "app.users", "CREATE PUBLICATION changeflow_app_publication FOR TABLE app.users", "2024-01-01 00:00:04"),
-    (6, "ALTER TABLE", "table", "app.users", "ALTER TABLE app.users RENAME COLUMN data TO body", "2024-01-01 00:00:05"),
-    (7, "CREATE VIEW", "view", "app.v", "CREATE VIEW app.v AS SELECT 1", "2024-01-01 00:00:06"),
-]
-_LOG_SQL = "(VALUES " + ", ".join("({}, '{}', '{}', '{}', '{}', TIMESTAMP '{}')".format(*r) for r in _LOG) + ") AS log(id, event_type, object_type, object_identity, ddl_command, created_at)"
-
+def _ddl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A schema-change log with a row for each order: its customer's table gets a column, and some rows are of objects that are not captured."""
+    k, t = F.col("o_orderkey"), F.concat(F.lit("app.t"), (F.col("o_custkey") % 500).cast("string"))
+    command = F.concat(F.lit("ALTER TABLE "), t, F.lit(" ADD COLUMN c"), (k % 7).cast("string"), F.lit(" int"))
+    internal, publication = k % 11 == 0, k % 13 == 0
+    return scan(spark, sf_dir, "orders").select(
+        k.alias("id"),
+        F.lit("ALTER TABLE").alias("event_type"),
+        F.when(k % 4 == 0, "table").when(k % 4 == 1, "table column").when(k % 4 == 2, "index").otherwise("view").alias("object_type"),
+        F.when(internal, "changeflow_internal.ddl_log").otherwise(t).alias("object_identity"),
+        F.when(publication, F.concat(F.lit("CREATE PUBLICATION changeflow_app FOR TABLE "), t)).otherwise(command).alias("ddl_command"),
+        F.col("o_orderdate").cast("timestamp").alias("created_at"),
+    )
 
-def _ddl_log(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(_LOG, "id long, event_type string, object_type string, object_identity string, ddl_command string, created_at string").withColumn("created_at", F.col("created_at").cast("timestamp"))
 
+_LOG_SQL = """log AS (
+  SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN 'table' WHEN 1 THEN 'table column' WHEN 2 THEN 'index' ELSE 'view' END AS object_type,
+    o_orderkey % 11 = 0 AS internal, o_orderkey % 13 = 0 AS publication, o_orderdate AS created_at,
+    CASE WHEN o_orderkey % 13 = 0 THEN 'CREATE PUBLICATION changeflow_app FOR TABLE app.t' || (o_custkey % 500)
+      ELSE 'ALTER TABLE app.t' || (o_custkey % 500) || ' ADD COLUMN c' || (o_orderkey % 7) || ' int' END AS ddl_command
+  FROM orders),
+kept AS (SELECT * FROM log WHERE object_type <> 'view' AND NOT internal AND NOT publication)"""
+_FIRST = "row_number() OVER (PARTITION BY ddl_command ORDER BY created_at, id) = 1"
 
-query("ddl_dedupe", f"SELECT id, ddl_command FROM (SELECT *, row_number() OVER (PARTITION BY ddl_command ORDER BY created_at, id) AS n FROM {_LOG_SQL}) WHERE n = 1")(lambda s, d: ddl.deduplicated(_ddl_log(s)).select("id", "ddl_command"))
-query("ddl_skip", f"SELECT id, object_type FROM {_LOG_SQL} WHERE id IN (1, 2, 3, 6)")(lambda s, d: ddl.tracked(_ddl_log(s)).select("id", "object_type"))
-query("ddl_changes", f"SELECT id AS _seq, 'DDL' AS _op, 'app' AS _schema FROM {_LOG_SQL} WHERE id IN (1, 3, 6)")(lambda s, d: ddl.as_changes(ddl.deduplicated(ddl.tracked(_ddl_log(s)))).select("_seq", "_op", "_schema"))
+query("ddl_dedupe", f"WITH {_LOG_SQL} SELECT id, ddl_command FROM log QUALIFY {_FIRST}")(lambda s, d: ddl.deduplicated(_ddl_log(s, d)).select("id", "ddl_command"))
+query("ddl_skip", f"WITH {_LOG_SQL} SELECT id, object_type FROM kept")(lambda s, d: ddl.tracked(_ddl_log(s, d)).select("id", "object_type"))
+query("ddl_changes", f"WITH {_LOG_SQL} SELECT id AS _seq, 'DDL' AS _op, CASE WHEN object_type = 'table column' THEN '' ELSE 'app' END AS _schema, ddl_command FROM kept QUALIFY {_FIRST}")(
+    lambda s, d: ddl.as_changes(ddl.deduplicated(ddl.tracked(_ddl_log(s, d)))).select("_seq", "_op", F.when(F.col("new.object_type") == "table column", "").otherwise(F.col("_schema")).alias("_schema"), "new.ddl_command")
+)
 query("ddl_evolve", "SELECT r_regionkey AS region_id, CAST(NULL AS VARCHAR) AS note FROM region")(
     lambda s, d: ddl.evolve(scan(s, d, "region"), ddl.parse("ALTER TABLE region ADD COLUMN note text, RENAME COLUMN r_regionkey TO region_id") + ddl.parse("ALTER TABLE region RENAME COLUMN r_regionkey TO region_id") + ddl.parse("ALTER TABLE region DROP COLUMN r_name"))
 )
@@ -383,30 +396,65 @@ query("ddl_evolve", "SELECT r_regionkey AS region_id, CAST(NULL AS VARCHAR) AS n
 # --- codecs
 
 
-def _decoded(values: list[str | None], expression: Callable, name: str) -> Query:
-    return lambda spark, sf_dir: spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v string").select("id", expression(F.col("v")).alias(name))
+def _decoded(table: str, key: str, text: Callable[[], Column], decoded: Callable[[Column], Column], name: str) -> Query:
+    """The decoded texts that a table's values have in the protocol, or that broken senders make of them."""
+    return lambda spark, sf_dir: scan(spark, sf_dir, table).select(F.col(key).alias("id"), text().alias("v")).select("id", decoded(F.col("v")).alias(name))
+
+
+def _forms(*texts: Column | str | None, key: str = "o_orderkey") -> Column:
+    """One of the texts for each row, in turn by its key."""
+    made = F.lit(None).cast("string")
+    for k, t in enumerate(texts):
+        made = F.when(F.col(key) % len(texts) == k, t if isinstance(t, Column) else F.lit(t)).otherwise(made)
+    return made
 
 
-def _values(rows: list[tuple[int, str]], kind: str, name: str) -> str:
-    return f"SELECT CAST(id AS BIGINT) AS id, CAST({name} AS {kind}) AS {name} FROM (VALUES " + ", ".join(f"({i}, {v})" for i, v in rows) + f") AS t(id, {name})"
+def _told(column: str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    return F.date_format(column, pattern)
 
 
-query("decode_bool", _values(list(enumerate(["true", "false", "true", "NULL", "NULL", "NULL"])), "BOOLEAN", "b"))(_decoded(["t", "f", "TRUE", "yes", None, ""], codecs.decode_bool, "b"))
-query("decode_int", _values(list(enumerate(["12", "-7", "NULL", "NULL", "9223372036854775807", "NULL"])), "BIGINT", "n"))(_decoded(["12", "-7", " 5", "1.5", "9223372036854775807", "9223372036854775808"], codecs.decode_int, "n"))
-query("decode_float", _values(list(enumerate(["1.5", "NULL", "NULL", "-200.0", "NULL"])), "DOUBLE", "x"))(_decoded(["1.5", "null", "abc", "-2e2", None], codecs.decode_float, "x"))
-query("decode_numeric", _values(list(enumerate(["12345.678", "NULL", "-0.5"])), "DECIMAL(18,3)", "x"))(_decoded(["12345.678", "x", "-0.5"], lambda c: codecs.decode_numeric(c, 18, 3), "x"))
-query("decode_bytea", "SELECT CAST(id AS BIGINT) AS id, hex(b) AS b FROM (VALUES (0, '\\xDE\\xAD'::BLOB), (1, 'raw'::BLOB), (2, ''::BLOB)) AS t(id, b) UNION ALL SELECT 3, NULL")(
-    _decoded(["\\xdead", "raw", "\\x", "\\xzz"], lambda c: F.hex(codecs.decode_bytea(c)), "b")
+query("decode_bool", "SELECT o_orderkey AS id, CASE o_orderkey % 6 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true END AS b FROM orders")(
+    _decoded("orders", "o_orderkey", lambda: _forms("t", "f", "TRUE", "yes", None, ""), codecs.decode_bool, "b")
 )
-query("decode_timestamp", _values(list(enumerate(["'2024-01-02 03:04:05'", "'2024-01-02 01:04:05'", "'2024-01-02 03:04:05.5'", "NULL", "NULL", "'2024-01-01 21:34:05'"])), "TIMESTAMP", "moment"))(
-    _decoded(["2024-01-02 03:04:05", "2024-01-02 03:04:05+02", "2024-01-02T03:04:05.5Z", "2024-01-02", "12:34", "2024-01-02 03:04:05+05:30"], codecs.decode_timestamp, "moment")
+query("decode_int", "SELECT o_orderkey AS id, CASE o_orderkey % 5 WHEN 0 THEN o_custkey WHEN 1 THEN -o_custkey END AS n FROM orders")(
+    _decoded("orders", "o_orderkey", lambda: _forms(F.col("o_custkey").cast("string"), F.concat(F.lit("-"), "o_custkey"), F.concat(F.lit(" "), "o_custkey"), F.concat("o_custkey", F.lit(".5")), "9223372036854775808"), codecs.decode_int, "n")
 )
-query("decode_date", _values(list(enumerate(["'2024-02-29'", "NULL", "NULL"])), "DATE", "day"))(_decoded(["2024-02-29", "2023-02-29", "2024-02-29 00:00:00"], codecs.decode_date, "day"))
-query("decode_array", "SELECT CAST(id AS BIGINT) AS id, n, total FROM (VALUES (0, 3, 6), (1, 0, 0), (2, -1, -1), (3, 2, 5)) AS t(id, n, total)")(
-    lambda s, d: _decoded(["{1,2,3}", "{}", "{a}", "{5,NULL}"], lambda c: codecs.decode_array(c, "int4"), "a")(s, d).select("id", F.coalesce(F.when(F.col("a").isNotNull(), F.size("a")), F.lit(-1)).alias("n"), F.coalesce(F.aggregate("a", F.lit(0).cast("long"), lambda x, y: x + F.coalesce(y, F.lit(0).cast("long"))), F.lit(-1)).cast("int").alias("total"))
+query("decode_float", "SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN o_totalprice WHEN 1 THEN -200.0 * o_custkey END AS x FROM orders")(
+    _decoded("orders", "o_orderkey", lambda: _forms(F.col("o_totalprice").cast("string"), F.concat(F.lit("-"), F.col("o_custkey") * 2, F.lit("e2")), "null", "abc"), codecs.decode_float, "x")
 )
-query("decode_text_array", "SELECT * FROM (VALUES (CAST(0 AS BIGINT), 'a|b,c|q\"t|∅'), (1, ''), (2, NULL), (3, 'NULL|x')) AS t(id, joined)")(
-    lambda s, d: _decoded(['{a,"b,c","q\\"t",NULL}', "{}", "no array", '{"NULL",x}'], codecs.array_elements, "a")(s, d).select("id", F.array_join("a", "|", "∅").alias("joined"))
+query("decode_numeric", "SELECT c_custkey AS id, CASE WHEN c_custkey % 3 < 2 THEN CAST(CAST(c_acctbal AS DECIMAL(15,2)) AS DECIMAL(18,3)) END AS x FROM customer")(
+    _decoded("customer", "c_custkey", lambda: _forms(*[F.col("c_acctbal").cast("decimal(15,2)").cast("string")] * 2, "x", key="c_custkey"), lambda c: codecs.decode_numeric(c, 18, 3), "x")
+)
+query("decode_bytea", "SELECT p_partkey AS id, CASE WHEN p_partkey % 3 < 2 THEN hex(p_name) END AS b FROM part")(
+    _decoded("part", "p_partkey", lambda: _forms(F.concat(F.lit("\\x"), F.lower(F.hex("p_name"))), F.col("p_name"), "\\xzz", key="p_partkey"), lambda c: F.hex(codecs.decode_bytea(c)), "b")
+)
+query(
+    "decode_timestamp",
+    "SELECT o_orderkey AS id, CASE o_orderkey % 6 WHEN 0 THEN CAST(o_orderdate AS TIMESTAMP) WHEN 1 THEN CAST(o_orderdate AS TIMESTAMP) - INTERVAL 2 HOUR WHEN 2 THEN CAST(o_orderdate AS TIMESTAMP) + INTERVAL 500 MILLISECOND "
+    "WHEN 5 THEN CAST(o_orderdate AS TIMESTAMP) - INTERVAL 330 MINUTE END AS moment FROM orders",
+)(
+    _decoded(
+        "orders",
+        "o_orderkey",
+        lambda: _forms(_told("o_orderdate"), F.concat(_told("o_orderdate"), F.lit("+02")), F.concat(_told("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".5Z")), _told("o_orderdate", "yyyy-MM-dd"), "12:34", F.concat(_told("o_orderdate"), F.lit("+05:30"))),
+        codecs.decode_timestamp,
+        "moment",
+    )
+)
+query("decode_date", "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS DATE) END AS day FROM orders")(
+    _decoded("orders", "o_orderkey", lambda: _forms(_told("o_orderdate", "yyyy-MM-dd"), _told("o_orderdate"), _told("o_orderdate", "yyyy-'02'-'30'")), codecs.decode_date, "day")
+)
+query("decode_array", "SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN 3 WHEN 1 THEN 0 WHEN 2 THEN -1 ELSE 2 END AS n, CASE o_orderkey % 4 WHEN 0 THEN o_custkey + 3 WHEN 1 THEN 0 WHEN 2 THEN -1 ELSE o_custkey END AS total FROM orders")(
+    lambda s, d: _decoded("orders", "o_orderkey", lambda: _forms(F.concat(F.lit("{1,2,"), "o_custkey", F.lit("}")), "{}", "{a}", F.concat(F.lit("{"), "o_custkey", F.lit(",NULL}"))), lambda c: codecs.decode_array(c, "int4"), "a")(s, d).select(
+        "id",
+        F.coalesce(F.when(F.col("a").isNotNull(), F.size("a")), F.lit(-1)).alias("n"),
+        F.coalesce(F.aggregate("a", F.lit(0).cast("long"), lambda x, y: x + F.coalesce(y, F.lit(0).cast("long"))), F.lit(-1).cast("long")).alias("total"),
+    )
+)
+query("decode_text_array", "SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN p_name || '|b,c|q\"t|∅' WHEN 1 THEN '' WHEN 3 THEN 'NULL|' || p_brand END AS joined FROM part")(
+    lambda s, d: _decoded(
+        "part", "p_partkey", lambda: _forms(F.concat(F.lit('{"'), "p_name", F.lit('","b,c","q\\"t",NULL}')), "{}", F.concat("p_name", F.lit(" is no array")), F.concat(F.lit('{"NULL","'), "p_brand", F.lit('"}')), key="p_partkey"), codecs.array_elements, "a"
+    )(s, d).select("id", F.array_join("a", "|", "∅").alias("joined"))
 )
 
 
@@ -493,9 +541,123 @@ query("row_md5_checksum", "SELECT o_orderkey, md5(concat_ws('|', o_orderkey, o_c
 )
 
 
-@query("type_registry", "SELECT * FROM (VALUES ('int8', 20, 'int8'), ('jsonb', 3802, 'jsonb'), ('uuid[]', 2951, 'uuid[]'), ('nothing', 0, 'unknown_0')) AS t(name, oid, back)")
+@query(
+    "type_registry",
+    "SELECT t.name, t.oid, t.kind, o.n FROM (VALUES ('o_orderkey', 20, 'int8'), ('o_custkey', 20, 'int8'), ('o_orderstatus', 25, 'text'), ('o_totalprice', 701, 'float8'), ('o_orderdate', 1114, 'timestamp'), ('o_orderpriority', 25, 'text')) AS t(name, oid, kind), "
+    "(SELECT count(*) AS n FROM orders) o",
+)
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(n, pgtypes.type_oid(n), pgtypes.type_name(pgtypes.type_oid(n))) for n in ("int8", "jsonb", "uuid[]", "nothing")], "name string, oid int, back string")
+    """The types that the rows of a table carry through the log."""
+    told = changelog.to_wire(snapshot(scan(spark, sf_dir, "orders"), "orders")).select(F.explode("columns").alias("c")).groupBy("c.name", "c.oid").agg(F.count("*").alias("n"))
+    names = F.create_map(*[F.lit(x) for oid in (20, 25, 701, 1114) for x in (oid, pgtypes.type_name(oid))])
+    return told.select("name", "oid", names[F.col("oid")].alias("kind"), "n")
+
+
+# --- the protocol: changes of orders as frames of a server, decoded by many tasks
+
+
+def _captured(spark: SparkSession, sf_dir: str, range_bytes: int = 1 << 18) -> DataFrame:
+    """The change stream as one transaction an order, told in frames, and read back by the data source."""
+    path = f"{_scratch(spark)}/frames"
+    write_capture(to_frames(orders_cdc(spark, sf_dir), F.lit(4096) + F.col("_seq").bitwiseAND(F.lit(-4)) * 16, "orders", ["o_orderkey"]), path)
+    spark.dataSource.register(PgOutputDataSource)
+    return spark.read.format("changeflow_pgoutput").option("path", path).option("rangeBytes", range_bytes).load()
+
+
+def _orders_row(spark: SparkSession, sf_dir: str) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.TimestampType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType) for f in scan(spark, sf_dir, "orders").schema])
+
+
+_DECODED = """decoded AS (
+  SELECT ((4096 + o_orderkey * 64) << 14) + row_number() OVER (PARTITION BY o_orderkey ORDER BY seq) - 1 AS _seq, * FROM cdc)"""
+
+query(
+    "decode_frames",
+    f"WITH {_CDC}, {_DECODED} SELECT _seq, op AS _op, o_orderkey, o_totalprice, op = 'UPDATE' AND kept AS left_out, 'public.orders' AS tbl, 'o_orderkey' AS key_column, 4096 + o_orderkey * 64 AS commit_position FROM decoded",
+)(
+    lambda s, d: changelog.from_wire(_captured(s, d), "orders", _orders_row(s, d)).select(
+        "_seq",
+        "_op",
+        F.coalesce("new", "old")["o_orderkey"].alias("o_orderkey"),
+        F.coalesce("new", "old")["o_totalprice"].alias("o_totalprice"),
+        F.array_contains("_toasted", "o_orderpriority").alias("left_out"),
+        F.concat_ws(".", "_schema", "_table").alias("tbl"),
+        F.col("_key.columns")[0].alias("key_column"),
+        F.conv(F.split("_commit_lsn", "/")[1], 16, 10).cast("long").alias("commit_position"),
+    )
+)
+query("decode_replay", _REPLAYED)(lambda s, d: replay(changelog.from_wire(_captured(s, d), "orders", _orders_row(s, d)), ["o_orderkey"]))
+
+
+@query("copy_and_stream_decoded", _REPLAYED)
+def _copied_and_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The capture mode of a copy with the stream that goes on from it; the stream repeats what the copy has."""
+    row = _orders_row(spark, sf_dir)
+    copy = snapshot(scan(spark, sf_dir, "orders").select(*[F.col(f.name).cast(f.dataType) for f in row]), "orders", ORDERS_KEY)
+    stream = changelog.from_wire(_captured(spark, sf_dir), "orders", row)
+    return replay(registry.capture("copy-and-stream", {"orders": copy}, {"orders": stream})["orders"], ["o_orderkey"])
+
+
+# --- state
+
+
+@query("replay_stateful", _REPLAYED)
+def _stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change stream through the log into the state store, stopped and resumed between batches, and into a table."""
+    base = _scratch(spark)
+    log, out = f"{base}/log", TableSink(f"{base}/tables", {"orders": ORDERS_KEY})
+    changes = orders_cdc(spark, sf_dir)
+    for k in range(3):
+        changelog.append(changelog.to_wire(changes.where(F.floor(F.col("_seq") % 4 * 3 / 4) == k), "g"), log)
+        stream = changelog.from_wire(changelog.read_stream(spark, log, "g"), "orders", _orders_row(spark, sf_dir))
+        replay_stream(stream, "orders", ["o_orderkey"], out, f"{base}/state", once=True).awaitTermination()
+    return out.read(spark, "orders")
+
+
+# --- names that change their meaning
+
+
+@query(
+    "ddl_history",
+    "SELECT o_orderkey, o_orderstatus AS c, o_custkey AS b, CASE WHEN o_orderkey % 2 = 0 THEN 'x' || o_orderkey END AS a FROM orders WHERE o_orderkey % 7 <> 0 "
+    "UNION ALL SELECT -1 - o_orderkey, 'N', o_orderkey, NULL FROM orders WHERE o_orderkey % 5 = 0",
+)
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name given up and given again (RENAME and ADD, DROP and ADD), two names swapped, a table renamed; half of it in one batch."""
+    base = _scratch(spark)
+    log, out = f"{base}/log", TableSink(f"{base}/tables", {})
+    orders, k = scan(spark, sf_dir, "orders"), F.col("o_orderkey")
+
+    def rows(step: int, op: str, columns: list[Column], where: Column, table: str = "orders", left_out: tuple[str, ...] = ()) -> DataFrame:
+        made = orders.where(where).select(*columns)
+        whole = F.struct(*made.columns)
+        sides = {"old": whole} if op == model.DELETE else {"new": whole, "old": F.lit(None).cast(made.schema)}
+        sides.setdefault("new", F.lit(None).cast(made.schema))
+        return model.envelope(made, table, op=op, seq=F.lit(step << 44) + F.abs(made[made.columns[0]]), key=ORDERS_KEY, toasted=F.array(*map(F.lit, left_out)), **sides)
+
+    def commands(step: int, *texts: str, table: str = "orders") -> DataFrame:
+        told = [(i, "ALTER TABLE", "table", f"public.{table}", text, "2024-01-01 00:00:00", (step << 30) + i) for i, text in enumerate(texts)]
+        asked = spark.createDataFrame(told, "id long, event_type string, object_type string, object_identity string, ddl_command string, created_at string, position long")
+        return ddl.as_changes(asked.withColumn("created_at", F.col("created_at").cast("timestamp")))
+
+    status, customer = F.col("o_orderstatus"), F.col("o_custkey")
+    none = lambda kind: F.lit(None).cast(kind)
+    steps = [
+        snapshot(orders.select(k, status.alias("a"), customer.alias("c")), "orders", ORDERS_KEY),
+        commands(1, "ALTER TABLE orders RENAME COLUMN a TO b", "ALTER TABLE orders ADD COLUMN a bigint"),
+        rows(2, model.UPDATE, [k, none("string").alias("b"), none("long").alias("c"), k.alias("a")], k % 3 == 0, left_out=("b", "c")),
+        commands(3, "ALTER TABLE orders RENAME COLUMN b TO t", "ALTER TABLE orders RENAME COLUMN c TO b", "ALTER TABLE orders RENAME COLUMN t TO c"),
+        rows(4, model.INSERT, [(-1 - k).alias("o_orderkey"), F.lit("N").alias("c"), k.alias("b"), none("long").alias("a")], k % 5 == 0),
+        commands(5, "ALTER TABLE orders DROP COLUMN a", "ALTER TABLE orders ADD COLUMN a text"),
+        rows(6, model.UPDATE, [k, none("string").alias("c"), none("long").alias("b"), F.concat(F.lit("x"), k).alias("a")], k % 2 == 0, left_out=("c", "b")),
+        commands(7, "ALTER TABLE orders RENAME TO purchases", table="purchases"),
+        rows(8, model.DELETE, [k, status.alias("c"), customer.alias("b"), none("string").alias("a")], k % 7 == 0, "purchases"),
+    ]
+    for part in (steps[6::-1], steps[7:]):  # the log's files in no order: positions tell it
+        for changes in part:
+            changelog.append(changelog.to_wire(changes, "g"), log)
+        Worker(log, "g", None, out).start(spark, f"{base}/state", once=True).awaitTermination()
+    return out.read(spark, "purchases").select("o_orderkey", "c", "b", "a")
 
 
 def queries() -> dict[str, Query]:

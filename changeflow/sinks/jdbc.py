@@ -7,6 +7,7 @@ of those keys, so that it is the one that statements in order would leave.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,30 @@ from changeflow.streaming.retry import with_retry
 TRANSIENT = ("08006", "08003", "57P01", "57P02", "57P03")
 
 
+#: SQL states of schemas, tables, columns and other objects that are not there (fixed values: PostgreSQL's, and Derby's of tests).
+MISSING = ("3F000", "42P01", "42703", "42704", "42Y55", "42X05", "42X14", "42Y07", "42X65")
+CONCURRENTLY = re.compile(r"\bCONCURRENTLY\b", re.I)
+
+
+def _states(error: Exception) -> set[str]:
+    """The SQL states of an error and of what caused it; without any, those that its text names."""
+    found, e = set(), getattr(error, "java_exception", None)
+    while e is not None:
+        if hasattr(e, "getSQLState") and "SQL" in e.getClass().getName():
+            found.add(e.getSQLState())
+        e = e.getCause()
+    return found or set(re.findall(r"\b[0-9A-Z]{5}\b", str(error)))
+
+
+def transient(error: Exception) -> bool:
+    return bool(_states(error) & set(TRANSIENT))
+
+
+def missing(error: Exception) -> bool:
+    """Whether a statement failed because what it is about is not there."""
+    return bool(_states(error) & set(MISSING))
+
+
 def quoted(name: str) -> str:
     return ".".join('"' + part.replace('"', '""') + '"' for part in name.split("."))
 
@@ -43,55 +68,78 @@ class JdbcSink:
             p.setProperty(k, v)
         return jvm.java.sql.DriverManager.getConnection(self.url, p)
 
-    def execute(self, spark: SparkSession, statements: list[str]) -> None:
-        """The statements as one transaction on the driver."""
+    def execute(self, spark: SparkSession, statements: list[str], transaction: bool = True) -> None:
+        """The statements on the driver, as one transaction, or each by itself, as CONCURRENTLY asks for."""
 
         def run() -> None:
             c = self._connection(spark)
             try:
-                c.setAutoCommit(False)
+                c.setAutoCommit(not transaction)
                 s = c.createStatement()
                 if init := self.options.get("sessionInitStatement"):
                     s.execute(init)
                 for sql in statements:
                     s.execute(sql)
-                c.commit()
+                if transaction:
+                    c.commit()
             except Exception:
-                c.rollback()
+                if transaction:
+                    c.rollback()
                 raise
             finally:
                 c.close()
 
-        with_retry(run, self.tries, 1.0, 30.0, lambda e: any(code in str(e) for code in TRANSIENT))
+        with_retry(run, self.tries, 1.0, 30.0, transient)
 
     def exists(self, spark: SparkSession, table: str) -> bool:
-        c = self._connection(spark)
-        try:
-            c.createStatement().executeQuery(f"SELECT 1 FROM {quoted(table)} WHERE 1 = 0")
-            return True
-        except Exception:
-            return False
-        finally:
-            c.close()
+        """Whether the target has the table, as its catalogue says; failures are told, lost connections tried again."""
+        schema, _, name = table.rpartition(".")
+
+        def run() -> bool:
+            c = self._connection(spark)
+            try:
+                found = c.getMetaData().getTables(None, schema or None, name, None)  # a pattern, in which _ is any character
+                while found.next():
+                    if found.getString("TABLE_NAME") == name:
+                        return True
+                return False
+            finally:
+                c.close()
+
+        return with_retry(run, self.tries, 1.0, 30.0, transient)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.jdbc(self.url, quoted(table), properties=self.options)
 
-    def alter(self, table: str, changes: list[SchemaChange], commands: Sequence[str] = ()) -> None:
-        """Runs the commands on the target, without those whose changes are all there already, as after a batch that comes again."""
+    def alter(self, table: str, changes: Sequence[SchemaChange], commands: Sequence[str] = ()) -> None:
+        """Runs the commands on the target, without those whose changes are all there already, as after a batch that comes again.
+
+        A command about what the target does not have is passed over, as it concerns nothing there; one with
+        CONCURRENTLY runs outside a transaction.
+        """
         spark = SparkSession.getActiveSession()
         for command in commands:
-            done = False
-            if self.exists(spark, table):
-                have = {c.lower() for c in self.read(spark, table).columns}
-                there = {"add": lambda c: c.column.lower() in have, "drop": lambda c: c.column.lower() not in have, "rename": lambda c: c.column.lower() not in have and c.to.lower() in have}
-                done = all(c.action in there and there[c.action](c) for c in parse(command))
-            if not done:
-                self.execute(spark, [command])
-        if table in self.keys:
-            for c in changes:
-                if c.action == "rename":
-                    self.keys[table] = self.keys[table].renamed({c.column: c.to})
+            if self._is_done(spark, table, parse(command)):
+                continue
+            try:
+                self.execute(spark, [command], transaction=not CONCURRENTLY.search(command))
+            except Exception as e:
+                if not missing(e):
+                    raise
+        for c in changes:
+            if c.action == "rename" and table in self.keys:
+                self.keys[table] = self.keys[table].renamed({c.column: c.to})
+            elif c.action == "rename_table" and table in self.keys:
+                self.keys[c.to] = self.keys.pop(table)
+
+    def _is_done(self, spark: SparkSession, table: str, changes: Sequence[SchemaChange]) -> bool:
+        if any(c.action == "rename_table" for c in changes):
+            return all(c.action == "rename_table" and not self.exists(spark, table) and self.exists(spark, c.to) for c in changes)
+        if not self.exists(spark, table):
+            return False
+        have = {c.lower() for c in self.read(spark, table).columns}
+        there = {"add": lambda c: c.column.lower() in have, "drop": lambda c: c.column.lower() not in have, "rename": lambda c: c.column.lower() not in have and c.to.lower() in have}
+        return all(c.action in there and there[c.action](c) for c in changes)
 
     def write(self, changes: DataFrame, table: str, batch: int = 0) -> None:
         spark, key = changes.sparkSession, self.keys.get(table)

@@ -8,7 +8,8 @@ reader never sees a part of a commit.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from changeflow import model, pgtypes
 from changeflow.functions.codecs import decode, encode
+from changeflow.operators.history import Reading, reading_of
 
 WIRE = (
     "_seq long, _lsn string, _commit_lsn string, _op string, _schema string, _key struct<type:string,columns:array<string>>, _emitted_at timestamp, "
@@ -41,25 +43,38 @@ def _place(name: str, names: str = "columns.name") -> Column:
     return F.array_position(names, F.lit(name)).cast("int")
 
 
-def from_wire(log: DataFrame, table: str, row: T.StructType, schema: str = "public", earlier: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+def from_wire(log: DataFrame, table: str, row: T.StructType, schema: str = "public", readings: Sequence[Reading] = (), names: Sequence[tuple[str, int, int]] = ()) -> DataFrame:
     """Typed changes of one table from the log.
 
     ``row`` may have columns that older rows lack: an UPDATE of those leaves them out, which is not NULL.
-    ``earlier`` has the names that columns bore before they were renamed, the latest first.
+    ``readings`` tell for lists of column names, from position to position, which column each name means;
+    rows of other lists are read by the names that they have. ``names`` are those that the table bore, each
+    from a position to another, if they differ from ``table``.
     """
-    earlier = earlier or {}
-    own = log.where((F.col("_table") == table) & (F.col("_schema") == schema)).withColumn("_names", F.col("columns.name"))
-    # Places are looked up once for each list of columns that a row can have, not for each side of it.
-    at = [F.coalesce(*[F.nullif(_place(n, "_names"), F.lit(0)) for n in (f.name, *earlier.get(f.name, ()))]).alias(f"p{i}") for i, f in enumerate(row)]
-    own = own.withColumn("_at", F.struct(*at))
-    place = lambda i: F.col("_at")[f"p{i}"]
+    mine = F.col("_table") == table
+    if names:
+        spans = [(F.col("_table") == n) & (F.col("_seq") >= since) & (F.col("_seq") < until) for n, since, until in names]
+        mine = reduce(lambda a, b: a | b, spans)
+    own = log.where(mine & (F.col("_schema") == schema)).withColumn("_names", F.col("columns.name"))
+    # Places are looked up once for each row, not for each side of it.
+    places, told = F.array(*[_place(f.name, "_names") for f in row]).cast("array<int>"), F.col("_names")
+    if readings:
+        own = own.withColumn("_reading", reading_of(readings, F.col("_names"), F.col("_seq")))
+        known = F.array(*[F.array(*map(F.lit, r.places)).cast("array<int>") for r in readings])
+        now = F.array(*[F.array(*map(F.lit, r.renamed)).cast("array<string>") for r in readings])
+        places = F.coalesce(F.try_element_at(known, F.col("_reading") + 1), places)
+        told = F.coalesce(F.try_element_at(now, F.col("_reading") + 1), told)
+    own = own.withColumn("_at", places).withColumn("_now", told)
+    place = lambda i: F.nullif(F.get("_at", F.lit(i)), F.lit(0))
     side = lambda s: F.when(F.col(s).isNotNull(), F.struct(*[_typed(F.try_element_at(s, place(i)), f).alias(f.name) for i, f in enumerate(row)]))
     left = F.col("_toasted")
-    if earlier:
-        left = F.transform(left, lambda c: F.coalesce(*[F.when(c.isin(*names), F.lit(name)) for name, names in earlier.items()], c))
-    lacking = F.filter(F.array(*[F.when(place(i).isNull(), F.lit(f.name)) for i, f in enumerate(row)]), lambda c: c.isNotNull())
+    if readings:
+        called = lambda c: F.try_element_at("_now", F.nullif(F.array_position("_names", c).cast("int"), F.lit(0)))
+        left = F.when(F.size(left) > 0, F.filter(F.transform(left, called), lambda c: c.isNotNull())).otherwise(left)
+    lacking = F.filter(F.array(*[F.when(place(i).isNull(), F.lit(f.name)) for i, f in enumerate(row)]).cast("array<string>"), lambda c: c.isNotNull())
     toasted = F.when((F.col("_op") == model.UPDATE) & (F.size(lacking) > 0), F.array_union(left, lacking)).otherwise(left)
-    return own.select(*[toasted.alias(c) if c == "_toasted" else c for c in model.META], side("new").alias("new"), side("old").alias("old"))
+    given = {"_toasted": toasted.alias("_toasted"), "_table": F.lit(table).alias("_table")}
+    return own.select(*[given.get(c, c) for c in model.META], side("new").alias("new"), side("old").alias("old"))
 
 
 def _typed(c: Column, f: T.StructField) -> Column:

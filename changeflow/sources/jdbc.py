@@ -70,10 +70,13 @@ def admin_statements(group: str, tables: Sequence[str]) -> list[str]:
 
 
 def ddl_capture_statements(schema: str = "changeflow_internal") -> list[str]:
-    """The schema-change log on the source: a table, a function and an event trigger for tables, their columns and indexes."""
+    """The schema-change log on the source: a table, a function and an event trigger for tables, their columns and indexes.
+
+    ``position`` is where in the write-ahead log the command ran, which orders it among streamed changes.
+    """
     return [
         f"CREATE SCHEMA IF NOT EXISTS {schema}",
-        f"CREATE TABLE IF NOT EXISTS {schema}.ddl_log (id bigserial PRIMARY KEY, event_type text NOT NULL, object_type text, object_identity text, ddl_command text NOT NULL, created_at timestamptz NOT NULL DEFAULT clock_timestamp())",
+        f"CREATE TABLE IF NOT EXISTS {schema}.ddl_log (id bigserial PRIMARY KEY, event_type text NOT NULL, object_type text, object_identity text, ddl_command text NOT NULL, created_at timestamptz NOT NULL DEFAULT clock_timestamp(), position bigint NOT NULL DEFAULT (pg_current_wal_lsn() - '0/0'::pg_lsn)::bigint)",
         f"CREATE OR REPLACE FUNCTION {schema}.log_ddl() RETURNS event_trigger LANGUAGE plpgsql AS $body$ BEGIN "
         f"INSERT INTO {schema}.ddl_log (event_type, object_type, object_identity, ddl_command) SELECT tg_tag, d.object_type, d.object_identity, current_query() "
         "FROM pg_event_trigger_ddl_commands() d WHERE d.object_type IN ('table', 'table column', 'index'); END $body$",

@@ -2,8 +2,8 @@
 
 ``Decoder`` turns the frames of a replication connection into committed changes: a transaction's changes
 are held from Begin to Commit and come out in order, with a running ``_seq``. The data source
-``changeflow_pgoutput`` reads frames from files, each ``[length: 4 bytes][frame]``, as batches or streams;
-as a stream it also follows a live connection, the option ``transport`` (see ``Transport``).
+``changeflow_pgoutput`` reads a capture (see ``frames``), as batches or streams, by many tasks. As a stream it
+also follows a live connection, the option ``transport`` (see ``Transport``), through the folder ``spool``.
 """
 
 from __future__ import annotations
@@ -15,9 +15,12 @@ from datetime import datetime, timedelta, timezone
 from importlib import import_module
 from typing import Protocol
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+import pyarrow as pa
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition, SimpleDataSourceStreamReader
 
 from changeflow.model import DELETE, INSERT, UPDATE
+from changeflow.operators.ddl import ORDINAL_BITS  # changes of a transaction fit between two bytes of the log: commits are 40 bytes apart at least
+from changeflow.sources.frames import SIZE, Capture, Range, Walk, frames_of, spooled
 
 #: Day zero of times in the protocol (fixed value).
 EPOCH = datetime(2000, 1, 1, tzinfo=timezone.utc)
@@ -49,10 +52,6 @@ class Relation:
     columns: list[tuple[str, int, bool]]  # name, type number, part of the key
 
 
-#: Changes of a transaction in the room between two bytes of the log. Commits are 40 bytes apart at least.
-ORDINAL_BITS = 14
-
-
 @dataclass
 class Decoder:
     """Frames in, committed changes out. ``reply`` is true after a keepalive that asks for feedback.
@@ -149,8 +148,13 @@ class Decoder:
 
     def _commit(self, m: bytes) -> list[dict]:
         commit, _, at = struct.unpack(">qqq", m[2:26])
-        done, self.buffer, self.committed = self.buffer, [], commit
+        self.committed = commit
         self.seq = max(self.seq, commit << ORDINAL_BITS)
+        return self.stamped(commit, at)
+
+    def stamped(self, commit: int, at: int) -> list[dict]:
+        """The changes that wait, with what their commit says."""
+        done, self.buffer = self.buffer, []
         for c in done:
             c |= {"_seq": self.seq, "_commit_lsn": lsn_text(commit), "_emitted_at": EPOCH + timedelta(microseconds=at)}
             self.seq += 1
@@ -162,6 +166,13 @@ class Decoder:
         return b"r" + struct.pack(">qqqqB", self.committed + 1, self.committed + 1, self.committed + 1, passed, reply)
 
 
+#: Changes of one Arrow batch.
+BATCH = 4096
+_TEXTS = pa.list_(pa.string())
+_ARROW = pa.schema(
+    [("_seq", pa.int64()), *[(n, pa.string()) for n in ("_lsn", "_commit_lsn", "_op", "_schema", "_table")], ("_key", pa.struct([("type", pa.string()), ("columns", _TEXTS)]))]
+    + [("_emitted_at", pa.timestamp("us", "UTC")), ("_toasted", _TEXTS), ("columns", pa.list_(pa.struct([("name", pa.string()), ("oid", pa.int32())]))), ("new", _TEXTS), ("old", _TEXTS)]
+)
 _NAMES = ["_seq", "_lsn", "_commit_lsn", "_op", "_schema", "_table", "_key", "_emitted_at", "_toasted", "columns", "new", "old"]
 
 
@@ -181,23 +192,115 @@ def split_frames(data: bytes) -> Iterator[bytes]:
         at += 4 + n
 
 
+def decode_range(part: Range) -> Iterator[pa.RecordBatch]:
+    """The changes of a part of a capture, a few thousand at a time."""
+    held: list[dict] = []
+    for change in _changes(part):
+        held.append(change)
+        if len(held) == BATCH:
+            yield _arrow(held)
+            held = []
+    if held:
+        yield _arrow(held)
+
+
+def _changes(part: Range) -> Iterator[dict]:
+    decoder = Decoder(seq=part.seq)
+    for m in part.relations:
+        decoder.message(m)
+    for frame in frames_of(part):
+        done = decoder.frame(frame)
+        if part.commit is not None and decoder.buffer:  # within one transaction: nothing waits for its end
+            decoder.committed, done = part.commit[0], decoder.stamped(*part.commit)
+        if done and decoder.committed > part.starting:
+            yield from done
+
+
+def _arrow(changes: list[dict]) -> pa.RecordBatch:
+    columns = {n: [c[n] for c in changes] for n in _NAMES}
+    columns["_key"] = [{"type": kind, "columns": names} for kind, names in columns["_key"]]
+    columns["columns"] = [[{"name": n, "oid": oid} for n, oid in own] for own in columns["columns"]]
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in _ARROW], schema=_ARROW)
+
+
 class _Batch(DataSourceReader):
-    """One partition: the protocol is one ordered stream a group."""
+    """Ranges of the capture that there is."""
 
     def __init__(self, options: dict) -> None:
-        self.path = options["path"]
-        self.starting = lsn_number(options.get("startinglsn", options.get("startingLsn", "")))
+        self.walk = _walk(options)
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(self.path)]
+        self.walk.run(self.walk.initial(), ordinal_bits=ORDINAL_BITS)
+        return self.walk.ranges
+
+    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+        return decode_range(partition)
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        decoder = Decoder()
-        with open(partition.value, "rb") as f:
-            for frame in split_frames(f.read()):
-                done = decoder.frame(frame)
-                if decoder.committed > self.starting:
-                    yield from rows(done)
+
+def _walk(options: dict) -> Walk:
+    return Walk(options.get("path") or options["spool"], lsn_number(options.get("startinglsn", options.get("startingLsn", ""))), int(options.get("rangebytes", options.get("rangeBytes", SIZE))))
+
+
+class RangeStream(DataSourceStreamReader):
+    """Offsets lie between committed transactions; the ranges between two of them are decoded by tasks.
+
+    With ``transport`` and ``spool`` a live connection's transactions go into a folder that executors see, and
+    are read from there; the server is told that they are safe when the batch that has them is done, and files
+    that no offset needs any more go then.
+    """
+
+    def __init__(self, options: dict) -> None:
+        self.most, self.walk = int(options.get("maxtransactions", options.get("maxTransactions", 0))) or None, _walk(options)
+        self.options, self.live = options, bool(options.get("transport"))
+        self._connection: Transport | None = None
+        self.at: dict | None = None
+        self.end: dict | None = None
+
+    @property
+    def transport(self) -> Transport:
+        """Connected where offsets are asked for only: tasks get this reader too."""
+        if self._connection is None:
+            self._connection = _transport(self.options)
+        return self._connection
+
+    def initialOffset(self) -> dict:
+        self.at = self.walk.initial()
+        return self.at
+
+    def latestOffset(self) -> dict:
+        # After a restart it is not known where the last batch ended, so the first one takes all there is.
+        start, most = self.at or self.walk.initial(), self.most if self.at is not None else None
+        if self.live:
+            self.end = self._last(self.end or start)
+            spooled(self.transport.poll, self.walk.path, self.end["committed"])
+        return self._last(start, most)
+
+    def _last(self, start: dict, most: int | None = None) -> dict:
+        return Walk(self.walk.path, self.walk.starting, self.walk.size).run(start, most, ordinal_bits=ORDINAL_BITS)
+
+    def partitions(self, start: dict, end: dict) -> list[Range]:
+        own = Walk(self.walk.path, self.walk.starting, self.walk.size)
+        own.run(start, upto=end, ordinal_bits=ORDINAL_BITS)
+        self.at = end
+        return own.ranges
+
+    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+        return decode_range(partition)
+
+    def commit(self, end: dict) -> None:
+        if self.live:
+            self.transport.feedback(Decoder(committed=end["committed"]).feedback())
+            capture = Capture(self.walk.path)
+            for name in capture.files():
+                if name < end["file"]:
+                    capture.remove(name)
+
+
+def _transport(options: dict) -> Transport | None:
+    if not (named := options.get("transport")):
+        return None
+    module, _, name = named.partition(":")
+    return getattr(import_module(module), name)(options)
 
 
 class Transport(Protocol):
@@ -211,7 +314,9 @@ class Transport(Protocol):
 
 
 class _Stream(SimpleDataSourceStreamReader):
-    """Offsets lie between committed transactions, so that a batch never parts one.
+    """A live connection without a folder to spool to: its rows pass through the driver, so ``RangeStream`` is the way for all but a trickle.
+
+    Offsets lie between committed transactions, so that a batch never parts one.
 
     An offset has the place in the file, the position of the last commit, the running ``_seq`` and the
     relations known there, so that a batch reads on from it and nothing before it.
@@ -220,10 +325,7 @@ class _Stream(SimpleDataSourceStreamReader):
     def __init__(self, options: dict) -> None:
         self.most = int(options.get("maxtransactions", options.get("maxTransactions", 1000)))
         self.starting = lsn_number(options.get("startinglsn", options.get("startingLsn", "")))
-        self.path, self.transport = options.get("path"), None
-        if named := options.get("transport"):
-            module, _, name = named.partition(":")
-            self.transport = getattr(import_module(module), name)(options)
+        self.path, self.transport = options.get("path"), _transport(options)
 
     def initialOffset(self) -> dict:
         return {"byte": 0, "committed": self.starting, "seq": 0, "relations": []}
@@ -283,5 +385,10 @@ class PgOutputDataSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _Batch(self.options)
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        if not self.options.get("path") and not self.options.get("spool"):
+            return super().streamReader(schema)  # raises what makes Spark ask for the simple reader
+        return RangeStream(self.options)
+
     def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
         return _Stream(self.options)
