@@ -125,13 +125,16 @@ def _fold(row: T.StructType, keys: list[str] | None, on_conflict: str):
     return run
 
 
-def replay(changes: DataFrame, keys: list[str], base: DataFrame | None = None, on_conflict: str = "raise") -> DataFrame:
+def replay(changes: DataFrame, keys: list[str], base: DataFrame | None = None, on_conflict: str = "raise", moves: bool = True) -> DataFrame:
     """The table's rows after ``changes`` over ``base``, for a primary or unique key.
 
-    ``on_conflict``: ``raise`` or ``skip`` for an UPDATE that gives a row the key of another one.
+    ``on_conflict``: ``raise`` or ``skip`` for an UPDATE that gives a row the key of another one. ``moves`` is
+    false where it is known that no UPDATE changes a key.
     """
     row = model.row_type(changes)
     changes = with_base(changes, base)
+    if not moves:
+        return _closed(changes, keys)
     moved = changes.where(changes_key(keys)).select(F.xxhash64(_key("old", keys)).alias("a"), F.xxhash64(_key("new", keys)).alias("b"))
     moved = checkpointed(moved)
     if not moved.limit(1).count():

@@ -190,21 +190,24 @@ class TableSink:
         """The bucket by the texts of values, which other types of the same number leave as they are."""
         return F.pmod(F.xxhash64(*[c.cast("string") for c in values]), F.lit(n)).cast("int")
 
-    def _touched(self, changes: DataFrame, key: model.ReplicationKey, n: int, names: Sequence[str]) -> list[int]:
-        """Buckets of the rows that the changes are about, and of those that they make: no more than there are buckets."""
+    def _touched(self, changes: DataFrame, key: model.ReplicationKey, n: int, names: Sequence[str]) -> tuple[list[int], bool]:
+        """Buckets of the rows that the changes are about, and of those that they make, and whether any change gives a row another key.
+
+        One row comes back, with no more numbers than there are buckets.
+        """
         rows = changes.where(F.col("_op").isin(*model.DATA_OPERATIONS))
         if key.type == model.FULL:
             filled = [F.when(F.array_contains("_toasted", c), model.field("old", c)).otherwise(model.field("new", c)) for c in names]
             whole = lambda s: self._bucket(n, [model.field(s, c) for c in names])
-            old = F.when(F.col("old").isNotNull(), whole("old"))
+            moved, old = F.col("_op") == model.UPDATE, F.when(F.col("old").isNotNull(), whole("old"))
             made = F.when(F.col("new").isNotNull(), F.when(F.col("old").isNotNull(), self._bucket(n, filled)).otherwise(whole("new")))
         else:
-            at = target_key(list(key.columns))
+            at, moved = target_key(list(key.columns)), changes_key(list(key.columns))
             old = self._bucket(n, [at.getField(c) for c in key.columns])
             kept = [F.when(F.array_contains("_toasted", c), model.field("old", c)).otherwise(model.field("new", c)) for c in key.columns]
-            made = F.when(changes_key(list(key.columns)), self._bucket(n, kept))
-        pairs = rows.select(F.explode(F.array(old, made)).alias("b")).where("b IS NOT NULL").distinct()
-        return sorted(r["b"] for r in pairs.collect())
+            made = F.when(moved, self._bucket(n, kept))
+        found = rows.select(moved.alias("moved"), old.alias("old"), made.alias("made")).agg(F.collect_set("old").alias("old"), F.collect_set("made").alias("made"), F.max("moved").alias("moved")).first()
+        return sorted({*found["old"], *found["made"]}), bool(found["moved"])
 
     def write(self, changes: DataFrame, table: str, batch: int = 0) -> None:
         spark, key = changes.sparkSession, self.keys.get(table)
@@ -230,18 +233,26 @@ class TableSink:
                 n *= 2
         else:
             n = m.buckets
-        touched = self._touched(changes, key, n, [f["name"] for f in m.fields])
+        changes = changes.persist()  # read for the buckets first, then for the rows
+        try:
+            self._write(changes, m, was, key, n, files, manifests, batch)
+        finally:
+            changes.unpersist()
+        self.changes.pop(table, None)  # a batch that fails before here finds them again
+        self._clean(files, manifests)
+
+    def _write(self, changes: DataFrame, m: Manifest, was: Manifest | None, key: model.ReplicationKey, n: int, files: Folder, manifests: Numbered, batch: int) -> None:
+        spark, folder = changes.sparkSession, files.path
+        touched, moved = self._touched(changes, key, n, [f["name"] for f in m.fields])
         full = key.type == model.FULL
         if was is not None and (n != was.buckets or self._moved(was, m, key)):
             touched = list(range(n))  # buckets mean other rows now
         if touched:
             held = self._rows(spark, folder, m, touched if was is not None and n == was.buckets else None) if was is not None else None
-            rows = replay_rows(changes, held) if full else replay(changes, list(key.columns), held, self.on_conflict)
+            rows = replay_rows(changes, held) if full else replay(changes, list(key.columns), held, self.on_conflict, moved)
             self._put(rows, files, m, key, n, touched, batch)
         m.buckets = n
         manifests.put(batch, m.text())
-        self.changes.pop(table, None)  # a batch that fails before here finds them again
-        self._clean(files, manifests)
 
     @staticmethod
     def _moved(was: Manifest, m: Manifest, key: model.ReplicationKey) -> bool:

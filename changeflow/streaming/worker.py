@@ -78,35 +78,33 @@ class Worker:
         return self.only is None or bool(named & (self.only | followed))
 
     def process(self, batch: DataFrame, number: int) -> None:
-        """One micro-batch: it is read once and goes target by target, schema changes first."""
+        """One micro-batch: it goes target by target, schema changes first."""
         spark = batch.sparkSession
         self._recall(spark, number)
         self.done = None
-        batch = batch.persist()
-        try:
-            data = batch.where((F.col("_op") != model.DDL) & (F.col("_schema") == self.schema))
-            # A row for each list of columns of a table.
-            seen = data.groupBy("_table", "columns").agg(F.min("_seq").alias("from"), F.max("_seq").alias("at"), F.max_by("_key", "_seq").alias("key")).collect()
-            events: list[tuple[int, int, object]] = [(at, 1, (table, command)) for at, table, command in self._commands(batch)]
-            events += [(r["from"], 0, r) for r in seen]
-            told: dict[int, list[tuple[str, list[ddl.SchemaChange], str, str]]] = {}
-            for at, is_command, e in sorted(events, key=lambda e: e[:2]):
-                if is_command:
-                    self._told(told, *e, at)
-                elif self._wanted(e["_table"]):
-                    self.catalog.table(e["_table"], at).meet([(c["name"], c["oid"]) for c in e["columns"]])
-            met: dict[int, list] = {}
-            for r in seen:
-                if self._wanted(r["_table"]):
-                    for table in {id(t): t for t in (self.catalog.table(r["_table"], r["from"]), self.catalog.table(r["_table"], r["at"]))}.values():
-                        met.setdefault(self._number(table), []).append(r)
-            by_target: dict[str, list[int]] = {}
-            for n in sorted(told.keys() | met.keys()):
-                by_target.setdefault(self._target(self.catalog.tables[n]), []).append(n)
-            for target in sorted(by_target):
-                self._deliver(batch, target, by_target[target], number, told, met)
-        finally:
-            batch.unpersist()
+        # A row for each list of columns of a table; what rows say is read once more, by the sink.
+        own = batch.where(F.col("_schema") == self.schema)
+        seen = own.groupBy((F.col("_op") == model.DDL).alias("is_ddl"), "_table", "columns").agg(F.min("_seq").alias("from"), F.max("_seq").alias("at"), F.max_by("_key", "_seq").alias("key")).collect()
+        commands = self._commands(batch) if any(r["is_ddl"] for r in seen) else []
+        seen = [r for r in seen if not r["is_ddl"]]
+        events: list[tuple[int, int, object]] = [(at, 1, (table, command)) for at, table, command in commands]
+        events += [(r["from"], 0, r) for r in seen]
+        told: dict[int, list[tuple[str, list[ddl.SchemaChange], str, str]]] = {}
+        for at, is_command, e in sorted(events, key=lambda e: e[:2]):
+            if is_command:
+                self._told(told, *e, at)
+            elif self._wanted(e["_table"]):
+                self.catalog.table(e["_table"], at).meet([(c["name"], c["oid"]) for c in e["columns"]])
+        met: dict[int, list] = {}
+        for r in seen:
+            if self._wanted(r["_table"]):
+                for table in {id(t): t for t in (self.catalog.table(r["_table"], r["from"]), self.catalog.table(r["_table"], r["at"]))}.values():
+                    met.setdefault(self._number(table), []).append(r)
+        by_target: dict[str, list[int]] = {}
+        for n in sorted(told.keys() | met.keys()):
+            by_target.setdefault(self._target(self.catalog.tables[n]), []).append(n)
+        for target in sorted(by_target):
+            self._deliver(batch, target, by_target[target], number, told, met)
         if self.state is not None:
             kept = Numbered(Folder(spark, self.state), "tables")
             kept.put(number, self.catalog.state())
