@@ -36,8 +36,10 @@ def replicate(s: config.Settings) -> None:
     """Copies tables of files or of a PostgreSQL source into the log, then follows the protocol frames and the schema-change log."""
     from pathlib import Path
 
-    from changeflow.sources import changelog, jdbc, pgoutput, registry, snapshot
+    from changeflow.sources import changelog, jdbc, registry, snapshot
 
+    if not s.host and not s.source_dir:
+        raise ValueError("required: source-dir or host")
     spark, mode = session("changeflow-replicator"), registry.mode_of(s.copy, s.copy_and_stream)
     jdbc_url, options = jdbc.url(s.host, s.port, s.dbname), {"user": s.user, "password": s.password}
     if mode != "stream":
@@ -50,22 +52,58 @@ def replicate(s: config.Settings) -> None:
         failed = snapshot.write_snapshots(snapshots, lambda t, c: changelog.append(changelog.to_wire(c, s.group), s.log_dir), s.max_copy_workers_per_table)
         if failed:
             raise RuntimeError(f"tables failed: {failed}")
-    if s.host and s.track_ddl and mode != "copy":
-        from changeflow.sinks.jdbc import JdbcSink
-        from changeflow.streaming.ddl_poll import DdlPoller
+    if mode == "copy":
+        return
+    poller = _poller(spark, s, jdbc_url, options) if s.host and s.track_ddl else None
+    if poller is not None:
+        poller.poll()  # what the log holds is told before the stream begins
+        poller.start()
+    try:
+        _follow(spark, s, poller)
+    finally:
+        if poller is not None:
+            poller.stop()
+
+
+def stream_options(s: config.Settings) -> dict[str, str]:
+    """Options of the protocol source: a server's connection by way of a spool where a host is named, else a capture in files."""
+    from changeflow.sources import jdbc
+
+    if not s.host:
+        return {"path": f"{s.source_dir}/frames", "startingLsn": s.starting_lsn}
+    named = {"transport": "changeflow.sources.connection:Connection", "spool": s.spool_dir or f"{s.log_dir}_spool/{s.group}", "startingLsn": s.starting_lsn}
+    return named | {"host": s.host, "port": str(s.port), "dbname": s.dbname, "user": s.user, "password": s.password, "sslmode": s.sslmode, "slot": jdbc.slot_name(s.group), "publication": jdbc.publication_name(s.group)}
+
+
+def _poller(spark, s: config.Settings, jdbc_url: str, options: dict[str, str]):
+    from changeflow.sinks.jdbc import JdbcSink
+    from changeflow.sources import changelog, jdbc
+    from changeflow.streaming.ddl_poll import DdlPoller
+
+    log, target = "changeflow_internal.ddl_log", JdbcSink(jdbc_url, {}, options)
+    read = lambda: jdbc.read_table(spark, jdbc_url, log, options)
+    publish = lambda c: changelog.append(changelog.to_wire(c, s.group), s.log_dir)
+    return DdlPoller(read, publish, lambda ids: target.execute(spark, [f"DELETE FROM {log} WHERE id IN ({', '.join(map(str, ids))})"]), s.tables)
+
+
+def _follow(spark, s: config.Settings, poller) -> None:
+    """The stream into the log until it ends, or until the poller of schema changes fails for good."""
+    from pyspark.sql import functions as F
 
-        log, target = "changeflow_internal.ddl_log", JdbcSink(jdbc_url, {}, options)
-        read = lambda: jdbc.read_table(spark, jdbc_url, log, options)
-        publish = lambda c: changelog.append(changelog.to_wire(c, s.group), s.log_dir)
-        DdlPoller(read, publish, lambda ids: target.execute(spark, [f"DELETE FROM {log} WHERE id IN ({', '.join(map(str, ids))})"]), s.tables).start()
-    if mode != "copy":
-        from pyspark.sql import functions as F
+    from changeflow.sources import changelog, pgoutput
 
-        spark.dataSource.register(pgoutput.PgOutputDataSource)
-        changes = spark.readStream.format("changeflow_pgoutput").option("path", f"{s.source_dir}/frames").load()
-        wire = changes.withColumn("_group", F.lit(s.group))
-        writer = wire.writeStream.foreachBatch(lambda df, n: changelog.append(df, s.log_dir)).option("checkpointLocation", f"{s.checkpoint_dir or s.log_dir + '_checkpoint'}/replicator-{s.group}")
-        (writer.trigger(availableNow=True) if s.once else writer.trigger(processingTime="500 milliseconds")).start().awaitTermination()
+    spark.dataSource.register(pgoutput.PgOutputDataSource)
+    changes = spark.readStream.format("changeflow_pgoutput").options(**stream_options(s)).load()
+    wire = changes.withColumn("_group", F.lit(s.group))
+    writer = wire.writeStream.foreachBatch(lambda df, n: changelog.append(df, s.log_dir)).option("checkpointLocation", f"{s.checkpoint_dir or s.log_dir + '_checkpoint'}/replicator-{s.group}")
+    query = (writer.trigger(availableNow=True) if s.once else writer.trigger(processingTime="500 milliseconds")).start()
+    while not query.awaitTermination(5):
+        if poller is not None:
+            try:
+                poller.check()
+            except Exception:
+                query.stop()
+                raise
 
 
 def work(s: config.Settings, sink_name: str) -> None:
@@ -94,7 +132,7 @@ def work(s: config.Settings, sink_name: str) -> None:
         "postgres": lambda: sinks.create("postgres", url=f"jdbc:postgresql://{s.target_host}:{s.target_port}/{s.target_dbname}", keys=routed, options={"user": s.target_user, "password": s.target_password}, disable_foreign_keys=s.target_disable_foreign_keys, create=s.target_sync_schema),
         "webhook": lambda: sinks.create("webhook", url=s.webhook_url),
     }[sink_name]()
-    Worker(s.log_dir, s.group, tables if s.tables else None, made, pipeline, s.schema).start(spark, f"{s.checkpoint_dir or s.log_dir + '_checkpoint'}/worker-{s.group}-{sink_name}", once=s.once).awaitTermination()
+    Worker(s.log_dir, s.group, tables if s.tables else None, made, pipeline, s.schema, retention=s.log_retention or None, archive=s.log_archive_dir or None).start(spark, f"{s.checkpoint_dir or s.log_dir + '_checkpoint'}/worker-{s.group}-{sink_name}", once=s.once).awaitTermination()
 
 
 def main(args: Sequence[str] | None = None) -> int:

@@ -50,6 +50,11 @@ class Settings:
     track_ddl: bool = False
     log_dir: str = ""
     source_dir: str = ""
+    starting_lsn: str = ""
+    sslmode: str = "disable"
+    spool_dir: str = ""
+    log_retention: str = ""
+    log_archive_dir: str = ""
     checkpoint_dir: str = ""
     keys_config: str = ""
     batch_size: int = 1000
@@ -73,7 +78,7 @@ class Settings:
 
 
 #: What each command cannot do without.
-REQUIRED = {"replicator": ("group", "log_dir", "source_dir"), "stdout": ("group", "log_dir"), "file": ("group", "log_dir"), "table": ("group", "log_dir", "table_output_dir"), "postgres": ("group", "log_dir", "target_host", "target_dbname", "target_user"), "webhook": ("group", "log_dir", "webhook_url")}
+REQUIRED = {"replicator": ("group", "log_dir"), "stdout": ("group", "log_dir"), "file": ("group", "log_dir"), "table": ("group", "log_dir", "table_output_dir"), "postgres": ("group", "log_dir", "target_host", "target_dbname", "target_user"), "webhook": ("group", "log_dir", "webhook_url")}
 
 
 def _as(kind: type, value: object) -> object:

@@ -253,7 +253,11 @@ def spooled(poll: Callable[[int], Iterable[bytes]], path: str, after: int) -> in
                 continue
             held.append(framed(frame))
             if frame[25:26] == b"C":
-                reached = struct.unpack_from(">q", frame, 27)[0]
+                commit = struct.unpack_from(">q", frame, 27)[0]
+                if commit <= after:  # sent again; its relations are told once a session
+                    held = [f for f in held if f[29:30] == b"R"]
+                    continue
+                reached = commit
                 yield b"".join(held)
                 held = []
 

@@ -27,6 +27,7 @@ class DdlPoller:
     def __init__(self, read: Callable[[], DataFrame], publish: Callable[[DataFrame], None], delete: Callable[[list[int]], None], tables: Sequence[str] = (), most: int = MOST) -> None:
         self.read, self.publish, self.delete, self.tables, self.most = read, publish, delete, tuple(tables), most
         self.error: Exception | None = None
+        self.failures = 0
         self._stop = threading.Event()
 
     def poll(self) -> int:
@@ -49,14 +50,19 @@ class DdlPoller:
             while not self._stop.wait(interval):
                 try:
                     self.poll()
-                    self.error = None
+                    self.error, self.failures = None, 0
                 except Exception as e:  # nothing was deleted, so the next poll reads the rows again
-                    self.error = e
+                    self.error, self.failures = e, self.failures + 1
 
         thread = threading.Thread(target=run, daemon=True)
         thread.start()
         return thread
 
+    def check(self, most: int = 10) -> None:
+        """Raises what made so many polls in a row fail."""
+        if self.error is not None and self.failures >= most:
+            raise self.error
+
     def stop(self) -> None:
         """No further poll; one more goes over what is left."""
         self._stop.set()

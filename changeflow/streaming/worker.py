@@ -39,7 +39,8 @@ class Worker:
     known of the tables is kept in the checkpoint folder, batch by batch.
     """
 
-    def __init__(self, log: str, group: str, tables: Mapping[str, T.StructType] | None, sink: Sink, pipeline: Pipeline | None = None, schema: str = "public", files: int = FILES, dead_letters: str | None = None) -> None:
+    def __init__(self, log: str, group: str, tables: Mapping[str, T.StructType] | None, sink: Sink, pipeline: Pipeline | None = None, schema: str = "public", files: int = FILES, dead_letters: str | None = None, retention: str | None = None, archive: str | None = None) -> None:
+        self.retention, self.archive = retention, archive
         self.log, self.group, self.sink = log, group, sink
         self.only = None if tables is None else set(tables)
         self.given, self.catalog = dict(tables or {}), Catalog()
@@ -180,7 +181,7 @@ class Worker:
     def start(self, spark: SparkSession, checkpoint: str, once: bool = False, flush_ms: int = FLUSH_MS) -> StreamingQuery:
         """Starts or resumes the group. ``once`` works off what there is and stops."""
         self.state = f"{checkpoint}/tables_known"
-        stream = changelog.read_stream(spark, self.log, self.group, self.files)
+        stream = changelog.read_stream(spark, self.log, self.group, self.files, self.retention, self.archive)
         writer = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint).queryName(f"changeflow_{self.group.replace('-', '_')}")
         return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{flush_ms} milliseconds")).start()
 
