@@ -4,7 +4,10 @@ Method: a page is read into blocks of words with their place: inside the article
 in an element that never holds main text (menus, headers, footers, sidebars, notices, adverts, forms,
 comments, scripts, styles), or elsewhere. Elements end where HTML says so, end tags left out included.
 Class names mark an element for certain when they name nothing else (``ad``, ``ad-slot``), and weakly when
-another word stands beside the mark (``social-history``).
+another word stands beside the mark (``social-history``). A form or an element with a compound name
+(``search-page``) can be what a page's only article stands in: then the article goes out. Where a page has
+nothing else, so does what stands in such a wrapper. In articles, code keeps its classes, cells and inline
+elements may be named by their subject, and what is named as something to press has to hold a link or button.
 
 All blocks of a page, articles included, are its token stream. The streams of a host are concatenated and
 their suffixes sorted, with the lengths of common prefixes (LCP). From them come the maximal repeats of
@@ -38,7 +41,8 @@ counts and lengths alone decide; an empty table gives an empty table; other colu
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from html import unescape
 
 import numpy as np
@@ -84,16 +88,23 @@ ENDS = {
     "option": (("option",), ("select", "datalist")),
     "optgroup": (("option", "optgroup"), ("select",)),
 }
-#: Words of class and id names that mark what is not main text (fixed values).
+#: Words of class and id names that mark what is not main text: our own choice of what sites call such things.
 MARKED = frozenset(
     "ad ads adv advert adverts advertisement advertising alert alerts announcement banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toast toolbar widget widgets".split()
 )
-#: Words beside a mark that name no content (fixed values).
+#: Words beside a mark that name no content, our own choice likewise.
 GENERIC = frozenset(
     "area articles bar block body bottom box btn button buttons center col column container content desktop element fixed form global group head heading icon icons inline inner item items left link links list main message messages mobile module outer page pane panel placeholder policy post posts right row section side site slot space sticky stories story text thread title top unit user view wrap wrapper zone".split()
 )
 #: Whole class names that make an article element a part of something else.
 CARDS = frozenset("ad advert card comment promo related reply sidebar sponsored teaser widget".split())
+#: Marks of things to press, which hold a link or a button; and marks that also name what cells and inline text are about.
+PRESSED = frozenset("like menu navigation pager pagination search share sharing social toolbar".split())
+SUBJECTS = PRESSED | frozenset("alert alerts announcement banner comment comments copyright disclaimer header notice notices promotion related replies reply".split())
+CELLS = frozenset("td th caption".split())
+#: Characters after a start tag among which the link or button stands.
+AHEAD = 4096
+_PRESS = re.compile(r"<(?:a|button|input|select|svg|img)(?=[\s/>])", re.I)
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -101,31 +112,57 @@ _MAIN = re.compile(r"""(?:^|\s)(?:role\s*=\s*["']?main\b|itemprop\s*=\s*["']?art
 _PIECES = re.compile(r"[_\-]+")
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
-MAIN, OTHER, OUT = 0, 1, 2
-UNMARKED, WEAK, STRONG = 0, 1, 2
+#: Where a block stands: in an article, elsewhere, where no text goes out, in an article in a wrapper that is marked, in such a wrapper.
+MAIN, OTHER, OUT, LIFTED, HELD = range(5)
+UNMARKED, WEAK, WRAPPER, STRONG = range(4)
 
 
-def mark_of(name: str, attributes: str) -> int:
-    """How surely an element's name or attributes say that it holds no main text."""
+def _pressable(html: str, at: int, name: str) -> bool:
+    """Whether the element that begins at a place has something to press, among its first characters."""
+    depth, end = 1, min(len(html), at + AHEAD)
+    for m in re.compile(f"<(/?){re.escape(name)}(?=[\\s/>])", re.I).finditer(html, at, end):
+        depth += -1 if m[1] else 1
+        if not depth:
+            end = m.start()
+            break
+    return _PRESS.search(html, at, end) is not None
+
+
+def mark_of(name: str, attributes: str, pressable: Callable[[], bool] | None = None, code: bool = False) -> int:
+    """How surely an element's name or attributes say that it holds no main text.
+
+    WRAPPER: it may be what a whole page stands in, as forms and ``search-page`` are. ``pressable`` is given
+    within an article, where class names are trusted less: cells and inline elements are named by their
+    subject, and what is to press but has nothing to press is weakly marked. In ``code`` classes name parts of speech.
+    """
     if name in NEVER:
-        return STRONG
+        return WRAPPER if name == "form" else STRONG
     if not attributes or name in ("html", "body", "main"):
         return UNMARKED
     found = UNMARKED
+    inline = name in CELLS or name not in BLOCK
+
+    def trusted(marks: set[str], mark: int) -> int:
+        """What is left of a mark that only class names give."""
+        if code or inline and marks <= SUBJECTS:
+            return UNMARKED
+        return WEAK if pressable is not None and marks <= PRESSED and not pressable() else mark
+
     for m in _ATTRIBUTE.finditer(attributes):
         key = m[1].lower()
         value = (m[2] or m[3] or m[4] or "").lower()
         if key in ("class", "id"):
             for token in value.split():
-                if token in (CARDS if name == "article" else MARKED):
-                    return STRONG
-                if name != "article" and ("-" in token or "_" in token):
+                if name == "article":
+                    if token in CARDS:
+                        found = max(found, WRAPPER if token == "card" else STRONG)
+                elif token in MARKED:
+                    found = max(found, trusted({token}, STRONG))
+                elif "-" in token or "_" in token:
                     parts = [p for p in _PIECES.split(token) if p]
                     marks = [p in MARKED and before not in ("has", "with", "no", "without") for before, p in zip(["", *parts], parts)]
                     if any(marks):
-                        if all(on or p in GENERIC for on, p in zip(marks, parts)):
-                            return STRONG
-                        found = WEAK
+                        found = max(found, trusted({p for p, on in zip(parts, marks) if on}, WRAPPER if all(on or p in GENERIC for on, p in zip(marks, parts)) else WEAK))
         elif key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
             return STRONG
         elif key == "style" and "display:none" in value.replace(" ", ""):
@@ -162,11 +199,11 @@ class _Open:
     """The open elements, with the depth of the last one of each name, so that no question walks the stack."""
 
     def __init__(self) -> None:
-        self.stack: list[tuple[str, tuple[int, int, int]]] = []
+        self.stack: list[tuple[str, tuple[int, ...]]] = []
         self.of: dict[str, list[int]] = {}
         self.scopes: list[int] = []
 
-    def push(self, name: str, state: tuple[int, int, int]) -> None:
+    def push(self, name: str, state: tuple[int, ...]) -> None:
         self.of.setdefault(name, []).append(len(self.stack))
         if name in BLOCK:
             self.of.setdefault("", []).append(len(self.stack))
@@ -178,7 +215,7 @@ class _Open:
         depths = self.of.get(name)
         return depths[-1] if depths else -1
 
-    def cut(self, depth: int) -> tuple[int, int, int]:
+    def cut(self, depth: int) -> tuple[int, ...]:
         """Ends the element at ``depth`` and all in it; the state before it."""
         while len(self.stack) > depth:
             name, state = self.stack.pop()
@@ -217,12 +254,13 @@ class _Open:
 
 
 def blocks_of(html: str | None) -> list[tuple[list[str], int, bool]]:
-    """The words of each block that has any, with MAIN, OTHER or OUT, and whether it is weakly marked, in page order."""
+    """The words of each block that has any, with where it stands, and whether it is weakly marked, in page order."""
     html = html or ""
     out: list[tuple[list[str], int, bool]] = []
     pieces: list[str] = []
     opened = _Open()
-    main = banned = weak = 0
+    # Open articles, elements that hold no main text, marked wrappers, those of them around the outermost article, weak marks.
+    state = main, banned, wraps, around, weak = (0,) * 5
     unclosed = {'"': False, "'": False}
 
     def flush() -> None:
@@ -230,7 +268,13 @@ def blocks_of(html: str | None) -> list[tuple[list[str], int, bool]]:
             words = "".join(pieces).split()
             pieces.clear()
             if words:
-                out.append((words, OUT if banned else MAIN if main else OTHER, weak > 0))
+                if banned or main and wraps > around:
+                    place = OUT
+                elif main:
+                    place = LIFTED if around else MAIN
+                else:
+                    place = HELD if wraps else OTHER
+                out.append((words, place, weak > 0))
 
     def text(a: int, b: int) -> None:
         if b > a:
@@ -270,9 +314,9 @@ def blocks_of(html: str | None) -> list[tuple[list[str], int, bool]]:
         depth = opened.ends(name) if closing else opened.starts(name)
         if depth >= 0:
             state = opened.cut(depth)
-            if state != (main, banned, weak):
+            if state != (main, banned, wraps, around, weak):
                 flush()
-                main, banned, weak = state
+                main, banned, wraps, around, weak = state
         if closing or name in VOID:
             continue
         attributes = html[m.end() : end]
@@ -285,13 +329,16 @@ def blocks_of(html: str | None) -> list[tuple[list[str], int, bool]]:
             at = html.find(">", low.end())
             at = n if at < 0 else at + 1
             continue
-        mark = mark_of(name, attributes)
+        mark = mark_of(name, attributes, partial(_pressable, html, at, name) if main else None, max(opened.last("pre"), opened.last("code")) >= 0)
         is_main = mark != STRONG and _is_main(name, attributes)
-        opened.push(name, (main, banned, weak))
+        opened.push(name, (main, banned, wraps, around, weak))
         if mark or is_main:
             flush()
             banned += mark == STRONG
+            wraps += mark == WRAPPER
             weak += mark == WEAK
+            if is_main and not main:
+                around = wraps
             main += is_main
     flush()
     return out
@@ -304,8 +351,14 @@ CORE, WEAK_CORE, OPEN, WEAK_OPEN, EVIDENCE = range(5)
 def split_page(html: str | None) -> tuple[list[list[str]], list[int], list[list[str]]]:
     """(blocks that may go out, what each is, the other blocks)."""
     blocks = blocks_of(html)
-    place = MAIN if any(p == MAIN for _, p, _ in blocks) else OTHER
-    first = CORE if place == MAIN else OPEN
+    words = [sum(len(b) for b, p, _ in blocks if p == place) for place in range(5)]
+    if words[MAIN]:
+        place = MAIN
+    elif words[LIFTED] and words[LIFTED] >= words[OTHER]:  # a page whose article stands in a form or a marked wrapper
+        place = LIFTED
+    else:
+        place = OTHER if words[OTHER] else HELD
+    first = CORE if place in (MAIN, LIFTED) else OPEN
     return [b for b, p, _ in blocks if p == place], [first + w for _, p, w in blocks if p == place], [b for b, p, _ in blocks if p != place]
 
 

@@ -44,6 +44,34 @@ def test_blocks(page, main, other):
     assert (rest if main else own) == other
 
 
+@pytest.mark.parametrize(
+    "page,main",
+    [
+        # The article of a page stands in a form, in a marked wrapper, or is a card itself.
+        ("<form id=f><header>h</header><main><article><p>all of it</article></main><footer>f</footer></form>", [["all", "of", "it"]]),
+        ('<div class="search-page"><article>found words</article></div>', [["found", "words"]]),
+        ('<div class="banner-page"><nav>n</nav><article>words</article></div>after', [["words"]]),
+        ('<div id="sidebar-wrapper"><main>main words<div class=ad>buy</div></main></div>', [["main", "words"]]),
+        ('<article class="card">card words</article>', [["card", "words"]]),
+        ("<form><p>only this</form>", [["only", "this"]]),
+        # But not where the page has an article of its own, nor out of what holds no main text.
+        ('<article>own words</article><div class="related-list"><article class="card">other</article></div>', [["own", "words"]]),
+        ('<div>the page is here</div><div class="related-list"><article>other</article></div>', [["the", "page", "is", "here"]]),
+        ("<p>text</p><aside><article>other</article></aside><nav><main>n</main></nav>", [["text"]]),
+        ("<article>a<form><main>inner</main></form>b</article>", [["a"], ["b"]]),
+        # Evidence inside an article: something to press, cells and inline words, code.
+        ('<article><table><tr><td class="share">12%<td class=ad>x</table></article>', [["12%"]]),
+        ('<article><div class="share-block">Share price table</div><div class="share-block">Share: <a href=x>here</a></div></article>', [["Share", "price", "table"]]),
+        ('<article><div class=menu>soup, bread</div><div class=menu><a href=x>home</a></div></article>', [["soup,", "bread"]]),
+        ('<article><pre><span class="comment"># c</span> x = 1</pre><code><div class="ad header">y</div></code></article>', [["#", "c", "x", "=", "1"], ["y"]]),
+        ('<article>see <span class="alert">this</span> word<span class="ad">x</span></article>', [["see", "this", "word"]]),
+        ('<article>t<div class="comment-list"><p>nice</div><section class="comments">c</section></article>', [["t"]]),
+    ],
+)
+def test_wrappers_and_evidence(page, main):
+    assert html.split_page(page)[0] == main
+
+
 def test_very_long_and_deep_pages():
     words = " ".join(f"w{k}" for k in range(200_000))
     own, _, _ = html.split_page(f"<article><p>{words}</article>")
