@@ -3,8 +3,9 @@
 Rules are written in the dialect of RE2; Spark's functions read Java's. ``pattern`` rewrites what the two
 read differently and refuses what only Java knows, ``replacement`` rewrites the template.
 
-Known difference: after a match that is not empty, Java also takes an empty match at its end. Patterns
-that can match nothing are therefore refused unless anchored at the start of the text.
+Where the two differ in replacing: the dialect takes the preferred match at each place, passes over an empty
+one right after another match, and goes on a character later; Java takes it. Patterns that can match nothing
+are therefore atomic, and their match must not end where the last one ended (``\\G``), but at the start of the text.
 """
 
 from __future__ import annotations
@@ -190,11 +191,11 @@ def pattern(source: str) -> tuple[str, dict[str, int], int]:
     try:
         with warnings.catch_warnings():
             warnings.simplefilter("ignore")
-            nothing = re.compile(plain).fullmatch("") is not None
+            nothing = re.compile(plain).match("") is not None or re.compile(plain).search("a\n ") is not None and any(not m[0] for m in re.compile(plain).finditer("a\n b"))
     except re.error:
-        nothing = False
-    if nothing and not source.startswith(("^", r"\A")):
-        raise UnsupportedPattern(f"{source!r} can match nothing")
+        nothing = True  # not known
+    if nothing:
+        made = rf"(?d)(?>{made[4:]})(?:(?!\G)|(?<=\A))"
     return made, reader.group_numbers, reader.groups
 
 

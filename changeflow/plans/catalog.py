@@ -205,6 +205,8 @@ query("regex_groups", r"SELECT c_custkey, regexp_replace(c_name, '([A-Za-z]+)#0*
 query("regex_named_group", r"SELECT c_custkey, regexp_replace(c_name, '([0-9]+)$', '<\1>', 'g') AS c_name FROM customer")(_transform_query("customer", ("c_custkey", "c_name"), RegexRule("c_name", "(?P<digits>[0-9]+)$", "<${digits}>")))
 query("regex_no_match", "SELECT c_custkey, c_name FROM customer")(_transform_query("customer", ("c_custkey", "c_name"), RegexRule("c_name", r"@example\.com$", "@masked.com")))
 query("regex_email", r"SELECT doc_id, regexp_replace(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+', '[email]', 'g') AS text FROM documents")(_transform_query("documents", ("doc_id", "text"), RegexRule("text", r"[A-Za-z0-9._]+@[A-Za-z0-9.]+", "[email]")))
+for _name, _pattern in {"digits": "[0-9]*", "optional": "e?", "either": "(e|r)*", "lazy": "e??", "words": r"\b"}.items():
+    query(f"regex_empty_{_name}", f"SELECT c_custkey, regexp_replace(c_name, '{_pattern}', '<x>', 'g') AS c_name FROM customer")(_transform_query("customer", ("c_custkey", "c_name"), RegexRule("c_name", _pattern, "<x>")))
 query("regex_skips_non_text", "SELECT o_orderkey, o_totalprice FROM orders")(_transform_query("orders", ("o_orderkey", "o_totalprice"), RegexRule("o_totalprice", r"\d", "x")))
 query("regex_deletes_untouched", f"WITH {_CDC} SELECT seq AS _seq, op AS _op, CASE WHEN op = 'DELETE' THEN o_orderstatus ELSE regexp_replace(o_orderstatus, 'O|U', 'x', 'g') END AS status FROM cdc")(
     lambda s, d: RegexRule("o_orderstatus", "O|U", "x").apply(orders_cdc(s, d)).select("_seq", "_op", F.coalesce("new", "old")["o_orderstatus"].alias("status"))

@@ -42,7 +42,30 @@ def test_dialect(spark, text, pattern, template, expected):
     assert _replace(spark, text, pattern, template) == expected
 
 
-@pytest.mark.parametrize("pattern", ["(?=a)", "(?<!a)b", r"(a)\1", "a++", "a*+", "(?>a)", "(", "a)", "[", r"\Z", r"\k<a>", "a*", "[[:alpha:]]*", r"\pL?", "(a|)"])
+def _by_the_rule(pattern, text, new):
+    """Replacing as the dialect does: the preferred match from each place on, but no empty one where the last one ended."""
+    out, at, copied, last = [], 0, 0, -1
+    while at <= len(text) and (m := re.compile(pattern).search(text, at)):
+        out.append(text[copied : m.start()])
+        if m.end() > last or m.start() == 0:
+            out.append(new)
+        copied = last = m.end()
+        at = max(m.end(), at + 1)
+    return "".join(out) + text[copied:]
+
+
+def test_empty_matches(spark):
+    texts = ["", "a", "b", "aab", "baab", "xaabbax", "ab12", "123", "a1b22", "  a b ", "aé1"]
+    patterns = ["a*", "[a-z]*", "a?", "(a|)", "(|a)", "a??", "a*?", "(a|b)*", r"\d*", "x?a*", "(?:ab)*", "a*|b", "b|a*", "a??b|", "(a*)(b*)", "(a??)(b??)"]
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    made = [compile_rule(p, "<>") for p in patterns]
+    for r in rows.select("v", *[F.regexp_replace("v", F.lit(p), F.lit(t)).alias(f"r{k}") for k, (p, t) in enumerate(made)]).collect():
+        for k, p in enumerate(patterns):
+            assert r[f"r{k}"] == _by_the_rule(p, r["v"], "<>"), (p, r["v"])
+    assert [_replace(spark, "ab é", p, "-") for p in ("[[:alpha:]]*", r"\pL?", r"^a*", r"\b")] == ["- -é-", "-- -", "-b é", "-ab- é"]
+
+
+@pytest.mark.parametrize("pattern", ["(?=a)", "(?<!a)b", r"(a)\1", "a++", "a*+", "(?>a)", "(", "a)", "[", r"\Z", r"\k<a>"])
 def test_refused(pattern):
     with pytest.raises(UnsupportedPattern):
         compile_rule(pattern, "")
