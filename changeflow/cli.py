@@ -36,22 +36,26 @@ def replicate(s: config.Settings) -> None:
     """Copies tables of files or of a PostgreSQL source into the log, then follows the protocol frames and the schema-change log."""
     from pathlib import Path
 
-    from changeflow.sources import changelog, jdbc, registry, snapshot
+    from pyspark.sql import functions as F
+
+    from changeflow.sources import changelog, exported, jdbc, registry, snapshot
 
     if not s.host and not s.source_dir:
         raise ValueError("required: source-dir or host")
     spark, mode = session("changeflow-replicator"), registry.mode_of(s.copy, s.copy_and_stream)
     jdbc_url, options = jdbc.url(s.host, s.port, s.dbname), {"user": s.user, "password": s.password}
     if mode != "stream":
-        tables = s.tables or sorted(p.stem for p in Path(s.source_dir).glob("*.parquet"))
+        tables = s.tables or sorted(p.stem for p in Path(s.source_dir or ".").glob("*.parquet"))
         keys = _keys(s)
-        if s.host:
-            snapshots = jdbc.snapshots(spark, jdbc_url, s.schema, s.tables, options, s.max_copy_workers_per_table)
+        if s.host:  # one moment for all tables, and the stream goes on from it
+            write = lambda t, wire: changelog.append(wire.withColumn("_group", F.lit(s.group)), s.log_dir)
+            lsn = exported.copy(spark, session_options(s), s.schema, s.tables, write, s.max_copy_workers_per_table)
+            s.starting_lsn = s.starting_lsn or lsn
         else:
             snapshots = snapshot.copy_tables(spark, {t.rpartition(".")[2]: f"{s.source_dir}/{t.rpartition('.')[2]}.parquet" for t in tables}, keys)
-        failed = snapshot.write_snapshots(snapshots, lambda t, c: changelog.append(changelog.to_wire(c, s.group), s.log_dir), s.max_copy_workers_per_table)
-        if failed:
-            raise RuntimeError(f"tables failed: {failed}")
+            failed = snapshot.write_snapshots(snapshots, lambda t, c: changelog.append(changelog.to_wire(c, s.group), s.log_dir), s.max_copy_workers_per_table)
+            if failed:
+                raise RuntimeError(f"tables failed: {failed}")
     if mode == "copy":
         return
     poller = _poller(spark, s, jdbc_url, options) if s.host and s.track_ddl else None
@@ -65,6 +69,10 @@ def replicate(s: config.Settings) -> None:
             poller.stop()
 
 
+def session_options(s: config.Settings) -> dict[str, str]:
+    return {"host": s.host, "port": str(s.port), "dbname": s.dbname, "user": s.user, "password": s.password, "sslmode": s.sslmode}
+
+
 def stream_options(s: config.Settings) -> dict[str, str]:
     """Options of the protocol source: a server's connection by way of a spool where a host is named, else a capture in files."""
     from changeflow.sources import jdbc
@@ -72,7 +80,7 @@ def stream_options(s: config.Settings) -> dict[str, str]:
     if not s.host:
         return {"path": f"{s.source_dir}/frames", "startingLsn": s.starting_lsn}
     named = {"transport": "changeflow.sources.connection:Connection", "spool": s.spool_dir or f"{s.log_dir}_spool/{s.group}", "startingLsn": s.starting_lsn}
-    return named | {"host": s.host, "port": str(s.port), "dbname": s.dbname, "user": s.user, "password": s.password, "sslmode": s.sslmode, "slot": jdbc.slot_name(s.group), "publication": jdbc.publication_name(s.group)}
+    return named | session_options(s) | {"slot": jdbc.slot_name(s.group), "publication": jdbc.publication_name(s.group)}
 
 
 def _poller(spark, s: config.Settings, jdbc_url: str, options: dict[str, str]):

@@ -1,4 +1,4 @@
-"""A replication connection to a PostgreSQL server, as a ``transport`` of the protocol source.
+"""Connections to a PostgreSQL server: sessions for statements and copies, and the ``transport`` of the protocol source.
 
 The server sends the write-ahead log of a publication over one connection, each transaction when it has
 committed. ``poll`` hands on the frames that there are and stops between transactions; a connection that
@@ -13,6 +13,7 @@ import base64
 import hashlib
 import hmac
 import os
+import re
 import socket
 import ssl
 import struct
@@ -31,19 +32,18 @@ class ServerError(RuntimeError):
     """What a server answers instead of doing it; trying again does not help."""
 
 
-class Connection:
-    """Options: host, port, dbname, user, password, slot, publication, sslmode (disable or require), idle (seconds without a frame after which a poll ends), mostBytes."""
+class Wire:
+    """A connection's messages and its opening. Options: host, port, dbname, user, password, sslmode (disable or require), tries."""
+
+    #: What the start-up message has besides user and database.
+    startup: dict[str, str] = {}
 
     def __init__(self, options: Mapping[str, str]) -> None:
-        get = lambda name, default="": options.get(name, options.get(name.lower(), default))
-        self.host, self.port, self.dbname = get("host", "localhost"), int(get("port", "5432")), get("dbname")
-        self.user, self.password, self.slot, self.publication = get("user"), get("password"), get("slot"), get("publication")
-        self.sslmode, self.idle, self.most = get("sslmode", "disable"), float(get("idle", "1")), int(get("mostBytes", str(1 << 28)))
-        self.tries = int(get("tries", "5"))
+        self.get = lambda name, default="": options.get(name, options.get(name.lower(), default))
+        self.host, self.port, self.dbname = self.get("host", "localhost"), int(self.get("port", "5432")), self.get("dbname")
+        self.user, self.password, self.sslmode, self.tries = self.get("user"), self.get("password"), self.get("sslmode", "disable"), int(self.get("tries", "5"))
         self.socket: socket.socket | None = None
         self.held = b""
-        self.at = 0
-        self.status = Decoder().feedback()
 
     # --- messages
 
@@ -81,7 +81,7 @@ class Connection:
 
     # --- opening
 
-    def _open(self, after: int) -> None:
+    def _open(self) -> None:
         self.close()
         self.socket, self.held = socket.create_connection((self.host, self.port), timeout=30), b""
         if self.sslmode != "disable":
@@ -89,18 +89,12 @@ class Connection:
             if self._take(1) != b"S":
                 raise ServerError("the server has no TLS")
             self.socket = ssl.create_default_context().wrap_socket(self.socket, server_hostname=self.host)
-        named = {"user": self.user, "database": self.dbname, "replication": "database"}
+        named = {"user": self.user, "database": self.dbname} | self.startup
         body = struct.pack(">I", VERSION) + b"".join(k.encode() + b"\0" + v.encode() + b"\0" for k, v in named.items()) + b"\0"
         self.socket.sendall(struct.pack(">I", len(body) + 4) + body)
         self._authenticate()
         while self._message()[0] != b"Z":
             pass
-        publication = self.publication.replace("'", "''")
-        self._send(b"Q", f"START_REPLICATION SLOT \"{self.slot}\" LOGICAL {lsn_text(after)} (proto_version '1', publication_names '{publication}')".encode() + b"\0")
-        while (kind := self._message()[0]) != b"W":
-            if kind == b"Z":
-                raise ServerError("the server does not start replication")
-        self.at = after
 
     def _authenticate(self) -> None:
         scram = None
@@ -132,12 +126,71 @@ class Connection:
             self.socket.close()
             self.socket = None
 
-    # --- the transport
+
+class Session(Wire):
+    """Statements, one after the other, on a connection that opens with the first one."""
+
+    def query(self, sql: str) -> list[tuple[str | None, ...]]:
+        """The rows of a statement, as texts: for metadata, which is little."""
+        if self.socket is None:
+            with_retry(self._open, self.tries, 0.2, 10.0, lambda e: isinstance(e, OSError))
+        self._send(b"Q", sql.encode() + b"\0")
+        rows: list[tuple[str | None, ...]] = []
+        while (found := self._message())[0] != b"Z":
+            if found[0] == b"D":
+                values, at = [], 2
+                for _ in range(struct.unpack(">H", found[1][:2])[0]):
+                    (n,) = struct.unpack_from(">i", found[1], at)
+                    values.append(None if n < 0 else found[1][at + 4 : at + 4 + n].decode())
+                    at += 4 + max(n, 0)
+                rows.append(tuple(values))
+        return rows
+
+    def copy(self, sql: str) -> Iterator[list[str | None]]:
+        """The rows of a COPY to the client in its text form, as they come."""
+        self._send(b"Q", sql.encode() + b"\0")
+        held = b""
+        while (found := self._message())[0] != b"Z":
+            if found[0] == b"d":
+                *lines, held = (held + found[1]).split(b"\n")
+                yield from (_values(line) for line in lines)
+
+
+#: Letters behind a backslash in COPY's text form (fixed values).
+_ESCAPED = {b"b": b"\b", b"f": b"\f", b"n": b"\n", b"r": b"\r", b"t": b"\t", b"v": b"\v"}
+_BACKSLASH = re.compile(rb"\\(.)", re.S)
+
+
+def _values(line: bytes) -> list[str | None]:
+    plain = lambda v: _BACKSLASH.sub(lambda m: _ESCAPED.get(m[1], m[1]), v) if b"\\" in v else v
+    return [None if v == b"\\N" else plain(v).decode("utf-8", "replace") for v in line.split(b"\t")]
+
+
+class Connection(Wire):
+    """The transport. Options more: slot, publication, idle (seconds without a frame after which a poll ends), mostBytes."""
+
+    startup = {"replication": "database"}
+
+    def __init__(self, options: Mapping[str, str]) -> None:
+        super().__init__(options)
+        self.slot, self.publication = self.get("slot"), self.get("publication")
+        self.idle, self.most = float(self.get("idle", "1")), int(self.get("mostBytes", str(1 << 28)))
+        self.at = 0
+        self.status = Decoder().feedback()
+
+    def _follow(self, after: int) -> None:
+        self._open()
+        publication = self.publication.replace("'", "''")
+        self._send(b"Q", f"START_REPLICATION SLOT \"{self.slot}\" LOGICAL {lsn_text(after)} (proto_version '1', publication_names '{publication}')".encode() + b"\0")
+        while (kind := self._message()[0]) != b"W":
+            if kind == b"Z":
+                raise ServerError("the server does not start replication")
+        self.at = after
 
     def poll(self, after: int) -> Iterator[bytes]:
         """The frames of transactions that commit after a position, until the server is silent between two of them."""
         if self.socket is None or self.at != after:
-            with_retry(lambda: self._open(after), self.tries, 0.2, 10.0, lambda e: isinstance(e, OSError))
+            with_retry(lambda: self._follow(after), self.tries, 0.2, 10.0, lambda e: isinstance(e, OSError))
             self._status()
         inside, n = False, 0
         try:
