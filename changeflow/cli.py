@@ -138,7 +138,7 @@ def work(s: config.Settings, sink_name: str) -> None:
         "file": lambda: sinks.create("file", path=s.file_output_dir),
         "table": lambda: sinks.create("table", path=s.table_output_dir, keys=routed),
         "postgres": lambda: sinks.create("postgres", url=f"jdbc:postgresql://{s.target_host}:{s.target_port}/{s.target_dbname}", keys=routed, options={"user": s.target_user, "password": s.target_password}, disable_foreign_keys=s.target_disable_foreign_keys, create=s.target_sync_schema),
-        "webhook": lambda: sinks.create("webhook", url=s.webhook_url),
+        "webhook": lambda: sinks.create("webhook", url=s.webhook_url, progress=f"{s.checkpoint_dir or s.log_dir + '_checkpoint'}/posted-{s.group}"),
     }[sink_name]()
     Worker(s.log_dir, s.group, tables if s.tables else None, made, pipeline, s.schema, retention=s.log_retention or None, archive=s.log_archive_dir or None).start(spark, f"{s.checkpoint_dir or s.log_dir + '_checkpoint'}/worker-{s.group}-{sink_name}", once=s.once).awaitTermination()
 
