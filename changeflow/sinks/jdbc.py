@@ -8,10 +8,12 @@ of those keys, so that it is the one that statements in order would leave.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeflow import model
 from changeflow.operators.ddl import SchemaChange, parse
@@ -150,39 +152,51 @@ class JdbcSink:
         if not self.exists(spark, table):
             if not self.create:
                 raise ValueError(f"{table} is not on the target")
-            spark.createDataFrame([], row).write.jdbc(self.url, quoted(table), mode="append", properties=self.options)
+            self._create(spark, table, row, key)
         base = self.read(spark, table)
         changes = model.widened(changes, base.schema)
         row = model.row_type(changes)
-        if key.type == model.FULL:
-            rows = checkpointed(replay_rows(changes, base))
-            self._stage(rows, table)
-            self.execute(spark, [f"DELETE FROM {quoted(table)}", self._insert(row.names, table), f"DROP TABLE {quoted(table + '_staged')}"])
-            return
-        keys = list(key.columns)
-        k = target_key(keys)
-        touched = changes.where(F.col("_op").isin(*model.DATA_OPERATIONS)).select(k.alias("k"))
-        touched = touched.unionByName(changes.where(changes_key(keys)).select(F.struct(*[model.field("new", c).alias(c) for c in keys]).alias("k"))).distinct().select("k.*")
-        touched = checkpointed(touched)
-        match = lambda: [F.col(f"b.`{c}`").eqNullSafe(F.col(f"t.`{c}`")) for c in keys]
-        known = base.alias("b").join(touched.alias("t"), match(), "left_semi")
-        rows = checkpointed(replay(changes, keys, known))
-        self._stage(rows, table)
-        touched.write.mode("overwrite").jdbc(self.url, quoted(f"{table}_touched"), properties=self.options)
-        same = " AND ".join(f"t.{quoted(c)} = {quoted(table)}.{quoted(c)}" for c in keys)
-        self.execute(
-            spark,
-            [
-                f"DELETE FROM {quoted(table)} WHERE EXISTS (SELECT 1 FROM {quoted(table + '_touched')} t WHERE {same})",
-                self._insert(row.names, table),
-                f"DROP TABLE {quoted(table + '_touched')}",
-                f"DROP TABLE {quoted(table + '_staged')}",
-            ],
-        )
-
-    def _stage(self, rows: DataFrame, table: str) -> None:
-        rows.write.mode("overwrite").jdbc(self.url, quoted(f"{table}_staged"), properties=self.options)
-
-    def _insert(self, names: list[str], table: str) -> str:
+        # Names of their own, so that workers of one target do not meet.
+        staged, touched_in = (f"{table}_{what}_{uuid.uuid4().hex[:12]}" for what in ("staged", "touched"))
+        try:
+            if key.type == model.FULL:
+                rows = checkpointed(replay_rows(changes, base))
+                self._stage(rows, staged)
+                self.execute(spark, [f"DELETE FROM {quoted(table)}", self._insert(row.names, table, staged)])
+                return
+            keys = list(key.columns)
+            k = target_key(keys)
+            touched = changes.where(F.col("_op").isin(*model.DATA_OPERATIONS)).select(k.alias("k"))
+            touched = touched.unionByName(changes.where(changes_key(keys)).select(F.struct(*[model.field("new", c).alias(c) for c in keys]).alias("k"))).distinct().select("k.*")
+            touched = checkpointed(touched)
+            match = [F.col(f"b.`{c}`").eqNullSafe(F.col(f"t.`{c}`")) for c in keys]
+            known = base.alias("b").join(touched.alias("t"), match, "left_semi")
+            rows = checkpointed(replay(changes, keys, known))
+            self._stage(rows, staged)
+            self._stage(touched, touched_in)
+            equal = "(t.{0} = {1}.{0} OR t.{0} IS NULL AND {1}.{0} IS NULL)"  # keys of unique indexes can be null
+            same = " AND ".join(equal.format(quoted(c), quoted(table)) for c in keys)
+            self.execute(spark, [f"DELETE FROM {quoted(table)} WHERE EXISTS (SELECT 1 FROM {quoted(touched_in)} t WHERE {same})", self._insert(row.names, table, staged)])
+        finally:
+            for name in (staged, touched_in):
+                if self.exists(spark, name):
+                    self.execute(spark, [f"DROP TABLE {quoted(name)}"])
+
+    def _create(self, spark: SparkSession, table: str, row: T.StructType, key: model.ReplicationKey) -> None:
+        """The table with its key: a primary key, or a unique index."""
+        primary = key.type == model.PRIMARY_KEY
+        made = T.StructType([T.StructField(f.name, f.dataType, not (primary and f.name in key.columns), f.metadata) for f in row])
+        spark.createDataFrame([], made).write.jdbc(self.url, quoted(table), mode="append", properties=self.options)
+        columns = ", ".join(map(quoted, key.columns))
+        if primary:
+            self.execute(spark, [f"ALTER TABLE {quoted(table)} ADD PRIMARY KEY ({columns})"])
+        elif key.type == model.UNIQUE:
+            name = table.rpartition(".")[2]
+            self.execute(spark, [f"CREATE UNIQUE INDEX {quoted(name + '_key')} ON {quoted(table)} ({columns})"])
+
+    def _stage(self, rows: DataFrame, staged: str) -> None:
+        rows.write.mode("overwrite").jdbc(self.url, quoted(staged), properties=self.options)
+
+    def _insert(self, names: list[str], table: str, staged: str) -> str:
         columns = ", ".join(map(quoted, names))
-        return f"INSERT INTO {quoted(table)} ({columns}) SELECT {columns} FROM {quoted(table + '_staged')}"
+        return f"INSERT INTO {quoted(table)} ({columns}) SELECT {columns} FROM {quoted(staged)}"

@@ -287,3 +287,23 @@ def test_commands_on_a_target(spark):
     run("CREATE INDEX i ON users (name)")
     assert [t for _, t in told] == [False, True]
     assert sink.exists(spark, "users") and not sink.exists(spark, "others") and not sink.exists(spark, "user_")
+
+
+def test_created_tables_have_their_keys(spark):
+    """The target itself refuses a second equal key; keys with nulls are met; nothing is left of what was staged."""
+    url, options = "jdbc:derby:memory:keys;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    unique = model.ReplicationKey(model.UNIQUE, ("code",))
+    sink = create("postgres", url=url, keys={"users": KEY, "codes": unique}, options=options)
+    users = snapshot.snapshot(spark.createDataFrame([(1, "ann")], "id int, name string"), "users", KEY)
+    codes = snapshot.snapshot(spark.createDataFrame([(7, 1), (None, 2)], "code int, n int"), "codes", unique)
+    for _ in range(2):
+        sink.write(users, "users"), sink.write(codes, "codes")
+    for sql in ('INSERT INTO "users" VALUES (1, NULL)', 'INSERT INTO "users" VALUES (NULL, NULL)', 'INSERT INTO "codes" VALUES (7, 9)'):
+        with pytest.raises(Exception):
+            sink.execute(spark, [sql])
+    row = "struct<code:int,n:int>"
+    told = [(5, "UPDATE", [], (None, 22), (None, 2)), (6, "DELETE", [], None, (7, None))]
+    sink.write(spark.createDataFrame(told, f"_seq long, _op string, _toasted array<string>, new {row}, old {row}"), "codes")
+    assert [tuple(r) for r in sink.read(spark, "codes").collect()] == [(None, 22)]
+    tables = spark.read.jdbc(url, "(SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLETYPE = 'T') t", properties=options)
+    assert sorted(r[0] for r in tables.collect()) == ["codes", "users"]
