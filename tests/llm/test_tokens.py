@@ -91,3 +91,18 @@ def test_texts_encoded_at_once_are_bounded_by_their_length(monkeypatch):
     assert list(bpe.spans(pa.array(["x" * 4, None, "x" * 6, "x" * 30, "", "x" * 11, "x"]))) == [(0, 3), (3, 1), (4, 1), (5, 1), (6, 1)]
     assert list(bpe.spans(pa.array([""] * 2500))) == [(0, 1024), (1024, 1024), (2048, 452)]
     assert list(bpe.spans(pa.array([], pa.string()))) == []
+
+
+def test_memory_of_texts_without_blanks():
+    """A long cut takes a fixed number of bytes a character, and is not remembered."""
+    import tracemalloc
+
+    counter = Counter(read_pieces(open(PIECES, "rb").read()))
+    text = "abcdefghijklmnopqrst" * 10_000
+    tracemalloc.start()
+    assert counter.count(text) == len(UNIGRAM.encode(text).ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(text) + (1 << 20)
+    assert all(len(k) <= 64 for k in counter.known.young)
+    assert counter.count("short words") == len(UNIGRAM.encode("short words").ids) and "words" in counter.known.young
