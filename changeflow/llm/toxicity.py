@@ -18,7 +18,7 @@ Fit: at most ``PER_CLASS`` rows of each label, the first by a hash of the id, an
 driver gets and of the index that is broadcast. Fitting scans the documents once. Scoring is one pass
 without a shuffle; a task holds the index, a slice of a batch and a bounded memory of words.
 
-Defined results: null and empty texts have no words and get the score of examples without words; very long
+Defined results: a row with a null id is scored like others and never learnt; null and empty texts have no words and get the score of examples without words; very long
 texts are read whole; without examples of both labels the score is the share of toxic rows (0 without
 rows); label rows whose document or label is missing are left out, an id with several labels counts as
 toxic if one says so, and of several texts of one id the first in order is the example; equal cosines go
