@@ -232,7 +232,7 @@ orders AS (
 steps AS (SELECT filter_order, CAST(i AS INTEGER) AS step, filter_order[i] AS mine, filter_order[1:i - 1] AS before FROM orders, range(1, 6) t(i)),
 seen AS (
   SELECT part, filter_order, step, mine, n, good, toxic, contains(fails, mine) AS fails_here,
-    len(list_intersect(string_split(before, ''), string_split(fails, ''))) > 0 AS gone, fails = mine AS alone
+    len(translate(fails, before, '')) < len(fails) AS gone, fails = mine AS alone
   FROM held, steps),
 told AS (
   SELECT part, filter_order, step, mine,

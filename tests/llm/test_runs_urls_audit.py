@@ -343,3 +343,19 @@ def test_matrices():
     assert len({c for c, _ in columns}) == math.factorial(5) and columns == sorted(columns)
     assert (m["kept"] + m["removed"] + m["redundant"] <= 1).all() and m["unique_fails"].sum() == 600
     assert all(columns[k][0][columns[k][1] - 1] == "ABCDE"[mine[k]] for k in range(600))
+
+
+@here
+def test_op13_by_its_sql(spark):
+    import duckdb
+
+    from changeflow.llm.queries import OP13_SQL
+
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    found = con.execute(OP13_SQL)
+    names = [d[0] for d in found.description]
+    ours = op13_filter_audit(spark, SF)
+    assert sorted(names) == sorted(ours.columns)
+    assert sorted(tuple(r[n] for n in names) for r in ours.collect()) == sorted(found.fetchall())
