@@ -233,17 +233,23 @@ class TableSink:
                 n *= 2
         else:
             n = m.buckets
-        changes = changes.persist()  # read for the buckets first, then for the rows
-        try:
+        if was is None or not was.files:  # no bucket is there to be read
             self._write(changes, m, was, key, n, files, manifests, batch)
-        finally:
-            changes.unpersist()
+        else:
+            changes = changes.persist()  # read for the buckets first, then for the rows
+            try:
+                self._write(changes, m, was, key, n, files, manifests, batch)
+            finally:
+                changes.unpersist()
         self.changes.pop(table, None)  # a batch that fails before here finds them again
         self._clean(files, manifests)
 
     def _write(self, changes: DataFrame, m: Manifest, was: Manifest | None, key: model.ReplicationKey, n: int, files: Folder, manifests: Numbered, batch: int) -> None:
         spark, folder = changes.sparkSession, files.path
-        touched, moved = self._touched(changes, key, n, [f["name"] for f in m.fields])
+        if was is None or not was.files:
+            touched, moved = list(range(n)), True  # whether keys change, replay sees
+        else:
+            touched, moved = self._touched(changes, key, n, [f["name"] for f in m.fields])
         full = key.type == model.FULL
         if was is not None and (n != was.buckets or self._moved(was, m, key)):
             touched = list(range(n))  # buckets mean other rows now
