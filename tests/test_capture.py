@@ -189,6 +189,29 @@ def test_state_goes_on(spark, tmp_path):
         run()
 
 
+def test_state_is_kept_by_buckets(spark, tmp_path):
+    """What is looked up in the store are buckets, not keys, and the rows are those that a fold in order gives."""
+    path, out, rows = str(tmp_path / "log"), TableSink(str(tmp_path / "out"), {"users": KEY}), {}
+    random.seed(5)
+    for run in range(3):
+        told = []
+        for seq in range(1000 * run, 1000 * run + 1000):
+            k, op, kept = random.randrange(300), random.choice(("INSERT", "UPDATE", "UPDATE", "DELETE")), random.random() < 0.5
+            told.append((seq, op, ["big"] if op == "UPDATE" and kept else [], None if op == "DELETE" else (k, f"n{seq}", None if kept else f"b{seq}"), (k, None, None) if op == "DELETE" else None))
+            if op == "INSERT":
+                rows.setdefault(k, (k, f"n{seq}", None if kept else f"b{seq}"))
+            elif op == "UPDATE" and k in rows:
+                rows[k] = (k, f"n{seq}", rows[k][2] if kept else f"b{seq}")
+            elif op == "DELETE":
+                rows.pop(k, None)
+        _log(spark, path, *told)
+        stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+        query = replay_stream(stream, "users", ["id"], out, str(tmp_path / "state"), once=True, buckets=4)
+        query.awaitTermination()
+        assert sorted(map(tuple, out.read(spark, "users").collect())) == sorted(rows.values())
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 4
+
+
 def test_net_changes_have_the_form_of_changes(spark, tmp_path):
     _log(spark, str(tmp_path), (1, "INSERT", [], (1, "a", "x"), None))
     held = spark.read.parquet(str(tmp_path))
