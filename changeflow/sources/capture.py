@@ -65,8 +65,8 @@ def to_frames(changes: DataFrame, commit: Column, table: str, keys: Sequence[str
     return messages.select("commit", "part", "ordinal", F.unhex(F.concat(F.lit("77"), position, position, time, F.col("message"))).alias("frame"))
 
 
-def write_capture(frames: DataFrame, path: str, files: int = 8) -> int:
-    """Writes frames as so many files of whole transactions at most, each by one task; the number of bytes.
+def write_capture(frames: DataFrame, path: str, files: int | None = None) -> int:
+    """Writes frames as so many files of whole transactions at most, each by one task; the number of bytes. Without ``files`` their number grows with the frames.
 
     A file is named by its first commit, so a task that runs again writes the same one.
     """
@@ -81,8 +81,8 @@ def write_capture(frames: DataFrame, path: str, files: int = 8) -> int:
             for batch in itertools.chain([head], batches):
                 yield from (framed(f) for f in batch.column("frame").to_pylist())
 
-        n = Capture(path).add(f"{head.column('commit')[0].as_py():016x}.frames", parts())
+        n = Capture(path).add_frames(f"{head.column('commit')[0].as_py():016x}.frames", parts())
         yield pa.RecordBatch.from_pydict({"n": [n]}, schema=pa.schema([("n", pa.int64())]))
 
-    ordered = frames.repartitionByRange(files, "commit").sortWithinPartitions("commit", "part", "ordinal")
+    ordered = frames.repartitionByRange(*([files] if files is not None else []), "commit").sortWithinPartitions("commit", "part", "ordinal")
     return sum(r["n"] for r in ordered.mapInArrow(run, "n long").collect())  # a row a file

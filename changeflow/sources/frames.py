@@ -3,7 +3,8 @@
 A capture is a file or a folder of files in the order of their names, each ``[length: 4 bytes][frame]``, with
 whole transactions a file. The driver plans: it walks over the heads of frames (a length and a kind), takes in
 what the few Relation and Commit messages say, and cuts the capture into ranges of about ``SIZE`` bytes. It
-never sees the values of a change. A range is either some whole transactions or a part of one large
+never sees the values of a change. ``add_frames`` writes an index beside a file (``Index``), so that the walk
+reads some hundred bytes for each ``STEP`` of it instead of its frames; files without one are walked over. A range is either some whole transactions or a part of one large
 transaction, and knows what its task needs to begin there: the relations, the running ``_seq``, and for a part
 the commit that the walk has met behind it. So transactions of any size are decoded by many tasks, none of
 which holds more than its range, and ``_seq`` is the same however the capture is cut.
@@ -14,6 +15,7 @@ server's one connection costs the driver a copy of bytes and nothing else.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -25,6 +27,8 @@ from pyspark.sql.datasource import InputPartition
 
 #: Bytes of frames of a range, about, and bytes that the walk reads at once.
 SIZE, CHUNK = 8 << 20, 1 << 20
+#: Bytes of a block of an index, and bits of a change's place in its transaction in a running ``_seq``.
+STEP, BITS = 1 << 18, 14
 #: What of a frame the walk looks at: kind of the frame, and of the message behind the three positions.
 HEAD = 26
 CHANGES = frozenset(b"IUD")
@@ -62,8 +66,25 @@ class Capture:
     def open(self, name: str) -> BinaryIO:
         return open(self._at(name), "rb") if self.fs is None else self.fs.open_input_file(self._at(name))
 
-    def add(self, name: str, parts: Iterable[bytes]) -> int:
-        """Writes a file that appears whole; the number of its bytes. An empty one does not appear."""
+    def size(self, name: str) -> int:
+        return os.path.getsize(self._at(name)) if self.fs is None else self.fs.get_file_info(self._at(name)).size
+
+    def blocks(self, name: str, bits: int) -> dict[int, dict]:
+        """The blocks of a file's index by their begins; none where there is no index of the file as it is."""
+        try:
+            with self.open(_index(name)) as f:
+                told = json.loads(f.read())
+        except OSError:
+            return {}
+        return {b["begin"]: b for b in told["blocks"]} if name and (told["size"], told["bits"]) == (self.size(name), bits) else {}
+
+    def add_frames(self, name: str, frames: Iterable[bytes]) -> int:
+        """Writes a file of framed frames, with its index, which is there before the file is."""
+        index = Index()
+        return self.add(name, index.over(frames), lambda: self.add(_index(name), [index.text().encode()]))
+
+    def add(self, name: str, parts: Iterable[bytes], before: Callable[[], object] | None = None) -> int:
+        """Writes a file that appears whole; the number of its bytes. An empty one does not appear. ``before`` is done just before it appears."""
         hidden, n = self._at(f"_{uuid.uuid4().hex}"), 0
         if self.fs is None:
             os.makedirs(self.path, exist_ok=True)
@@ -76,6 +97,8 @@ class Capture:
             if self.fs is None:
                 f.flush()
                 os.fsync(f.fileno())
+        if n and before is not None:
+            before()
         if not n:
             self.remove(os.path.basename(hidden))
         elif self.fs is None:
@@ -85,7 +108,71 @@ class Capture:
         return n
 
     def remove(self, name: str) -> None:
-        os.remove(self._at(name)) if self.fs is None else self.fs.delete_file(self._at(name))
+        for own in (name, _index(name)):
+            try:
+                os.remove(self._at(own)) if self.fs is None else self.fs.delete_file(self._at(own))
+            except FileNotFoundError:
+                if own == name:
+                    raise
+
+
+def _index(name: str) -> str:
+    return f"_{name}.index"
+
+
+class Index:
+    """What the walk takes in of a file, made as its frames are written.
+
+    A block is either some whole transactions of about ``STEP`` bytes or one larger transaction, with the
+    places where it can be cut (byte, changes before it). Through a block ``_seq`` goes from s to the greater of s + ``more`` and
+    ``least``. A large transaction that tells a relation after a change has no block, and is walked over.
+    """
+
+    def __init__(self) -> None:
+        self.blocks: list[dict] = []
+        self.at = self.first = self.last_cut = self.changes = 0
+        self.cuts: list[tuple[int, int]] = []
+        self.told: dict[str, str] = {}
+        self.late = False
+        self._open()
+
+    def _open(self) -> None:
+        self.block = {"begin": self.at, "end": self.at, "n": 0, "more": 0, "least": -(2**62), "commit": 0, "relations": {}}
+
+    def over(self, frames: Iterable[bytes]) -> Iterator[bytes]:
+        for f in frames:
+            end, kind = self.at + len(f), f[29] if len(f) >= 4 + HEAD and f[4] == 0x77 else 0
+            if kind in CHANGES:
+                if self.at - self.last_cut >= STEP:
+                    self.cuts.append((self.at, self.changes))
+                    self.last_cut = self.at
+                self.changes += 1
+            elif kind == 0x52:
+                self.told[str(struct.unpack_from(">I", f, 30)[0])] = f[29:].hex()
+                self.late = self.late or self.changes > 0
+            self.at = end
+            if kind == 0x43:
+                self._commit(*struct.unpack_from(">qqq", f, 31))
+            yield f
+
+    def _commit(self, commit: int, _: int, moment: int) -> None:
+        n, b = self.changes, self.block
+        if self.cuts:
+            if b["n"]:
+                self.blocks.append(b)
+            if not self.late:
+                self.blocks.append({"begin": self.first, "end": self.at, "n": 1, "commit": commit, "relations": self.told, "changes": n, "moment": moment, "cuts": self.cuts})
+            self._open()
+        else:
+            b |= {"end": self.at, "n": b["n"] + 1, "more": b["more"] + n, "least": max(b["least"], commit << BITS) + n, "commit": commit, "relations": b["relations"] | self.told if self.told else b["relations"]}
+            if self.at - b["begin"] >= STEP:
+                self.blocks.append(b)
+                self._open()
+        self.first = self.last_cut = self.at
+        self.changes, self.cuts, self.told, self.late = 0, [], {}, False
+
+    def text(self) -> str:
+        return json.dumps({"size": self.at, "bits": BITS, "blocks": self.blocks + [self.block] * (self.block["n"] > 0)})
 
 
 def framed(frame: bytes) -> bytes:
@@ -163,7 +250,12 @@ class Walk:
     def initial(self) -> dict:
         return {"file": "", "byte": 0, "committed": self.starting, "seq": 0, "relations": {}}
 
-    def run(self, start: dict, most: int | None = None, upto: dict | None = None, ordinal_bits: int = 14) -> dict:
+    def total(self) -> int:
+        """Bytes of the capture."""
+        capture = Capture(self.path)
+        return sum(capture.size(name) for name in capture.files())
+
+    def run(self, start: dict, most: int | None = None, upto: dict | None = None, ordinal_bits: int = BITS) -> dict:
         """Adds the ranges between an offset and the last transaction there is, the ``most``-th one, or the offset ``upto``; the offset reached."""
         capture, n = Capture(self.path), 0
         relations = {int(k): bytes.fromhex(v) for k, v in start["relations"].items()}
@@ -172,41 +264,82 @@ class Walk:
             begin = start["byte"] if name == start["file"] else 0
             if upto is not None and (name, begin) >= (upto["file"], upto["byte"]):
                 break
+            blocks = capture.blocks(name, ordinal_bits)
             with capture.open(name) as f:
                 # What is open: a range of whole transactions (its relations and _seq at the begin), then the
                 # transaction that the walk is in: its begin, its changes, and cuts (byte, changes before it, relations).
-                whole = (begin, seq, tuple(relations.values()))
-                first, changes, cuts, last = begin, 0, [], begin
-                known = tuple(relations.values())
-                for head in heads(f, begin):
-                    if head.kind == 0x52:
-                        relations[struct.unpack_from(">I", head.message, 1)[0]] = head.message
-                        known = None
-                    elif head.kind in CHANGES:
-                        if head.at - (cuts[-1][0] if cuts else first) >= self.size:
-                            known = tuple(relations.values()) if known is None else known
-                            cuts.append((head.at, changes, known))
-                        changes += 1
-                    elif head.kind == 0x43:
-                        commit, _, at = struct.unpack_from(">qqq", head.message, 2)
-                        base = max(seq, commit << ordinal_bits)
-                        if cuts:  # a large transaction: ranges of its own
-                            if first > whole[0]:
-                                self._add(name, whole[0], first, whole[1], whole[2])
-                            here = whole[2] if first == whole[0] else opened
-                            if commit > self.starting:
-                                for (a, k, r), b in zip([(first, 0, here), *cuts], [c[0] for c in cuts] + [head.end]):
-                                    self.ranges.append(Range(self.path, name, a, b, base + k, self.starting, r, (commit, at)))
-                        seq, last = base + changes, head.end
-                        known = tuple(relations.values()) if known is None else known
+                known = opened = tuple(relations.values())
+                whole = (begin, seq, known)
+                first, changes, cuts, last, ended = begin, 0, [], begin, False
+
+                def large(commit: int, moment: int, end: int, base: int) -> None:
+                    """Ranges of a transaction of its own."""
+                    if first > whole[0]:
+                        self._add(name, whole[0], first, whole[1], whole[2])
+                    here = whole[2] if first == whole[0] else opened
+                    if commit > self.starting:
+                        for (a, k, r), b in zip([(first, 0, here), *cuts], [c[0] for c in cuts] + [end]):
+                            self.ranges.append(Range(self.path, name, a, b, base + k, self.starting, r, (commit, moment)))
+
+                while not ended:
+                    block = blocks.get(last)
+                    if block is not None and (most is None or n + block["n"] <= most) and (upto is None or (name, block["end"]) <= (upto["file"], upto["byte"])):
+                        if block["relations"]:
+                            relations |= {int(k): bytes.fromhex(v) for k, v in block["relations"].items()}
+                            known = tuple(relations.values())
+                        commit, end, first = block["commit"], block["end"], last
+                        if "cuts" in block:
+                            cuts, cut, base = [], first, max(seq, commit << ordinal_bits)
+                            for at, k in block["cuts"]:
+                                if at - cut >= self.size:
+                                    cuts.append((at, k, known))
+                                    cut = at
+                            if cuts:
+                                large(commit, block["moment"], end, base)
+                            seq = base + block["changes"]
+                        else:
+                            seq = max(seq + block["more"], block["least"])
+                        n, last = n + block["n"], end
                         if cuts or last - whole[0] >= self.size:
                             if not cuts:
                                 self._add(name, whole[0], last, whole[1], whole[2])
                             whole = (last, seq, known)
-                        first, changes, cuts, opened, n = last, 0, [], known, n + 1
-                        reached = {"file": name, "byte": last, "committed": commit, "seq": seq, "relations": {str(k): v.hex() for k, v in relations.items()}}
-                        if n == most or upto is not None and (name, last) >= (upto["file"], upto["byte"]):
-                            break
+                        first, changes, cuts, opened = last, 0, [], known
+                        reached = {"file": name, "byte": last, "committed": commit, "seq": seq, "relations": None}
+                        ended = n == most or upto is not None and (name, last) >= (upto["file"], upto["byte"])
+                        continue
+                    if reached["relations"] is None:
+                        reached["relations"] = {str(k): v.hex() for k, v in relations.items()}
+                    ended = True  # unless a block begins after one of the next transactions
+                    for head in heads(f, last):
+                        if head.kind == 0x52:
+                            relations[struct.unpack_from(">I", head.message, 1)[0]] = head.message
+                            known = None
+                        elif head.kind in CHANGES:
+                            if head.at - (cuts[-1][0] if cuts else first) >= self.size:
+                                known = tuple(relations.values()) if known is None else known
+                                cuts.append((head.at, changes, known))
+                            changes += 1
+                        elif head.kind == 0x43:
+                            commit, _, at = struct.unpack_from(">qqq", head.message, 2)
+                            base = max(seq, commit << ordinal_bits)
+                            if cuts:
+                                large(commit, at, head.end, base)
+                            seq, last = base + changes, head.end
+                            known = tuple(relations.values()) if known is None else known
+                            if cuts or last - whole[0] >= self.size:
+                                if not cuts:
+                                    self._add(name, whole[0], last, whole[1], whole[2])
+                                whole = (last, seq, known)
+                            first, changes, cuts, opened, n = last, 0, [], known, n + 1
+                            reached = {"file": name, "byte": last, "committed": commit, "seq": seq, "relations": {str(k): v.hex() for k, v in relations.items()}}
+                            if n == most or upto is not None and (name, last) >= (upto["file"], upto["byte"]):
+                                break
+                            if last in blocks:
+                                ended = False
+                                break
+                if reached["relations"] is None:
+                    reached["relations"] = {str(k): v.hex() for k, v in relations.items()}
                 if last > whole[0]:
                     self._add(name, whole[0], last, whole[1], whole[2])
             if n == most:

@@ -9,7 +9,7 @@ also follows a live connection, the option ``transport`` (see ``Transport``), th
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 from importlib import import_module
@@ -51,6 +51,13 @@ class Relation:
     identity: str
     columns: list[tuple[str, int, bool]]  # name, type number, part of the key
 
+    def __post_init__(self) -> None:
+        """What all changes of the relation say alike, in the same objects."""
+        self.names = [c[0] for c in self.columns]
+        keys = [c[0] for c in self.columns if c[2]]
+        self.key = ("FULL", []) if self.identity == "f" or not keys else ("UNIQUE" if self.identity == "i" else "PRIMARY KEY", keys)
+        self.typed = [(c[0], c[1]) for c in self.columns]
+
 
 @dataclass
 class Decoder:
@@ -109,17 +116,20 @@ class Decoder:
     @staticmethod
     def _tuple(m: bytes, at: int) -> tuple[list[str | None], list[int], int]:
         """(values, places of unchanged ones, next byte)."""
-        count, at = struct.unpack(">H", m[at : at + 2])[0], at + 2
+        (count,) = struct.unpack_from(">H", m, at)
+        at += 2
         values, same = [], []
         for i in range(count):
-            kind, at = m[at : at + 1], at + 1
-            if kind == b"t":
-                n = struct.unpack(">I", m[at : at + 4])[0]
-                values.append(m[at + 4 : at + 4 + n].decode("utf-8", "replace"))
-                at += 4 + n
+            kind = m[at]
+            at += 1
+            if kind == 0x74:  # t: a text
+                n = int.from_bytes(m[at : at + 4], "big")
+                at += 4
+                values.append(m[at : at + n].decode("utf-8", "replace"))
+                at += n
             else:
                 values.append(None)
-                if kind == b"u":
+                if kind == 0x75:  # u: unchanged
                     same.append(i)
         return values, same, at
 
@@ -135,14 +145,10 @@ class Decoder:
             if m[at : at + 1] != b"N":
                 raise ValueError("a change without its new row")
             new, same, at = self._tuple(m, at + 1)
-        names = [c[0] for c in relation.columns]
-        keys = [c[0] for c in relation.columns if c[2]]
-        full = relation.identity == "f"
         self.buffer.append(
             {
-                "_lsn": lsn_text(lsn), "_op": {"I": INSERT, "U": UPDATE, "D": DELETE}[kind], "_schema": relation.schema, "_table": relation.table,
-                "_key": ("FULL", []) if full or not keys else ("UNIQUE" if relation.identity == "i" else "PRIMARY KEY", keys),
-                "_toasted": [names[i] for i in same] if kind == "U" else [], "columns": [(c[0], c[1]) for c in relation.columns], "new": new, "old": old,
+                "_lsn": lsn_text(lsn), "_op": {"I": INSERT, "U": UPDATE, "D": DELETE}[kind], "_schema": relation.schema, "_table": relation.table, "_key": relation.key,
+                "_toasted": [relation.names[i] for i in same] if kind == "U" else [], "columns": relation.typed, "new": new, "old": old,
             }
         )
 
@@ -155,8 +161,9 @@ class Decoder:
     def stamped(self, commit: int, at: int) -> list[dict]:
         """The changes that wait, with what their commit says."""
         done, self.buffer = self.buffer, []
+        position, moment = lsn_text(commit), EPOCH + timedelta(microseconds=at)
         for c in done:
-            c |= {"_seq": self.seq, "_commit_lsn": lsn_text(commit), "_emitted_at": EPOCH + timedelta(microseconds=at)}
+            c["_seq"], c["_commit_lsn"], c["_emitted_at"] = self.seq, position, moment
             self.seq += 1
         return done
 
@@ -166,8 +173,8 @@ class Decoder:
         return b"r" + struct.pack(">qqqqB", self.committed + 1, self.committed + 1, self.committed + 1, passed, reply)
 
 
-#: Changes of one Arrow batch.
-BATCH = 4096
+#: Changes of one Arrow batch, and ranges of a batch read, about.
+BATCH, RANGES = 4096, 512
 _TEXTS = pa.list_(pa.string())
 _ARROW = pa.schema(
     [("_seq", pa.int64()), *[(n, pa.string()) for n in ("_lsn", "_commit_lsn", "_op", "_schema", "_table")], ("_key", pa.struct([("type", pa.string()), ("columns", _TEXTS)]))]
@@ -218,9 +225,17 @@ def _changes(part: Range) -> Iterator[dict]:
 
 def _arrow(changes: list[dict]) -> pa.RecordBatch:
     columns = {n: [c[n] for c in changes] for n in _NAMES}
-    columns["_key"] = [{"type": kind, "columns": names} for kind, names in columns["_key"]]
-    columns["columns"] = [[{"name": n, "oid": oid} for n, oid in own] for own in columns["columns"]]
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in _ARROW], schema=_ARROW)
+    columns["_key"] = _alike(columns["_key"], lambda v: {"type": v[0], "columns": v[1]}, _ARROW.field("_key").type)
+    columns["columns"] = _alike(columns["columns"], lambda v: [{"name": n, "oid": oid} for n, oid in v], _ARROW.field("columns").type)
+    columns["_emitted_at"] = _alike(columns["_emitted_at"], lambda v: v, _ARROW.field("_emitted_at").type)
+    return pa.RecordBatch.from_arrays([c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type) for f in _ARROW], schema=_ARROW)
+
+
+def _alike(values: list, form: Callable, kind: pa.DataType) -> pa.Array:
+    """An array of values many of which are the same object, each of which is converted once."""
+    own: dict[int, tuple[int, object]] = {}
+    places = [own.setdefault(id(v), (len(own), v))[0] for v in values]
+    return pa.array([form(v) for _, v in own.values()], kind).take(pa.array(places, pa.int32()))
 
 
 class _Batch(DataSourceReader):
@@ -230,6 +245,8 @@ class _Batch(DataSourceReader):
         self.walk = _walk(options)
 
     def partitions(self) -> list[InputPartition]:
+        # A task has its price, and ranges are streamed: their number stays below RANGES however large the capture is.
+        self.walk.size = max(self.walk.size, self.walk.total() // RANGES)
         self.walk.run(self.walk.initial(), ordinal_bits=ORDINAL_BITS)
         return self.walk.ranges
 

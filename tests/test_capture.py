@@ -96,6 +96,40 @@ def test_many_tasks_decode(spark, folder):
     assert got.select(F.sum(F.size("new"))).first()[0] == sum(len(r[10]) for r in expected)
 
 
+def _indexed(folder, to):
+    """The capture again, written with indexes; what is torn at its end goes."""
+    for p in sorted(folder.iterdir()):
+        frames.Capture(str(to)).add_frames(p.name, map(frames.framed, pgoutput.split_frames(p.read_bytes())))
+    return to
+
+
+@pytest.mark.parametrize("size", [1, 300, 5000, 1 << 16, 1 << 30])
+def test_an_index_gives_what_frames_give(folder, tmp_path, monkeypatch, size):
+    monkeypatch.setattr(frames, "STEP", 1500)
+    path, expected = _indexed(folder, tmp_path / "indexed"), _whole(sorted(folder.iterdir()))
+    blocks = [b for n in "abc" for b in frames.Capture(str(path)).blocks(n, frames.BITS).values()]
+    assert len(blocks) >= 10 and any("cuts" in b for b in blocks)
+    ranges, end, got = _by_ranges(path, size)
+    assert got == expected and end == _by_ranges(folder, size)[1]
+    assert _by_ranges(path, size, starting=1800)[2] == [r for r in expected if pgoutput.lsn_number(r[2]) > 1800]
+    at, got = frames.Walk(str(path)).initial(), []
+    while (end := frames.Walk(str(path), 0, size).run(at, most=5)) != at:  # offsets within blocks too
+        between = frames.Walk(str(path), 0, size)
+        assert between.run(at, upto=end) == end
+        got, at = got + [tuple(c[n] for n in pgoutput._NAMES) for r in between.ranges for c in pgoutput._changes(r)], end
+    assert got == expected
+
+
+def test_planning_reads_no_frames(folder, tmp_path, monkeypatch):
+    """The driver plans by the index alone; ranges are no more than tasks are worth."""
+    path, expected = _indexed(folder, tmp_path / "indexed"), len(_whole(sorted(folder.iterdir())))
+    monkeypatch.setattr(frames, "heads", lambda f, at: iter([]))
+    monkeypatch.setattr(pgoutput, "RANGES", 4)
+    reader = pgoutput._Batch({"path": str(path), "rangeBytes": "300"})
+    parts = reader.partitions()
+    assert len(parts) <= 4 + 3 and sum(b.num_rows for p in parts for b in reader.read(p)) == expected
+
+
 class Server:
     """Keeps transactions until they are confirmed, tells its relations in each session, and sends a part of one that is not done."""
 
