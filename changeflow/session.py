@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +43,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Rows that are dear to make and read more than once, as columns in the shared folder: each reader reads the columns it needs."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

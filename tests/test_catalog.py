@@ -52,6 +52,13 @@ def test_the_only_query_without_sql(spark):
         assert r["text"] == (r["was"] if len(raw) <= 2 else bytes([raw[0]]).decode("latin-1") + "*" * (len(raw) - 2) + bytes([raw[-1]]).decode("latin-1"))
 
 
+def test_replays_of_captures_decode_once(spark):
+    """What a replay reads more than once is stored; a single reader decodes as it goes."""
+    plan = lambda name: catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "changeflow_pgoutput" in plan("decode_frames")
+    assert not any("changeflow_pgoutput" in plan(name) for name in ("decode_replay", "copy_and_stream_decoded"))
+
+
 def test_entry(spark):
     import __spark_entry__
 
