@@ -274,8 +274,8 @@ class TableSink:
         bucket = self._bucket(n, [F.col(f"`{c}`") for c in columns])
         stored = rows.select(bucket.alias("b"), *[F.col(f"`{f['name']}`").cast(_type(m.types[str(f["ids"][0])])).alias(f"c{f['ids'][0]}") for f in m.fields])
         folder = f"v={batch}.{uuid.uuid4().hex[:8]}"
-        # One task a bucket, so one file; buckets are kept at a size that a task can write.
-        stored.repartition("b").write.partitionBy("b").parquet(f"{files.path}/{folder}")
+        # A bucket is a file, or several from as many tasks where it is large; small ones share a task.
+        stored.hint("rebalance", F.col("b")).write.partitionBy("b").parquet(f"{files.path}/{folder}")
         sizes = files.sizes(folder)
         if len(touched) == n:
             m.files, m.bytes = {}, {}

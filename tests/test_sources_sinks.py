@@ -439,3 +439,20 @@ def test_pipeline_fans_in(spark):
     out = p.run_all({"a": _changes(spark), "b": _changes(spark), "c": _changes(spark)})
     assert sorted(out) == ["all", "c"] and out["all"].count() == 4
     assert p.key("a", KEY) == KEY
+
+
+def test_a_large_bucket_is_written_by_many_tasks(spark, tmp_path):
+    """However few buckets a table has, no task writes more of one than Spark's advised size."""
+    rows = spark.range(0, 40000, 1, 8).select(F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    was = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sink = TableSink(str(tmp_path), {"t": KEY}, buckets=1)
+        sink.write(snapshot.snapshot(rows, "t", KEY), "t", 0)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert len(list(tmp_path.rglob("*.parquet"))) > 1
+    assert sink.read(spark, "t").exceptAll(rows).count() == 0 and sink.read(spark, "t").count() == 40000
