@@ -14,8 +14,10 @@ among rows of which the part ``PRIOR`` is toxic, for missing a toxic document co
 look at a clean one.
 
 Fit: at most ``PER_CLASS`` rows of each label, the first by a hash of the id, and of each label at most
-``CHARS`` characters, rows that would go beyond left out: the documented bounds of the sample, of what the
-driver gets and of the index that is broadcast. Fitting scans the documents once. Scoring is one pass
+``CHARS`` characters, rows that would go beyond left out: the documented bounds of the sample and of the
+index that is broadcast. Fitting scans the documents once. Tasks cut the examples' texts into words, Spark
+counts these, and the votes of each fold come from a task of its own; the driver gets no text, only word
+counts and vectors as flat arrays, and computes nothing of the size of the sample. Scoring is one pass
 without a shuffle; a task holds the index, a slice of a batch and a bounded memory of words.
 
 Defined results: a row with a null id is scored like others and never learnt; null and empty texts have no words and get the score of examples without words; very long
@@ -38,10 +40,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import Memory, checkpointed, cuts_of, give_back, map_rows, worker_state
+from changeflow.llm.common import Memory, arrow_schema, checkpointed, cuts_of, give_back, leave_state, map_rows, worker_state
 
 PER_CLASS, CHARS = 2000, 1 << 23
 NEIGHBOURS, SOFT, PRIOR_VOTE, BLOCK = 9, 0.1, 0.5, 32
@@ -71,7 +74,7 @@ class Model:
     """The examples' vectors; every field is bounded by PER_CLASS and CHARS."""
 
     share: float
-    words: list[str] = field(default_factory=list)
+    words: pa.Array = field(default_factory=lambda: pa.array([], pa.string()))
     weight: np.ndarray = field(default_factory=lambda: np.empty(0))
     ids: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     toxic: np.ndarray = field(default_factory=lambda: np.empty(0))
@@ -89,8 +92,66 @@ class Model:
         return (at, w / norm) if norm > 0 else (at[:0], w[:0])
 
 
-class Sample:
-    """The words of the examples as flat arrays, and models of parts of them."""
+class Counts:
+    """The word counts of examples as flat arrays, by example and number of the word, and models of parts of them."""
+
+    def __init__(self, words: pa.Array, ids: np.ndarray, toxic: np.ndarray, owner: np.ndarray, word: np.ndarray, n: np.ndarray) -> None:
+        self.words, self.ids, self.toxic, self.owner, self.word, self.n = words, ids, toxic, owner, word, n
+        self.fold = np.empty(len(ids), np.int64)
+        self.fold[np.lexsort((ids, toxic))] = np.arange(len(ids)) % FOLDS
+
+    def units(self, part: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The unit vectors of the examples of ``part``, a mask: examples, words and values; and each example's word of most weight, -1 for none."""
+        some = part[self.owner]
+        owner, word = self.owner[some], self.word[some]
+        w = (1 + np.log(self.n[some])) * weight[word]
+        norm = np.sqrt(np.bincount(owner, w * w, len(self.ids)))
+        on = w > 0
+        owner, word, value = owner[on], word[on], w[on] / norm[owner[on]]
+        top = np.full(len(self.ids), -1)
+        by = np.lexsort((value, owner))
+        last = by[np.flatnonzero(np.r_[owner[by][1:] != owner[by][:-1], True])] if len(by) else by
+        top[owner[last]] = word[last]
+        return owner, word, value, top
+
+    def model(self, part: np.ndarray, share: float, weight: np.ndarray) -> Model:
+        """The model of the examples of ``part``, without a curve."""
+        model = Model(share, self.words, weight)
+        owner, word, value, top = self.units(part, weight)
+        # Like examples stand together, so that blocks differ in their maxima: by label and word of most weight.
+        order = np.lexsort((self.ids, top, self.toxic))
+        order = order[part[order]]
+        place = np.empty(len(self.ids), np.int64)
+        place[order] = np.arange(len(order))
+        by = np.lexsort((word, place[owner]))
+        model.ids, model.toxic = self.ids[order], self.toxic[order].astype(float)
+        model.begin = np.r_[0, np.cumsum(np.bincount(place[owner], minlength=len(order)))]
+        model.at, model.value = word[by].astype(np.int32), value[by]
+        return model
+
+    def vectors(self, part: np.ndarray, model: Model) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
+        """The vectors that the examples of ``part`` have under a model."""
+        edges = np.searchsorted(self.owner, np.arange(len(self.ids) + 1))
+        for i in np.flatnonzero(part):
+            yield i, model.vector(self.word[edges[i] : edges[i + 1]], self.n[edges[i] : edges[i + 1]])
+
+    def votes(self, part: np.ndarray, index: Index) -> np.ndarray:
+        """The votes on the examples of ``part`` by an index; -1 for no neighbours, and for the others."""
+        votes = np.full(len(self.ids), -1.0)
+        for i, v in self.vectors(part, index.model):
+            cos, who = index.neighbours(*v)
+            if len(cos):
+                votes[i] = index.vote(cos, who)
+        return votes
+
+
+def weights(have: np.ndarray, apart: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The weight of each word: examples with it and different words to its left, by class and word, and examples of each class."""
+    return np.log(of.sum() / np.maximum(have.sum(0), 1)) * gains(np.minimum(have, apart), of)
+
+
+class Sample(Counts):
+    """The words of examples that are at hand as Python rows."""
 
     def __init__(self, rows: list[tuple[int, int, str]]) -> None:
         number: dict[str, int] = {}
@@ -99,13 +160,12 @@ class Sample:
             own = [number.setdefault(w, len(number)) for w in WORD.findall(text.lower())]
             words += own
             sizes.append(len(own))
-        self.words, size = list(number), max(1, len(number))
-        self.ids, self.toxic = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
+        size = max(1, len(number))
         word, owner = np.array(words, np.int64), np.repeat(np.arange(len(rows)), sizes)
         left = np.r_[size, word[:-1]] if len(word) else word
         left[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])[: len(word)]] = size
-        keys, self.n = np.unique(owner * size + word, return_counts=True)
-        self.owner, self.word = np.divmod(keys, size)
+        keys, n = np.unique(owner * size + word, return_counts=True)
+        super().__init__(pa.array(list(number), pa.string()), np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64), *np.divmod(keys, size), n)
         #: (left word, word) of each example, once each.
         self.pairs = np.unique(np.stack([owner, word * (size + 1) + left], 1), axis=0) if len(word) else np.empty((0, 2), np.int64)
 
@@ -115,40 +175,14 @@ class Sample:
         have = np.stack([np.bincount(self.word[on & (self.toxic[self.owner] == y)], minlength=size) for y in (0, 1)]).astype(float)
         mine = self.pairs[part[self.pairs[:, 0]]]
         apart = np.stack([np.bincount(np.unique(mine[self.toxic[mine[:, 0]] == y, 1]) // (size + 1), minlength=size) for y in (0, 1)])
-        of = np.array([np.sum(part & (self.toxic == y)) for y in (0, 1)], float)
-        return np.log(of.sum() / np.maximum(have.sum(0), 1)) * gains(np.minimum(have, apart), of)
+        return weights(have, apart, np.array([np.sum(part & (self.toxic == y)) for y in (0, 1)], float))
 
     def model(self, part: np.ndarray, share: float) -> Model:
-        """The model of the examples of ``part``, without a curve."""
-        model = Model(share, self.words, self.weights(part))
-        w = (1 + np.log(self.n)) * model.weight[self.word]
-        norm = np.sqrt(np.bincount(self.owner, w * w, len(self.ids)))
-        on = part[self.owner] & (w > 0)
-        owner, word, value = self.owner[on], self.word[on], w[on] / norm[self.owner[on]]
-        # Like examples stand together, so that blocks differ in their maxima: by label and word of most weight.
-        top = np.full(len(self.ids), -1)
-        by = np.lexsort((value, owner))
-        last = by[np.flatnonzero(np.r_[owner[by][1:] != owner[by][:-1], True])] if len(by) else by
-        top[owner[last]] = word[last]
-        order = np.lexsort((self.ids, top, self.toxic))
-        order = order[part[order]]
-        place = np.empty(len(self.ids), np.int64)
-        place[order] = np.arange(len(order))
-        by = np.lexsort((word, place[owner]))
-        model.ids, model.toxic = self.ids[order], self.toxic[order].astype(float)
-        model.begin = np.r_[0, np.cumsum(np.bincount(place[owner], minlength=len(order)))]
-        model.at, model.value = word[by].astype(np.int32), value[by]
-        return model
-
-    def vectors(self, part: np.ndarray, model: Model) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
-        """The vectors that the examples of ``part`` have under a model."""
-        edges = np.searchsorted(self.owner, np.arange(len(self.ids) + 1))
-        for i in np.flatnonzero(part):
-            yield i, model.vector(self.word[edges[i] : edges[i + 1]], self.n[edges[i] : edges[i + 1]])
+        return super().model(part, share, self.weights(part))
 
 
 def build(rows: list[tuple[int, int, str]], share: float) -> Model:
-    """The model of (id, toxic, text) examples; without both labels only the share.
+    """The model of (id, toxic, text) examples in one process, as ``fit`` makes it; without both labels only the share.
 
     The curve is fitted on votes under models of the other folds, which saw neither the example nor its words.
     """
@@ -157,15 +191,13 @@ def build(rows: list[tuple[int, int, str]], share: float) -> Model:
         return Model(share)
     model = sample.model(np.ones(len(rows), bool), share)
     votes = np.full(len(rows), -1.0)
-    fold = np.empty(len(rows), np.int64)
-    fold[np.lexsort((sample.ids, sample.toxic))] = np.arange(len(rows)) % FOLDS
     for k in range(FOLDS):
-        index = Index(sample.model(fold != k, share))
-        for i, v in sample.vectors(fold == k, index.model):
-            cos, who = index.neighbours(*v)
-            if len(cos):
-                votes[i] = index.vote(cos, who)
-    y = sample.toxic.astype(float)
+        votes = np.maximum(votes, sample.votes(sample.fold == k, Index(sample.model(sample.fold != k, share))))
+    return calibrated(model, votes, sample.toxic.astype(float))
+
+
+def calibrated(model: Model, votes: np.ndarray, y: np.ndarray) -> Model:
+    """The model with the curve of votes (-1: none) on examples of labels ``y``."""
     weight = np.where(y > 0, PRIOR / y.mean(), (1 - PRIOR) / (1 - y.mean()))
     none = votes < 0
     model.bare = float(((weight * y)[none].sum() + PRIOR) / (weight[none].sum() + 1))
@@ -273,21 +305,115 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = checkpointed(parts[0].unionByName(parts[1]))
     # At most two times per_class rows of two numbers: the documents' scan needs no shuffle.
     texts = docs.where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), F.col(id_col).cast("long") == F.col("lid")).groupBy("lid", "y").agg(F.min(text_col).alias("t"))
-    upto = Window.partitionBy("y").orderBy(F.xxhash64("lid"), "lid")  # of per_class rows at most
-    bounded = texts.where(F.length("t") <= chars).withColumn("upto", F.sum(F.length("t")).over(upto)).where(F.col("upto") <= chars)
+    texts = checkpointed(texts.where(F.length("t") <= chars))
+    # Windows over so many rows of numbers; texts stay where they are.
+    upto = Window.partitionBy("y").orderBy(F.xxhash64("lid"), "lid")
+    bounded = texts.select("lid", "y", F.length("t").alias("size")).withColumn("upto", F.sum("size").over(upto)).where(F.col("upto") <= chars)
+    place = lambda *by: F.row_number().over(Window.orderBy(*by)) - 1
+    ranked = checkpointed(bounded.select("lid", "y", place("lid").alias("rank"), (place("y", "lid") % FOLDS).alias("fold")))
+    of = np.zeros((2, FOLDS))
+    for r in ranked.groupBy("y", "fold").agg(F.count("*").alias("n")).collect():
+        of[r["y"], r["fold"]] = r["n"]
+    if not of.sum(1).all():
+        return Model(share)
+    words = texts.join(F.broadcast(ranked.select("lid", "rank", "fold")), "lid").select("rank", "y", "fold", "t")
+    words = words.repartition(texts.sparkSession.sparkContext.defaultParallelism, "rank").mapInArrow(_words, WORDS).persist(StorageLevel.DISK_ONLY)
     try:
-        return build(sorted((r["lid"], r["y"], r["t"]) for r in bounded.select("lid", "y", "t").collect()), share)
-    finally:  # texts and fold models would stay with the driver through all later stages
+        return _fitted(ranked, words, np.c_[of.sum(1)[:, None] - of, of.sum(1)], share)
+    finally:
+        words.unpersist()
         gc.collect()
         give_back()
 
 
+#: The words of an example, once each: where the word is met (example, position), how often, and the different words to its left (the first word has an empty one).
+WORDS = "rank int, y int, fold int, met long, word string, n int, left array<string>"
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    leave_state()
+    for batch in batches:
+        for rank, y, fold, text in zip(*(c.to_pylist() for c in batch.columns)):
+            number: dict[str, int] = {}
+            word = np.array([number.setdefault(w, len(number)) for w in WORD.findall(text.lower())], np.int64)
+            if not (size := len(number)):
+                continue
+            names = pa.array([*number, ""], pa.string())
+            _, first, n = np.unique(word, return_index=True, return_counts=True)
+            of, left = np.divmod(np.unique(word * (size + 1) + np.r_[size, word[:-1]]), size + 1)
+            lists = pa.ListArray.from_arrays(np.searchsorted(of, np.arange(size + 1)).astype(np.int32), names.take(pa.array(left)))
+            one = [pa.array(np.full(size, v, np.int32)) for v in (rank, y, fold)]
+            yield pa.RecordBatch.from_arrays([*one, pa.array((rank << 32) + first), names[:size], pa.array(n.astype(np.int32)), lists], ["rank", "y", "fold", "met", "word", "n", "left"])
+
+
+def _fitted(ranked: DataFrame, words: DataFrame, of: np.ndarray, share: float) -> Model:
+    """The model of ``ranked`` examples with ``words``; ``of`` counts those of each class without each fold, and lastly all."""
+    # Each count without each fold, and lastly of all: one pass gives the weights of all models.
+    without = [(y, k) for y in (0, 1) for k in range(FOLDS + 1)]
+    have = words.groupBy("word").agg(F.min("met").alias("met"), F.array(*[F.count_if((F.col("y") == y) & (F.col("fold") != k)) for y, k in without]).alias("have"))
+    lefts = words.select("word", "y", F.explode("left").alias("l"), F.expr("shiftleft(1, fold)").alias("folds")).groupBy("word", "y", "l").agg(F.bit_or("folds").alias("folds"))
+    apart = lefts.groupBy("word").agg(F.array(*[F.count_if((F.col("y") == y) & (F.col("folds").bitwiseAND(~(1 << k)) != 0)) for y, k in without]).alias("apart"))
+
+    def make():
+        def work(batch: pa.RecordBatch) -> Iterator[dict]:
+            have, apart = (np.asarray(batch.column(c).flatten()).reshape(-1, 2, FOLDS + 1).astype(float) for c in (2, 3))
+            of_all = [weights(have[:, :, k].T, apart[:, :, k].T, of[:, k]) for k in range(FOLDS + 1)]
+            yield {"met": batch.column(0), "word": batch.column(1)} | {f"w{k}": w for k, w in enumerate(of_all)}
+
+        return work
+
+    weighed = map_rows(have.join(apart, "word").select("met", "word", "have", "apart"), make, "met long, word string, " + ", ".join(f"w{k} double" for k in range(FOLDS + 1)))
+    # Words are numbered as they are met; the driver gets numbers, and each different word once.
+    of_words = weighed.orderBy("met").toArrow()
+    met, weight = of_words["met"].to_numpy(), [of_words[f"w{k}"].to_numpy() for k in range(FOLDS + 1)]
+    names = pa.concat_arrays(of_words["word"].chunks) if len(met) else pa.array([], pa.string())
+    del of_words
+    entries = words.select("rank", F.min("met").over(Window.partitionBy("word")).alias("met"), "n").orderBy("rank", "met").toArrow()
+    who = ranked.select("lid", "y").orderBy("rank").toArrow()
+    counts = Counts(names, who["lid"].to_numpy(), who["y"].to_numpy(), entries["rank"].to_numpy(), np.searchsorted(met, entries["met"].to_numpy()).astype(np.int32), entries["n"].to_numpy())
+    del entries
+    held, token = ranked.sparkSession.sparkContext.broadcast((counts, weight)), uuid.uuid4().hex
+    del counts, met
+    out = arrow_schema(VECTORS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, weight = held.value
+            rank = np.asarray(batch.column(0))
+            mine = np.isin(np.arange(len(counts.ids)), rank)
+            votes = np.full(len(counts.ids), -1.0)
+            for k in np.unique(counts.fold[rank]):
+                index = worker_state(("votes", token, k), lambda: Index(counts.model(counts.fold != k, share, weight[k])))
+                votes = np.maximum(votes, counts.votes(mine & (counts.fold == k), index))
+            owner, word, value, top = counts.units(mine, weight[FOLDS])
+            # Examples in the order of their numbers, as the entries are.
+            rank = np.flatnonzero(mine)
+            ends = pa.array(np.searchsorted(owner, np.r_[rank, len(counts.ids)]).astype(np.int32))
+            columns = [counts.ids[rank], counts.toxic[rank], top[rank], votes[rank], pa.ListArray.from_arrays(ends, pa.array(word.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(value))]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c).cast(f.type) for c, f in zip(columns, out)], schema=out)
+
+    # Like examples stand together, as in ``Counts.model``.
+    found = ranked.select("rank", "fold").repartitionByRange(FOLDS, "fold").mapInArrow(run, VECTORS).orderBy("y", "top", "lid").toArrow()
+    held.destroy()
+    y = found["y"].to_numpy().astype(float)
+    flat = lambda c: np.concatenate([x.flatten().to_numpy() for x in found[c].chunks])
+    begin = np.r_[0, np.cumsum(np.concatenate([x.value_lengths().to_numpy() for x in found["at"].chunks]))]
+    ids = found["lid"].to_numpy()
+    by = np.argsort(ids)
+    return calibrated(Model(share, names, weight[FOLDS], ids, y, begin, flat("at"), flat("value")), found["vote"].to_numpy()[by], y[by])
+
+
+#: The unit vectors of examples and the votes on them.
+VECTORS = "lid long, y int, top int, vote double, at array<int>, value array<double>"
+
+
 class Scorer:
     """Scores texts by a model, with a bounded memory of the words of blank-separated cuts."""
 
     def __init__(self, model: Model) -> None:
         self.model, self.index, self.known = model, Index(model), Memory(REMEMBERED)
-        self.number = {w: i for i, w in enumerate(model.words) if model.weight[i] > 0}
+        some = np.flatnonzero(model.weight > 0)
+        self.number = dict(zip(model.words.take(pa.array(some)).to_pylist(), some.tolist()))
 
     def vectors(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The numbers of each text's words and their counts."""

@@ -238,6 +238,46 @@ def test_toxicity_sample_bounds(spark, docs_of):
     assert 50 < len(model.ids) <= 100 and len(set(model.ids.tolist())) == len(model.ids) and 600 not in model.ids
 
 
+def _same(model, other):
+    assert (model.curve, model.bare, model.share) == (other.curve, other.bare, other.share)
+    assert list(map(str, model.words)) == list(map(str, other.words))
+    assert all(np.array_equal(getattr(model, f), getattr(other, f)) for f in ("weight", "ids", "toxic", "begin", "at", "value"))
+
+
+def test_toxicity_fit_by_tasks(spark, docs_of):
+    docs, labels = _toxic_rows(120, 5)
+    odd = ["", " \n", "\u0130stanbul VILE vile Vile", "vile " * 300, "\ud55c\uae00 \u00df \u1e9e", "?!", docs[3][1], docs[5][1]]
+    docs += [(1000 + i, t) for i, t in enumerate(odd)]
+    labels += [(1000 + i, 1, i % 2) for i in range(len(odd))]
+    table = lambda rows: spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    rows = lambda docs, labels: [(i, y, t) for (i, t), (_, _, y) in zip(docs, labels) if __import__("zlib").crc32(str(i).encode()) % 3 != 1]
+    share = lambda found: sum(y for _, y, _ in found) / len(found)
+    for d, k in ((docs, labels), ([(i, " ?!"[i % 3]) for i in range(30)], [(i, 1, i % 2) for i in range(30)]), (docs[:15], [(i, 1, int(i == 1)) for i in range(15)])):
+        found = rows(d, k)
+        assert {y for _, y, _ in found} == {0, 1}
+        _same(toxicity.fit(docs_of(d), table(k)), toxicity.build(found, share(found)))
+
+
+def test_toxicity_fit_leaves_the_driver_free(spark, docs_of):
+    import tracemalloc
+
+    rnd = random.Random(8)
+    names = ["".join(rnd.choices("abcdefgh", k=8)) for _ in range(2000)]
+    docs = [(i, " ".join(rnd.choices(names, k=3000))) for i in range(120)]
+    table = spark.createDataFrame([(i, 1, i % 2) for i in range(120)], "doc_id long, quality int, toxic int")
+    stored, known = docs_of(docs).localCheckpoint(), [(i, i % 2, t) for i, t in docs if __import__("zlib").crc32(str(i).encode()) % 3 != 1]
+    peaks, made = [], []
+    for run in (lambda: toxicity.build(known, sum(y for _, y, _ in known) / len(known)), lambda: toxicity.fit(stored, table)):
+        tracemalloc.start()
+        try:
+            made.append(run())
+            peaks.append(tracemalloc.get_traced_memory()[1])
+        finally:
+            tracemalloc.stop()
+    _same(*made)
+    assert peaks[1] < peaks[0] / 4, peaks
+
+
 # --- quality
 
 
