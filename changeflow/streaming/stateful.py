@@ -27,6 +27,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,9 +43,13 @@ from changeflow.sinks.base import Sink
 FORGET_MS = 24 * 3600 * 1000
 #: Buckets of a table's keys, and changes and bytes that a task holds while it packs them.
 BUCKETS, PACK, PACK_BYTES = 1024, 1 << 17, 64 << 20
+#: Rows of a bucket, held ones and changes, that are folded at once, about; and packed buckets that leave a task at once.
+SLICE, SENT = 1 << 14, 64
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 _RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BOUNDED = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -66,24 +71,37 @@ def _keys(t: pa.Table, names: Sequence[str]) -> list:
     return columns[0] if len(columns) == 1 else list(zip(*columns))
 
 
-def _bytes(t: pa.Table) -> bytes:
-    """A table in Arrow's stream format."""
+def _bytes(*tables: pa.Table) -> bytes:
+    """Tables of one schema in Arrow's stream format."""
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, t.schema) as w:
-        w.write_table(t)
+    with pa.ipc.new_stream(sink, tables[0].schema) as w:
+        for t in tables:
+            w.write_table(t)
     return sink.getvalue().to_pybytes()
 
 
+def _sliced(t: pa.Table, keys: Sequence[str], n: int) -> Iterator[pa.Table]:
+    """A table in ``n`` parts by a hash of the key, each in the order of the table."""
+    if n == 1:
+        yield t
+        return
+    own = np.concatenate([np.empty(0, "int64"), *[np.array([hash((k,)) % n for k in _keys(t.slice(a, SLICE), keys)], "int64") for a in range(0, t.num_rows, SLICE)]])
+    order = np.argsort(own, kind="stable")
+    for places in np.split(order, np.searchsorted(own[order], np.arange(1, n))):
+        yield t.take(pa.array(places, pa.int64()))
+
+
 def packed(schema: pa.Schema):
     """Puts changes into a row (_b, changes) for each bucket and each few that a task holds at once; ``schema`` is that of the changes."""
 
     def put(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(held)
+        held.clear()
         t = t.take(pc.sort_indices(t.column("_b"))).combine_chunks()
         own = t.column("_b").to_numpy()
         cuts = np.flatnonzero(np.diff(own)) + 1
         body = t.select(schema.names).cast(schema)
-        for some in np.array_split(np.stack([np.r_[0, cuts], np.r_[cuts, len(own)]], axis=1), max(1, len(cuts) // 1024)):
+        for some in np.array_split(np.stack([np.r_[0, cuts], np.r_[cuts, len(own)]], axis=1), len(cuts) // SENT + 1):
             texts = [b"".join(x.serialize().to_pybytes() for x in body.slice(a, b - a).combine_chunks().to_batches()) for a, b in some]
             yield pa.RecordBatch.from_arrays([pa.array(own[some[:, 0]], pa.int32()), pa.array(texts, pa.binary())], names=["_b", "changes"])
 
@@ -95,11 +113,13 @@ def packed(schema: pa.Schema):
                 continue
             held.append(batch)
             rows, size = rows + batch.num_rows, size + batch.nbytes
+            del batch
             if rows >= PACK or size >= PACK_BYTES:
                 yield from put(held)
-                held, rows, size = [], 0, 0
+                rows = size = 0
         if held:
             yield from put(held)
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -141,7 +161,22 @@ class LastRows(StatefulProcessor):
         news = pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(bytes(r["changes"])), self.given) for r in rows])
         news = news.take(pc.sort_indices(news, sort_keys=[("_seq", "ascending"), ("_part", "ascending")])).combine_chunks()
         held, now_ms = self._held(), timerValues.getCurrentProcessingTimeInMs()
-        n, m = held.num_rows, news.num_rows
+        # Keys are folded a slice after the other, so that what is made of them as Python's values does not grow with the bucket.
+        slices = -(-(held.num_rows + news.num_rows) // SLICE)
+        parts: list[pa.Table] = []
+        touched = False
+        for own, given in zip(_sliced(held, self.keys, slices), _sliced(news, self.keys, slices)):
+            kept, net = self._fold(own, given, now_ms)
+            parts += kept or [own]
+            touched |= kept is not None
+            if net is not None:
+                yield Row(net=_bytes(net))
+        if touched:
+            self._keep(parts)
+
+    def _fold(self, held: pa.Table, news: pa.Table, now_ms: int) -> tuple[list[pa.Table] | None, pa.Table | None]:
+        """The rows to hold after changes in their order, None if no change is new; and what they come to, if anything."""
+        n = held.num_rows
         at = {k: j for j, k in enumerate(_keys(held, self.keys))}
         alive, reached = held.column("alive").to_pylist(), held.column("seq").to_pylist()
         # A row is where its values are: a place in the held rows with the new ones behind them, or a place for each column.
@@ -169,7 +204,7 @@ class LastRows(StatefulProcessor):
             else:
                 t[1] = None
         if not touched:
-            return
+            return None, None
         rows_of = pa.table([pa.concat_arrays([*held.column(f"={f.name}").chunks, *news.column(v).chunks]) for f, v in zip(self.row, self.values)], names=self.values)
         last = np.array([t[2] for t in touched.values()])
         before, after = [t[0] for t in touched.values()], [t[1] for t in touched.values()]
@@ -180,17 +215,17 @@ class LastRows(StatefulProcessor):
         seqs = news.column("_seq").take(last)
         until = pa.array(np.where(gone, now_ms + self.forget_ms, 0), pa.int64(), mask=~gone)
         made = pa.table([pa.array(~gone), seqs, until, *[news.column(k).take(last) for k in self.keys], *self._side(rows_of, after)], schema=self.kept)
-        self._keep(pa.concat_tables([stay, made]))
         # What it comes to.
         some = np.array([not (a is None and b is None) for a, b in zip(after, before)])
-        if some.any():
-            ops = [model.DELETE if a is None else model.UPDATE if b is not None else model.INSERT for a, b, s in zip(after, before, some) if s]
-            place = last[some]
-            side = lambda which: self._struct(rows_of, [x for x, s in zip(which, some) if s])
-            columns = {"_seq": news.column("_seq").take(place), "_op": pa.array(ops, pa.string()), "_toasted": pa.array([[]] * len(ops), pa.list_(pa.string())), "new": side(after), "old": side(before)}
-            net = [columns[f.name] if f.name in columns else news.column(f.name).take(place) for f in self.told]
-            net = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in net]
-            yield Row(net=_bytes(pa.table([c.cast(f.type) for c, f in zip(net, self.told)], schema=self.told)))
+        if not some.any():
+            return [stay, made], None
+        ops = [model.DELETE if a is None else model.UPDATE if b is not None else model.INSERT for a, b, s in zip(after, before, some) if s]
+        place = last[some]
+        side = lambda which: self._struct(rows_of, [x for x, s in zip(which, some) if s])
+        columns = {"_seq": news.column("_seq").take(place), "_op": pa.array(ops, pa.string()), "_toasted": pa.array([[]] * len(ops), pa.list_(pa.string())), "new": side(after), "old": side(before)}
+        net = [columns[f.name] if f.name in columns else news.column(f.name).take(place) for f in self.told]
+        net = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in net]
+        return [stay, made], pa.table([c.cast(f.type) for c, f in zip(net, self.told)], schema=self.told)
 
     def _side(self, rows_of: pa.Table, which: list) -> list:
         """The columns of rows by their places; null where there is no row."""
@@ -212,11 +247,11 @@ class LastRows(StatefulProcessor):
         columns = [c.cast(kind.field(k).type) for k, c in enumerate(self._side(rows_of, which))]
         return pa.StructArray.from_arrays(columns, fields=[kind.field(k) for k in range(kind.num_fields)], mask=pa.array([x is None for x in which], pa.bool_()))
 
-    def _keep(self, t: pa.Table) -> None:
+    def _keep(self, parts: list[pa.Table]) -> None:
         """Puts a bucket's rows; a timer comes when the first of its dead keys may go."""
-        if t.num_rows:
-            self.state.update((_bytes(t),))
-            first = pc.min(t.column("until")).as_py()
+        if any(t.num_rows for t in parts):
+            self.state.update((_bytes(*parts),))
+            first = pc.min(pa.chunked_array([c for t in parts for c in t.column("until").chunks], pa.int64())).as_py()
             if first is not None:
                 self.handle.registerTimer(first)
         else:
@@ -224,7 +259,7 @@ class LastRows(StatefulProcessor):
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
         held = self._held()
-        self._keep(held.filter(pc.fill_null(pc.greater(held.column("until"), timerValues.getCurrentProcessingTimeInMs()), True)))
+        self._keep([held.filter(pc.fill_null(pc.greater(held.column("until"), timerValues.getCurrentProcessingTimeInMs()), True))])
         return iter(())
 
     def close(self) -> None:
@@ -255,7 +290,7 @@ def replay_stream(changes: DataFrame, table: str, keys: Sequence[str], sink: Sin
     """Delivers the net changes of a streaming table; a batch that comes again after a failure has its number."""
 
     def deliver(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()  # a sink reads it more than once, and the state should be folded once
+        batch = batch.persist(StorageLevel.DISK_ONLY)  # a sink reads it more than once, and the state should be folded once
         try:
             sink.write(batch, table, number)
         finally:
@@ -263,8 +298,10 @@ def replay_stream(changes: DataFrame, table: str, keys: Sequence[str], sink: Sin
 
     spark: SparkSession = changes.sparkSession
     # Timers ask for batches without data for ever, so a run over what there is does without; they fire with the next data.
-    # Rows of packed changes are long, so that few of them go between processes at once.
-    settings = {_PROVIDER: _ROCKS, _RECORDS: "2000"} | ({_NO_DATA: "false"} if once else {})
+    # Rows of packed changes and of net changes are long, so that few of them go between processes at once.
+    settings = {_PROVIDER: _ROCKS, _RECORDS: "2000", _BYTES: str(8 << 20)} | ({_NO_DATA: "false"} if once else {})
+    if spark.conf.get(_BOUNDED, None) is None:  # the stores of an executor's partitions share one bound, else each has memory of its own
+        settings[_BOUNDED] = "true"
     was = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)

@@ -3,14 +3,19 @@
 import random
 import struct
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from changeflow import model
 from changeflow.functions import codecs
 from changeflow.sinks.table import TableSink
 from changeflow.sources import frames, pgoutput
 from changeflow.sources.capture import to_frames, write_capture
+from changeflow.streaming import stateful
 from changeflow.streaming.stateful import net_changes, replay_stream
 
 from test_sources_sinks import BEGIN, FIRST, KEY, SECOND, _commit, _frame, _relation, _text
@@ -246,6 +251,88 @@ def test_state_is_kept_by_buckets(spark, tmp_path):
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 4
 
 
+class _Held:
+    """A bucket's state and its handle."""
+
+    value = None
+
+    def getValueState(self, *_):
+        return self
+
+    def registerTimer(self, _):
+        pass
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def getCurrentProcessingTimeInMs(self):
+        return 0
+
+
+def test_a_large_bucket_is_folded_by_slices(spark, tmp_path):
+    """What is made of a bucket at once does not grow with it, and its rows are those that a fold in order gives."""
+    _log(spark, str(tmp_path), (1, "INSERT", [], (1, "a", "x"), None))
+    out = spark.read.parquet(str(tmp_path)).select(*model.META, "new", "old").schema
+    row = out["new"].dataType
+    meta = [out[c] for c in model.META if c != "_op"]
+    kind = T.StructType([*meta, out["_op"], *T._parse_datatype_string("_part int, _there boolean, _k0 int"), *[T.StructField(f"v{i}", f.dataType) for i, f in enumerate(row)]])
+    fold, schema, rows, random_ = stateful.LastRows(row, 1, kind, out, 1000), to_arrow_schema(kind), {}, random.Random(3)
+    fold.init(held := _Held())
+    for run in range(2):
+        told = []
+        for seq in range(60_000 * run, 60_000 * run + 60_000):
+            k, op, kept = random_.randrange(40_000) * 1024, random_.choice(("INSERT", "INSERT", "UPDATE", "DELETE")), random_.random() < 0.5
+            new = None if op == "DELETE" else (k, f"n{seq}", None if kept else f"b{seq}")
+            told.append({"_seq": seq, "_op": op, "_toasted": ["big"] if op == "UPDATE" and kept else [], "_part": 0, "_there": new is not None, "_k0": k} | {f"v{i}": new and new[i] for i in range(3)})
+            if op == "INSERT":
+                rows.setdefault(k, new)
+            elif op == "UPDATE" and k in rows:
+                rows[k] = (k, new[1], rows[k][2] if kept else new[2])
+            elif op == "DELETE":
+                rows.pop(k, None)
+        was = {} if run == 0 else now
+        random_.shuffle(told)
+        packs = [pa.RecordBatch.from_pylist(told[a : a + 500], schema).serialize().to_pybytes() for a in range(0, len(told), 500)]
+        net = [pa.ipc.open_stream(r["net"]).read_all() for r in fold.handleInputRows((0,), iter([Row(_b=0, changes=p) for p in packs]), held)]
+        assert len(net) > 3 and max(t.num_rows for t in net) < 1.2 * stateful.SLICE
+        now = dict(was)
+        for c in pa.concat_tables(net).to_pylist():
+            old = c["old"] and tuple(c["old"].values())
+            k = (c["new"] or c["old"])["id"]
+            assert was.get(k) == old
+            now[k] = tuple(c["new"].values()) if c["new"] else now.pop(k) and None
+        assert {k: v for k, v in now.items() if v} == rows
+        now = dict(rows)
+
+
+def test_packed_changes_leave_a_few_buckets_at_a_time():
+    schema = pa.schema([("v", pa.int64())])
+    given = pa.RecordBatch.from_pydict({"_b": pa.array([i % 1000 for i in range(5000)], pa.int32()), "v": list(range(5000))})
+    sent = list(stateful.packed(schema)(iter([given])))
+    assert max(b.num_rows for b in sent) <= stateful.SENT
+    got = {(b, v) for batch in sent for b, text in zip(*batch.to_pydict().values()) for v in pa.ipc.read_record_batch(pa.py_buffer(text), schema).column("v").to_pylist()}
+    assert got == {(i % 1000, i) for i in range(5000)}
+
+
+def test_memory_of_a_replay_is_bounded(spark, tmp_path):
+    """Stores share one bound, Arrow batches are small, and a batch that a sink reads again waits on disk."""
+    seen = {}
+
+    class Looks:
+        def write(self, batch, table, number):
+            conf = batch.sparkSession.conf
+            seen.update(bounded=conf.get("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", None), bytes=conf.get("spark.sql.execution.arrow.maxBytesPerBatch"), memory=batch.storageLevel.useMemory, rows=batch.count())
+
+    _log(spark, str(tmp_path / "log"), (1, "INSERT", [], (1, "a", "x"), None))
+    stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "log")).schema).parquet(str(tmp_path / "log"))
+    replay_stream(stream, "users", ["id"], Looks(), str(tmp_path / "state"), once=True, buckets=4).awaitTermination()
+    assert seen["bounded"] == "true" and int(seen["bytes"].rstrip("b")) <= 8 << 20 and not seen["memory"] and seen["rows"] == 1
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", None) is None
+
+
 def test_net_changes_have_the_form_of_changes(spark, tmp_path):
     _log(spark, str(tmp_path), (1, "INSERT", [], (1, "a", "x"), None))
     held = spark.read.parquet(str(tmp_path))
